@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaultline import bindings as B
-from vaultline.operators import facts
-from vaultline.sources.extract import extract_snapshot
+from vaultline.functions.columns import ntz
+from vaultline.operators import cdc, facts, scd2, staging
+from vaultline.operators import incremental as inc
+from vaultline.sources.extract import extract_incremental, extract_snapshot
 
 LOAD_TS = "2025-01-01 00:00:00"
 
@@ -67,3 +69,261 @@ def q_fact(spark, sf_dir):
         raw(spark, sf_dir, "transaction"), raw(spark, sf_dir, "card"),
         raw(spark, sf_dir, "account"), raw(spark, sf_dir, "customer"),
         raw(spark, sf_dir, "terminal"), ts=LOAD_TS)
+
+
+@query("fact_unmatched_defaults")
+def q_fact_defaults(spark, sf_dir):
+    """T10: unmatched dimension columns filled with ''/0."""
+    return facts.fact_atm_transaction(
+        raw(spark, sf_dir, "transaction"), raw(spark, sf_dir, "card"),
+        raw(spark, sf_dir, "account"), raw(spark, sf_dir, "customer"),
+        raw(spark, sf_dir, "terminal"), unmatched="default", ts=LOAD_TS)
+
+
+@query("fact_atm_transaction_volume")
+def q_fact_volume(spark, sf_dir):
+    """JN1 over the high-volume (lineitem) transactions."""
+    txn = extract_snapshot(B.transaction_volume(spark, sf_dir), "transaction")
+    return facts.fact_atm_transaction(
+        txn, raw(spark, sf_dir, "card"), raw(spark, sf_dir, "account"),
+        raw(spark, sf_dir, "customer"), raw(spark, sf_dir, "terminal"), ts=LOAD_TS)
+
+
+# ---------------------------------------------------------------------------
+# PRJ1 staging views, PRJ2 dimensions, SRC1 extracts
+# ---------------------------------------------------------------------------
+
+def _register_projections():
+    for entity in ("customer", "account", "card", "terminal", "transaction"):
+        def stg(spark, sf_dir, entity=entity):
+            return staging.stage(raw(spark, sf_dir, entity), entity)
+        stg.__doc__ = f"PRJ1: staging projection of {entity}."
+        query(f"stg_{entity}")(stg)
+    for entity in ("customer", "account", "card", "terminal"):
+        def dim(spark, sf_dir, entity=entity):
+            return staging.dimension(raw(spark, sf_dir, entity), entity, ts=LOAD_TS)
+        dim.__doc__ = f"PRJ2: ods dimension of {entity}."
+        query(f"dim_{entity}")(dim)
+
+
+_register_projections()
+
+
+@query("extract_snapshot_flags")
+def q_extract_flags(spark, sf_dir):
+    """SRC1: terminal snapshot, booleans to 0/1."""
+    return extract_snapshot(B.terminal(spark, sf_dir), "terminal")
+
+
+@query("active_cards")
+def q_active_cards(spark, sf_dir):
+    """JN2 + FLT1 on the source frames."""
+    return facts.active_cards(B.card(spark, sf_dir), B.account(spark, sf_dir),
+                              B.customer(spark, sf_dir))
+
+
+@query("active_terminals")
+def q_active_terminals(spark, sf_dir):
+    """FLT1 on terminals."""
+    return staging.active(B.terminal(spark, sf_dir), "terminal").select(
+        "terminal_id", "terminal_code", "city")
+
+
+@query("customers_without_active_accounts")
+def q_no_active(spark, sf_dir):
+    """JN3 (anti-join form)."""
+    return facts.customers_without_active_accounts(B.customer(spark, sf_dir),
+                                                   B.account(spark, sf_dir))
+
+
+@query("customers_without_active_accounts_having")
+def q_no_active_having(spark, sf_dir):
+    """JN3 + AG2 (LEFT JOIN ... GROUP BY ... HAVING count = 0 form)."""
+    return facts.customers_without_active_accounts(B.customer(spark, sf_dir),
+                                                   B.account(spark, sf_dir), literal=True)
+
+
+# ---------------------------------------------------------------------------
+# Incremental core
+# ---------------------------------------------------------------------------
+
+# earlier load: everything before this instant was loaded by a previous run
+PREVIOUS_RUN = "2024-01-15 00:00:00"
+
+
+@query("high_watermark")
+def q_high_watermark(spark, sf_dir):
+    """AG1: max(txn_id) with default 0."""
+    return inc.high_watermark(raw(spark, sf_dir, "transaction"), "txn_id", 0, alias="last_id")
+
+
+@query("high_watermark_empty")
+def q_high_watermark_empty(spark, sf_dir):
+    """AG1 / T1: an empty target yields the default, not NULL."""
+    empty = raw(spark, sf_dir, "transaction").filter(F.col("txn_id") < 0)
+    return inc.high_watermark(empty, "txn_id", 0, alias="last_id")
+
+
+@query("extract_incremental_txn")
+def q_extract_incremental(spark, sf_dir):
+    """SRC3: transactions above the watermark of the previous run's target."""
+    src = raw(spark, sf_dir, "transaction")
+    target = src.filter(F.col("txn_ts") < ntz(PREVIOUS_RUN))
+    last = inc.read_high_watermark(target, "txn_id", 0)
+    return extract_incremental(src, "txn_id", last)
+
+
+@query("delta_by_updated_at")
+def q_delta(spark, sf_dir):
+    """INC1: customers changed after the target's max(updated_at)."""
+    src = raw(spark, sf_dir, "customer")
+    target = src.filter(F.col("updated_at") < ntz("2024-01-01 12:00:00"))
+    return inc.delta(src, target, "updated_at")
+
+
+def _accounts_before(spark, sf_dir, cut):
+    """Target state of the account table as loaded at ``cut``: rows opened
+    before ``cut`` in their original (open) state."""
+    acc = raw(spark, sf_dir, "account")
+    return (acc.filter(F.col("opened_at") < ntz(cut))
+               .withColumn("status", F.lit("active"))
+               .withColumn("closed_at", F.lit(None).cast("timestamp_ntz"))
+               .withColumn("is_deleted", F.lit(0))
+               .withColumn("updated_at", F.col("opened_at")))
+
+
+ACCOUNT_CUT = "1995-01-01 00:00:00"
+
+
+@query("upsert_by_key")
+def q_upsert(spark, sf_dir):
+    """INC2: replace changed accounts, keep the rest, add new ones."""
+    target = _accounts_before(spark, sf_dir, ACCOUNT_CUT)
+    src = raw(spark, sf_dir, "account")
+    batch = src.filter(F.col("updated_at") >= ntz(ACCOUNT_CUT))
+    return inc.upsert(target, batch, "account_id", order=["updated_at"])
+
+
+@query("latest_per_key")
+def q_latest(spark, sf_dir):
+    """AG3: latest change per card from the change log (ties by offset)."""
+    landed = cdc.land_cards(cdc.decode_envelope(B.card_change_records(spark, sf_dir)), ts=LOAD_TS)
+    return inc.latest_per_key(landed.select("card_id", "op", "src_ts", "kafka_partition",
+                                            "kafka_offset"),
+                              "card_id", ["src_ts", "kafka_partition", "kafka_offset"])
+
+
+def _ctl_rows(spark, sf_dir):
+    """Control rows a daily loader would have written: one per day of
+    transactions with that day's max id, stamped at the end of the day."""
+    t = raw(spark, sf_dir, "transaction")
+    day = F.to_date("txn_ts")
+    return (t.groupBy(day.alias("d")).agg(F.max("txn_id").alias("last_id"))
+             .select(F.lit("pg_to_dwh").alias("process_name"),
+                     F.lit("transaction").alias("src_table"), "last_id",
+                     F.timestamp_add("DAY", F.lit(1), F.col("d").cast("timestamp_ntz"))
+                     .alias("updated_at")))
+
+
+@query("read_watermark")
+def q_read_watermark(spark, sf_dir):
+    """ST2: latest control row for (process, table), default 0."""
+    return inc.read_watermark(_ctl_rows(spark, sf_dir), "pg_to_dwh", "transaction")
+
+
+@query("read_watermark_missing")
+def q_read_watermark_missing(spark, sf_dir):
+    """ST2: no control row for the table yields the default."""
+    return inc.read_watermark(_ctl_rows(spark, sf_dir), "pg_to_dwh", "card", default=0)
+
+
+# ---------------------------------------------------------------------------
+# CDC decode, landing, SCD2
+# ---------------------------------------------------------------------------
+
+@query("cdc_decode")
+def q_cdc_decode(spark, sf_dir):
+    """CDC1/CDC6: envelope unwrap over the whole stream (incl. noise)."""
+    d = cdc.decode_envelope(B.cdc_records(spark, sf_dir))
+    return d.select("topic", "partition", "offset", "op", "src_ts", "decoded")
+
+
+@query("cdc_route_ops")
+def q_cdc_route(spark, sf_dir):
+    """CDC2-CDC5, FLT2/FLT4: accepted rows per routed entity and op."""
+    d = cdc.decode_envelope(B.cdc_records(spark, sf_dir))
+    cards = cdc.land_cards(d, ts=LOAD_TS).select(F.lit("card").alias("kind"), "op")
+    txns = cdc.land_transactions(d, ts=LOAD_TS).select(F.lit("transaction").alias("kind"), "op")
+    return cards.unionByName(txns).groupBy("kind", "op").agg(F.count("*").alias("n"))
+
+
+def landed_cards(spark, sf_dir):
+    return cdc.land_cards(cdc.decode_envelope(B.cdc_records(spark, sf_dir)), ts=LOAD_TS)
+
+
+def landed_txns(spark, sf_dir):
+    return cdc.land_transactions(cdc.decode_envelope(B.cdc_records(spark, sf_dir)), ts=LOAD_TS)
+
+
+@query("cdc_landing_card")
+def q_landing_card(spark, sf_dir):
+    """SNK5 rows of the card landing table."""
+    return landed_cards(spark, sf_dir).select("kafka_partition", "kafka_offset", "op",
+                                              "card_id", "src_ts")
+
+
+@query("cdc_dedupe")
+def q_cdc_dedupe(spark, sf_dir):
+    """STR2: a replay of the last day of the log is collapsed by log position."""
+    landed = landed_cards(spark, sf_dir)
+    replay = landed.filter(F.col("src_ts") >= ntz("2024-01-29 00:00:00"))
+    return cdc.dedupe_log(landed.unionByName(replay)).select(
+        "kafka_partition", "kafka_offset", "op", "card_id", "src_ts")
+
+
+@query("raw_transaction_cdc")
+def q_raw_txn_cdc(spark, sf_dir):
+    """CDC7 + INC1/INC2: typed inserts; a first run then an incremental run."""
+    landed = landed_txns(spark, sf_dir)
+    first = cdc.raw_transaction_cdc(landed.filter(F.col("src_ts") < ntz(PREVIOUS_RUN)),
+                                    ts=LOAD_TS)
+    batch = inc.delta(cdc.raw_transaction_cdc(landed, ts=LOAD_TS), first, "txn_id")
+    return inc.upsert(first, batch, "txn_id")
+
+
+def scd2_card(spark, sf_dir):
+    return scd2.scd2_from_landing(landed_cards(spark, sf_dir), ts=LOAD_TS)
+
+
+def render_valid_to(df: DataFrame) -> DataFrame:
+    """The open end 2999-12-31 is outside pandas' nanosecond range, so the
+    registered SCD2 outputs carry ``valid_to`` as millisecond ISO text."""
+    return df.withColumn("valid_to", F.date_format("valid_to", "yyyy-MM-dd HH:mm:ss.SSS"))
+
+
+@query("scd2_card")
+def q_scd2(spark, sf_dir):
+    """S2 (WN1/WN2, CDC8/CDC9) over the card change log."""
+    return render_valid_to(scd2_card(spark, sf_dir))
+
+
+@query("scd2_current")
+def q_scd2_current(spark, sf_dir):
+    """S3."""
+    return render_valid_to(scd2.scd2_current(scd2_card(spark, sf_dir)))
+
+
+@query("scd2_as_of")
+def q_scd2_as_of(spark, sf_dir):
+    """S4: the card version valid at each transaction's time."""
+    txn = raw(spark, sf_dir, "transaction").select("txn_id", "card_id", "txn_ts")
+    out = scd2.as_of(txn, scd2_card(spark, sf_dir), cols=("card_sk", "status", "is_deleted"),
+                     prefix="card_")
+    return out.withColumnRenamed("card_card_sk", "card_sk")
+
+
+@query("scd2_version_number")
+def q_scd2_rn(spark, sf_dir):
+    """WN1: version number per card."""
+    v = cdc.card_versions(landed_cards(spark, sf_dir))
+    return scd2.version_number(v).select("card_id", "kafka_offset", "rn")

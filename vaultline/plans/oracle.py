@@ -90,6 +90,23 @@ BINDINGS: dict[str, str] = {
   FROM lineitem""",
 }
 
+_CARD_OP = ("CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' "
+            "WHEN 'purchase' THEN 'r' ELSE 'u' END")
+
+# the card change log as landed (one row per event with a card key)
+BINDINGS["bk_card_log"] = f"""
+  SELECT user_id AS card_id,
+         CAST(user_id % 3 AS INTEGER) AS kafka_partition,
+         event_id AS kafka_offset,
+         {_CARD_OP} AS op,
+         date_trunc('millisecond', ts) AS src_ts,
+         event_id, ts
+  FROM events WHERE user_id IS NOT NULL"""
+
+# transactions with the event type that decides their change op
+BINDINGS["bk_txn_ev"] = BINDINGS["bk_txn"].replace(
+    "  FROM events", "  , event_type, date_trunc('millisecond', ts) AS src_ts\n  FROM events")
+
 # warehouse (0/1 flag) versions of the source frames
 BINDINGS["raw_customer"] = """
   SELECT * REPLACE (CAST(is_deleted AS INTEGER) AS is_deleted) FROM bk_customer"""
@@ -144,3 +161,203 @@ LEFT JOIN raw_terminal te ON te.terminal_id = t.terminal_id"""
 SQL["fact_atm_transaction"] = with_(
     FACT_SELECT.format(txn="raw_txn"),
     "raw_txn", "raw_card", "raw_account", "raw_customer", "raw_terminal")
+
+SQL["fact_unmatched_defaults"] = with_(f"""
+SELECT t.txn_id, t.txn_ts, CAST(t.amount AS DOUBLE) AS amount, t.currency_code,
+       coalesce(cd.card_id, 0) AS card_id, coalesce(cd.card_number, '') AS card_number,
+       coalesce(ac.account_id, 0) AS account_id, coalesce(ac.account_number, '') AS account_number,
+       coalesce(cu.customer_id, 0) AS customer_id, coalesce(cu.city, '') AS customer_city,
+       coalesce(te.terminal_id, 0) AS terminal_id, coalesce(te.city, '') AS terminal_city,
+       t.txn_type, t.status, {LOAD_TS} AS loaded_at
+FROM raw_txn t
+LEFT JOIN raw_card cd ON cd.card_id = t.card_id
+LEFT JOIN raw_account ac ON ac.account_id = cd.account_id
+LEFT JOIN raw_customer cu ON cu.customer_id = ac.customer_id
+LEFT JOIN raw_terminal te ON te.terminal_id = t.terminal_id""",
+    "raw_txn", "raw_card", "raw_account", "raw_customer", "raw_terminal")
+
+SQL["fact_atm_transaction_volume"] = with_(
+    FACT_SELECT.format(txn="bk_txn_volume"),
+    "bk_txn_volume", "raw_card", "raw_account", "raw_customer", "raw_terminal")
+
+# ---------------------------------------------------------------------------
+# projections
+# ---------------------------------------------------------------------------
+from vaultline.schemas import AUDIT_COLUMNS, SOURCE_COLUMNS  # noqa: E402
+
+_SQL_CAST = {"birth_date": "strftime(birth_date, '%Y-%m-%d') AS birth_date",
+             "daily_transfer_limit": "CAST(daily_transfer_limit AS DOUBLE) AS daily_transfer_limit",
+             "amount": "CAST(amount AS DOUBLE) AS amount"}
+
+
+def cols_sql(entity: str, drop=(), prefix: str = "") -> str:
+    out = []
+    for c in SOURCE_COLUMNS[entity]:
+        if c in drop:
+            continue
+        out.append(_SQL_CAST.get(c, c).replace(c, prefix + c, 1) if prefix else _SQL_CAST.get(c, c))
+    return ", ".join(out)
+
+
+_RAW = {"customer": "raw_customer", "account": "raw_account", "card": "raw_card",
+        "terminal": "raw_terminal", "transaction": "raw_txn"}
+for _e, _t in _RAW.items():
+    SQL[f"stg_{_e}"] = with_(f"SELECT {cols_sql(_e)} FROM {_t}", _t)
+    if _e != "transaction":
+        SQL[f"dim_{_e}"] = with_(
+            f"SELECT {cols_sql(_e, drop=AUDIT_COLUMNS)}, {LOAD_TS} AS loaded_at FROM {_t}", _t)
+
+SQL["extract_snapshot_flags"] = with_(f"SELECT {cols_sql('terminal')} FROM raw_terminal",
+                                      "raw_terminal")
+
+SQL["active_cards"] = with_("""
+SELECT cd.card_id, cd.account_id, ac.customer_id
+FROM bk_card cd
+JOIN bk_account ac ON cd.account_id = ac.account_id
+JOIN bk_customer cu ON ac.customer_id = cu.customer_id
+WHERE cd.status = 'active' AND coalesce(cd.is_deleted, FALSE) = FALSE
+  AND ac.status = 'active' AND coalesce(ac.is_deleted, FALSE) = FALSE
+  AND coalesce(cu.is_deleted, FALSE) = FALSE""", "bk_card", "bk_account", "bk_customer")
+
+SQL["active_terminals"] = with_("""
+SELECT terminal_id, terminal_code, city FROM bk_terminal
+WHERE coalesce(is_working, FALSE) AND coalesce(is_deleted, FALSE) = FALSE""", "bk_terminal")
+
+_NO_ACTIVE = with_("""
+SELECT cu.customer_id
+FROM bk_customer cu
+LEFT JOIN bk_account a
+  ON a.customer_id = cu.customer_id AND a.status = 'active'
+ AND coalesce(a.is_deleted, FALSE) = FALSE
+WHERE coalesce(cu.is_deleted, FALSE) = FALSE
+GROUP BY cu.customer_id
+HAVING COUNT(a.account_id) = 0""", "bk_customer", "bk_account")
+SQL["customers_without_active_accounts"] = _NO_ACTIVE
+SQL["customers_without_active_accounts_having"] = _NO_ACTIVE
+
+# ---------------------------------------------------------------------------
+# incremental
+# ---------------------------------------------------------------------------
+PREVIOUS_RUN = "TIMESTAMP '2024-01-15 00:00:00'"
+
+SQL["high_watermark"] = with_("SELECT coalesce(max(txn_id), 0) AS last_id FROM raw_txn", "raw_txn")
+SQL["high_watermark_empty"] = with_(
+    "SELECT coalesce(max(txn_id), 0) AS last_id FROM raw_txn WHERE txn_id < 0", "raw_txn")
+
+SQL["extract_incremental_txn"] = with_(f"""
+SELECT {cols_sql('transaction')} FROM raw_txn
+WHERE txn_id > (SELECT coalesce(max(txn_id), 0) FROM raw_txn WHERE txn_ts < {PREVIOUS_RUN})""",
+    "raw_txn")
+
+SQL["delta_by_updated_at"] = with_(f"""
+SELECT {cols_sql('customer')} FROM raw_customer
+WHERE updated_at > (SELECT max(updated_at) FROM raw_customer
+                    WHERE updated_at < TIMESTAMP '2024-01-01 12:00:00')
+   OR updated_at IS NULL""", "raw_customer")
+
+SQL["upsert_by_key"] = with_(f"""
+SELECT {cols_sql('account')} FROM (
+  SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.account_id = t.account_id)
+  UNION ALL
+  SELECT * FROM batch)""", "raw_account", extra={
+    "target": """SELECT * REPLACE ('active' AS status, CAST(NULL AS TIMESTAMP) AS closed_at,
+                        0 AS is_deleted, opened_at AS updated_at)
+                 FROM raw_account WHERE opened_at < TIMESTAMP '1995-01-01 00:00:00'""",
+    "batch": "SELECT * FROM raw_account WHERE updated_at >= TIMESTAMP '1995-01-01 00:00:00'"})
+
+SQL["latest_per_key"] = with_("""
+SELECT card_id, op, src_ts, kafka_partition, kafka_offset FROM (
+  SELECT *, row_number() OVER (PARTITION BY card_id
+                               ORDER BY src_ts DESC, kafka_partition DESC, kafka_offset DESC) AS rn
+  FROM bk_card_log) WHERE rn = 1""", "bk_card_log")
+
+_CTL = """SELECT 'pg_to_dwh' AS process_name, 'transaction' AS src_table, max(txn_id) AS last_id,
+       CAST(CAST(txn_ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY AS updated_at
+  FROM raw_txn GROUP BY CAST(txn_ts AS DATE)"""
+for _name, _tbl in (("read_watermark", "transaction"), ("read_watermark_missing", "card")):
+    SQL[_name] = with_(f"""
+SELECT coalesce((SELECT last_id FROM ctl WHERE process_name = 'pg_to_dwh'
+                 AND src_table = '{_tbl}' ORDER BY updated_at DESC, last_id DESC LIMIT 1),
+                0) AS last_id""", "raw_txn", extra={"ctl": _CTL})
+
+# ---------------------------------------------------------------------------
+# CDC
+# ---------------------------------------------------------------------------
+SQL["cdc_decode"] = with_(f"""
+SELECT 'bankcdc.bank.card' AS topic, kafka_partition AS partition, kafka_offset AS "offset",
+       op, src_ts, TRUE AS decoded FROM bk_card_log
+UNION ALL
+SELECT 'bankcdc.bank.transaction', CAST(txn_id % 3 AS INTEGER), txn_id,
+       CASE WHEN event_type = 'purchase' THEN 'r' ELSE 'c' END, src_ts, TRUE FROM bk_txn_ev
+UNION ALL
+SELECT '__debezium-heartbeat.bankcdc', 0, s_suppkey, NULL,
+       TIMESTAMP '2024-01-01 00:00:00' + to_hours(s_suppkey), TRUE FROM supplier
+UNION ALL
+SELECT 'bankcdc.bank.terminal', 0, s_suppkey, 'c',
+       TIMESTAMP '2024-01-01 00:00:00' + to_hours(s_suppkey), TRUE FROM supplier
+UNION ALL
+SELECT 'bankcdc.bank.card', 3, CAST(r_regionkey AS BIGINT), NULL,
+       TIMESTAMP '2024-01-01 00:00:00', FALSE FROM region""", "bk_card_log", "bk_txn_ev")
+
+SQL["cdc_route_ops"] = with_("""
+SELECT 'card' AS kind, op, count(*) AS n FROM bk_card_log GROUP BY op
+UNION ALL
+SELECT 'transaction' AS kind, CASE WHEN event_type = 'purchase' THEN 'r' ELSE 'c' END AS op,
+       count(*) AS n
+FROM bk_txn_ev WHERE txn_id IS NOT NULL GROUP BY 2""", "bk_card_log", "bk_txn_ev")
+
+_LANDED = "SELECT kafka_partition, kafka_offset, op, card_id, src_ts FROM bk_card_log"
+SQL["cdc_landing_card"] = with_(_LANDED, "bk_card_log")
+SQL["cdc_dedupe"] = with_(_LANDED, "bk_card_log")
+
+SQL["raw_transaction_cdc"] = with_(f"""
+SELECT txn_id, card_id, terminal_id, txn_ts, CAST(amount AS DOUBLE) AS amount, currency_code,
+       txn_type, status, {LOAD_TS} AS loaded_at FROM (
+  SELECT * FROM first_run f WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.txn_id = f.txn_id)
+  UNION ALL SELECT * FROM batch)""", "bk_txn_ev", extra={
+    "c_rows": "SELECT * FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_id IS NOT NULL",
+    "first_run": f"SELECT * FROM c_rows WHERE src_ts < {PREVIOUS_RUN}",
+    "batch": """SELECT * FROM c_rows
+                WHERE txn_id > (SELECT max(txn_id) FROM first_run)
+                   OR (SELECT max(txn_id) FROM first_run) IS NULL"""})
+
+_SCD2_VERSIONS = """
+  SELECT card_id,
+         CASE WHEN op <> 'd' THEN lpad(CAST(card_id AS VARCHAR), 16, '4') END AS card_number,
+         CASE WHEN op <> 'd' THEN card_id * 3 END AS account_id,
+         CASE WHEN op <> 'd' THEN 'S' || CAST(event_id % 7 AS VARCHAR) END AS status,
+         CASE WHEN op <> 'd' THEN TIMESTAMP '2020-01-01 00:00:00'
+                                  + to_days(CAST(card_id % 365 AS INTEGER)) END AS opened_at,
+         CASE WHEN op <> 'd' AND event_id % 7 = 0 THEN ts END AS closed_at,
+         CASE WHEN op = 'd' OR event_id % 7 = 0 THEN 1 ELSE 0 END AS is_deleted,
+         src_ts, kafka_partition, kafka_offset
+  FROM bk_card_log"""
+
+_SCD2 = f"""
+  SELECT md5(CAST(card_id AS VARCHAR) || '|' || CAST(epoch_ms(src_ts) AS VARCHAR) || '|'
+             || CAST(kafka_partition AS VARCHAR) || '|' || CAST(kafka_offset AS VARCHAR)) AS card_sk,
+         card_id, card_number, account_id, status, opened_at, closed_at, is_deleted,
+         src_ts AS valid_from,
+         coalesce(lead(src_ts) OVER w, TIMESTAMP '2999-12-31 00:00:00') AS valid_to,
+         CASE WHEN lead(src_ts) OVER w IS NULL THEN 1 ELSE 0 END AS is_current,
+         src_ts, {LOAD_TS} AS loaded_at
+  FROM versions
+  WINDOW w AS (PARTITION BY card_id ORDER BY src_ts, kafka_partition, kafka_offset)"""
+
+_SCD2_CTES = {"versions": _SCD2_VERSIONS, "scd": _SCD2}
+_VALID_TO_TEXT = "strftime(valid_to, '%Y-%m-%d %H:%M:%S.%g') AS valid_to"
+SQL["scd2_card"] = with_(f"SELECT * REPLACE ({_VALID_TO_TEXT}) FROM scd", "bk_card_log",
+                         extra=_SCD2_CTES)
+SQL["scd2_current"] = with_(f"SELECT * REPLACE ({_VALID_TO_TEXT}) FROM scd WHERE is_current = 1",
+                            "bk_card_log", extra=_SCD2_CTES)
+SQL["scd2_as_of"] = with_("""
+SELECT t.txn_id, t.card_id, t.txn_ts, s.card_sk, s.status AS card_status,
+       s.is_deleted AS card_is_deleted
+FROM raw_txn t
+LEFT JOIN scd s ON s.card_id = t.card_id AND s.valid_from <= t.txn_ts AND t.txn_ts < s.valid_to""",
+    "raw_txn", "bk_card_log", extra=_SCD2_CTES)
+SQL["scd2_version_number"] = with_("""
+SELECT card_id, kafka_offset,
+       CAST(row_number() OVER (PARTITION BY card_id
+                               ORDER BY src_ts, kafka_partition, kafka_offset) AS INTEGER) AS rn
+FROM bk_card_log""", "bk_card_log")

@@ -45,7 +45,7 @@ def extract_snapshot(df: DataFrame, entity: str) -> DataFrame:
     return out
 
 
-def _bound(value) -> Column:
+def bound_literal(value) -> Column:
     if isinstance(value, (_dt.datetime, _dt.date)):
         return ntz(value)
     return F.lit(value)
@@ -67,4 +67,4 @@ def extract_incremental(df: DataFrame, cursor: str, last, inclusive: bool = Fals
     if lookback is not None:
         last = last - lookback
     c = F.col(cursor)
-    return df.filter(c >= _bound(last) if inclusive else c > _bound(last))
+    return df.filter(c >= bound_literal(last) if inclusive else c > bound_literal(last))
