@@ -17,8 +17,12 @@ from pyspark.sql import types as T
 
 from vaultline import bindings as B
 from vaultline.functions.columns import ntz
-from vaultline.operators import cdc, facts, scd2, staging
+from vaultline.operators import (cdc, facts, fraud, lifecycle, monitoring, quality, relational,
+                                 scd2, staging)
 from vaultline.operators import incremental as inc
+from vaultline.schemas import (ACCOUNT_NUMBER_MAX_LEN, ACCOUNT_STATUSES, AMOUNT_PRECISION,
+                               AMOUNT_SCALE, CARD_NUMBER_MAX_LEN, CARD_STATUSES, CURRENCIES,
+                               CURRENCY_LEN, LAG_THRESHOLD, NOT_NULL, TXN_STATUSES, TXN_TYPES)
 from vaultline.sources.extract import extract_incremental, extract_snapshot
 
 LOAD_TS = "2025-01-01 00:00:00"
@@ -327,3 +331,238 @@ def q_scd2_rn(spark, sf_dir):
     """WN1: version number per card."""
     v = cdc.card_versions(landed_cards(spark, sf_dir))
     return scd2.version_number(v).select("card_id", "kafka_offset", "rn")
+
+
+# ---------------------------------------------------------------------------
+# Q1-Q5 quality
+# ---------------------------------------------------------------------------
+
+@query("duplicate_keys")
+def q_duplicate_keys(spark, sf_dir):
+    """Q1: txn_id is not unique in the volume transactions."""
+    t = B.transaction_volume(spark, sf_dir)
+    return quality.duplicate_keys(t, "txn_id")
+
+
+@query("unique_violations")
+def q_unique_violations(spark, sf_dir):
+    """Q1 over the UNIQUE columns of the source schema."""
+    return quality.unique_violations([
+        ("customer", B.customer(spark, sf_dir), "customer_uuid"),
+        ("account", B.account(spark, sf_dir), "account_number"),
+        ("card", B.card(spark, sf_dir), "card_number"),
+        ("terminal", B.terminal(spark, sf_dir), "terminal_code"),
+    ])
+
+
+@query("fk_orphans")
+def q_fk_orphans(spark, sf_dir):
+    """Q2: foreign keys without a parent row."""
+    txn, card = B.transaction(spark, sf_dir), B.card(spark, sf_dir)
+    acc, cust, term = B.account(spark, sf_dir), B.customer(spark, sf_dir), B.terminal(spark, sf_dir)
+    return (quality.orphans(txn, card, "card_id", "card_id", "txn_id", "transaction.card_id")
+            .unionByName(quality.orphans(txn, term, "terminal_id", "terminal_id", "txn_id",
+                                         "transaction.terminal_id"))
+            .unionByName(quality.orphans(card, acc, "account_id", "account_id", "card_id",
+                                         "card.account_id"))
+            .unionByName(quality.orphans(acc, cust, "customer_id", "customer_id", "account_id",
+                                         "account.customer_id")))
+
+
+@query("null_counts")
+def q_null_counts(spark, sf_dir):
+    """Q3: NULL profile and NOT NULL violations of customer and transaction."""
+    return (quality.null_counts(B.customer(spark, sf_dir), "customer",
+                                not_null=NOT_NULL["customer"])
+            .unionByName(quality.null_counts(B.transaction(spark, sf_dir), "transaction",
+                                             not_null=NOT_NULL["transaction"])))
+
+
+@query("domain_violations")
+def q_domain(spark, sf_dir):
+    """Q4: enum domains of transactions, accounts, cards and the landed card states."""
+    txn, acc, card = B.transaction(spark, sf_dir), B.account(spark, sf_dir), B.card(spark, sf_dir)
+    versions = cdc.card_versions(landed_cards(spark, sf_dir))
+    return (quality.domain_violations(txn, "transaction", "txn_type", TXN_TYPES)
+            .unionByName(quality.domain_violations(txn, "transaction", "status", TXN_STATUSES))
+            .unionByName(quality.domain_violations(acc, "account", "status", ACCOUNT_STATUSES))
+            .unionByName(quality.domain_violations(acc, "account", "currency_code", CURRENCIES))
+            .unionByName(quality.domain_violations(card, "card", "status", CARD_STATUSES))
+            .unionByName(quality.domain_violations(versions, "card_scd2", "status",
+                                                   CARD_STATUSES)))
+
+
+@query("length_violations")
+def q_length(spark, sf_dir):
+    """Q5: CHAR(3), VARCHAR(34/16) and NUMERIC(18,2) limits."""
+    acc, card = B.account(spark, sf_dir), B.card(spark, sf_dir)
+    vol = B.transaction_volume(spark, sf_dir)
+    return (quality.length_violations(acc, "account", {
+                "currency_code": ("eq", CURRENCY_LEN),
+                "account_number": ("max", ACCOUNT_NUMBER_MAX_LEN),
+                "daily_transfer_limit": ("int_digits", AMOUNT_PRECISION - AMOUNT_SCALE)})
+            .unionByName(quality.length_violations(card, "card", {
+                "card_number": ("max", CARD_NUMBER_MAX_LEN)}))
+            .unionByName(quality.length_violations(vol, "transaction", {
+                "currency_code": ("eq", CURRENCY_LEN),
+                "amount": ("int_digits", AMOUNT_PRECISION - AMOUNT_SCALE)})))
+
+
+# ---------------------------------------------------------------------------
+# AG4, M1, M2 monitoring
+# ---------------------------------------------------------------------------
+
+GROUP_ID = "dwh_cdc_v1"
+
+
+@query("kafka_lag")
+def q_kafka_lag(spark, sf_dir):
+    """AG4: lag per (topic, partition)."""
+    end, committed = B.offsets(spark, sf_dir)
+    return monitoring.kafka_lag(end, committed)
+
+
+@query("lag_metrics")
+def q_lag_metrics(spark, sf_dir):
+    """M1: metric rows with JSON labels."""
+    end, committed = B.offsets(spark, sf_dir)
+    return monitoring.lag_metrics(monitoring.kafka_lag(end, committed), GROUP_ID, ts=LOAD_TS)
+
+
+@query("lag_alert")
+def q_lag_alert(spark, sf_dir):
+    """M2: threshold check on the total lag."""
+    end, committed = B.offsets(spark, sf_dir)
+    m = monitoring.lag_metrics(monitoring.kafka_lag(end, committed), GROUP_ID, ts=LOAD_TS)
+    return monitoring.lag_alert(m, LAG_THRESHOLD)
+
+
+# ---------------------------------------------------------------------------
+# FRD1-FRD3 fraud
+# ---------------------------------------------------------------------------
+
+RAPID_WINDOW_S = 6 * 3600      # testdata transactions are hours apart per card
+PROBE_GAP_S = 24 * 3600
+
+
+@query("rapid_withdrawals")
+def q_rapid(spark, sf_dir):
+    """FRD1: >= 3 withdrawals on >= 2 terminals within 6 h on one card."""
+    return fraud.rapid_withdrawals(raw(spark, sf_dir, "transaction"), RAPID_WINDOW_S)
+
+
+@query("rapid_withdrawal_sessions")
+def q_rapid_sessions(spark, sf_dir):
+    """FRD1 session form (batch twin of the streaming detector), 6 h gap."""
+    return fraud.rapid_withdrawal_sessions(raw(spark, sf_dir, "transaction"), RAPID_WINDOW_S)
+
+
+@query("used_after_block")
+def q_used_after_block(spark, sf_dir):
+    """FRD2: transactions after the card was blocked/closed."""
+    return fraud.used_after_block(raw(spark, sf_dir, "transaction"), B.card(spark, sf_dir))
+
+
+@query("amount_probe")
+def q_amount_probe(spark, sf_dir):
+    """FRD3 keyed by card (testdata has no same-terminal runs), gaps <= 24 h."""
+    return fraud.amount_probe(raw(spark, sf_dir, "transaction"), keys=("card_id",),
+                              max_gap_s=PROBE_GAP_S)
+
+
+@query("amount_probe_card_terminal")
+def q_amount_probe_ct(spark, sf_dir):
+    """FRD3 with the reference's key (card, terminal) and 120 s gaps."""
+    return fraud.amount_probe(raw(spark, sf_dir, "transaction"))
+
+
+# ---------------------------------------------------------------------------
+# LC1-LC5 lifecycle
+# ---------------------------------------------------------------------------
+
+CLOSE_TS = "2024-02-01 00:00:00"
+CARD_STATE = ["card_id", "status", "is_deleted", "closed_at", "updated_at"]
+
+
+@query("close_cards")
+def q_close_cards(spark, sf_dir):
+    """LC1: close every card that has a declined transaction."""
+    keys = B.transaction(spark, sf_dir).filter(F.col("status") == "declined").select("card_id")
+    return lifecycle.close_cards(B.card(spark, sf_dir), keys, ts=CLOSE_TS).select(*CARD_STATE)
+
+
+@query("close_accounts_cascade")
+def q_close_accounts(spark, sf_dir):
+    """LC2 + JN6: close blocked accounts and cascade to their active cards."""
+    acc, card = B.account(spark, sf_dir), B.card(spark, sf_dir)
+    keys = acc.filter(F.col("status") == "blocked").select("account_id")
+    a, c = lifecycle.close_accounts(acc, card, keys, ts=CLOSE_TS)
+    cols = ["status", "is_deleted", "closed_at", "updated_at"]
+    return (a.select(F.lit("account").alias("entity"), F.col("account_id").alias("id"), *cols)
+            .unionByName(c.select(F.lit("card").alias("entity"), F.col("card_id").alias("id"),
+                                  *cols)))
+
+
+@query("close_customers")
+def q_close_customers(spark, sf_dir):
+    """LC3: close live customers without active accounts."""
+    return lifecycle.close_customers(B.customer(spark, sf_dir), B.account(spark, sf_dir),
+                                     ts=CLOSE_TS).select("customer_id", "is_deleted", "updated_at")
+
+
+@query("close_terminals")
+def q_close_terminals(spark, sf_dir):
+    """LC4: retire terminals that never served a transaction."""
+    term = B.terminal(spark, sf_dir)
+    used = B.transaction(spark, sf_dir).select("terminal_id")
+    idle = term.join(used, "terminal_id", "left_anti").select("terminal_id")
+    return lifecycle.close_terminals(term, idle, ts=CLOSE_TS).select(
+        "terminal_id", "is_working", "is_deleted", "updated_at")
+
+
+@query("block_cards")
+def q_block_cards(spark, sf_dir):
+    """LC5: block the cards flagged by the rapid-withdrawal detector."""
+    flagged = fraud.rapid_withdrawals(raw(spark, sf_dir, "transaction"), RAPID_WINDOW_S)
+    return lifecycle.block_cards(B.card(spark, sf_dir), flagged, ts=CLOSE_TS).select(*CARD_STATE)
+
+
+# ---------------------------------------------------------------------------
+# JN4, JN5, WN3, ST1-ST4
+# ---------------------------------------------------------------------------
+
+@query("fan_out")
+def q_fan_out(spark, sf_dir):
+    """JN4: 1-2 cards per account (1 + account_id % 2)."""
+    acc = B.account(spark, sf_dir).select("account_id")
+    return relational.fan_out(acc, 1 + F.col("account_id") % 2).select("account_id", "seq")
+
+
+@query("lateral_top1")
+def q_lateral_top1(spark, sf_dir):
+    """JN5: latest transaction of every card (NULLs when none)."""
+    card = B.card(spark, sf_dir).select("card_id")
+    txn = raw(spark, sf_dir, "transaction")
+    return relational.top1_per_parent(card, txn, "card_id", ["txn_ts", "txn_id"],
+                                      ["txn_id", "txn_ts", "terminal_id"], prefix="last_")
+
+
+@query("global_row_id")
+def q_global_row_id(spark, sf_dir):
+    """WN3: row_number() OVER (ORDER BY txn_ts, txn_id) over all transactions."""
+    t = raw(spark, sf_dir, "transaction").select("txn_id", "txn_ts")
+    return relational.global_row_id(t, ["txn_ts", "txn_id"]).select("txn_id", "row_id")
+
+
+@query("sample_k")
+def q_sample_k(spark, sf_dir):
+    """ST3: reproducible sample of 25 transactions (seed 42)."""
+    t = raw(spark, sf_dir, "transaction").select("txn_id", "card_id", "amount")
+    return relational.sample_k(t, 25, 42, "txn_id")
+
+
+@query("first_n_by_id")
+def q_first_n(spark, sf_dir):
+    """ST1 + ST4: ORDER BY txn_id LIMIT 500."""
+    t = raw(spark, sf_dir, "transaction").select("txn_id", "card_id", "txn_ts")
+    return relational.first_n(t, 500, ["txn_id"])

@@ -361,3 +361,269 @@ SELECT card_id, kafka_offset,
        CAST(row_number() OVER (PARTITION BY card_id
                                ORDER BY src_ts, kafka_partition, kafka_offset) AS INTEGER) AS rn
 FROM bk_card_log""", "bk_card_log")
+
+# ---------------------------------------------------------------------------
+# quality
+# ---------------------------------------------------------------------------
+SQL["duplicate_keys"] = with_("""
+SELECT txn_id, count(*) AS n FROM bk_txn_volume GROUP BY txn_id HAVING count(*) > 1""",
+                              "bk_txn_volume")
+
+SQL["unique_violations"] = with_("\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value,
+       count(*) AS n FROM {v} GROUP BY {c} HAVING count(*) > 1"""
+    for t, v, c in (("customer", "bk_customer", "customer_uuid"),
+                    ("account", "bk_account", "account_number"),
+                    ("card", "bk_card", "card_number"),
+                    ("terminal", "bk_terminal", "terminal_code"))),
+    "bk_customer", "bk_account", "bk_card", "bk_terminal")
+
+
+def _orphan(rel, child, child_key, fk, parent, pk):
+    return f"""SELECT '{rel}' AS relation, CAST(x.{child_key} AS BIGINT) AS child_id,
+       CAST(x.{fk} AS BIGINT) AS fk_value
+FROM {child} x WHERE x.{fk} IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = x.{fk})"""
+
+
+SQL["fk_orphans"] = with_("\nUNION ALL\n".join([
+    _orphan("transaction.card_id", "bk_txn", "txn_id", "card_id", "bk_card", "card_id"),
+    _orphan("transaction.terminal_id", "bk_txn", "txn_id", "terminal_id", "bk_terminal",
+            "terminal_id"),
+    _orphan("card.account_id", "bk_card", "card_id", "account_id", "bk_account", "account_id"),
+    _orphan("account.customer_id", "bk_account", "account_id", "customer_id", "bk_customer",
+            "customer_id")]), "bk_txn", "bk_card", "bk_terminal", "bk_account", "bk_customer")
+
+from vaultline.schemas import NOT_NULL  # noqa: E402
+
+
+def _nulls(table, view):
+    parts = []
+    for c in SOURCE_COLUMNS[table]:
+        nn = "TRUE" if c in NOT_NULL[table] else "FALSE"
+        parts.append(f"""SELECT '{table}' AS table_name, '{c}' AS column_name,
+       CAST(count(*) - count({c}) AS BIGINT) AS null_count,
+       ({nn} AND count(*) - count({c}) > 0) AS violation FROM {view}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["null_counts"] = with_(_nulls("customer", "bk_customer") + "\nUNION ALL\n"
+                           + _nulls("transaction", "bk_txn"), "bk_customer", "bk_txn")
+
+
+def _domain(table, view, col, allowed):
+    vals = ", ".join(f"'{a}'" for a in allowed)
+    return f"""SELECT '{table}' AS table_name, '{col}' AS column_name, CAST({col} AS VARCHAR) AS value,
+       count(*) AS n FROM {view} WHERE {col} IS NOT NULL AND {col} NOT IN ({vals}) GROUP BY {col}"""
+
+
+from vaultline.schemas import (ACCOUNT_STATUSES, CARD_STATUSES, CURRENCIES,  # noqa: E402
+                               TXN_STATUSES, TXN_TYPES)
+
+SQL["domain_violations"] = with_("\nUNION ALL\n".join([
+    _domain("transaction", "bk_txn", "txn_type", TXN_TYPES),
+    _domain("transaction", "bk_txn", "status", TXN_STATUSES),
+    _domain("account", "bk_account", "status", ACCOUNT_STATUSES),
+    _domain("account", "bk_account", "currency_code", CURRENCIES),
+    _domain("card", "bk_card", "status", CARD_STATUSES),
+    _domain("card_scd2", "versions", "status", CARD_STATUSES)]),
+    "bk_txn", "bk_account", "bk_card", "bk_card_log", extra={"versions": _SCD2_VERSIONS})
+
+
+def _length(table, view, col, rule, n):
+    bad = {"eq": f"length({col}) <> {n}", "max": f"length({col}) > {n}",
+           "int_digits": f"abs(CAST({col} AS DOUBLE)) >= 1e{n}"}[rule]
+    return f"""SELECT '{table}' AS table_name, '{col}' AS column_name, '{rule}:{n}' AS rule,
+       CAST(coalesce(sum(CASE WHEN {bad} THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_violations
+FROM {view}"""
+
+
+SQL["length_violations"] = with_("\nUNION ALL\n".join([
+    _length("account", "bk_account", "currency_code", "eq", 3),
+    _length("account", "bk_account", "account_number", "max", 34),
+    _length("account", "bk_account", "daily_transfer_limit", "int_digits", 16),
+    _length("card", "bk_card", "card_number", "max", 16),
+    _length("transaction", "bk_txn_volume", "currency_code", "eq", 3),
+    _length("transaction", "bk_txn_volume", "amount", "int_digits", 16)]),
+    "bk_account", "bk_card", "bk_txn_volume")
+
+# ---------------------------------------------------------------------------
+# monitoring
+# ---------------------------------------------------------------------------
+_LAG_CTES = {
+    "e": """SELECT 'bankcdc.bank.' || event_type AS topic,
+                   CAST(user_id % 3 AS INTEGER) AS "partition", event_id FROM events""",
+    "endo": """SELECT topic, "partition", max(event_id) + 1 AS end_offset FROM e GROUP BY 1, 2""",
+    "com": """SELECT topic, "partition", max(event_id) + 1 AS committed_offset FROM e
+              WHERE event_id % 10 <> 9 GROUP BY 1, 2""",
+    "lag": """SELECT endo.topic, endo."partition", end_offset,
+                     coalesce(committed_offset, 0) AS committed_offset,
+                     greatest(0, end_offset - coalesce(committed_offset, 0)) AS lag
+              FROM endo LEFT JOIN com ON com.topic = endo.topic
+                                     AND com."partition" = endo."partition\"""",
+}
+_METRICS = f"""
+  SELECT {LOAD_TS} AS ts, 'kafka_partition_lag' AS metric, CAST(lag AS DOUBLE) AS value,
+         CAST(json_object('topic', topic, 'partition', "partition") AS VARCHAR) AS labels
+  FROM lag
+  UNION ALL
+  SELECT {LOAD_TS}, 'kafka_total_lag', CAST(coalesce(sum(lag), 0) AS DOUBLE),
+         CAST(json_object('group', 'dwh_cdc_v1') AS VARCHAR) FROM lag"""
+SQL["kafka_lag"] = with_("SELECT * FROM lag", extra=_LAG_CTES)
+SQL["lag_metrics"] = with_(_METRICS, extra=_LAG_CTES)
+SQL["lag_alert"] = with_("""
+SELECT total_lag, 5000 AS threshold, total_lag > 5000 AS breached
+FROM (SELECT coalesce(max(value), 0.0) AS total_lag FROM metrics
+      WHERE metric = 'kafka_total_lag')""", extra={**_LAG_CTES, "metrics": _METRICS})
+
+# ---------------------------------------------------------------------------
+# fraud
+# ---------------------------------------------------------------------------
+_RAPID = """
+  SELECT * FROM (
+    SELECT txn_id, card_id, txn_ts, count(*) OVER win AS n_ops,
+           CAST(count(DISTINCT terminal_id) OVER win AS INTEGER) AS n_terminals
+    FROM raw_txn WHERE txn_type = 'atm_withdrawal'
+    WINDOW win AS (PARTITION BY card_id ORDER BY txn_ts
+                   RANGE BETWEEN INTERVAL 6 HOURS PRECEDING AND CURRENT ROW))
+  WHERE n_ops >= 3 AND n_terminals >= 2"""
+SQL["rapid_withdrawals"] = with_("SELECT * FROM rapid", "raw_txn", extra={"rapid": _RAPID})
+
+SQL["rapid_withdrawal_sessions"] = with_("""
+SELECT card_id, min(txn_ts) AS session_start, max(txn_ts) + INTERVAL 21600 SECOND AS session_end,
+       count(*) AS n_ops, count(DISTINCT terminal_id) AS n_terminals
+FROM s GROUP BY card_id, sid
+HAVING count(*) >= 3 AND count(DISTINCT terminal_id) >= 2""", "raw_txn", extra={
+    "l": """SELECT txn_id, card_id, txn_ts, terminal_id,
+                   lag(txn_ts) OVER (PARTITION BY card_id ORDER BY txn_ts, txn_id) AS prev_ts
+            FROM raw_txn WHERE txn_type = 'atm_withdrawal'""",
+    "b": """SELECT *, CASE WHEN prev_ts IS NULL
+                            OR epoch_us(txn_ts) - epoch_us(prev_ts) >= 21600000000
+                       THEN 1 ELSE 0 END AS brk FROM l""",
+    "s": """SELECT *, sum(brk) OVER (PARTITION BY card_id ORDER BY txn_ts, txn_id
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+            FROM b"""})
+
+SQL["used_after_block"] = with_("""
+SELECT t.txn_id, t.card_id, t.txn_ts, t.status, c.status AS card_status, c.updated_at AS blocked_at
+FROM raw_txn t JOIN bk_card c ON c.card_id = t.card_id
+WHERE c.status IN ('blocked', 'closed') AND t.txn_ts > c.updated_at""", "raw_txn", "bk_card")
+
+
+def _probe(keys, gap_us):
+    part = ", ".join(keys)
+    return with_(f"""
+SELECT {part}, run_start, run_end, n_attempts, n_declined, first_amount, last_amount, last_status,
+       (n_declined - CASE WHEN last_status = 'declined' THEN 1 ELSE 0 END) = n_attempts - 1
+       AS probing
+FROM g WHERE n_attempts >= 3""", "raw_txn", extra={
+        "l": f"""SELECT txn_id, {part}, txn_ts, amount, status,
+                        lag(txn_ts) OVER o AS prev_ts, lag(amount) OVER o AS prev_amount
+                 FROM raw_txn WHERE txn_type = 'atm_withdrawal'
+                 WINDOW o AS (PARTITION BY {part} ORDER BY txn_ts, txn_id)""",
+        "b": f"""SELECT *, CASE WHEN prev_ts IS NULL
+                                 OR epoch_us(txn_ts) - epoch_us(prev_ts) > {gap_us}
+                                 OR amount > prev_amount THEN 1 ELSE 0 END AS brk FROM l""",
+        "r": f"""SELECT *, sum(brk) OVER (PARTITION BY {part} ORDER BY txn_ts, txn_id
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_id
+                 FROM b""",
+        "g": f"""SELECT {part}, run_id, min(txn_ts) AS run_start, max(txn_ts) AS run_end,
+                        count(*) AS n_attempts,
+                        CAST(sum(CASE WHEN status = 'declined' THEN 1 ELSE 0 END) AS BIGINT)
+                        AS n_declined,
+                        CAST(first(amount ORDER BY txn_ts, txn_id) AS DOUBLE) AS first_amount,
+                        CAST(last(amount ORDER BY txn_ts, txn_id) AS DOUBLE) AS last_amount,
+                        last(status ORDER BY txn_ts, txn_id) AS last_status
+                 FROM r GROUP BY {part}, run_id"""})
+
+
+SQL["amount_probe"] = _probe(["card_id"], 24 * 3600 * 1_000_000)
+SQL["amount_probe_card_terminal"] = _probe(["card_id", "terminal_id"], 120 * 1_000_000)
+
+# ---------------------------------------------------------------------------
+# lifecycle
+# ---------------------------------------------------------------------------
+CLOSE_TS = "TIMESTAMP '2024-02-01 00:00:00'"
+
+
+def _close_card_sql(keys_sql: str, status: str, closing: bool) -> str:
+    hit = "k.card_id IS NOT NULL"
+    deleted = f"CASE WHEN {hit} THEN TRUE ELSE c.is_deleted END" if closing else "c.is_deleted"
+    closed = f"CASE WHEN {hit} THEN {CLOSE_TS} ELSE c.closed_at END" if closing else "c.closed_at"
+    return f"""
+SELECT c.card_id, CASE WHEN {hit} THEN '{status}' ELSE c.status END AS status,
+       {deleted} AS is_deleted, {closed} AS closed_at,
+       CASE WHEN {hit} THEN {CLOSE_TS} ELSE c.updated_at END AS updated_at
+FROM bk_card c LEFT JOIN (SELECT DISTINCT card_id FROM ({keys_sql})) k ON k.card_id = c.card_id"""
+
+
+SQL["close_cards"] = with_(
+    _close_card_sql("SELECT card_id FROM bk_txn WHERE status = 'declined'", "closed", True),
+    "bk_card", "bk_txn")
+SQL["block_cards"] = with_(_close_card_sql("SELECT card_id FROM rapid", "blocked", False),
+                           "bk_card", "raw_txn", extra={"rapid": _RAPID})
+
+SQL["close_accounts_cascade"] = with_(f"""
+SELECT 'account' AS entity, a.account_id AS id,
+       CASE WHEN k.account_id IS NOT NULL THEN 'closed' ELSE a.status END AS status,
+       CASE WHEN k.account_id IS NOT NULL THEN TRUE ELSE a.is_deleted END AS is_deleted,
+       CASE WHEN k.account_id IS NOT NULL THEN {CLOSE_TS} ELSE a.closed_at END AS closed_at,
+       CASE WHEN k.account_id IS NOT NULL THEN {CLOSE_TS} ELSE a.updated_at END AS updated_at
+FROM bk_account a LEFT JOIN k ON k.account_id = a.account_id
+UNION ALL
+SELECT 'card', c.card_id,
+       CASE WHEN hit THEN 'closed' ELSE c.status END,
+       CASE WHEN hit THEN TRUE ELSE c.is_deleted END,
+       CASE WHEN hit THEN {CLOSE_TS} ELSE c.closed_at END,
+       CASE WHEN hit THEN {CLOSE_TS} ELSE c.updated_at END
+FROM (SELECT c.*, (k.account_id IS NOT NULL AND c.status = 'active'
+                   AND coalesce(c.is_deleted, FALSE) = FALSE) AS hit
+      FROM bk_card c LEFT JOIN k ON k.account_id = c.account_id) c""",
+    "bk_account", "bk_card",
+    extra={"k": "SELECT DISTINCT account_id FROM bk_account WHERE status = 'blocked'"})
+
+SQL["close_customers"] = with_(f"""
+SELECT c.customer_id, CASE WHEN e.customer_id IS NOT NULL THEN TRUE ELSE c.is_deleted END
+       AS is_deleted,
+       CASE WHEN e.customer_id IS NOT NULL THEN {CLOSE_TS} ELSE c.updated_at END AS updated_at
+FROM bk_customer c LEFT JOIN eligible e ON e.customer_id = c.customer_id""",
+    "bk_customer", "bk_account", extra={"eligible": """
+  SELECT cu.customer_id FROM bk_customer cu
+  LEFT JOIN bk_account a ON a.customer_id = cu.customer_id AND a.status = 'active'
+   AND coalesce(a.is_deleted, FALSE) = FALSE
+  WHERE coalesce(cu.is_deleted, FALSE) = FALSE
+  GROUP BY cu.customer_id HAVING COUNT(a.account_id) = 0"""})
+
+SQL["close_terminals"] = with_(f"""
+SELECT t.terminal_id,
+       CASE WHEN hit THEN FALSE ELSE t.is_working END AS is_working,
+       CASE WHEN hit THEN TRUE ELSE t.is_deleted END AS is_deleted,
+       CASE WHEN hit THEN {CLOSE_TS} ELSE t.updated_at END AS updated_at
+FROM (SELECT t.*, NOT EXISTS (SELECT 1 FROM bk_txn x WHERE x.terminal_id = t.terminal_id) AS hit
+      FROM bk_terminal t) t""", "bk_terminal", "bk_txn")
+
+# ---------------------------------------------------------------------------
+# relational
+# ---------------------------------------------------------------------------
+SQL["fan_out"] = with_("""
+SELECT account_id, CAST(s AS INTEGER) AS seq
+FROM (SELECT account_id, unnest(generate_series(1, 1 + account_id % 2)) AS s FROM bk_account)""",
+                       "bk_account")
+
+SQL["lateral_top1"] = with_("""
+SELECT c.card_id, t.txn_id AS last_txn_id, t.txn_ts AS last_txn_ts,
+       t.terminal_id AS last_terminal_id
+FROM bk_card c
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY card_id
+                                        ORDER BY txn_ts DESC, txn_id DESC) AS rn
+           FROM raw_txn) t ON t.card_id = c.card_id AND t.rn = 1""", "bk_card", "raw_txn")
+
+SQL["global_row_id"] = with_(
+    "SELECT txn_id, row_number() OVER (ORDER BY txn_ts, txn_id) AS row_id FROM raw_txn", "raw_txn")
+
+SQL["sample_k"] = with_("""
+SELECT txn_id, card_id, CAST(amount AS DOUBLE) AS amount FROM raw_txn
+ORDER BY md5(CAST(txn_id AS VARCHAR) || '|' || '42') LIMIT 25""", "raw_txn")
+
+SQL["first_n_by_id"] = with_(
+    "SELECT txn_id, card_id, txn_ts FROM raw_txn ORDER BY txn_id LIMIT 500", "raw_txn")
