@@ -91,7 +91,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys, order: Sequence[str] | Non
     return kept.unionByName(batch)
 
 
-def read_watermark(ctl: DataFrame, process: str, table: str, default: int = 0) -> DataFrame:
+def read_watermark(ctl: DataFrame, process: str, table: str, default: int | None = 0
+                   ) -> DataFrame:
     """ST2: last loaded id for (process, table): the row with the latest
     ``updated_at`` (ties: highest ``last_id``), or ``default`` when none.
     An aggregate (one row, always) rather than ORDER BY ... LIMIT 1."""
@@ -100,7 +101,8 @@ def read_watermark(ctl: DataFrame, process: str, table: str, default: int = 0) -
                                F.lit(default).cast("long")).alias("last_id")))
 
 
-def read_watermark_value(ctl: DataFrame, process: str, table: str, default: int = 0) -> int:
+def read_watermark_value(ctl: DataFrame, process: str, table: str, default: int | None = 0
+                         ) -> int | None:
     return read_watermark(ctl, process, table, default).first()["last_id"]
 
 

@@ -20,6 +20,10 @@ from vaultline.functions.columns import ntz
 from vaultline.operators import (cdc, facts, fraud, lifecycle, monitoring, quality, relational,
                                  scd2, staging)
 from vaultline.operators import incremental as inc
+from vaultline.plans import jobs
+from vaultline.session import scratch_path
+from vaultline.sinks.tables import TableStore, materialize, with_month
+from vaultline.streaming import landing
 from vaultline.schemas import (ACCOUNT_NUMBER_MAX_LEN, ACCOUNT_STATUSES, AMOUNT_PRECISION,
                                AMOUNT_SCALE, CARD_NUMBER_MAX_LEN, CARD_STATUSES, CURRENCIES,
                                CURRENCY_LEN, LAG_THRESHOLD, NOT_NULL, TXN_STATUSES, TXN_TYPES)
@@ -196,7 +200,7 @@ def _accounts_before(spark, sf_dir, cut):
                .withColumn("updated_at", F.col("opened_at")))
 
 
-ACCOUNT_CUT = "1995-01-01 00:00:00"
+ACCOUNT_CUT = "1998-01-01 00:00:00"
 
 
 @query("upsert_by_key")
@@ -566,3 +570,148 @@ def q_first_n(spark, sf_dir):
     """ST1 + ST4: ORDER BY txn_id LIMIT 500."""
     t = raw(spark, sf_dir, "transaction").select("txn_id", "card_id", "txn_ts")
     return relational.first_n(t, 500, ["txn_id"])
+
+
+# ---------------------------------------------------------------------------
+# SNK1-SNK4, SNK7 writers and INC4-INC6 jobs (write to the shared warehouse
+# folder named by the session, then read back)
+# ---------------------------------------------------------------------------
+
+def _store(spark, name):
+    return TableStore(spark, scratch_path(spark, name))
+
+
+@query("full_refresh_roundtrip")
+def q_full_refresh(spark, sf_dir):
+    """SNK1: two full refreshes of the customer dimension; readers get the last."""
+    store = _store(spark, "full-refresh")
+    cust = raw(spark, sf_dir, "customer")
+    store.overwrite("ods_dim_customer", staging.dim_customer(
+        cust.filter(F.col("updated_at") < ntz("2024-01-01 12:00:00")), ts=LOAD_TS))
+    store.overwrite("ods_dim_customer", staging.dim_customer(cust, ts=LOAD_TS))
+    return store.read("ods_dim_customer")
+
+
+@query("append_roundtrip")
+def q_append(spark, sf_dir):
+    """SNK2: two appends of staged transactions."""
+    store = _store(spark, "append")
+    t = staging.stg_transaction(raw(spark, sf_dir, "transaction"))
+    store.append("raw_transaction", t.filter(F.col("txn_ts") < ntz(PREVIOUS_RUN)))
+    store.append("raw_transaction", t.filter(F.col("txn_ts") >= ntz(PREVIOUS_RUN)))
+    return store.read("raw_transaction")
+
+
+def _volume_fact_store(spark, sf_dir):
+    store = _store(spark, "monthly")
+    t = extract_snapshot(B.transaction_volume(spark, sf_dir), "transaction")
+    store.overwrite("raw_transaction", with_month(t), partition_by="txn_month", sort_by="txn_id")
+    return store
+
+
+@query("partition_month_counts")
+def q_month_counts(spark, sf_dir):
+    """SNK3/SNK4: month-partitioned, key-ordered write; per-month totals read back."""
+    store = _volume_fact_store(spark, sf_dir)
+    return (store.read("raw_transaction").groupBy("txn_month")
+                 .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount_total")))
+
+
+@query("partition_range_read")
+def q_range_read(spark, sf_dir):
+    """Partition-pruned range read of the month-partitioned table."""
+    store = _volume_fact_store(spark, sf_dir)
+    return store.read_between("raw_transaction", "txn_ts", "1995-01-01 00:00:00",
+                              "1995-07-01 00:00:00").select("txn_id", "card_id", "txn_ts",
+                                                            "amount", "txn_month")
+
+
+@query("partitioned_upsert")
+def q_partitioned_upsert(spark, sf_dir):
+    """INC2 on a month-partitioned table: only touched months are rewritten."""
+    store = _store(spark, "partitioned-upsert")
+    target = _accounts_before(spark, sf_dir, ACCOUNT_CUT)
+    store.overwrite("raw_account", with_month(target, "opened_at", "open_month"),
+                    partition_by="open_month")
+    batch = raw(spark, sf_dir, "account").filter(F.col("updated_at") >= ntz(ACCOUNT_CUT))
+    store.upsert("raw_account", with_month(batch, "opened_at", "open_month"), "account_id",
+                 order=["updated_at"], partition_by="open_month")
+    return store.read("raw_account")
+
+
+@query("materialize_incremental")
+def q_materialize(spark, sf_dir):
+    """SNK7 + INC3: first run builds the table, the next run is incremental."""
+    store = _store(spark, "materialize")
+    card = raw(spark, sf_dir, "card")
+    first = card.filter(F.col("updated_at") < ntz("2024-01-01 00:00:00"))
+    materialize(first, "raw_card", "incremental", store, keys="card_id", order=["updated_at"])
+    target = store.read("raw_card")
+    return materialize(inc.delta(card, target, "updated_at"), "raw_card", "incremental", store,
+                       keys="card_id", order=["updated_at"])
+
+
+def _old_cards(spark, sf_dir):
+    """The card source as it was before the 2024-01-15 closes and blocks."""
+    c = B.card(spark, sf_dir)
+    return (c.withColumn("status", F.lit("active"))
+             .withColumn("closed_at", F.lit(None).cast("timestamp_ntz"))
+             .withColumn("is_deleted", F.lit(False))
+             .withColumn("updated_at", F.col("opened_at")))
+
+
+@query("dim_load_run")
+def q_dim_load(spark, sf_dir):
+    """INC6: stg -> raw (delta + upsert) -> ods for cards, an old then the current source."""
+    store = _store(spark, "dim-load")
+    jobs.run_dim_load(store, "card", _old_cards(spark, sf_dir), ts=LOAD_TS)
+    jobs.run_dim_load(store, "card", B.card(spark, sf_dir), ts=LOAD_TS)
+    return store.read("ods_dim_card")
+
+
+@query("incremental_fact_run")
+def q_txn_load(spark, sf_dir):
+    """INC4/INC5: dims, then two incremental transaction loads and an idempotent
+    re-run; the month-partitioned fact read back."""
+    store = _store(spark, "txn-load")
+    for entity, src in (("customer", B.customer), ("account", B.account), ("card", B.card),
+                        ("terminal", B.terminal)):
+        jobs.run_dim_load(store, entity, src(spark, sf_dir), ts=LOAD_TS)
+    txn = B.transaction(spark, sf_dir)
+    jobs.run_txn_load(store, txn.filter(F.col("txn_ts") < ntz(PREVIOUS_RUN)), ts=LOAD_TS)
+    jobs.run_txn_load(store, txn, ts=LOAD_TS)
+    jobs.run_txn_load(store, txn, ts=LOAD_TS)
+    return store.read(jobs.FACT)
+
+
+# ---------------------------------------------------------------------------
+# STR1-STR5 streaming landing and the CDC model run
+# ---------------------------------------------------------------------------
+
+def _land_stream(spark, sf_dir):
+    root = scratch_path(spark, "cdc-stream")
+    src = f"{root}/source"
+    B.cdc_records(spark, sf_dir).write.json(src)
+    stream = landing.read_cdc_stream(spark, fmt="json", path=src, max_per_trigger=2)
+    q = landing.start_landing(stream, f"{root}/stg_cdc_card", f"{root}/stg_cdc_transaction",
+                              f"{root}/_checkpoint", reject_path=f"{root}/cdc_rejects",
+                              ts=LOAD_TS)
+    q.awaitTermination()
+    return (root, landing.read_landing(spark, f"{root}/stg_cdc_card"),
+            landing.read_landing(spark, f"{root}/stg_cdc_transaction"))
+
+
+@query("cdc_stream_landing")
+def q_stream_landing(spark, sf_dir):
+    """STR1-STR4: availableNow file stream -> foreachBatch fan-out -> landing."""
+    _, cards, _ = _land_stream(spark, sf_dir)
+    return cards.select("kafka_partition", "kafka_offset", "op", "card_id", "src_ts")
+
+
+@query("cdc_models_run")
+def q_cdc_models(spark, sf_dir):
+    """CDC10/STR5: stream-landed log -> raw_transaction_cdc + card SCD2."""
+    root, cards, txns = _land_stream(spark, sf_dir)
+    store = TableStore(spark, f"{root}/warehouse")
+    jobs.run_cdc_models(store, cards, txns, ts=LOAD_TS)
+    return store.read("raw_transaction_cdc")

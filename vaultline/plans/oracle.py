@@ -262,8 +262,8 @@ SELECT {cols_sql('account')} FROM (
   SELECT * FROM batch)""", "raw_account", extra={
     "target": """SELECT * REPLACE ('active' AS status, CAST(NULL AS TIMESTAMP) AS closed_at,
                         0 AS is_deleted, opened_at AS updated_at)
-                 FROM raw_account WHERE opened_at < TIMESTAMP '1995-01-01 00:00:00'""",
-    "batch": "SELECT * FROM raw_account WHERE updated_at >= TIMESTAMP '1995-01-01 00:00:00'"})
+                 FROM raw_account WHERE opened_at < TIMESTAMP '1998-01-01 00:00:00'""",
+    "batch": "SELECT * FROM raw_account WHERE updated_at >= TIMESTAMP '1998-01-01 00:00:00'"})
 
 SQL["latest_per_key"] = with_("""
 SELECT card_id, op, src_ts, kafka_partition, kafka_offset FROM (
@@ -627,3 +627,41 @@ ORDER BY md5(CAST(txn_id AS VARCHAR) || '|' || '42') LIMIT 25""", "raw_txn")
 
 SQL["first_n_by_id"] = with_(
     "SELECT txn_id, card_id, txn_ts FROM raw_txn ORDER BY txn_id LIMIT 500", "raw_txn")
+
+# ---------------------------------------------------------------------------
+# writers and jobs (read back equals the plain computation)
+# ---------------------------------------------------------------------------
+SQL["full_refresh_roundtrip"] = SQL["dim_customer"]
+SQL["append_roundtrip"] = SQL["stg_transaction"]
+SQL["partition_month_counts"] = with_("""
+SELECT CAST(year(txn_ts) * 100 + month(txn_ts) AS INTEGER) AS txn_month, count(*) AS n,
+       CAST(sum(amount) AS DOUBLE) AS amount_total
+FROM bk_txn_volume GROUP BY 1""", "bk_txn_volume")
+SQL["partition_range_read"] = with_("""
+SELECT txn_id, card_id, txn_ts, CAST(amount AS DOUBLE) AS amount,
+       CAST(year(txn_ts) * 100 + month(txn_ts) AS INTEGER) AS txn_month
+FROM bk_txn_volume
+WHERE txn_ts >= TIMESTAMP '1995-01-01 00:00:00' AND txn_ts < TIMESTAMP '1995-07-01 00:00:00'""",
+                                    "bk_txn_volume")
+SQL["partitioned_upsert"] = SQL["upsert_by_key"].replace(
+    f"SELECT {cols_sql('account')} FROM (",
+    f"SELECT {cols_sql('account')}, "
+    "CAST(year(opened_at) * 100 + month(opened_at) AS INTEGER) AS open_month FROM (")
+SQL["materialize_incremental"] = with_(f"""
+SELECT {cols_sql('card')} FROM raw_card""", "raw_card")
+SQL["dim_load_run"] = SQL["dim_card"]
+# first run loads transactions before the cut; the second run extracts ids
+# above the first run's watermark (a lower id committed after the cut is
+# missed, as with any id watermark without look-back)
+SQL["incremental_fact_run"] = with_(
+    f"SELECT *, CAST(year(txn_ts) * 100 + month(txn_ts) AS INTEGER) AS txn_month FROM ("
+    + FACT_SELECT.format(txn="loaded") + ")",
+    "raw_txn", "raw_card", "raw_account", "raw_customer", "raw_terminal", extra={
+        "loaded": f"""SELECT * FROM raw_txn WHERE txn_ts < {PREVIOUS_RUN}
+                      OR txn_id > (SELECT coalesce(max(txn_id), 0) FROM raw_txn
+                                   WHERE txn_ts < {PREVIOUS_RUN})"""})
+SQL["cdc_stream_landing"] = SQL["cdc_landing_card"]
+SQL["cdc_models_run"] = with_(f"""
+SELECT txn_id, card_id, terminal_id, txn_ts, CAST(amount AS DOUBLE) AS amount, currency_code,
+       txn_type, status, {LOAD_TS} AS loaded_at
+FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_id IS NOT NULL""", "bk_txn_ev")

@@ -15,6 +15,7 @@ only the touched partitions at job commit.
 
 from __future__ import annotations
 
+import json
 import os
 import time
 import uuid
@@ -23,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaultline.functions.columns import load_ts
 from vaultline.operators.incremental import latest_per_key, upsert as _upsert
@@ -45,13 +47,19 @@ class TableStore:
     def _ctl_path(self) -> str:
         return os.path.join(self.root, _CTL)
 
-    def current_version(self, name: str) -> str | None:
+    def _pointer(self, name: str):
         try:
             ctl = self.spark.read.parquet(self._ctl_path())
         except AnalysisException:
             return None
-        row = ctl.filter(F.col("table_name") == name).agg(F.max("version").alias("v")).first()
-        return row["v"] if row else None
+        row = (ctl.filter(F.col("table_name") == name)
+                  .agg(F.max_by(F.struct("version", "schema_json"), F.col("version")).alias("p"))
+                  .first())
+        return row["p"] if row and row["p"] is not None else None
+
+    def current_version(self, name: str) -> str | None:
+        p = self._pointer(name)
+        return p["version"] if p else None
 
     def exists(self, name: str) -> bool:
         return self.current_version(name) is not None
@@ -62,9 +70,10 @@ class TableStore:
             raise FileNotFoundError(f"table {name!r} has no committed version")
         return os.path.join(self.root, name, f"v={version}")
 
-    def _commit(self, name: str, version: str) -> None:
+    def _commit(self, name: str, version: str, schema: T.StructType) -> None:
         row = self.spark.range(1).select(
             F.lit(name).alias("table_name"), F.lit(version).alias("version"),
+            F.lit(schema.json()).alias("schema_json"),
             F.localtimestamp().alias("committed_at"))
         row.coalesce(1).write.mode("append").parquet(self._ctl_path())
 
@@ -74,7 +83,13 @@ class TableStore:
 
     # ---------------------------------------------------------------- reads
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.location(name))
+        """Current version; the committed schema is applied, so an empty
+        (file-less) partitioned version still reads as an empty table."""
+        p = self._pointer(name)
+        if p is None:
+            raise FileNotFoundError(f"table {name!r} has no committed version")
+        schema = T.StructType.fromJson(json.loads(p["schema_json"]))
+        return self.spark.read.schema(schema).parquet(self.location(name, p["version"]))
 
     def read_between(self, name: str, ts_col: str, start=None, end=None,
                      partition_col: str = "txn_month") -> DataFrame:
@@ -112,7 +127,7 @@ class TableStore:
         """SNK1: full refresh into a new version, then switch the pointer."""
         version = self._new_version()
         self._write(df, self.location(name, version), "errorifexists", partition_by, sort_by)
-        self._commit(name, version)
+        self._commit(name, version, df.schema)
         return version
 
     def append(self, name: str, df: DataFrame, partition_by=None, sort_by=None) -> None:
