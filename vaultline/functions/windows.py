@@ -154,8 +154,11 @@ def as_of(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str,
     keys, right_order, right_cols = _as_list(keys), list(right_order), list(right_cols)
     payload = F.struct(*[F.col(c) for c in right_cols])
     order_struct = F.struct(*[F.col(c) for c in right_order])
+    # equi-join semantics: a NULL key matches nothing
     r = right.select(*keys, F.col(right_ts).alias("__t"), F.lit(0).alias("__side"),
                      order_struct.alias("__ord"), payload.alias("__r"))
+    for k in keys:
+        r = r.filter(F.col(k).isNotNull())
     lcols = [c for c in left.columns if c not in keys]
     l_ = left.select(*keys, F.col(left_ts).alias("__t"), F.lit(1).alias("__side"),
                      F.struct(*[F.col(c) for c in lcols]).alias("__l"))
@@ -165,16 +168,18 @@ def as_of(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str,
     u = u.withColumn("__cand", F.last("__r", ignorenulls=True).over(w))
     # last right row per (key, bucket), carried to later buckets that hold left rows
     rlast = (r.withColumn(_B, bucket_fn(F.col("__t"))).groupBy(*keys, _B)
-              .agg(F.max_by("__r", F.struct("__t", "__ord")).alias("__rl"),
-                   F.lit(0).alias("__k")))
+              .agg(F.max_by("__r", F.struct("__t", "__ord")).alias("__rl"))
+              .withColumn("__k", F.lit(1)))
     lb = l_.withColumn(_B, bucket_fn(F.col("__t"))).select(*keys, _B).distinct() \
         .withColumn("__rl", F.lit(None).cast(rlast.schema["__rl"].dataType)) \
-        .withColumn("__k", F.lit(1))
+        .withColumn("__k", F.lit(0))
+    # at equal buckets the left entry (0) sorts before that bucket's right
+    # summary (1), so only right rows of strictly earlier buckets are carried
     wb = (Window.partitionBy(*keys).orderBy(_B, "__k")
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = (rlast.unionByName(lb)
              .withColumn("__carry", F.last("__rl", ignorenulls=True).over(wb))
-             .filter(F.col("__k") == 1).select(*keys, _B, "__carry"))
+             .filter(F.col("__k") == 0).select(*keys, _B, "__carry"))
     lefts = u.filter(F.col("__side") == 1)
     out = _join_back(lefts, carry, keys)
     match = F.coalesce(F.col("__cand"), F.col("__carry"))
