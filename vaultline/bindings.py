@@ -167,6 +167,12 @@ def _card_op(et: Column) -> Column:
             .otherwise("u"))
 
 
+def as_topic_partitions(records: DataFrame) -> DataFrame:
+    """Records arrive partitioned by (topic, partition), as a Kafka source
+    delivers them (one Spark partition per topic partition)."""
+    return records.repartition("topic", "partition")
+
+
 def card_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One change message per event on the card topic.
 
@@ -196,13 +202,13 @@ def card_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     value = F.when(F.col("event_id") % 2 == 0, F.to_json(F.struct(envelope.alias("payload")))) \
         .otherwise(F.to_json(envelope))
-    return e.select(
+    return as_topic_partitions(e.select(
         F.lit(TOPIC_CARD).alias("topic"),
         (F.col("user_id") % 3).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").alias("timestamp"),
         value.alias("value"),
-    )
+    ))
 
 
 def txn_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,13 +226,13 @@ def txn_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "purchase", "r").otherwise("c").alias("op"),
         epoch_millis(F.col("txn_ts")).alias("ts_ms"),
     )
-    return j.select(
+    return as_topic_partitions(j.select(
         F.lit(TOPIC_TXN).alias("topic"),
         (F.col("txn_id") % 3).cast("int").alias("partition"),
         F.col("txn_id").alias("offset"),
         F.col("txn_ts").alias("timestamp"),
         F.to_json(envelope).alias("value"),
-    )
+    ))
 
 
 def noise_records(spark: SparkSession, sf_dir: str) -> DataFrame:

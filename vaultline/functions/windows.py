@@ -8,7 +8,13 @@ the data. The helpers below partition by ``(key, bucket)`` instead, where
 crosses bucket borders, through a small window over those summaries, so the
 per-task work is bounded by one bucket of one key.
 
-Results equal the unbucketed window functions exactly.
+Plan shape: the input is shuffled once by (key, bucket). The summary rows are
+taken from the windowed frame itself (the same exchange, reused by Spark), and
+joined back on non-NULL surrogate columns of (key, bucket), so the join needs
+no second shuffle of the large side, only of the small summary.
+
+Results equal the unbucketed window functions exactly (NULL keys form one
+group, as in a plain window).
 """
 
 from __future__ import annotations
@@ -17,25 +23,52 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_B = "__bucket"
+from vaultline.functions.columns import ntz
 
 
 def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _join_back(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join ``summary`` on (keys, bucket), NULL-safe on the keys."""
-    s = summary
-    for k in keys + [_B]:
-        s = s.withColumnRenamed(k, f"__s_{k}")
-    cond = None
-    for k in keys + [_B]:
-        c = df[k].eqNullSafe(s[f"__s_{k}"])
-        cond = c if cond is None else cond & c
-    out = df.join(s, cond, "left")
-    return out.drop(*[f"__s_{k}" for k in keys + [_B]])
+def _fill(dt: T.DataType) -> Column:
+    if isinstance(dt, T.NumericType):
+        return F.lit(0).cast(dt)
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.DateType):
+        return F.lit("1970-01-01").cast("date")
+    if isinstance(dt, T.TimestampNTZType):
+        return ntz("1970-01-01 00:00:00")
+    if isinstance(dt, T.TimestampType):
+        return F.lit(0).cast("timestamp")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    raise TypeError(f"unsupported key type {dt}")
+
+
+def _groups(df: DataFrame, keys: list[str], bucket: Column
+            ) -> tuple[DataFrame, list[str], list[str]]:
+    """Add non-NULL surrogates (value, is-null) for each key and the bucket.
+    Returns the frame, the key surrogate names and the bucket surrogate names."""
+    d = df.withColumn("__bucket", bucket)
+    gk: list[str] = []
+    for i, k in enumerate(keys + ["__bucket"]):
+        dt = d.schema[k].dataType
+        d = (d.withColumn(f"__g{i}", F.coalesce(F.col(k), _fill(dt)))
+              .withColumn(f"__z{i}", F.col(k).isNull()))
+        gk += [f"__g{i}", f"__z{i}"]
+    return d.drop("__bucket"), gk[:-2], gk[-2:]
+
+
+def _bucket_order(gb: list[str]) -> list[Column]:
+    # NULL buckets first, as NULLs sort first in an ascending window order
+    return [F.col(gb[1]).desc(), F.col(gb[0]).asc()]
+
+
+def _drop(d: DataFrame, gk: list[str], gb: list[str], *extra: str) -> DataFrame:
+    return d.drop(*gk, *gb, *extra)
 
 
 def day_bucket(ts_col: str) -> Column:
@@ -46,43 +79,45 @@ def with_prev(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str],
               bucket: Column, prefix: str = "prev_") -> DataFrame:
     """``lag(c, 1)`` over (partition by keys order by order) for each c in ``cols``."""
     keys, order, cols = _as_list(keys), list(order), list(cols)
-    d = df.withColumn(_B, bucket)
-    w = Window.partitionBy(*keys, _B).orderBy(*order)
-    d = d.withColumn("__first", F.row_number().over(w) == 1)
+    d, gk, gb = _groups(df, keys, bucket)
+    g = gk + gb
+    w = Window.partitionBy(*g).orderBy(*order)
+    d = (d.withColumn("__rn", F.row_number().over(w))
+          .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*g))))
     for c in cols:
         d = d.withColumn(prefix + c, F.lag(c).over(w))
-    last = (d.groupBy(*keys, _B)
-             .agg(F.max_by(F.struct(*[F.col(c) for c in cols]),
-                           F.struct(*[F.col(c) for c in order])).alias("__last")))
-    wb = Window.partitionBy(*keys).orderBy(_B)
-    carry = last.select(*keys, _B, F.lag("__last").over(wb).alias("__carry"))
-    d = _join_back(d, carry, keys)
+    last = d.filter(F.col("__rn") == F.col("__cnt")).select(
+        *g, F.struct(*[F.col(c) for c in cols]).alias("__last"))
+    wb = Window.partitionBy(*gk).orderBy(*_bucket_order(gb))
+    carry = last.select(*g, F.lag("__last").over(wb).alias("__carry"))
+    d = d.join(carry, on=g, how="left")
     for c in cols:
-        d = d.withColumn(prefix + c, F.when(F.col("__first"), F.col(f"__carry.{c}"))
+        d = d.withColumn(prefix + c, F.when(F.col("__rn") == 1, F.col(f"__carry.{c}"))
                          .otherwise(F.col(prefix + c)))
-    return d.drop("__first", "__carry", _B)
+    return _drop(d, gk, gb, "__rn", "__cnt", "__carry")
 
 
 def with_next(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str],
               bucket: Column, prefix: str = "next_") -> DataFrame:
     """``lead(c, 1)`` over (partition by keys order by order) for each c in ``cols``."""
     keys, order, cols = _as_list(keys), list(order), list(cols)
-    d = df.withColumn(_B, bucket)
-    w = Window.partitionBy(*keys, _B).orderBy(*order)
-    wd = Window.partitionBy(*keys, _B).orderBy(*[F.col(c).desc() for c in order])
-    d = d.withColumn("__last_row", F.row_number().over(wd) == 1)
+    d, gk, gb = _groups(df, keys, bucket)
+    g = gk + gb
+    w = Window.partitionBy(*g).orderBy(*order)
+    d = (d.withColumn("__rn", F.row_number().over(w))
+          .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*g))))
     for c in cols:
         d = d.withColumn(prefix + c, F.lead(c).over(w))
-    first = (d.groupBy(*keys, _B)
-              .agg(F.min_by(F.struct(*[F.col(c) for c in cols]),
-                            F.struct(*[F.col(c) for c in order])).alias("__first")))
-    wb = Window.partitionBy(*keys).orderBy(_B)
-    carry = first.select(*keys, _B, F.lead("__first").over(wb).alias("__carry"))
-    d = _join_back(d, carry, keys)
+    first = d.filter(F.col("__rn") == 1).select(
+        *g, F.struct(*[F.col(c) for c in cols]).alias("__first"))
+    wb = Window.partitionBy(*gk).orderBy(*_bucket_order(gb))
+    carry = first.select(*g, F.lead("__first").over(wb).alias("__carry"))
+    d = d.join(carry, on=g, how="left")
     for c in cols:
-        d = d.withColumn(prefix + c, F.when(F.col("__last_row"), F.col(f"__carry.{c}"))
+        d = d.withColumn(prefix + c, F.when(F.col("__rn") == F.col("__cnt"),
+                                            F.col(f"__carry.{c}"))
                          .otherwise(F.col(prefix + c)))
-    return d.drop("__last_row", "__carry", _B)
+    return _drop(d, gk, gb, "__rn", "__cnt", "__carry")
 
 
 def with_running_sum(df: DataFrame, keys, order: Sequence[str], col: str | Column,
@@ -90,17 +125,20 @@ def with_running_sum(df: DataFrame, keys, order: Sequence[str], col: str | Colum
     """Running ``sum(col)`` (rows unbounded preceding .. current row)."""
     keys, order = _as_list(keys), list(order)
     val = F.col(col) if isinstance(col, str) else col
-    d = df.withColumn(_B, bucket).withColumn("__v", val)
-    w = (Window.partitionBy(*keys, _B).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumn(name, F.sum("__v").over(w))
-    tot = d.groupBy(*keys, _B).agg(F.sum("__v").alias("__tot"))
-    wb = (Window.partitionBy(*keys).orderBy(_B)
+    d, gk, gb = _groups(df.withColumn("__v", val), keys, bucket)
+    g = gk + gb
+    w = Window.partitionBy(*g).orderBy(*order)
+    d = (d.withColumn(name, F.sum("__v").over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+          .withColumn("__rn", F.row_number().over(w))
+          .withColumn("__tot", F.sum("__v").over(Window.partitionBy(*g))))
+    tot = d.filter(F.col("__rn") == 1).select(*g, "__tot")
+    wb = (Window.partitionBy(*gk).orderBy(*_bucket_order(gb))
           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = tot.select(*keys, _B, F.coalesce(F.sum("__tot").over(wb), F.lit(0)).alias("__carry"))
-    d = _join_back(d, carry, keys)
+    carry = tot.select(*g, F.coalesce(F.sum("__tot").over(wb), F.lit(0)).alias("__carry"))
+    d = d.join(carry, on=g, how="left")
     d = d.withColumn(name, F.col(name) + F.coalesce(F.col("__carry"), F.lit(0)))
-    return d.drop("__v", "__carry", _B)
+    return _drop(d, gk, gb, "__v", "__rn", "__tot", "__carry")
 
 
 def with_row_number(df: DataFrame, keys, order: Sequence[str], bucket: Column,
@@ -131,12 +169,12 @@ def range_window(df: DataFrame, keys, t_col: str, width: int, bucket_width: int,
         F.when(near_next, F.struct((b + 1).alias("b"), F.lit(False).alias("native"))),
     )
     d = (df.withColumn("__copy", F.explode(copies)).filter(F.col("__copy").isNotNull())
-           .withColumn(_B, F.col("__copy.b")).withColumn("__native", F.col("__copy.native"))
+           .withColumn("__b", F.col("__copy.b")).withColumn("__native", F.col("__copy.native"))
            .drop("__copy"))
-    w = Window.partitionBy(*keys, _B).orderBy(t).rangeBetween(-width, 0)
+    w = Window.partitionBy(*keys, "__b").orderBy(t).rangeBetween(-width, 0)
     for name, fn in aggs.items():
         d = d.withColumn(name, fn(w))
-    return d.filter(F.col("__native")).drop("__native", _B)
+    return d.filter(F.col("__native")).drop("__native", "__b")
 
 
 def as_of(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str,
@@ -148,40 +186,37 @@ def as_of(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str,
     Both sides are unioned and ordered by time per (key, bucket); the last
     right row seen is carried forward. Right rows from earlier buckets reach
     a bucket through one summary row per (key, bucket). No pairs are formed,
-    so a hot key costs linear work spread over its buckets.
-    ``bucket_fn`` maps a timestamp column to a non-decreasing bucket.
+    so a hot key costs linear work spread over its buckets. NULL keys match
+    nothing (equi-join semantics). ``bucket_fn`` maps a timestamp column to a
+    non-decreasing bucket.
     """
     keys, right_order, right_cols = _as_list(keys), list(right_order), list(right_cols)
-    payload = F.struct(*[F.col(c) for c in right_cols])
-    order_struct = F.struct(*[F.col(c) for c in right_order])
-    # equi-join semantics: a NULL key matches nothing
     r = right.select(*keys, F.col(right_ts).alias("__t"), F.lit(0).alias("__side"),
-                     order_struct.alias("__ord"), payload.alias("__r"))
+                     F.struct(*[F.col(c) for c in right_order]).alias("__ord"),
+                     F.struct(*[F.col(c) for c in right_cols]).alias("__r"))
     for k in keys:
         r = r.filter(F.col(k).isNotNull())
     lcols = [c for c in left.columns if c not in keys]
     l_ = left.select(*keys, F.col(left_ts).alias("__t"), F.lit(1).alias("__side"),
                      F.struct(*[F.col(c) for c in lcols]).alias("__l"))
-    u = r.unionByName(l_, allowMissingColumns=True).withColumn(_B, bucket_fn(F.col("__t")))
-    w = (Window.partitionBy(*keys, _B).orderBy("__t", "__side", "__ord")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = u.withColumn("__cand", F.last("__r", ignorenulls=True).over(w))
-    # last right row per (key, bucket), carried to later buckets that hold left rows
-    rlast = (r.withColumn(_B, bucket_fn(F.col("__t"))).groupBy(*keys, _B)
-              .agg(F.max_by("__r", F.struct("__t", "__ord")).alias("__rl"))
-              .withColumn("__k", F.lit(1)))
-    lb = l_.withColumn(_B, bucket_fn(F.col("__t"))).select(*keys, _B).distinct() \
-        .withColumn("__rl", F.lit(None).cast(rlast.schema["__rl"].dataType)) \
-        .withColumn("__k", F.lit(0))
-    # at equal buckets the left entry (0) sorts before that bucket's right
-    # summary (1), so only right rows of strictly earlier buckets are carried
-    wb = (Window.partitionBy(*keys).orderBy(_B, "__k")
+    u = r.unionByName(l_, allowMissingColumns=True)
+    d, gk, gb = _groups(u, keys, bucket_fn(F.col("__t")))
+    g = gk + gb
+    w = Window.partitionBy(*g).orderBy("__t", "__side", "__ord")
+    d = (d.withColumn("__cand", F.last("__r", ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+          .withColumn("__rn", F.row_number().over(w))
+          .withColumn("__rl", F.last("__r", ignorenulls=True).over(
+              w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+          .withColumn("__has_left", F.max("__side").over(Window.partitionBy(*g))))
+    # one row per (key, bucket): its last right row, carried to later buckets
+    summ = d.filter(F.col("__rn") == 1).select(*g, "__rl", "__has_left")
+    wb = (Window.partitionBy(*gk).orderBy(*_bucket_order(gb))
           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (rlast.unionByName(lb)
-             .withColumn("__carry", F.last("__rl", ignorenulls=True).over(wb))
-             .filter(F.col("__k") == 0).select(*keys, _B, "__carry"))
-    lefts = u.filter(F.col("__side") == 1)
-    out = _join_back(lefts, carry, keys)
+    carry = (summ.withColumn("__carry", F.last("__rl", ignorenulls=True).over(wb))
+                 .filter(F.col("__has_left") == 1).select(*g, "__carry"))
+    lefts = d.filter(F.col("__side") == 1)
+    out = lefts.join(carry, on=g, how="left")
     match = F.coalesce(F.col("__cand"), F.col("__carry"))
     return out.select(*keys, *[F.col(f"__l.{c}").alias(c) for c in lcols],
                       *[match[c].alias(prefix + c) for c in right_cols])

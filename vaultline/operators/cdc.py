@@ -17,38 +17,37 @@ from vaultline.functions.columns import (from_epoch_millis, load_ts, parse_ts_be
 from vaultline.schemas import (ALLOWED_OPS_CARD, ALLOWED_OPS_TXN, CARD_PAYLOAD, CDC_OPS,
                                TOPIC_SUFFIX_CARD, TOPIC_SUFFIX_TXN, TXN_MODEL_OPS, TXN_PAYLOAD)
 
-_ENVELOPE = T.StructType([
-    T.StructField("payload", T.StringType()),
+_PAYLOAD = T.StructType([
     T.StructField("before", T.StringType()),
     T.StructField("after", T.StringType()),
     T.StructField("op", T.StringType()),
     T.StructField("ts_ms", T.LongType()),
-    T.StructField("_corrupt", T.StringType()),
 ])
-_INNER = T.StructType([f for f in _ENVELOPE.fields if f.name != "payload"])
-# malformed JSON lands in ``_corrupt`` instead of failing the job
+# bare envelope fields plus an optional ``payload`` wrapper; objects under
+# before/after are kept as their raw JSON text (string leaves)
+_ENVELOPE = T.StructType([T.StructField("payload", _PAYLOAD), *_PAYLOAD.fields,
+                          T.StructField("_corrupt", T.StringType())])
+# malformed JSON (or a non-object payload) lands in ``_corrupt`` instead of
+# failing the job
 _JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
 
-def _parsed_ok(parsed: Column) -> Column:
-    return parsed.isNotNull() & parsed["_corrupt"].isNull()
+def parse_once(df: DataFrame, expr: Column, name: str) -> DataFrame:
+    """Add ``expr`` as column ``name`` behind a one-row ``inline``: filters on
+    fields of the result cannot be pushed below the generator, so Catalyst
+    never copies an expensive parse into pushed-down predicates."""
+    return df.select("*", F.inline(F.array(F.struct(expr.alias(name)))))
 
 
 def decode_envelope(records: DataFrame, fallback_ts: str | Column | None = "timestamp"
                     ) -> DataFrame:
-    """CDC1 + CDC6: unwrap the envelope.
+    """CDC1 + CDC6: unwrap the envelope with one JSON parse per record.
 
     Adds ``op``, ``before`` / ``after`` (raw JSON text of the objects or NULL),
     ``src_ts`` (from ``ts_ms``; when absent the record ``timestamp``, else the
     load time) and ``decoded`` (false for values that are not JSON objects, so
     callers can route them to a reject table instead of failing).
     """
-    v = F.col("value").cast("string")
-    outer = F.from_json(v, _ENVELOPE, _JSON_OPTS)
-    wrapped = outer["payload"].isNotNull()
-    inner = F.from_json(outer["payload"], _INNER, _JSON_OPTS)
-    env = F.when(wrapped, inner).otherwise(outer.dropFields("payload"))
-    decoded = F.coalesce(_parsed_ok(outer) & (~wrapped | _parsed_ok(inner)), F.lit(False))
     if fallback_ts is None:
         fb = load_ts()
     elif isinstance(fallback_ts, str):
@@ -56,13 +55,22 @@ def decode_envelope(records: DataFrame, fallback_ts: str | Column | None = "time
               else load_ts())
     else:
         fb = fallback_ts
-    src_ts = F.coalesce(from_epoch_millis(env["ts_ms"]), fb)
-    return records.select(
-        "*",
-        F.when(decoded, env["op"]).alias("op"),
-        F.when(decoded, env["before"]).alias("before"),
-        F.when(decoded, env["after"]).alias("after"),
-        F.when(decoded, src_ts).otherwise(fb).alias("src_ts"),
+    d = parse_once(records, F.from_json(F.col("value").cast("string"), _ENVELOPE, _JSON_OPTS),
+                   "__env")
+    env = F.col("__env")
+    wrapped = env["payload"].isNotNull()
+    decoded = F.coalesce(env.isNotNull() & env["_corrupt"].isNull(), F.lit(False))
+
+    def field(n: str) -> Column:
+        return F.when(decoded, F.when(wrapped, env["payload"][n]).otherwise(env[n]))
+
+    src_ts = F.coalesce(from_epoch_millis(field("ts_ms")), fb)
+    return d.select(
+        *[F.col(f"`{c}`") for c in records.columns],
+        field("op").alias("op"),
+        field("before").alias("before"),
+        field("after").alias("after"),
+        src_ts.alias("src_ts"),
         decoded.alias("decoded"),
     )
 
