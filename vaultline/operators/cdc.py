@@ -150,6 +150,17 @@ def raw_transaction_cdc(landed: DataFrame, ops=TXN_MODEL_OPS, ts=None) -> DataFr
         load_ts(ts).alias("loaded_at"))
 
 
+def raw_transaction_cdc_rejects(landed: DataFrame, ops=TXN_MODEL_OPS) -> DataFrame:
+    """T15: modelled transaction rows whose payload or ``txn_ts`` does not
+    parse; they are kept aside (with the raw payload) instead of failing the
+    load or silently carrying a NULL time."""
+    d = landed.filter(F.col("op").isin(list(ops)))
+    p = F.from_json(F.col("payload_after"), TXN_PAYLOAD)
+    return (d.withColumn("__ts", parse_ts_best_effort(p["txn_ts"]))
+             .filter(F.col("__ts").isNull())
+             .select("kafka_partition", "kafka_offset", "txn_id", "payload_after"))
+
+
 def card_versions(landed: DataFrame, ops=CDC_OPS, defaults: bool = False) -> DataFrame:
     """CDC8 + CDC9: one typed card state per change.
 

@@ -42,6 +42,11 @@ def lag_metrics(lag: DataFrame, group_id: str, ts=None) -> DataFrame:
     return per_part.unionByName(total)
 
 
+def write_metrics(store, metrics: DataFrame, table: str = "ctl_monitoring") -> None:
+    """SNK6: append metric rows (ts, metric, value, labels) to the metrics table."""
+    store.append(table, metrics.select("ts", "metric", "value", "labels"))
+
+
 def lag_alert(metrics: DataFrame, threshold: int = LAG_THRESHOLD) -> DataFrame:
     """M2 as a frame: (total_lag, threshold, breached)."""
     return (metrics.filter(F.col("metric") == "kafka_total_lag")

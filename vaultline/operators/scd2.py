@@ -27,24 +27,28 @@ def version_number(log: DataFrame, key: str = "card_id", order=VERSION_ORDER,
 
 def scd2(versions: DataFrame, key: str = "card_id", order=VERSION_ORDER,
          attrs=("card_number", "account_id", "status", "opened_at", "closed_at", "is_deleted"),
-         sk_name: str = "card_sk", ts=None, carry_forward: bool = False) -> DataFrame:
+         sk_name: str = "card_sk", ts=None, carry_forward: bool = False,
+         bucket=None) -> DataFrame:
     """S2: versioned dimension.
 
     valid_from = src_ts; valid_to = next version's src_ts (WN2 ``lead``) or
     2999-12-31; is_current = 1 for the last version. The surrogate key is
     md5(key | epoch-ms of src_ts | partition | offset), the same in any engine.
     ``carry_forward`` fills attributes a delete does not carry (key-only
-    ``before``) from the previous version.
+    ``before``) from the previous version. ``bucket`` (default: day of
+    src_ts) is the unit one task handles for one key; use an hour bucket when
+    single keys burst within a day.
     """
     attrs = list(attrs)
+    bucket = bucket if bucket is not None else W.day_bucket(order[0])
     v = versions
     if carry_forward:
-        v = W.with_prev(v, key, order, attrs, W.day_bucket(order[0]), prefix="__pv_")
+        v = W.with_prev(v, key, order, attrs, bucket, prefix="__pv_")
         for a in attrs:
             if a != "is_deleted":
                 v = v.withColumn(a, F.coalesce(F.col(a), F.col(f"__pv_{a}")))
         v = v.drop(*[f"__pv_{a}" for a in attrs])
-    v = W.with_next(v, key, order, ["src_ts"], W.day_bucket(order[0]), prefix="__next_")
+    v = W.with_next(v, key, order, ["src_ts"], bucket, prefix="__next_")
     nxt = F.col("__next_src_ts")
     return v.select(
         hash_key(F.col(key), epoch_millis("src_ts"), "kafka_partition", "kafka_offset")
@@ -57,8 +61,10 @@ def scd2(versions: DataFrame, key: str = "card_id", order=VERSION_ORDER,
         load_ts(ts).alias("loaded_at"))
 
 
-def scd2_from_landing(landed: DataFrame, dedupe: bool = False, ts=None, **kw) -> DataFrame:
-    """S2 over the card landing table (CDC8/CDC9 parse, optional STR2 dedupe)."""
+def scd2_from_landing(landed: DataFrame, dedupe: bool = True, ts=None, **kw) -> DataFrame:
+    """S2 over the card landing table (CDC8/CDC9 parse). Replayed log rows are
+    dropped first (STR2) so a crash-replay cannot create zero-length
+    versions; ``dedupe=False`` keeps them, as a plain append-only log would."""
     if dedupe:
         landed = dedupe_log(landed)
     return scd2(card_versions(landed), ts=ts, **kw)
@@ -74,10 +80,12 @@ def as_of(fact: DataFrame, dim: DataFrame, key: str = "card_id", ts_col: str = "
     """S4: point-in-time lookup, the version with valid_from <= ts < valid_to.
 
     Versions of a key tile time without gaps, so this is the latest version
-    with valid_from <= ts: an as-of join (no range-join pairs). Facts before
-    the first version get NULLs.
+    with valid_from <= ts: an as-of join (no range-join pairs). Among versions
+    starting at the same instant the zero-length ones end there, so ordering
+    by (valid_from, valid_to) picks the one that is valid. Facts before the
+    first version get NULLs.
     """
-    return W.as_of(fact, dim, key, ts_col, "valid_from", ["valid_from", "card_sk"], list(cols),
+    return W.as_of(fact, dim, key, ts_col, "valid_from", ["valid_from", "valid_to"], list(cols),
                    lambda c: F.to_date(c), prefix=prefix)
 
 

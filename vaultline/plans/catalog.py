@@ -715,3 +715,26 @@ def q_cdc_models(spark, sf_dir):
     store = TableStore(spark, f"{root}/warehouse")
     jobs.run_cdc_models(store, cards, txns, ts=LOAD_TS)
     return store.read("raw_transaction_cdc")
+
+
+@query("metrics_sink_roundtrip")
+def q_metrics_sink(spark, sf_dir):
+    """SNK6: lag metrics appended to the metrics table by two monitoring runs."""
+    store = _store(spark, "metrics")
+    end, committed = B.offsets(spark, sf_dir)
+    lag = monitoring.kafka_lag(end, committed)
+    monitoring.write_metrics(store, monitoring.lag_metrics(lag, GROUP_ID, ts=LOAD_TS))
+    monitoring.write_metrics(store, monitoring.lag_metrics(lag, GROUP_ID, ts=CLOSE_TS))
+    return store.read("ctl_monitoring")
+
+
+@query("scd2_invariants")
+def q_scd2_invariants(spark, sf_dir):
+    """S2 invariants: no gaps/overlaps, one current version per card (empty)."""
+    return scd2.check_invariants(scd2_card(spark, sf_dir))
+
+
+@query("raw_transaction_cdc_rejects")
+def q_txn_rejects(spark, sf_dir):
+    """T15: landed inserts whose txn_ts does not parse (none in the test data)."""
+    return cdc.raw_transaction_cdc_rejects(landed_txns(spark, sf_dir))

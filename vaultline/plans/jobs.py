@@ -60,8 +60,14 @@ def run_txn_load(store: TableStore, source_txn: DataFrame, process: str = "pg_to
     stg = staging.stage(store.read("stg_transaction"), "transaction")
     batch = with_load_ts(stg, "loaded_at", ts).withColumn("txn_month", month_of("txn_ts"))
     store.upsert("raw_transaction", batch, "txn_id", partition_by="txn_month")
-    new_last = inc.read_high_watermark(store.read("raw_transaction"), "txn_id", last)
-    store.append(CTL_LOAD, inc.watermark_row(store.spark, process, "transaction", new_last, ts))
+    # raw = previous raw (max id = last) plus this batch, so the new watermark
+    # comes from the small batch, not from a scan of the whole raw table
+    batch_max = inc.read_high_watermark(stg, "txn_id")
+    new_last = max(x for x in (last, batch_max) if x is not None) \
+        if (last is not None or batch_max is not None) else None
+    if new_last is not None:
+        store.append(CTL_LOAD, inc.watermark_row(store.spark, process, "transaction", new_last,
+                                                 ts))
     rebuild_fact(store, ts)
     return new_last
 

@@ -665,3 +665,12 @@ SQL["cdc_models_run"] = with_(f"""
 SELECT txn_id, card_id, terminal_id, txn_ts, CAST(amount AS DOUBLE) AS amount, currency_code,
        txn_type, status, {LOAD_TS} AS loaded_at
 FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_id IS NOT NULL""", "bk_txn_ev")
+SQL["metrics_sink_roundtrip"] = with_(
+    _METRICS + "\nUNION ALL\n" + _METRICS.replace(LOAD_TS, "TIMESTAMP '2024-02-01 00:00:00'"),
+    extra=_LAG_CTES)
+SQL["scd2_invariants"] = ("SELECT CAST(NULL AS BIGINT) AS card_id, CAST(NULL AS VARCHAR) AS violation "
+                          "FROM region WHERE FALSE")
+SQL["raw_transaction_cdc_rejects"] = with_("""
+SELECT CAST(txn_id % 3 AS INTEGER) AS kafka_partition, txn_id AS kafka_offset, txn_id,
+       CAST(NULL AS VARCHAR) AS payload_after
+FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_ts IS NULL""", "bk_txn_ev")

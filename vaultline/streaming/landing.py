@@ -69,13 +69,19 @@ def write_batch(batch: DataFrame, batch_id: int, card_path: str, txn_path: str,
 
 def start_landing(stream: DataFrame, card_path: str, txn_path: str, checkpoint: str,
                   reject_path: str | None = None, available_now: bool = True,
-                  processing_time: str | None = None, ts=None) -> StreamingQuery:
+                  processing_time: str | None = None, ts=None,
+                  after_batch=None) -> StreamingQuery:
     """STR1: the micro-batch loop poll -> decode -> route -> write -> commit.
     ``available_now`` drains what is there and stops (STR4); otherwise a
-    ``processing_time`` trigger keeps the query running."""
-    w = (stream.writeStream
-         .foreachBatch(lambda df, bid: write_batch(df, bid, card_path, txn_path, reject_path, ts))
-         .option("checkpointLocation", checkpoint))
+    ``processing_time`` trigger keeps the query running. ``after_batch(spark,
+    batch_id)`` runs after each landed batch, e.g. the periodic recompute of
+    the CDC models (STR5) with a ``processing_time`` of "10 minutes"."""
+    def run(df: DataFrame, bid: int) -> None:
+        write_batch(df, bid, card_path, txn_path, reject_path, ts)
+        if after_batch is not None:
+            after_batch(df.sparkSession, bid)
+
+    w = (stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
