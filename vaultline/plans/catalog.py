@@ -73,6 +73,7 @@ def raw(spark, sf_dir, entity):
 
 @query("fact_atm_transaction")
 def q_fact(spark, sf_dir):
+    """JN1: the denormalised ATM-transaction fact (flagship query)."""
     return facts.fact_atm_transaction(
         raw(spark, sf_dir, "transaction"), raw(spark, sf_dir, "card"),
         raw(spark, sf_dir, "account"), raw(spark, sf_dir, "customer"),

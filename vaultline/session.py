@@ -30,6 +30,28 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at max(2 x total cores, input / 256 MB) so each
+    shuffle partition fits an executor core's memory share. AQE then
+    coalesces small partitions toward ``partition_bytes`` and splits skewed
+    ones. Files are read in ``partition_bytes`` splits.
+    """
+    cores = executors * cores_per_executor
+    n = max(2 * cores, -(-input_bytes // partition_bytes))
+    conf = dict(RECOMMENDED_CONF)
+    conf.update({
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    })
+    return conf
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "vaultline") -> SparkSession:
     """A local session for tests and the benchmark (UI off)."""
