@@ -70,3 +70,21 @@ def test_as_of_matches_range_join(spark):
     j = got.join(expect, "id")
     assert j.count() == left.count()
     assert j.filter(~F.col("rid").eqNullSafe(F.col("e_rid"))).count() == 0
+
+
+def test_islands_match_two_pass(spark):
+    df = _frame(spark)
+    order = ["t", "id"]
+    b = F.to_date("t")
+
+    def breaks(p):
+        gap = F.timestamp_diff("SECOND", F.col(p + "t"), F.col("t"))
+        return F.col(p + "t").isNull() | (gap > 3600) | (F.col("v") > F.col(p + "v"))
+
+    one = W.with_islands(df, "k", order, ["t", "v"], b, breaks, "isl")
+    two = W.with_prev(df, "k", order, ["t", "v"], b)
+    two = two.withColumn("__b", F.when(breaks("prev_"), 1).otherwise(0))
+    two = W.with_running_sum(two, "k", order, "__b", b, "e_isl").select("id", "e_isl")
+    j = one.join(two, "id")
+    assert j.count() == df.count()
+    assert j.filter(F.col("isl") != F.col("e_isl")).count() == 0

@@ -220,3 +220,53 @@ def as_of(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str,
     match = F.coalesce(F.col("__cand"), F.col("__carry"))
     return out.select(*keys, *[F.col(f"__l.{c}").alias(c) for c in lcols],
                       *[match[c].alias(prefix + c) for c in right_cols])
+
+
+def with_islands(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str],
+                 bucket: Column, breaks, island: str = "island", prefix: str = "prev_"
+                 ) -> DataFrame:
+    """Gaps-and-islands in one shuffle: ``prev_<c>`` (lag 1 of each c in
+    ``cols``) and ``island`` = running count of rows where
+    ``breaks(prefix)`` is true, over (partition by keys order by order).
+
+    ``breaks(prefix)`` builds the break condition from the current columns
+    and the ``prefix``-ed previous ones; it must treat a missing previous row
+    (NULLs) as a break. Equivalent to ``with_prev`` followed by
+    ``with_running_sum`` of the break flag, but the large side is shuffled
+    and windowed once: each (key, bucket) contributes one summary row (its
+    first row, last row and local break count), a small per-key window
+    resolves the first row's break and the island offset, and one
+    co-partitioned join brings them back.
+    """
+    keys, order, cols = _as_list(keys), list(order), list(cols)
+    d, gk, gb = _groups(df, keys, bucket)
+    g = gk + gb
+    w = Window.partitionBy(*g).orderBy(*order)
+    whole = Window.partitionBy(*g)
+    d = (d.withColumn("__rn", F.row_number().over(w))
+          .withColumn("__cnt", F.count(F.lit(1)).over(whole)))
+    for c in cols:
+        d = d.withColumn(prefix + c, F.lag(c).over(w))
+    # the first row's break needs the previous bucket: counted later
+    d = d.withColumn("__bl", F.when((F.col("__rn") > 1) & breaks(prefix), 1).otherwise(0))
+    d = (d.withColumn("__cs", F.sum("__bl").over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+          .withColumn("__tot", F.sum("__bl").over(whole))
+          .withColumn("__last", F.last(F.struct(*[F.col(c) for c in cols])).over(
+              w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    summ = d.filter(F.col("__rn") == 1).select(*g, *cols, "__last", "__tot")
+    wb = Window.partitionBy(*gk).orderBy(*_bucket_order(gb))
+    summ = summ.withColumn("__pl", F.lag("__last").over(wb))
+    for c in cols:
+        summ = summ.withColumn(prefix + c, F.col(f"__pl.{c}"))
+    summ = summ.withColumn("__fb", F.when(breaks(prefix), 1).otherwise(0))
+    summ = summ.withColumn("__off", F.coalesce(F.sum(F.col("__fb") + F.col("__tot")).over(
+        wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    carry = summ.select(*g, F.col("__pl").alias("__carry"), "__fb", "__off")
+    d = d.join(carry, on=g, how="left")
+    for c in cols:
+        d = d.withColumn(prefix + c, F.when(F.col("__rn") == 1, F.col(f"__carry.{c}"))
+                         .otherwise(F.col(prefix + c)))
+    d = d.withColumn(island, (F.col("__off") + F.col("__fb") + F.col("__cs")).cast("long"))
+    return _drop(d, gk, gb, "__rn", "__cnt", "__bl", "__cs", "__tot", "__last", "__carry",
+                 "__fb", "__off")

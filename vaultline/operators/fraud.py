@@ -68,14 +68,14 @@ def amount_probe(txn: DataFrame, keys=("card_id", "terminal_id"), max_gap_s: int
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = ["txn_ts", "txn_id"]
-    bucket = F.to_date("txn_ts")
     w = _withdrawals(txn).select("txn_id", *keys, "txn_ts", "amount", "status")
-    w = W.with_prev(w, keys, order, ["txn_ts", "amount"], bucket)
-    gap = F.timestamp_diff("MICROSECOND", F.col("prev_txn_ts"), F.col("txn_ts"))
-    brk = (F.col("prev_txn_ts").isNull() | (gap > F.lit(max_gap_s * US))
-           | (F.col("amount") > F.col("prev_amount")))
-    w = w.withColumn("__brk", F.when(brk, 1).otherwise(0))
-    w = W.with_running_sum(w, keys, order, "__brk", bucket, "__run")
+
+    def breaks(p: str):
+        gap = F.timestamp_diff("MICROSECOND", F.col(p + "txn_ts"), F.col("txn_ts"))
+        return (F.col(p + "txn_ts").isNull() | (gap > F.lit(max_gap_s * US))
+                | (F.col("amount") > F.col(p + "amount")))
+
+    w = W.with_islands(w, keys, order, ["txn_ts", "amount"], F.to_date("txn_ts"), breaks, "__run")
     ordv = F.struct("txn_ts", "txn_id")
     runs = w.groupBy(*keys, "__run").agg(
         F.min("txn_ts").alias("run_start"),
@@ -100,13 +100,13 @@ def rapid_withdrawal_sessions(txn: DataFrame, gap_s: int = 15 * 60, min_ops: int
     report sessions with enough withdrawals on enough terminals.
     session_end = last withdrawal + gap, as a session window reports it."""
     order = ["txn_ts", "txn_id"]
-    bucket = F.to_date("txn_ts")
     w = _withdrawals(txn).select("txn_id", key, "txn_ts", "terminal_id")
-    w = W.with_prev(w, key, order, ["txn_ts"], bucket)
-    gap = F.timestamp_diff("MICROSECOND", F.col("prev_txn_ts"), F.col("txn_ts"))
-    w = w.withColumn("__brk", F.when(F.col("prev_txn_ts").isNull()
-                                     | (gap >= F.lit(gap_s * US)), 1).otherwise(0))
-    w = W.with_running_sum(w, key, order, "__brk", bucket, "__s")
+
+    def breaks(p: str):
+        gap = F.timestamp_diff("MICROSECOND", F.col(p + "txn_ts"), F.col("txn_ts"))
+        return F.col(p + "txn_ts").isNull() | (gap >= F.lit(gap_s * US))
+
+    w = W.with_islands(w, key, order, ["txn_ts"], F.to_date("txn_ts"), breaks, "__s")
     s = w.groupBy(key, "__s").agg(
         F.min("txn_ts").alias("session_start"),
         F.timestamp_add("SECOND", F.lit(gap_s), F.max("txn_ts")).alias("session_end"),
