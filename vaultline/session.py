@@ -72,16 +72,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the session.
+    """Return the shared folder named by the session (``spark.checkpoint.dir``)
+    and make sure the context checkpoints there.
 
     Only when the session names none (tests on one machine) is a scratch
     folder created and registered.
     """
+    sc = spark.sparkContext
     path = spark.conf.get(CHECKPOINT_CONF, None)
+    if not path:
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="vaultline-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
-    sc = spark.sparkContext
+        try:
+            spark.conf.set(CHECKPOINT_CONF, path)
+        except Exception:  # core setting not modifiable at runtime: the context knows it
+            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
@@ -89,7 +95,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def warehouse_root(spark: SparkSession) -> str:
     """Shared folder for written tables: ``vaultline.warehouse.dir`` if set,
-    else a folder under the session's checkpoint directory."""
+    else a stable folder next to the session's checkpoints (not the
+    per-application checkpoint subfolder, so tables outlive the job)."""
     path = spark.conf.get(WAREHOUSE_CONF, None)
     if path:
         return path
