@@ -24,7 +24,7 @@ from vaultline.functions.columns import epoch_millis, ntz
 TOPIC_CARD = "bankcdc.bank.card"
 TOPIC_TXN = "bankcdc.bank.transaction"
 TOPIC_TERMINAL = "bankcdc.bank.terminal"
-TOPIC_HEARTBEAT = "__debezium-heartbeat.bankcdc"
+TOPIC_HEARTBEAT = "__heartbeat.bankcdc"
 
 ISO_MICROS_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 

@@ -290,7 +290,7 @@ UNION ALL
 SELECT 'bankcdc.bank.transaction', CAST(txn_id % 3 AS INTEGER), txn_id,
        CASE WHEN event_type = 'purchase' THEN 'r' ELSE 'c' END, src_ts, TRUE FROM bk_txn_ev
 UNION ALL
-SELECT '__debezium-heartbeat.bankcdc', 0, s_suppkey, NULL,
+SELECT '__heartbeat.bankcdc', 0, s_suppkey, NULL,
        TIMESTAMP '2024-01-01 00:00:00' + to_hours(s_suppkey), TRUE FROM supplier
 UNION ALL
 SELECT 'bankcdc.bank.terminal', 0, s_suppkey, 'c',
