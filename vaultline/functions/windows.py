@@ -98,12 +98,22 @@ def with_prev(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str],
 
 
 def with_next(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str],
-              bucket: Column, prefix: str = "next_") -> DataFrame:
-    """``lead(c, 1)`` over (partition by keys order by order) for each c in ``cols``."""
+              bucket: Column, prefix: str = "next_", dedupe_by: Sequence[str] | None = None
+              ) -> DataFrame:
+    """``lead(c, 1)`` over (partition by keys order by order) for each c in ``cols``.
+
+    ``dedupe_by`` drops rows repeating the previous row's values of those
+    columns (replayed log rows, which sort next to each other) inside the same
+    shuffle, before the lead is taken.
+    """
     keys, order, cols = _as_list(keys), list(order), list(cols)
     d, gk, gb = _groups(df, keys, bucket)
     g = gk + gb
     w = Window.partitionBy(*g).orderBy(*order)
+    if dedupe_by:
+        ident = F.struct(*[F.col(c) for c in dedupe_by])
+        d = (d.withColumn("__dup", F.coalesce(F.lag(ident).over(w) == ident, F.lit(False)))
+              .filter(~F.col("__dup")).drop("__dup"))
     d = (d.withColumn("__rn", F.row_number().over(w))
           .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*g))))
     for c in cols:

@@ -28,7 +28,7 @@ def version_number(log: DataFrame, key: str = "card_id", order=VERSION_ORDER,
 def scd2(versions: DataFrame, key: str = "card_id", order=VERSION_ORDER,
          attrs=("card_number", "account_id", "status", "opened_at", "closed_at", "is_deleted"),
          sk_name: str = "card_sk", ts=None, carry_forward: bool = False,
-         bucket=None) -> DataFrame:
+         bucket=None, dedupe_by=None) -> DataFrame:
     """S2: versioned dimension.
 
     valid_from = src_ts; valid_to = next version's src_ts (WN2 ``lead``) or
@@ -37,7 +37,8 @@ def scd2(versions: DataFrame, key: str = "card_id", order=VERSION_ORDER,
     ``carry_forward`` fills attributes a delete does not carry (key-only
     ``before``) from the previous version. ``bucket`` (default: day of
     src_ts) is the unit one task handles for one key; use an hour bucket when
-    single keys burst within a day.
+    single keys burst within a day. ``dedupe_by`` (e.g. the log position)
+    drops replayed rows inside the same shuffle.
     """
     attrs = list(attrs)
     bucket = bucket if bucket is not None else W.day_bucket(order[0])
@@ -48,7 +49,7 @@ def scd2(versions: DataFrame, key: str = "card_id", order=VERSION_ORDER,
             if a != "is_deleted":
                 v = v.withColumn(a, F.coalesce(F.col(a), F.col(f"__pv_{a}")))
         v = v.drop(*[f"__pv_{a}" for a in attrs])
-    v = W.with_next(v, key, order, ["src_ts"], bucket, prefix="__next_")
+    v = W.with_next(v, key, order, ["src_ts"], bucket, prefix="__next_", dedupe_by=dedupe_by)
     nxt = F.col("__next_src_ts")
     return v.select(
         hash_key(F.col(key), epoch_millis("src_ts"), "kafka_partition", "kafka_offset")
@@ -65,8 +66,11 @@ def scd2_from_landing(landed: DataFrame, dedupe: bool = True, ts=None, **kw) ->
     """S2 over the card landing table (CDC8/CDC9 parse). Replayed log rows are
     dropped first (STR2) so a crash-replay cannot create zero-length
     versions; ``dedupe=False`` keeps them, as a plain append-only log would."""
-    if dedupe:
+    if dedupe and kw.get("carry_forward"):
         landed = dedupe_log(landed)
+    elif dedupe:
+        # replays share (card, src_ts, partition, offset): dropped in the SCD2 shuffle
+        kw["dedupe_by"] = ["kafka_partition", "kafka_offset"]
     return scd2(card_versions(landed), ts=ts, **kw)
 
 
