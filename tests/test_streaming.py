@@ -50,3 +50,14 @@ def test_streaming_fraud_sessions_smoke(spark, sf_dir, scratch):
     got = spark.table("rapid_sessions")
     assert set(got.columns) == {"card_id", "session_start", "session_end", "n_ops", "n_terminals"}
     assert got.filter(F.col("n_ops") < 3).count() == 0
+
+
+def test_dedupe_stream_drops_replays(spark, sf_dir, scratch):
+    src = os.path.join(scratch, "dup")
+    rec = B.card_change_records(spark, sf_dir)
+    rec.unionByName(rec).write.json(src)                 # every record twice
+    stream = landing.read_cdc_stream(spark, fmt="json", path=src, max_per_trigger=None)
+    q = (landing.dedupe_stream(stream, "1 day").writeStream.format("memory")
+         .queryName("deduped").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.table("deduped").count() == rec.count()

@@ -88,3 +88,22 @@ def test_islands_match_two_pass(spark):
     j = one.join(two, "id")
     assert j.count() == df.count()
     assert j.filter(F.col("isl") != F.col("e_isl")).count() == 0
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """A key holding 40 % of the rows lands in many shuffle partitions."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = _frame(spark, 6000, seed=3)
+        out = W.with_next(df, "k", ["t", "id"], ["t"], F.to_date("t"))
+        parts = (out.filter(F.col("k") == 0).select(F.spark_partition_id().alias("p"))
+                    .distinct().count())
+        assert parts >= 4
+        us = epoch_micros("t")
+        rng = W.range_window(df.withColumn("us", us), "k", "us", 3600 * 1_000_000,
+                             86400 * 1_000_000, {"n": lambda s: F.count(F.lit(1)).over(s)})
+        parts = (rng.filter(F.col("k") == 0).select(F.spark_partition_id().alias("p"))
+                    .distinct().count())
+        assert parts >= 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

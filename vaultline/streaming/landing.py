@@ -101,3 +101,11 @@ def drain(query: StreamingQuery, timeout_s: int | None = None) -> None:
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
     """Landing table without the bookkeeping partition column."""
     return spark.read.parquet(path).drop("batch_id")
+
+
+def dedupe_stream(stream: DataFrame, delay: str = "1 hour",
+                  keys=("topic", "partition", "offset"), time_col: str = "timestamp") -> DataFrame:
+    """STR2 on the stream itself: drop records replayed within ``delay`` of
+    event time (at-least-once producers), keeping only bounded state."""
+    t = stream.withColumn("__et", F.col(time_col).cast("timestamp")).withWatermark("__et", delay)
+    return t.dropDuplicatesWithinWatermark(list(keys)).drop("__et")
