@@ -63,14 +63,24 @@ def null_counts(df: DataFrame, table: str, cols: Iterable[str] | None = None,
         (F.col("column_name").isin(list(not_null)) & (F.col("null_count") > 0)).alias("violation"))
 
 
-def domain_violations(df: DataFrame, table: str, col: str, allowed: Sequence[str]) -> DataFrame:
-    """Q4: values outside the enum domain, with counts (NULLs are a NOT NULL
-    matter and are counted by ``null_counts``)."""
-    c = F.col(col)
-    return (df.filter(c.isNotNull() & ~c.isin(list(allowed)))
-              .groupBy(c.cast("string").alias("value")).agg(F.count("*").alias("n"))
-              .select(F.lit(table).alias("table_name"), F.lit(col).alias("column_name"),
-                      "value", "n"))
+def domain_violations(df: DataFrame, table: str, domains, allowed: Sequence[str] | None = None
+                      ) -> DataFrame:
+    """Q4: values outside their enum domain, with counts, for one or more
+    columns of a table in a single scan (``domains`` maps column -> allowed
+    values; or pass one column name and ``allowed``). NULLs are a NOT NULL
+    matter and are counted by ``null_counts``."""
+    if isinstance(domains, str):
+        domains = {domains: allowed}
+    cols = list(domains)
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]) \
+        .unpivot([], cols, "column_name", "value")
+    bad = None
+    for c, ok in domains.items():
+        cond = (F.col("column_name") == c) & ~F.col("value").isin(list(ok))
+        bad = cond if bad is None else bad | cond
+    return (long.filter(F.col("value").isNotNull() & bad)
+                .groupBy("column_name", "value").agg(F.count("*").alias("n"))
+                .select(F.lit(table).alias("table_name"), "column_name", "value", "n"))
 
 
 def length_violations(df: DataFrame, table: str, spec: dict[str, tuple[str, int]]) -> DataFrame:

@@ -388,10 +388,11 @@ def q_domain(spark, sf_dir):
     """Q4: enum domains of transactions, accounts, cards and the landed card states."""
     txn, acc, card = B.transaction(spark, sf_dir), B.account(spark, sf_dir), B.card(spark, sf_dir)
     versions = cdc.card_versions(landed_cards(spark, sf_dir))
-    return (quality.domain_violations(txn, "transaction", "txn_type", TXN_TYPES)
-            .unionByName(quality.domain_violations(txn, "transaction", "status", TXN_STATUSES))
-            .unionByName(quality.domain_violations(acc, "account", "status", ACCOUNT_STATUSES))
-            .unionByName(quality.domain_violations(acc, "account", "currency_code", CURRENCIES))
+    return (quality.domain_violations(txn, "transaction",
+                                      {"txn_type": TXN_TYPES, "status": TXN_STATUSES})
+            .unionByName(quality.domain_violations(acc, "account",
+                                                   {"status": ACCOUNT_STATUSES,
+                                                    "currency_code": CURRENCIES}))
             .unionByName(quality.domain_violations(card, "card", "status", CARD_STATUSES))
             .unionByName(quality.domain_violations(versions, "card_scd2", "status",
                                                    CARD_STATUSES)))
