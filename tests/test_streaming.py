@@ -61,3 +61,17 @@ def test_dedupe_stream_drops_replays(spark, sf_dir, scratch):
          .queryName("deduped").trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.table("deduped").count() == rec.count()
+
+
+def test_compact_landing_keeps_rows(spark, sf_dir, scratch):
+    src = os.path.join(scratch, "source")
+    B.cdc_records(spark, sf_dir).repartition(6).write.json(src)
+    _land(spark, src, scratch)
+    path = f"{scratch}/card"
+    before = sorted(tuple(r) for r in landing.read_landing(spark, path).collect())
+    last = spark.read.parquet(path).agg(F.max("batch_id")).first()[0]
+    landing.compact_landing(spark, path, upto_batch=last - 1)
+    after = sorted(tuple(r) for r in landing.read_landing(spark, path).collect())
+    assert after == before
+    files = [f for f in os.listdir(os.path.join(path, "batch_id=0")) if f.endswith(".parquet")]
+    assert len(files) == 1

@@ -109,3 +109,18 @@ def dedupe_stream(stream: DataFrame, delay: str = "1 hour",
     event time (at-least-once producers), keeping only bounded state."""
     t = stream.withColumn("__et", F.col(time_col).cast("timestamp")).withWatermark("__et", delay)
     return t.dropDuplicatesWithinWatermark(list(keys)).drop("__et")
+
+
+def compact_landing(spark: SparkSession, path: str, upto_batch: int,
+                    from_batch: int | None = None) -> None:
+    """Rewrite landed micro-batch partitions ``from_batch..upto_batch`` into
+    one file each (dynamic partition overwrite: only those ``batch_id``
+    partitions are replaced, at job commit). Batches above ``upto_batch`` --
+    the ones a running stream may still write -- are not touched. Each batch
+    is bounded by the stream's per-trigger limit, so one task per batch is
+    bounded too."""
+    df = spark.read.parquet(path).filter(F.col("batch_id") <= upto_batch)
+    if from_batch is not None:
+        df = df.filter(F.col("batch_id") >= from_batch)
+    (df.repartition("batch_id").write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
