@@ -116,3 +116,16 @@ def test_relational_helpers(spark):
     s1 = [r.id for r in relational.sample_k(nums, 5, 42, "id").collect()]
     s2 = [r.id for r in relational.sample_k(nums, 5, 42, "id").collect()]
     assert s1 == s2 and len(s1) == 5
+
+
+def test_connector_gauge(spark):
+    status = spark.createDataFrame([("txn", "RUNNING"), ("card", "FAILED")],
+                                   "connector string, state string")
+    m = monitoring.connector_metrics(status, ts="2025-01-01 00:00:00")
+    got = {r.labels: r.value for r in m.collect()}
+    assert got == {'{"connector":"txn"}': 1.0, '{"connector":"card"}': 0.0}
+    try:
+        monitoring.assert_connectors(m)
+        raise AssertionError("expected alert")
+    except RuntimeError as e:
+        assert "card" in str(e)

@@ -42,6 +42,27 @@ def lag_metrics(lag: DataFrame, group_id: str, ts=None) -> DataFrame:
     return per_part.unionByName(total)
 
 
+def connector_metrics(status: DataFrame, ts=None,
+                      metric: str = "cdc_connector_running") -> DataFrame:
+    """Connector gauge rows from a (connector, state) status frame (as polled
+    from a connector service): value 1.0 when the state is RUNNING, else 0.0,
+    labels {"connector": name}."""
+    return status.select(
+        load_ts(ts).alias("ts"), F.lit(metric).alias("metric"),
+        F.when(F.upper(F.col("state")) == "RUNNING", 1.0).otherwise(0.0).alias("value"),
+        F.to_json(F.struct(F.col("connector"))).alias("labels"))
+
+
+def assert_connectors(metrics: DataFrame, metric: str = "cdc_connector_running") -> None:
+    """Raise when a connector gauge is below 1 (after the rows were written).
+    Only the names of failing connectors reach the driver."""
+    down = [r["labels"] for r in metrics.filter((F.col("metric") == metric)
+                                                & (F.col("value") < 1.0)).select("labels")
+            .limit(100).collect()]
+    if down:
+        raise RuntimeError(f"connector not RUNNING: {', '.join(down)}")
+
+
 def write_metrics(store, metrics: DataFrame, table: str = "ctl_monitoring") -> None:
     """SNK6: append metric rows (ts, metric, value, labels) to the metrics table."""
     store.append(table, metrics.select("ts", "metric", "value", "labels"))
