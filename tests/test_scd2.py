@@ -64,3 +64,19 @@ def test_as_of_picks_valid_version(spark):
                                   "txn_id long, card_id long, txn_ts timestamp_ntz")
     got = {r.txn_id: r.status for r in scd2.as_of(facts, dim).collect()}
     assert got == {100: None, 101: "blocked", 102: "blocked", 103: "closed", 104: None}
+
+
+def test_incremental_equals_full_with_late_rows(spark):
+    t0 = D(2024, 1, 1)
+    rows = [(0, i, "u", k, "{}", _after(f"s{i}"), t0 + dt.timedelta(hours=i * (k + 1)))
+            for k in range(3) for i in range(5)]
+    old = _log(spark, rows)
+    dim = scd2.scd2_from_landing(old)
+    # new rows: one late change for card 0 (inside its history), one new card
+    new = _log(spark, [(0, 100, "u", 0, "{}", _after("late"), t0 + dt.timedelta(minutes=30)),
+                       (1, 101, "c", 9, "{}", _after("new"), t0 + dt.timedelta(days=3))])
+    full = scd2.scd2_from_landing(old.unionByName(new))
+    inc = scd2.scd2_incremental(dim, old.unionByName(new), new)
+    cols = [c for c in full.columns if c != "loaded_at"]
+    assert sorted(map(tuple, inc.select(cols).collect())) == \
+        sorted(map(tuple, full.select(cols).collect()))

@@ -740,3 +740,17 @@ def q_scd2_invariants(spark, sf_dir):
 def q_txn_rejects(spark, sf_dir):
     """T15: landed inserts whose txn_ts does not parse (none in the test data)."""
     return cdc.raw_transaction_cdc_rejects(landed_txns(spark, sf_dir))
+
+
+@query("scd2_incremental")
+def q_scd2_incremental(spark, sf_dir):
+    """S2 maintained incrementally: a dimension built from the log before the
+    cut, then only the cards touched by later rows rebuilt; equals the full build."""
+    landed = landed_cards(spark, sf_dir)
+    cut = ntz(PREVIOUS_RUN)
+    store = _store(spark, "scd2-incremental")
+    store.overwrite("ods_dim_card_scd2",
+                    scd2.scd2_from_landing(landed.filter(F.col("src_ts") < cut), ts=LOAD_TS))
+    dim = scd2.scd2_incremental(store.read("ods_dim_card_scd2"), landed,
+                                landed.filter(F.col("src_ts") >= cut), ts=LOAD_TS)
+    return render_valid_to(dim)

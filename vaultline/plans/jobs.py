@@ -82,15 +82,21 @@ def rebuild_fact(store: TableStore, ts=None) -> None:
 
 
 def run_cdc_models(store: TableStore, card_landing: DataFrame, txn_landing: DataFrame,
-                   ts=None, dedupe: bool = True) -> None:
+                   ts=None, dedupe: bool = True, new_card_rows: DataFrame | None = None) -> None:
     """CDC10 / STR5: recompute the CDC models from the landed log:
-    raw_transaction_cdc (delta + upsert on txn_id) and the card SCD2 (full
-    recompute, so late rows land in the right place)."""
+    raw_transaction_cdc (delta + upsert on txn_id) and the card SCD2. With
+    ``new_card_rows`` (the rows landed since the last run) only the cards they
+    touch are rebuilt (``scd2_incremental``); otherwise the SCD2 is fully
+    recomputed. Both place late rows correctly."""
     target = store.read("raw_transaction_cdc") if store.exists("raw_transaction_cdc") else None
     typed = cdc.raw_transaction_cdc(cdc.dedupe_log(txn_landing) if dedupe else txn_landing, ts=ts)
     store.upsert("raw_transaction_cdc", inc.delta(typed, target, "txn_id"), "txn_id")
-    store.overwrite("ods_dim_card_scd2", scd2.scd2_from_landing(card_landing, dedupe=dedupe, ts=ts),
-                    sort_by=["card_id", "valid_from"])
+    if new_card_rows is not None and store.exists("ods_dim_card_scd2"):
+        dim = scd2.scd2_incremental(store.read("ods_dim_card_scd2"), card_landing, new_card_rows,
+                                    ts=ts, dedupe=dedupe)
+    else:
+        dim = scd2.scd2_from_landing(card_landing, dedupe=dedupe, ts=ts)
+    store.overwrite("ods_dim_card_scd2", dim, sort_by=["card_id", "valid_from"])
 
 
 def read_fact(store: TableStore, start=None, end=None) -> DataFrame:

@@ -674,3 +674,4 @@ SQL["raw_transaction_cdc_rejects"] = with_("""
 SELECT CAST(txn_id % 3 AS INTEGER) AS kafka_partition, txn_id AS kafka_offset, txn_id,
        CAST(NULL AS VARCHAR) AS payload_after
 FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_ts IS NULL""", "bk_txn_ev")
+SQL["scd2_incremental"] = SQL["scd2_card"]
