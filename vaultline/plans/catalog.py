@@ -754,3 +754,17 @@ def q_scd2_incremental(spark, sf_dir):
     dim = scd2.scd2_incremental(store.read("ods_dim_card_scd2"), landed,
                                 landed.filter(F.col("src_ts") >= cut), ts=LOAD_TS)
     return render_valid_to(dim)
+
+
+@query("model_run")
+def q_model_run(spark, sf_dir):
+    """Model-driven path: stg reload -> raw by each table's own watermark ->
+    ods + fact; a first run on the older transactions, then the full source."""
+    store = _store(spark, "model-run")
+    sources = {"customer": B.customer(spark, sf_dir), "account": B.account(spark, sf_dir),
+               "card": B.card(spark, sf_dir), "terminal": B.terminal(spark, sf_dir)}
+    txn = B.transaction(spark, sf_dir)
+    jobs.run_models(store, {**sources, "transaction": txn.filter(F.col("txn_ts") <
+                                                                ntz(PREVIOUS_RUN))}, ts=LOAD_TS)
+    jobs.run_models(store, {**sources, "transaction": txn}, ts=LOAD_TS)
+    return store.read(jobs.FACT)

@@ -675,3 +675,4 @@ SELECT CAST(txn_id % 3 AS INTEGER) AS kafka_partition, txn_id AS kafka_offset, t
        CAST(NULL AS VARCHAR) AS payload_after
 FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_ts IS NULL""", "bk_txn_ev")
 SQL["scd2_incremental"] = SQL["scd2_card"]
+SQL["model_run"] = SQL["incremental_fact_run"]

@@ -39,15 +39,26 @@ def _as_list(x) -> list[str]:
 
 
 class TableStore:
+    """Versioned parquet tables under ``root``. Pointers read from the control
+    table are cached per store and updated by its own commits; call
+    ``refresh()`` to see commits made by other writers."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._cache: dict[str, tuple[str, str]] = {}
+
+    def refresh(self) -> None:
+        self._cache.clear()
 
     # ---------------------------------------------------------------- pointers
     def _ctl_path(self) -> str:
         return os.path.join(self.root, _CTL)
 
     def _pointer(self, name: str):
+        if name in self._cache:
+            version, schema_json = self._cache[name]
+            return {"version": version, "schema_json": schema_json}
         try:
             ctl = self.spark.read.parquet(self._ctl_path())
         except AnalysisException:
@@ -55,7 +66,10 @@ class TableStore:
         row = (ctl.filter(F.col("table_name") == name)
                   .agg(F.max_by(F.struct("version", "schema_json"), F.col("version")).alias("p"))
                   .first())
-        return row["p"] if row and row["p"] is not None else None
+        if not row or row["p"] is None:
+            return None
+        self._cache[name] = (row["p"]["version"], row["p"]["schema_json"])
+        return {"version": row["p"]["version"], "schema_json": row["p"]["schema_json"]}
 
     def current_version(self, name: str) -> str | None:
         p = self._pointer(name)
@@ -76,6 +90,7 @@ class TableStore:
             F.lit(schema.json()).alias("schema_json"),
             F.localtimestamp().alias("committed_at"))
         row.coalesce(1).write.mode("append").parquet(self._ctl_path())
+        self._cache[name] = (version, schema.json())
 
     @staticmethod
     def _new_version() -> str:
