@@ -13,16 +13,21 @@ be re-run after a crash at any point with the same result:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from vaultline.functions.columns import month_of, with_load_ts
+from vaultline.functions.columns import month_of, ntz, with_load_ts
 from vaultline.operators import cdc, facts, incremental as inc, scd2, staging
 from vaultline.schemas import CURSORS, PRIMARY_KEYS
 from vaultline.sinks.tables import TableStore
 from vaultline.sources.extract import extract_incremental, extract_snapshot
 
+_EPOCH = dt.datetime(1970, 1, 1)
 CTL_LOAD = "ctl_pg_load"
 FACT = "ods_fact_atm_transaction"
+FACT_REFRESH = "fact_refresh"
 
 
 def run_dim_load(store: TableStore, entity: str, source: DataFrame, ts=None) -> None:
@@ -47,7 +52,7 @@ def last_loaded_id(store: TableStore, process: str, table: str) -> int | None:
 
 
 def run_txn_load(store: TableStore, source_txn: DataFrame, process: str = "pg_to_dwh",
-                 ts=None, lookback: int | None = None) -> int:
+                 ts=None, lookback: int | None = None, incremental_fact: bool = True) -> int:
     """INC5: read watermark -> incremental extract -> stg -> raw upsert
     (month-partitioned, only touched months rewritten) -> save watermark ->
     rebuild the fact (always, even without new rows). Returns the new
@@ -68,11 +73,12 @@ def run_txn_load(store: TableStore, source_txn: DataFrame, process: str = "pg_to
     if new_last is not None:
         store.append(CTL_LOAD, inc.watermark_row(store.spark, process, "transaction", new_last,
                                                  ts))
-    rebuild_fact(store, ts)
+    refresh_fact(store, ts, incremental=incremental_fact)
     return new_last
 
 
-def run_models(store: TableStore, sources: dict[str, DataFrame], ts=None) -> None:
+def run_models(store: TableStore, sources: dict[str, DataFrame], ts=None,
+               incremental_fact: bool = True) -> None:
     """The model-driven path: full reload of every staging table, then each
     raw table takes the rows above its *own* high-watermark (updated_at for
     dimensions, txn_id for transactions; everything when empty) and upserts
@@ -91,7 +97,7 @@ def run_models(store: TableStore, sources: dict[str, DataFrame], ts=None) -> Non
             store.upsert(raw_name, batch, PRIMARY_KEYS[entity], order=[CURSORS[entity]])
             store.overwrite(f"ods_dim_{entity}",
                             staging.dimension(store.read(raw_name), entity, ts))
-    rebuild_fact(store, ts)
+    refresh_fact(store, ts, incremental=incremental_fact)
 
 
 def rebuild_fact(store: TableStore, ts=None) -> None:
@@ -103,6 +109,60 @@ def rebuild_fact(store: TableStore, ts=None) -> None:
                     partition_by="txn_month", sort_by="txn_id")
 
 
+def _now(ts=None) -> dt.datetime:
+    if ts is None:
+        return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return ts if isinstance(ts, dt.datetime) else dt.datetime.fromisoformat(str(ts))
+
+
+def refresh_fact(store: TableStore, ts=None, incremental: bool = True) -> None:
+    """Keep the fact equal to JN1 over the raw layer.
+
+    The first refresh (or ``incremental=False``) rebuilds it. Afterwards only
+    fact rows that can have changed are recomputed: transactions loaded since
+    the last refresh, and transactions of cards whose card, account or
+    customer row -- or of terminals whose row -- was loaded since then. They
+    are re-joined and upserted by txn_id into their month partitions, so
+    untouched months are not rewritten. The refresh mark is the load time
+    (injected ``ts`` or now, UTC), kept in the control table as epoch
+    microseconds; load times must not go backwards between runs.
+    """
+    now = _now(ts)
+    mark = last_loaded_id(store, FACT_REFRESH, FACT) if incremental and store.exists(FACT) \
+        else None
+    if mark is None:
+        rebuild_fact(store, ts)
+    else:
+        last = _EPOCH + dt.timedelta(microseconds=mark)
+        # rows of the last refresh's own run carry loaded_at == last and are
+        # already in the fact; only a caller re-using the same load time
+        # (now == last) needs them again
+        since = (F.col("loaded_at") > ntz(last)) if now > last else \
+            (F.col("loaded_at") >= ntz(last))
+        card, acc = store.read("raw_card"), store.read("raw_account")
+        cust, term = store.read("raw_customer"), store.read("raw_terminal")
+        txn = store.read("raw_transaction")
+        acc_hit = (acc.filter(since).select("account_id")
+                   .unionByName(acc.join(cust.filter(since).select("customer_id"),
+                                         "customer_id", "left_semi").select("account_id")))
+        card_hit = (card.filter(since).select("card_id")
+                    .unionByName(card.join(acc_hit, "account_id", "left_semi").select("card_id"))
+                    .distinct().withColumn("__card_hit", F.lit(True)))
+        term_hit = (term.filter(since).select("terminal_id").distinct()
+                    .withColumn("__term_hit", F.lit(True)))
+        # one pass over the transactions; the hit sets are broadcast when AQE
+        # measures them small (the usual case between two refreshes)
+        touched = (txn.join(card_hit, "card_id", "left").join(term_hit, "terminal_id", "left")
+                      .filter(since | F.col("__card_hit").isNotNull()
+                              | F.col("__term_hit").isNotNull())
+                      .select(*txn.columns))
+        rows = facts.fact_atm_transaction(touched, card, acc, cust, term, ts=ts) \
+            .withColumn("txn_month", month_of("txn_ts"))
+        store.upsert(FACT, rows, "txn_id", partition_by="txn_month")
+    micros = (now - _EPOCH) // dt.timedelta(microseconds=1)
+    store.append(CTL_LOAD, inc.watermark_row(store.spark, FACT_REFRESH, FACT, micros, ts))
+
+
 def run_cdc_models(store: TableStore, card_landing: DataFrame, txn_landing: DataFrame,
                    ts=None, dedupe: bool = True, new_card_rows: DataFrame | None = None) -> None:
     """CDC10 / STR5: recompute the CDC models from the landed log:

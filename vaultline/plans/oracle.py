@@ -676,3 +676,18 @@ SELECT CAST(txn_id % 3 AS INTEGER) AS kafka_partition, txn_id AS kafka_offset, t
 FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_ts IS NULL""", "bk_txn_ev")
 SQL["scd2_incremental"] = SQL["scd2_card"]
 SQL["model_run"] = SQL["incremental_fact_run"]
+SQL["fact_incremental_refresh"] = with_("""
+SELECT t.txn_id, t.txn_ts, CAST(t.amount AS DOUBLE) AS amount, t.currency_code,
+       cd.card_id, cd.card_number, ac.account_id, ac.account_number,
+       cu.customer_id, cu.city AS customer_city, te.terminal_id, te.city AS terminal_city,
+       t.txn_type, t.status,
+       CAST(year(t.txn_ts) * 100 + month(t.txn_ts) AS INTEGER) AS txn_month
+FROM loaded t
+LEFT JOIN raw_card cd ON cd.card_id = t.card_id
+LEFT JOIN raw_account ac ON ac.account_id = cd.account_id
+LEFT JOIN raw_customer cu ON cu.customer_id = ac.customer_id
+LEFT JOIN raw_terminal te ON te.terminal_id = t.terminal_id""",
+    "raw_txn", "raw_card", "raw_account", "raw_customer", "raw_terminal", extra={
+        "loaded": f"""SELECT * FROM raw_txn WHERE txn_ts < {PREVIOUS_RUN}
+                      OR txn_id > (SELECT coalesce(max(txn_id), 0) FROM raw_txn
+                                   WHERE txn_ts < {PREVIOUS_RUN})"""})
