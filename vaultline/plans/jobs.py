@@ -64,7 +64,9 @@ def run_txn_load(store: TableStore, source_txn: DataFrame, process: str = "pg_to
     store.overwrite("stg_transaction", with_load_ts(extract, "extracted_at", ts))
     stg = staging.stage(store.read("stg_transaction"), "transaction")
     batch = with_load_ts(stg, "loaded_at", ts).withColumn("txn_month", month_of("txn_ts"))
-    store.upsert("raw_transaction", batch, "txn_id", partition_by="txn_month")
+    # transactions are insert-only: a txn_id never changes month
+    store.upsert("raw_transaction", batch, "txn_id", partition_by="txn_month",
+                 stable_partitions=True)
     # raw = previous raw (max id = last) plus this batch, so the new watermark
     # comes from the small batch, not from a scan of the whole raw table
     batch_max = inc.read_high_watermark(stg, "txn_id")
@@ -92,7 +94,7 @@ def run_models(store: TableStore, sources: dict[str, DataFrame], ts=None,
         batch = with_load_ts(inc.delta(stg, target, CURSORS[entity]), "loaded_at", ts)
         if entity == "transaction":
             store.upsert(raw_name, batch.withColumn("txn_month", month_of("txn_ts")), "txn_id",
-                         partition_by="txn_month")
+                         partition_by="txn_month", stable_partitions=True)
         else:
             store.upsert(raw_name, batch, PRIMARY_KEYS[entity], order=[CURSORS[entity]])
             store.overwrite(f"ods_dim_{entity}",
@@ -158,7 +160,8 @@ def refresh_fact(store: TableStore, ts=None, incremental: bool = True) -> None:
                       .select(*txn.columns))
         rows = facts.fact_atm_transaction(touched, card, acc, cust, term, ts=ts) \
             .withColumn("txn_month", month_of("txn_ts"))
-        store.upsert(FACT, rows, "txn_id", partition_by="txn_month")
+        store.upsert(FACT, rows, "txn_id", partition_by="txn_month", sort_by="txn_id",
+                     stable_partitions=True)
     micros = (now - _EPOCH) // dt.timedelta(microseconds=1)
     store.append(CTL_LOAD, inc.watermark_row(store.spark, FACT_REFRESH, FACT, micros, ts))
 

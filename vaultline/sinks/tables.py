@@ -153,31 +153,39 @@ class TableStore:
         self._write(df, self.location(name), "append", partition_by, sort_by)
 
     def upsert(self, name: str, batch: DataFrame, keys, order: Sequence[str] | None = None,
-               partition_by: str | None = None) -> None:
+               partition_by: str | None = None, sort_by=None,
+               stable_partitions: bool = False) -> None:
         """INC2 on a stored table.
 
         Unpartitioned: merged result written as a new version. Partitioned:
         only partitions holding a batch row or a replaced key are rewritten
         (dynamic partition overwrite); the list of touched partition values is
         the only thing collected and is bounded by the partition count.
+        ``stable_partitions`` declares that a key never moves between
+        partitions (e.g. a transaction's month), so the touched partitions are
+        those of the batch alone and the target's keys need not be scanned.
+        Rewritten partitions keep the ``sort_by`` layout.
         """
         keys = _as_list(keys)
         if order:
             batch = latest_per_key(batch, keys, order)
         if not self.exists(name):
-            self.overwrite(name, batch, partition_by)
+            self.overwrite(name, batch, partition_by, sort_by)
             return
         target = self.read(name)
         batch = batch.select(*target.columns)
         if partition_by is None:
-            self.overwrite(name, _upsert(target, batch, keys))
+            self.overwrite(name, _upsert(target, batch, keys), sort_by=sort_by)
             return
-        hit = target.join(batch.select(*keys), keys, "left_semi").select(partition_by)
-        touched = [r[0] for r in batch.select(partition_by).union(hit).distinct().collect()]
+        parts = batch.select(partition_by)
+        if not stable_partitions:
+            parts = parts.union(
+                target.join(batch.select(*keys), keys, "left_semi").select(partition_by))
+        touched = [r[0] for r in parts.distinct().collect()]
         if not touched:
             return
         scoped = target.filter(F.col(partition_by).isin(touched))
-        merged = _upsert(scoped, batch, keys)
+        merged = self._layout(_upsert(scoped, batch, keys), [partition_by], _as_list(sort_by))
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(partition_by).parquet(self.location(name)))
 
