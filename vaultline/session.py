@@ -53,7 +53,8 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "vaultline") -> SparkSession:
+                  app: str = "vaultline", extra_conf: dict[str, str] | None = None
+                  ) -> SparkSession:
     """A local session for tests and the benchmark (UI off)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -63,7 +64,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in RECOMMENDED_CONF.items():
+    for k, v in {**RECOMMENDED_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
