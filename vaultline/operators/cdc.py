@@ -103,7 +103,8 @@ def land_transactions(decoded: DataFrame, ts=None) -> DataFrame:
     key NULL dropped, ``payload_after`` = after, else before, else '{}'."""
     d = decoded.filter(F.col("decoded") & (topic_kind() == "transaction")
                        & F.col("op").isNotNull() & F.col("op").isin(list(ALLOWED_OPS_TXN)))
-    d = d.withColumn("txn_id", _key("before", "after", "txn_id")).filter(F.col("txn_id").isNotNull())
+    d = parse_once(d, _key("before", "after", "txn_id"), "txn_id").filter(
+        F.col("txn_id").isNotNull())
     return d.select(
         F.col("partition").cast("int").alias("kafka_partition"),
         F.col("offset").cast("long").alias("kafka_offset"),
@@ -116,7 +117,8 @@ def land_cards(decoded: DataFrame, ts=None) -> DataFrame:
     """CDC2-CDC5 for the card topic (full r/c/u/d change set)."""
     d = decoded.filter(F.col("decoded") & (topic_kind() == "card")
                        & F.col("op").isNotNull() & F.col("op").isin(list(ALLOWED_OPS_CARD)))
-    d = d.withColumn("card_id", _key("before", "after", "card_id")).filter(F.col("card_id").isNotNull())
+    d = parse_once(d, _key("before", "after", "card_id"), "card_id").filter(
+        F.col("card_id").isNotNull())
     return d.select(
         F.col("partition").cast("int").alias("kafka_partition"),
         F.col("offset").cast("long").alias("kafka_offset"),
