@@ -129,3 +129,16 @@ def test_connector_gauge(spark):
         raise AssertionError("expected alert")
     except RuntimeError as e:
         assert "card" in str(e)
+
+
+def test_source_defaults(spark):
+    from vaultline.operators.staging import apply_defaults
+    df = spark.createDataFrame([(1, None, None, None), (2, "closed", 5.0, True)],
+                               "account_id long, status string, daily_transfer_limit double, "
+                               "is_deleted boolean")
+    out = {r.account_id: r for r in apply_defaults(df, "account", ts="2025-01-01 00:00:00")
+           .collect()}
+    assert (out[1].status, out[1].daily_transfer_limit, out[1].is_deleted) == \
+        ("active", 100000.0, False)
+    assert (out[2].status, out[2].daily_transfer_limit, out[2].is_deleted) == ("closed", 5.0, True)
+    assert out[1].opened_at == D(2025, 1, 1)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.functions.columns import with_load_ts
-from vaultline.schemas import AUDIT_COLUMNS, SOURCE_COLUMNS
+from vaultline.functions.columns import load_ts, with_load_ts
+from vaultline.schemas import AUDIT_COLUMNS, SOURCE_COLUMNS, SOURCE_DEFAULTS
 
 
 def stage(df: DataFrame, entity: str) -> DataFrame:
@@ -35,6 +35,18 @@ def stg_transaction(df: DataFrame) -> DataFrame:
     return stage(df, "transaction")
 
 
+def apply_defaults(df: DataFrame, entity: str, ts=None) -> DataFrame:
+    """Insert-time column defaults of the source schema: NULL (or missing)
+    columns with a declared default get it; ``now`` is the load time."""
+    out = df
+    for col, value in SOURCE_DEFAULTS[entity].items():
+        v = load_ts(ts) if value == "now" else F.lit(value)
+        if col in out.columns:
+            v = F.coalesce(F.col(col), v.cast(out.schema[col].dataType))
+        out = out.withColumn(col, v)
+    return out
+
+
 def dimension(df: DataFrame, entity: str, ts=None) -> DataFrame:
     """PRJ2: ods dimension = raw columns minus audit columns, plus ``loaded_at``."""
     cols = [c for c in SOURCE_COLUMNS[entity] if c not in AUDIT_COLUMNS]

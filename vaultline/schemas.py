@@ -38,6 +38,18 @@ ACCOUNT_NUMBER_MAX_LEN = 34
 CARD_NUMBER_MAX_LEN = 16
 AMOUNT_PRECISION, AMOUNT_SCALE = 18, 2
 
+# column defaults of the source schema applied on insert ("now" = load time)
+SOURCE_DEFAULTS = {
+    "customer": {"created_at": "now", "updated_at": "now", "is_deleted": False},
+    "account": {"opened_at": "now", "status": "active", "daily_transfer_limit": 100000,
+                "created_at": "now", "updated_at": "now", "is_deleted": False},
+    "card": {"status": "active", "opened_at": "now", "created_at": "now", "updated_at": "now",
+             "is_deleted": False},
+    "terminal": {"created_at": "now", "updated_at": "now", "is_working": True,
+                 "is_deleted": False},
+    "transaction": {"txn_ts": "now"},
+}
+
 # ---------------------------------------------------------------------------
 # Column lists of the layers
 # ---------------------------------------------------------------------------
