@@ -75,3 +75,24 @@ def test_compact_landing_keeps_rows(spark, sf_dir, scratch):
     assert after == before
     files = [f for f in os.listdir(os.path.join(path, "batch_id=0")) if f.endswith(".parquet")]
     assert len(files) == 1
+
+
+def test_stateful_rapid_withdrawals_equal_batch(spark, sf_dir, scratch):
+    from vaultline.operators import fraud
+    from vaultline.streaming.fraud import rapid_withdrawals_stream, write_in_time_order
+    txn = B.transaction(spark, sf_dir)
+    src = os.path.join(scratch, "txn_by_day")
+    write_in_time_order(txn, src, unit="day")
+    schema = txn.schema
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    out = rapid_withdrawals_stream(stream, window_s=6 * 3600, watermark="1 day")
+    q = (out.writeStream.format("memory").queryName("rapid_stream").outputMode("append")
+            .option("checkpointLocation", os.path.join(scratch, "ckpt"))
+            .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("rapid_stream")
+    expect = fraud.rapid_withdrawals(txn, 6 * 3600)
+    cols = ["txn_id", "card_id", "txn_ts", "n_ops", "n_terminals"]
+    assert got.count() == expect.count()
+    assert got.select(cols).exceptAll(expect.select(cols)).count() == 0

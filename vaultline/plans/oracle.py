@@ -691,3 +691,4 @@ LEFT JOIN raw_terminal te ON te.terminal_id = t.terminal_id""",
         "loaded": f"""SELECT * FROM raw_txn WHERE txn_ts < {PREVIOUS_RUN}
                       OR txn_id > (SELECT coalesce(max(txn_id), 0) FROM raw_txn
                                    WHERE txn_ts < {PREVIOUS_RUN})"""})
+SQL["rapid_withdrawals_stream"] = SQL["rapid_withdrawals"]

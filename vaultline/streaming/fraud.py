@@ -28,3 +28,81 @@ def rapid_withdrawal_sessions_stream(txn: DataFrame, gap: str = "15 minutes",
                      F.col("session.start").cast("timestamp_ntz").alias("session_start"),
                      F.col("session.end").cast("timestamp_ntz").alias("session_end"),
                      "n_ops", "n_terminals"))
+
+
+_RAPID_OUT = ("txn_id long, card_id long, txn_ts timestamp_ntz, n_ops long, n_terminals int")
+_RAPID_STATE = "ts array<long>, tid array<long>, term array<long>"
+
+
+def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
+                             min_terminals: int = 2, watermark: str = "1 hour") -> DataFrame:
+    """FRD1 on a stream with the batch detector's range-frame rule.
+
+    A custom stateful operator (``applyInPandasWithState``, Arrow batches per
+    card): the state of a card is its withdrawals of the last ``window_s``
+    seconds, so it stays bounded; each arriving withdrawal is flagged when its
+    trailing window holds ``min_ops`` withdrawals on ``min_terminals``
+    terminals. Idle cards are dropped once the event-time watermark passes
+    their last withdrawal plus the window. For rows arriving in event-time
+    order the output equals ``operators.fraud.rapid_withdrawals``.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    width_us = window_s * 1_000_000
+    w = (txn.filter(F.col("txn_type") == "atm_withdrawal")
+            .select("txn_id", "card_id", "txn_ts", "terminal_id",
+                    F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00")
+                                     .cast("timestamp_ntz"), F.col("txn_ts")).alias("t_us"),
+                    F.col("txn_ts").cast("timestamp").alias("event_time"))
+            .withWatermark("event_time", watermark))
+
+    def flag(key, batches, state):
+        import numpy as np
+        import pandas as pd
+
+        if state.hasTimedOut:
+            state.remove()
+            return
+        new = pd.concat(list(batches), ignore_index=True).sort_values(["t_us", "txn_id"])
+        if state.exists:
+            ts, tid, term = state.get
+            old = pd.DataFrame({"t_us": np.asarray(ts, dtype="int64"),
+                                "txn_id": np.asarray(tid, dtype="int64"),
+                                "terminal_id": pd.array(term, dtype="Int64")})
+        else:
+            old = pd.DataFrame({"t_us": np.array([], dtype="int64"),
+                                "txn_id": np.array([], dtype="int64"),
+                                "terminal_id": pd.array([], dtype="Int64")})
+        hist = pd.concat([old, new[["t_us", "txn_id", "terminal_id"]]
+                          .astype({"terminal_id": "Int64"})], ignore_index=True) \
+            .sort_values(["t_us", "txn_id"], kind="mergesort").reset_index(drop=True)
+        t = hist["t_us"].to_numpy()
+        lo = np.searchsorted(t, new["t_us"].to_numpy() - width_us, side="left")
+        hi = np.searchsorted(t, new["t_us"].to_numpy(), side="right")   # peers included
+        terms = hist["terminal_id"]
+        n_ops = hi - lo
+        n_terms = np.array([terms.iloc[a:b].dropna().nunique() for a, b in zip(lo, hi)],
+                           dtype="int32")
+        out = new.assign(n_ops=n_ops.astype("int64"), n_terminals=n_terms)
+        out = out[(out.n_ops >= min_ops) & (out.n_terminals >= min_terminals)]
+        keep = hist[hist["t_us"] >= t.max() - width_us]
+        state.update((keep["t_us"].tolist(), keep["txn_id"].tolist(),
+                      [None if pd.isna(v) else int(v) for v in keep["terminal_id"]]))
+        state.setTimeoutTimestamp(int(t.max() // 1000 + window_s * 1000) + 1)
+        if len(out):
+            yield out[["txn_id", "card_id", "txn_ts", "n_ops", "n_terminals"]]
+
+    return w.groupBy("card_id").applyInPandasWithState(
+        flag, _RAPID_OUT, _RAPID_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def write_in_time_order(df: DataFrame, path: str, ts_col: str = "txn_ts",
+                        unit: str = "week") -> None:
+    """Write ``df`` as one file folder per ``unit`` of event time, oldest
+    first, so a file stream (which orders files by modification time) replays
+    it in event-time order. Only the list of periods reaches the driver."""
+    period = F.date_trunc(unit, F.col(ts_col))
+    starts = [r[0] for r in df.select(period.alias("p")).distinct().orderBy("p").collect()]
+    for i, start in enumerate(starts):
+        (df.filter(period == F.lit(start)).sortWithinPartitions(ts_col).coalesce(1)
+           .write.mode("append").parquet(f"{path}/part={i:05d}"))
