@@ -96,3 +96,22 @@ def test_stateful_rapid_withdrawals_equal_batch(spark, sf_dir, scratch):
     cols = ["txn_id", "card_id", "txn_ts", "n_ops", "n_terminals"]
     assert got.count() == expect.count()
     assert got.select(cols).exceptAll(expect.select(cols)).count() == 0
+
+
+def test_stream_maintains_cdc_models(spark, sf_dir, scratch):
+    from vaultline.operators import scd2
+    from vaultline.sinks.tables import TableStore
+    src = os.path.join(scratch, "source")
+    B.cdc_records(spark, sf_dir).repartition(4).write.json(src)
+    store = TableStore(spark, os.path.join(scratch, "wh"))
+    stream = landing.read_cdc_stream(spark, fmt="json", path=src, max_per_trigger=1)
+    q = landing.start_cdc_models(stream, store, os.path.join(scratch, "landing"),
+                                 os.path.join(scratch, "_ckpt"), ts="2025-01-01 00:00:00")
+    q.awaitTermination()
+    landed = landing.read_landing(spark, os.path.join(scratch, "landing", "stg_cdc_card"))
+    full = scd2.scd2_from_landing(landed, ts="2025-01-01 00:00:00")
+    got = store.read("ods_dim_card_scd2")
+    cols = [c for c in full.columns if c != "loaded_at"]
+    assert got.select(cols).exceptAll(full.select(cols)).count() == 0
+    assert full.select(cols).exceptAll(got.select(cols)).count() == 0
+    assert store.read("raw_transaction_cdc").count() > 0

@@ -124,3 +124,25 @@ def compact_landing(spark: SparkSession, path: str, upto_batch: int,
         df = df.filter(F.col("batch_id") >= from_batch)
     (df.repartition("batch_id").write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
+def start_cdc_models(stream: DataFrame, store, root: str, checkpoint: str,
+                     available_now: bool = True, processing_time: str = "10 minutes",
+                     ts=None) -> StreamingQuery:
+    """STR1 + STR5 wired together: land each micro-batch under ``root`` and
+    then bring the CDC models in ``store`` up to date. The SCD2 is
+    maintained incrementally from the cards touched by the batch just landed
+    (its ``batch_id`` partition); raw_transaction_cdc takes the new inserts."""
+    from vaultline.plans.jobs import run_cdc_models
+
+    card_path, txn_path = f"{root}/stg_cdc_card", f"{root}/stg_cdc_transaction"
+
+    def models(spark: SparkSession, batch_id: int) -> None:
+        cards = read_landing(spark, card_path)
+        new = spark.read.parquet(card_path).filter(F.col("batch_id") == batch_id).drop("batch_id")
+        run_cdc_models(store, cards, read_landing(spark, txn_path), ts=ts, new_card_rows=new)
+
+    return start_landing(stream, card_path, txn_path, checkpoint,
+                         reject_path=f"{root}/cdc_rejects", available_now=available_now,
+                         processing_time=None if available_now else processing_time, ts=ts,
+                         after_batch=models)
