@@ -142,3 +142,13 @@ def test_source_defaults(spark):
         ("active", 100000.0, False)
     assert (out[2].status, out[2].daily_transfer_limit, out[2].is_deleted) == ("closed", 5.0, True)
     assert out[1].opened_at == D(2025, 1, 1)
+
+
+def test_soft_close_is_seen_by_incremental_delta(spark):
+    """T5: closing a card moves its updated_at, so the next delta extracts it."""
+    from vaultline.operators import incremental as inc
+    cards = _cards(spark)
+    closed = lifecycle.close_cards(cards, spark.createDataFrame([(4,)], "card_id long"),
+                                   ts="2024-02-01 00:00:00")
+    got = [r.card_id for r in inc.delta(closed, cards, "updated_at").collect()]
+    assert got == [4]
