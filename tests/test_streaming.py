@@ -86,7 +86,7 @@ def test_stateful_rapid_withdrawals_equal_batch(spark, sf_dir, scratch):
     schema = txn.schema
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(src))
-    out = rapid_withdrawals_stream(stream, window_s=6 * 3600, watermark="1 day")
+    out = rapid_withdrawals_stream(stream, window_s=6 * 3600, lateness_s=86400)
     q = (out.writeStream.format("memory").queryName("rapid_stream").outputMode("append")
             .option("checkpointLocation", os.path.join(scratch, "ckpt"))
             .trigger(availableNow=True).start())
@@ -115,3 +115,30 @@ def test_stream_maintains_cdc_models(spark, sf_dir, scratch):
     assert got.select(cols).exceptAll(full.select(cols)).count() == 0
     assert full.select(cols).exceptAll(got.select(cols)).count() == 0
     assert store.read("raw_transaction_cdc").count() > 0
+
+
+def test_stateful_rapid_withdrawals_late_rows(spark, sf_dir, scratch):
+    """A day delivered late (within the lateness) is still judged on its full
+    trailing window."""
+    from vaultline.operators import fraud
+    from vaultline.streaming.fraud import rapid_withdrawals_stream
+    txn = B.transaction(spark, sf_dir)
+    flagged = fraud.rapid_withdrawals(txn, 6 * 3600)
+    day = (flagged.groupBy(F.to_date("txn_ts").alias("d")).count()
+           .orderBy(F.desc("count"), "d").first()["d"])
+    late_day = F.to_date("txn_ts") == F.lit(day)
+    src = os.path.join(scratch, "src")
+    txn.filter(~late_day).coalesce(1).write.parquet(f"{src}/p=0")
+    txn.filter(late_day).coalesce(1).write.parquet(f"{src}/p=1")     # arrives afterwards
+    stream = (spark.readStream.schema(txn.schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    out = rapid_withdrawals_stream(stream, window_s=6 * 3600, lateness_s=40 * 86400)
+    q = (out.writeStream.format("memory").queryName("rapid_late").outputMode("append")
+            .option("checkpointLocation", os.path.join(scratch, "ckpt"))
+            .trigger(availableNow=True).start())
+    q.awaitTermination()
+    cols = ["txn_id", "card_id", "txn_ts", "n_ops", "n_terminals"]
+    got = spark.table("rapid_late").filter(late_day).select(cols)
+    expect = flagged.filter(late_day).select(cols)
+    assert expect.count() > 0
+    assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0

@@ -800,7 +800,7 @@ def q_rapid_stream(spark, sf_dir):
     write_in_time_order(txn, f"{root}/source", unit="week")
     stream = (spark.readStream.schema(txn.schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(f"{root}/source"))
-    out = rapid_withdrawals_stream(stream, window_s=RAPID_WINDOW_S, watermark="1 day")
+    out = rapid_withdrawals_stream(stream, window_s=RAPID_WINDOW_S, lateness_s=86400)
     q = (out.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", f"{root}/_checkpoint")
             .trigger(availableNow=True).start(f"{root}/flags"))

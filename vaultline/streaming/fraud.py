@@ -35,20 +35,25 @@ _RAPID_STATE = "ts array<long>, tid array<long>, term array<long>"
 
 
 def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
-                             min_terminals: int = 2, watermark: str = "1 hour") -> DataFrame:
+                             min_terminals: int = 2, lateness_s: int = 3600) -> DataFrame:
     """FRD1 on a stream with the batch detector's range-frame rule.
 
     A custom stateful operator (``applyInPandasWithState``, Arrow batches per
-    card): the state of a card is its withdrawals of the last ``window_s``
-    seconds, so it stays bounded; each arriving withdrawal is flagged when its
-    trailing window holds ``min_ops`` withdrawals on ``min_terminals``
-    terminals. Idle cards are dropped once the event-time watermark passes
-    their last withdrawal plus the window. For rows arriving in event-time
-    order the output equals ``operators.fraud.rapid_withdrawals``.
+    card): the state of a card is its withdrawals of the last ``window_s`` +
+    ``lateness_s`` seconds, so it stays bounded; each arriving withdrawal is
+    flagged when its trailing window holds ``min_ops`` withdrawals on
+    ``min_terminals`` terminals. A row up to ``lateness_s`` late is still
+    evaluated against its full window (rows already emitted are not revised:
+    append mode); later rows are dropped by the watermark. Idle cards are
+    dropped once the watermark passes their last withdrawal plus the window.
+    For rows arriving in event-time order the output equals
+    ``operators.fraud.rapid_withdrawals``.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     width_us = window_s * 1_000_000
+    keep_us = (window_s + lateness_s) * 1_000_000
+    watermark = f"{lateness_s} seconds"
     w = (txn.filter(F.col("txn_type") == "atm_withdrawal")
             .select("txn_id", "card_id", "txn_ts", "terminal_id",
                     F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00")
@@ -85,7 +90,7 @@ def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: i
                            dtype="int32")
         out = new.assign(n_ops=n_ops.astype("int64"), n_terminals=n_terms)
         out = out[(out.n_ops >= min_ops) & (out.n_terminals >= min_terminals)]
-        keep = hist[hist["t_us"] >= t.max() - width_us]
+        keep = hist[hist["t_us"] >= t.max() - keep_us]
         state.update((keep["t_us"].tolist(), keep["txn_id"].tolist(),
                       [None if pd.isna(v) else int(v) for v in keep["terminal_id"]]))
         state.setTimeoutTimestamp(int(t.max() // 1000 + window_s * 1000) + 1)
