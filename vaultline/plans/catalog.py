@@ -292,8 +292,11 @@ def q_cdc_dedupe(spark, sf_dir):
 
 @query("raw_transaction_cdc")
 def q_raw_txn_cdc(spark, sf_dir):
-    """CDC7 + INC1/INC2: typed inserts; a first run then an incremental run."""
-    landed = landed_txns(spark, sf_dir)
+    """CDC7 + INC1/INC2: typed inserts from the stored landing table; a first
+    run then an incremental run."""
+    store = _store(spark, "raw-txn-cdc")
+    store.overwrite("stg_cdc_transaction", landed_txns(spark, sf_dir))
+    landed = store.read("stg_cdc_transaction")
     first = cdc.raw_transaction_cdc(landed.filter(F.col("src_ts") < ntz(PREVIOUS_RUN)),
                                     ts=LOAD_TS)
     batch = inc.delta(cdc.raw_transaction_cdc(landed, ts=LOAD_TS), first, "txn_id")
