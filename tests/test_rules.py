@@ -152,3 +152,13 @@ def test_soft_close_is_seen_by_incremental_delta(spark):
                                    ts="2024-02-01 00:00:00")
     got = [r.card_id for r in inc.delta(closed, cards, "updated_at").collect()]
     assert got == [4]
+
+
+def test_small_helpers(spark):
+    from vaultline.operators.cdc import filter_ops
+    from vaultline.session import cluster_conf
+    df = spark.createDataFrame([("c",), ("u",), ("x",)], "op string")
+    assert sorted(r.op for r in filter_ops(df, ("c", "u")).collect()) == ["c", "u"]
+    conf = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=8)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert conf["spark.sql.adaptive.enabled"] == "true"

@@ -81,7 +81,3 @@ def hash_key(*cols) -> Column:
     return F.md5(F.concat_ws("|", *[(F.col(c) if isinstance(c, str) else c).cast("string")
                                    for c in cols]))
 
-
-def as_text(col) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("string")

@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultline.functions.columns import load_ts
 from vaultline.operators.incremental import latest_per_key, upsert as _upsert
 
 _CTL = "_ctl/table_versions"
@@ -212,6 +211,3 @@ def with_month(df: DataFrame, ts_col: str = "txn_ts", name: str = "txn_month") -
     from vaultline.functions.columns import month_of
     return df.withColumn(name, month_of(ts_col))
 
-
-def stamp(df: DataFrame, name: str = "loaded_at", ts=None) -> DataFrame:
-    return df.withColumn(name, load_ts(ts))
