@@ -129,3 +129,18 @@ def test_read_fact_range_and_drain(spark, sf_dir, scratch):
     landing.drain(q)
     assert not q.isActive
     assert landing.read_landing(spark, f"{scratch}/c").count() > 0
+
+
+def test_empty_source_runs(spark, sf_dir, scratch):
+    """A first run with no transactions and a later run with none new keep
+    consistent (empty, then unchanged) tables and watermarks."""
+    store = TableStore(spark, scratch)
+    _dims(spark, sf_dir, store)
+    txn = B.transaction(spark, sf_dir)
+    assert jobs.run_txn_load(store, txn.filter(F.lit(False)), ts=TS) is None
+    assert store.read(jobs.FACT).count() == 0
+    last = jobs.run_txn_load(store, txn, ts="2025-01-02 00:00:00")
+    n = store.read(jobs.FACT).count()
+    assert n == txn.count()
+    assert jobs.run_txn_load(store, txn.filter(F.lit(False)), ts="2025-01-03 00:00:00") == last
+    assert store.read(jobs.FACT).count() == n
