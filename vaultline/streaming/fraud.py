@@ -84,9 +84,10 @@ def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: i
         t = hist["t_us"].to_numpy()
         lo = np.searchsorted(t, new["t_us"].to_numpy() - width_us, side="left")
         hi = np.searchsorted(t, new["t_us"].to_numpy(), side="right")   # peers included
-        terms = hist["terminal_id"].fillna(-1).to_numpy(dtype="int64")   # -1: no terminal
+        has_term = hist["terminal_id"].notna().to_numpy()
+        terms = hist["terminal_id"].fillna(0).to_numpy(dtype="int64")
         n_ops = hi - lo
-        n_terms = np.fromiter((np.unique(terms[a:b][terms[a:b] >= 0]).size
+        n_terms = np.fromiter((np.unique(terms[a:b][has_term[a:b]]).size
                                for a, b in zip(lo, hi)), dtype="int32", count=len(lo))
         out = new.assign(n_ops=n_ops.astype("int64"), n_terminals=n_terms)
         out = out[(out.n_ops >= min_ops) & (out.n_terminals >= min_terminals)]
