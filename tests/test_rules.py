@@ -162,3 +162,23 @@ def test_small_helpers(spark):
     conf = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=8)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert conf["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_rapid_withdrawals_events_equal_frame_on_dense_ties(spark):
+    import random
+    rnd = random.Random(11)
+    base = D(2024, 1, 1, 22)
+    rows = []
+    for i in range(3000):
+        card = 1 if rnd.random() < 0.5 else rnd.randint(2, 20)          # dense hot card
+        t = base + dt.timedelta(minutes=rnd.randint(0, 8 * 60))          # many exact ties
+        term = None if rnd.random() < 0.1 else rnd.randint(1, 4)
+        typ = "atm_withdrawal" if rnd.random() < 0.8 else "atm_deposit"
+        rows.append((i, card, term, t, Decimal(100), "RUB", typ, "approved"))
+    txn = spark.createDataFrame(rows, TXN)
+    cols = ["txn_id", "card_id", "txn_ts", "n_ops", "n_terminals"]
+    for w in (15 * 60, 3600):
+        a = fraud.rapid_withdrawals(txn, w).select(cols)
+        b = fraud.rapid_withdrawals(txn, w, method="events").select(cols)
+        assert a.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

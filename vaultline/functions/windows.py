@@ -131,25 +131,35 @@ def with_next(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str],
     return _drop(d, gk, gb, "__rn", "__cnt", "__carry")
 
 
-def with_running_sum(df: DataFrame, keys, order: Sequence[str], col: str | Column,
-                     bucket: Column, name: str) -> DataFrame:
-    """Running ``sum(col)`` (rows unbounded preceding .. current row)."""
+def with_running_sum(df: DataFrame, keys, order: Sequence[str], col, bucket: Column,
+                     name) -> DataFrame:
+    """Running ``sum(col)`` (rows unbounded preceding .. current row). ``col``
+    and ``name`` may be lists to compute several sums in the same pass."""
     keys, order = _as_list(keys), list(order)
-    val = F.col(col) if isinstance(col, str) else col
-    d, gk, gb = _groups(df.withColumn("__v", val), keys, bucket)
+    cols = col if isinstance(col, (list, tuple)) else [col]
+    names = _as_list(name)
+    vals = [F.col(c) if isinstance(c, str) else c for c in cols]
+    d = df
+    for i, v in enumerate(vals):
+        d = d.withColumn(f"__v{i}", v)
+    d, gk, gb = _groups(d, keys, bucket)
     g = gk + gb
     w = Window.partitionBy(*g).orderBy(*order)
-    d = (d.withColumn(name, F.sum("__v").over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-          .withColumn("__rn", F.row_number().over(w))
-          .withColumn("__tot", F.sum("__v").over(Window.partitionBy(*g))))
-    tot = d.filter(F.col("__rn") == 1).select(*g, "__tot")
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("__rn", F.row_number().over(w))
+    for i, n in enumerate(names):
+        d = (d.withColumn(n, F.sum(f"__v{i}").over(run))
+              .withColumn(f"__tot{i}", F.sum(f"__v{i}").over(Window.partitionBy(*g))))
+    tot = d.filter(F.col("__rn") == 1).select(*g, *[f"__tot{i}" for i in range(len(names))])
     wb = (Window.partitionBy(*gk).orderBy(*_bucket_order(gb))
           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = tot.select(*g, F.coalesce(F.sum("__tot").over(wb), F.lit(0)).alias("__carry"))
+    carry = tot.select(*g, *[F.coalesce(F.sum(f"__tot{i}").over(wb), F.lit(0))
+                             .alias(f"__carry{i}") for i in range(len(names))])
     d = d.join(carry, on=g, how="left")
-    d = d.withColumn(name, F.col(name) + F.coalesce(F.col("__carry"), F.lit(0)))
-    return _drop(d, gk, gb, "__v", "__rn", "__tot", "__carry")
+    for i, n in enumerate(names):
+        d = d.withColumn(n, F.col(n) + F.coalesce(F.col(f"__carry{i}"), F.lit(0)))
+    extra = ["__rn"] + [f"__{p}{i}" for i in range(len(names)) for p in ("v", "tot", "carry")]
+    return _drop(d, gk, gb, *extra)
 
 
 def with_row_number(df: DataFrame, keys, order: Sequence[str], bucket: Column,

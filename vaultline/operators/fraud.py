@@ -21,11 +21,23 @@ def _withdrawals(txn: DataFrame) -> DataFrame:
 
 
 def rapid_withdrawals(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
-                      min_terminals: int = 2, key: str = "card_id") -> DataFrame:
+                      min_terminals: int = 2, key: str = "card_id",
+                      method: str = "frame") -> DataFrame:
     """FRD1: withdrawals ending a burst on one card: within the trailing
     ``window_s`` seconds (inclusive range frame, ties included) there are at
     least ``min_ops`` withdrawals on at least ``min_terminals`` distinct
-    terminals. Output: txn_id, card_id, txn_ts, n_ops, n_terminals."""
+    terminals. Output: txn_id, card_id, txn_ts, n_ops, n_terminals.
+
+    ``method='frame'``: range-frame window per (card, day) with a halo copy
+    of each day's last window into the next day. One shuffle, but Spark
+    re-aggregates a sliding frame per row, so the cost per row is the number
+    of the card's withdrawals inside its window.
+    ``method='events'``: the same counts as running sums of interval
+    start/end events (see ``_rapid_by_events``): linear whatever the density
+    of a card's withdrawals, at the price of more shuffled rows.
+    """
+    if method == "events":
+        return _rapid_by_events(txn, window_s, min_ops, min_terminals, key)
     width = window_s * US
     w = (_withdrawals(txn).select("txn_id", key, "txn_ts", "terminal_id")
          .withColumn("__t", epoch_micros("txn_ts")))
@@ -37,6 +49,53 @@ def rapid_withdrawals(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
                .select("txn_id", key, "txn_ts", "n_ops", "n_terminals"))
 
 
+def _rapid_by_events(txn: DataFrame, window_s: int, min_ops: int, min_terminals: int,
+                     key: str) -> DataFrame:
+    """FRD1 counts in linear time.
+
+    A withdrawal at t lies in the trailing window of every later point up to
+    t + W, so it covers [t, t + W]; the window count at t_j is the number of
+    covering intervals: (#starts <= t_j) - (#ends <= t_j) with half-open ends
+    at t + W + 1us. For distinct terminals, an occurrence of a terminal covers
+    only until that terminal's next occurrence (which takes over), so the
+    intervals of one terminal are disjoint and the same running sum counts
+    terminals. Start/end events and one query event per withdrawal are ordered
+    per card by (time, events before queries) and summed with the skew-safe
+    running sum, so ties count as in a range frame.
+    """
+    width = window_s * US
+    w = (_withdrawals(txn).select("txn_id", key, "txn_ts", "terminal_id")
+         .withColumn("__t", epoch_micros("txn_ts")))
+    # next occurrence of the same terminal on the same card
+    nxt = W.with_next(w.filter(F.col("terminal_id").isNotNull()), [key, "terminal_id"],
+                      ["__t", "txn_id"], ["__t"], F.to_date("txn_ts"), prefix="__n")
+    end_ops = F.col("__t") + F.lit(width + 1)
+    ev_ops = w.select(key, F.explode(F.array(
+        F.struct(F.col("__t").alias("t"), F.lit(1).alias("d_ops"), F.lit(0).alias("d_term")),
+        F.struct(end_ops.alias("t"), F.lit(-1).alias("d_ops"), F.lit(0).alias("d_term")),
+    )).alias("e")).select(key, "e.*")
+    end_term = F.least(end_ops, F.coalesce(F.col("__n__t"), end_ops))
+    ev_term = nxt.select(key, F.explode(F.array(
+        F.struct(F.col("__t").alias("t"), F.lit(0).alias("d_ops"), F.lit(1).alias("d_term")),
+        F.struct(end_term.alias("t"), F.lit(0).alias("d_ops"), F.lit(-1).alias("d_term")),
+    )).alias("e")).select(key, "e.*")
+    events = (ev_ops.unionByName(ev_term)
+              .withColumn("__kind", F.lit(0)).withColumn("txn_id", F.lit(None).cast("long"))
+              .withColumn("txn_ts", F.lit(None).cast("timestamp_ntz")))
+    queries = w.select(key, F.col("__t").alias("t"), F.lit(0).alias("d_ops"),
+                       F.lit(0).alias("d_term"), F.lit(1).alias("__kind"), "txn_id", "txn_ts")
+    allev = events.unionByName(queries)
+    # a bucket per day of event time (integer days since the epoch)
+    bucket = F.floor(F.col("t") / F.lit(DAY_US)).cast("long")
+    order = ["t", "__kind", "d_ops", "d_term", "txn_id"]
+    allev = W.with_running_sum(allev, key, order, ["d_ops", "d_term"], bucket,
+                               ["n_ops", "n_terminals"])
+    return (allev.filter((F.col("__kind") == 1) & (F.col("n_ops") >= min_ops)
+                         & (F.col("n_terminals") >= min_terminals))
+                 .select("txn_id", key, "txn_ts", F.col("n_ops").cast("long").alias("n_ops"),
+                         F.col("n_terminals").cast("int").alias("n_terminals")))
+
+
 def used_after_block(txn: DataFrame, card: DataFrame,
                      statuses=("blocked", "closed")) -> DataFrame:
     """FRD2: transactions on a card after it was blocked or closed.

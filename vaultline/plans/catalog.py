@@ -809,3 +809,11 @@ def q_rapid_stream(spark, sf_dir):
             .trigger(availableNow=True).start(f"{root}/flags"))
     q.awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{root}/flags")
+
+
+@query("rapid_withdrawals_events")
+def q_rapid_events(spark, sf_dir):
+    """FRD1 in linear time (interval start/end events and running sums),
+    same rule and result as the range-frame form."""
+    return fraud.rapid_withdrawals(raw(spark, sf_dir, "transaction"), RAPID_WINDOW_S,
+                                   method="events")

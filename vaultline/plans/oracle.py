@@ -692,3 +692,4 @@ LEFT JOIN raw_terminal te ON te.terminal_id = t.terminal_id""",
                       OR txn_id > (SELECT coalesce(max(txn_id), 0) FROM raw_txn
                                    WHERE txn_ts < {PREVIOUS_RUN})"""})
 SQL["rapid_withdrawals_stream"] = SQL["rapid_withdrawals"]
+SQL["rapid_withdrawals_events"] = SQL["rapid_withdrawals"]
