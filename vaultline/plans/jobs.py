@@ -158,7 +158,14 @@ def refresh_fact(store: TableStore, ts=None, incremental: bool = True) -> None:
                       .filter(since | F.col("__card_hit").isNotNull()
                               | F.col("__term_hit").isNotNull())
                       .select(*txn.columns))
-        rows = facts.fact_atm_transaction(touched, card, acc, cust, term, ts=ts) \
+        # narrow each dimension to the keys the touched rows can reach (small
+        # key sets, broadcast by AQE), so the snowflake is joined for the
+        # change set only; left-join results are unchanged
+        card_n = card.join(touched.select("card_id").distinct(), "card_id", "left_semi")
+        acc_n = acc.join(card_n.select("account_id").distinct(), "account_id", "left_semi")
+        cust_n = cust.join(acc_n.select("customer_id").distinct(), "customer_id", "left_semi")
+        term_n = term.join(touched.select("terminal_id").distinct(), "terminal_id", "left_semi")
+        rows = facts.fact_atm_transaction(touched, card_n, acc_n, cust_n, term_n, ts=ts) \
             .withColumn("txn_month", month_of("txn_ts"))
         store.upsert(FACT, rows, "txn_id", partition_by="txn_month", sort_by="txn_id",
                      stable_partitions=True)
