@@ -66,3 +66,16 @@ def test_read_between_prunes_partitions(spark, scratch):
     assert sel.count() == 10
     plan = sel._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "txn_month" in plan
+
+
+def test_history_time_travel_and_rollback(spark, scratch):
+    store = TableStore(spark, scratch)
+    v1 = store.overwrite("h", _rows(spark, [(1, 1, "a")]))
+    v2 = store.overwrite("h", _rows(spark, [(1, 1, "b"), (2, 1, "c")]))
+    assert [r.version for r in store.history("h").collect()] == [v2, v1]
+    assert [r.v for r in store.read_version("h", v1).collect()] == ["a"]
+    store.rollback("h", v1)
+    assert [r.v for r in store.read("h").collect()] == ["a"]
+    fresh = TableStore(spark, scratch)               # another reader sees the rollback too
+    assert fresh.current_version("h") == v1
+    assert store.history("h").count() == 3
