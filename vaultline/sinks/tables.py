@@ -3,8 +3,9 @@
 Layout under ``root``::
 
     <root>/<name>/v=<version>/...   parquet data of one table version
-    <root>/_ctl/table_versions/     append-only (table_name, commit_id, version,
-                                    schema_json, committed_at)
+    <root>/_ctl/table_versions/table_name=<name>/
+                                    append-only (commit_id, version, schema_json,
+                                    committed_at) per table
 
 A full refresh writes a *new* version folder and then appends its pointer
 row, so readers never see a truncated table and a plan never overwrites the
@@ -52,12 +53,13 @@ class TableStore:
         self._cache.clear()
 
     # ---------------------------------------------------------------- pointers
-    def _ctl_path(self) -> str:
-        return os.path.join(self.root, _CTL)
+    def _ctl_path(self, name: str) -> str:
+        # one folder per table: resolving a table lists only its own commits
+        return os.path.join(self.root, _CTL, f"table_name={name}")
 
-    def _ctl(self):
+    def _ctl(self, name: str):
         try:
-            return self.spark.read.parquet(self._ctl_path())
+            return self.spark.read.parquet(self._ctl_path(name))
         except AnalysisException:
             return None
 
@@ -65,13 +67,12 @@ class TableStore:
         if name in self._cache:
             version, schema_json = self._cache[name]
             return {"version": version, "schema_json": schema_json}
-        ctl = self._ctl()
+        ctl = self._ctl(name)
         if ctl is None:
             return None
         # the current version is the one of the latest commit (commit ids are
         # time-ordered), so a rollback is just a newer commit of an old version
-        row = (ctl.filter(F.col("table_name") == name)
-                  .agg(F.max_by(F.struct("version", "schema_json"), F.col("commit_id"))
+        row = (ctl.agg(F.max_by(F.struct("version", "schema_json"), F.col("commit_id"))
                        .alias("p"))
                   .first())
         if not row or row["p"] is None:
@@ -81,19 +82,17 @@ class TableStore:
 
     def history(self, name: str) -> DataFrame:
         """Commits of ``name``: (commit_id, version, committed_at), newest first."""
-        ctl = self._ctl()
+        ctl = self._ctl(name)
         if ctl is None:
             raise FileNotFoundError(f"table {name!r} has no committed version")
-        return (ctl.filter(F.col("table_name") == name)
-                   .select("commit_id", "version", "committed_at")
-                   .orderBy(F.col("commit_id").desc()))
+        return ctl.select("commit_id", "version", "committed_at").orderBy(F.col("commit_id").desc())
 
     def read_version(self, name: str, version: str) -> DataFrame:
         """Time travel: read an earlier full version of ``name``. (Appends and
         partition upserts change the version they were applied to.)"""
-        ctl = self._ctl()
-        row = (ctl.filter((F.col("table_name") == name) & (F.col("version") == version))
-                  .select("schema_json").first()) if ctl is not None else None
+        ctl = self._ctl(name)
+        row = (ctl.filter(F.col("version") == version).select("schema_json").first()
+               if ctl is not None else None)
         if row is None:
             raise FileNotFoundError(f"table {name!r} has no version {version!r}")
         schema = T.StructType.fromJson(json.loads(row["schema_json"]))
@@ -101,9 +100,9 @@ class TableStore:
 
     def rollback(self, name: str, version: str) -> None:
         """Make ``version`` current again (one pointer row; no data is copied)."""
-        ctl = self._ctl()
-        row = (ctl.filter((F.col("table_name") == name) & (F.col("version") == version))
-                  .select("schema_json").first()) if ctl is not None else None
+        ctl = self._ctl(name)
+        row = (ctl.filter(F.col("version") == version).select("schema_json").first()
+               if ctl is not None else None)
         if row is None:
             raise FileNotFoundError(f"table {name!r} has no version {version!r}")
         self._commit(name, version, T.StructType.fromJson(json.loads(row["schema_json"])))
@@ -123,10 +122,10 @@ class TableStore:
 
     def _commit(self, name: str, version: str, schema: T.StructType) -> None:
         row = self.spark.range(1).select(
-            F.lit(name).alias("table_name"), F.lit(self._new_version()).alias("commit_id"),
+            F.lit(self._new_version()).alias("commit_id"),
             F.lit(version).alias("version"), F.lit(schema.json()).alias("schema_json"),
             F.localtimestamp().alias("committed_at"))
-        row.coalesce(1).write.mode("append").parquet(self._ctl_path())
+        row.coalesce(1).write.mode("append").parquet(self._ctl_path(name))
         self._cache[name] = (version, schema.json())
 
     @staticmethod
