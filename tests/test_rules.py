@@ -182,3 +182,13 @@ def test_rapid_withdrawals_events_equal_frame_on_dense_ties(spark):
         b = fraud.rapid_withdrawals(txn, w, method="events").select(cols)
         assert a.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_orphans_many_single_scan(spark):
+    child = spark.createDataFrame([(1, 10, 100), (2, 11, None), (3, 99, 999)],
+                                  "id long, a long, b long")
+    pa = spark.createDataFrame([(10,), (11,)], "pk long")
+    pb = spark.createDataFrame([(100,)], "pk long")
+    got = sorted((r.relation, r.child_id, r.fk_value) for r in quality.orphans_many(
+        child, "id", [("c.a", "a", pa, "pk"), ("c.b", "b", pb, "pk")]).collect())
+    assert got == [("c.a", 3, 99), ("c.b", 3, 999)]

@@ -47,6 +47,26 @@ def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str,
     return out.select(*cols)
 
 
+def orphans_many(child: DataFrame, child_key: str,
+                 checks: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """Q2 for several foreign keys of one child table in a single scan of the
+    child: each (relation, fk, parent, pk) becomes a flag from a left join to
+    the parent's distinct keys (broadcast by AQE when measured small); a
+    child row yields one output row per violated key."""
+    d = child.select(child_key, *{fk for _, fk, _, _ in checks})
+    flags = []
+    for i, (relation, fk, parent, pk) in enumerate(checks):
+        keys = parent.select(F.col(pk).alias(f"__pk{i}")).distinct() \
+            .withColumn(f"__hit{i}", F.lit(True))
+        d = d.join(keys, d[fk] == keys[f"__pk{i}"], "left").drop(f"__pk{i}")
+        flags.append(F.when(F.col(fk).isNotNull() & F.col(f"__hit{i}").isNull(),
+                            F.struct(F.lit(relation).alias("relation"),
+                                     F.col(fk).cast("long").alias("fk_value"))))
+    out = d.select(F.col(child_key).cast("long").alias("child_id"),
+                   F.explode(F.filter(F.array(*flags), lambda x: x.isNotNull())).alias("v"))
+    return out.select("v.relation", "child_id", "v.fk_value")
+
+
 def null_counts(df: DataFrame, table: str, cols: Iterable[str] | None = None,
                 not_null: Iterable[str] = ()) -> DataFrame:
     """Q3: NULL count per column in one aggregate pass, unpivoted to

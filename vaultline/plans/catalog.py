@@ -368,9 +368,9 @@ def q_fk_orphans(spark, sf_dir):
     """Q2: foreign keys without a parent row."""
     txn, card = B.transaction(spark, sf_dir), B.card(spark, sf_dir)
     acc, cust, term = B.account(spark, sf_dir), B.customer(spark, sf_dir), B.terminal(spark, sf_dir)
-    return (quality.orphans(txn, card, "card_id", "card_id", "txn_id", "transaction.card_id")
-            .unionByName(quality.orphans(txn, term, "terminal_id", "terminal_id", "txn_id",
-                                         "transaction.terminal_id"))
+    return (quality.orphans_many(txn, "txn_id", [
+                ("transaction.card_id", "card_id", card, "card_id"),
+                ("transaction.terminal_id", "terminal_id", term, "terminal_id")])
             .unionByName(quality.orphans(card, acc, "account_id", "account_id", "card_id",
                                          "card.account_id"))
             .unionByName(quality.orphans(acc, cust, "customer_id", "customer_id", "account_id",
