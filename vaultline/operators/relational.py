@@ -19,7 +19,7 @@ def fan_out(df: DataFrame, n: str | Column, name: str = "seq") -> DataFrame:
               .withColumn(name, F.explode(F.sequence(F.lit(1), n.cast("int")))))
 
 
-def top1_per_parent(parent: DataFrame, child: DataFrame, key: str,
+def latest_child_per_parent(parent: DataFrame, child: DataFrame, key: str,
                     order: Sequence[str], cols: Sequence[str], prefix: str = "top_") -> DataFrame:
     """JN5: for each parent row, the child row of the same key that is last in
     ``order`` (LATERAL (... ORDER BY order DESC LIMIT 1)); parents without

@@ -552,7 +552,7 @@ def q_lateral_top1(spark, sf_dir):
     """JN5: latest transaction of every card (NULLs when none)."""
     card = B.card(spark, sf_dir).select("card_id")
     txn = raw(spark, sf_dir, "transaction")
-    return relational.top1_per_parent(card, txn, "card_id", ["txn_ts", "txn_id"],
+    return relational.latest_child_per_parent(card, txn, "card_id", ["txn_ts", "txn_id"],
                                       ["txn_id", "txn_ts", "terminal_id"], prefix="last_")
 
 
