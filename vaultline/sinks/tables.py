@@ -17,6 +17,7 @@ only the touched partitions at job commit.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import time
@@ -31,6 +32,7 @@ from pyspark.sql import types as T
 from vaultline.operators.incremental import latest_per_key, upsert as _upsert
 
 _CTL = "_ctl/table_versions"
+_SEQ = itertools.count()
 
 
 def _as_list(x) -> list[str]:
@@ -130,7 +132,9 @@ class TableStore:
 
     @staticmethod
     def _new_version() -> str:
-        return f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
+        """Time-ordered id: epoch ms, a per-process sequence (orders ids made
+        within one millisecond), then a random suffix (unique across writers)."""
+        return f"{int(time.time() * 1000):013d}-{next(_SEQ):08d}-{uuid.uuid4().hex[:8]}"
 
     # ---------------------------------------------------------------- reads
     def read(self, name: str) -> DataFrame:
