@@ -192,3 +192,15 @@ def test_orphans_many_single_scan(spark):
     got = sorted((r.relation, r.child_id, r.fk_value) for r in quality.orphans_many(
         child, "id", [("c.a", "a", pa, "pk"), ("c.b", "b", pb, "pk")]).collect())
     assert got == [("c.a", 3, 99), ("c.b", 3, 999)]
+
+
+def test_close_customers_restricted_to_keys(spark):
+    cust = spark.createDataFrame([(1, False, D(2024, 1, 1)), (2, False, D(2024, 1, 1))],
+                                 "customer_id long, is_deleted boolean, updated_at timestamp_ntz")
+    acc = spark.createDataFrame([(10, 1, "closed", False)],
+                                "account_id long, customer_id long, status string, "
+                                "is_deleted boolean")
+    keys = spark.createDataFrame([(2,)], "customer_id long")
+    out = {r.customer_id: r.is_deleted for r in
+           lifecycle.close_customers(cust, acc, ts="2024-02-01 00:00:00", keys=keys).collect()}
+    assert out == {1: False, 2: True}

@@ -80,3 +80,17 @@ def test_incremental_equals_full_with_late_rows(spark):
     cols = [c for c in full.columns if c != "loaded_at"]
     assert sorted(map(tuple, inc.select(cols).collect())) == \
         sorted(map(tuple, full.select(cols).collect()))
+
+
+def test_invariant_check_reports_gaps_and_double_current(spark):
+    t = D(2024, 1, 1)
+    bad = spark.createDataFrame([
+        ("a", 1, t, D(2024, 1, 2), 0),
+        ("b", 1, D(2024, 1, 3), D(2999, 12, 31), 1),      # gap between Jan 2 and Jan 3
+        ("c", 2, t, D(2999, 12, 31), 1),
+        ("d", 2, D(2024, 1, 5), D(2999, 12, 31), 1),      # two current versions, overlap
+    ], "card_sk string, card_id long, valid_from timestamp_ntz, valid_to timestamp_ntz, "
+       "is_current int")
+    got = {(r.card_id, r.violation) for r in scd2.check_invariants(bad).collect()}
+    assert (1, "gap_or_overlap") in got
+    assert (2, "current_count") in got
