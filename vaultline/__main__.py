@@ -67,8 +67,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
     if args.cmd == "load":
         src = _sources(spark, args.source)
-        for entity in ("customer", "account", "card", "terminal"):
-            jobs.run_dim_load(store, entity, src[entity], ts=args.ts)
+        jobs.run_dim_loads(store, {e: src[e] for e in ("customer", "account", "card", "terminal")},
+                           ts=args.ts)
         jobs.run_txn_load(store, src["transaction"], ts=args.ts)
     elif args.cmd == "models":
         jobs.run_models(store, _sources(spark, args.source), ts=args.ts)

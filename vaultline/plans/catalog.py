@@ -679,9 +679,10 @@ def q_txn_load(spark, sf_dir):
     """INC4/INC5: dims, then two incremental transaction loads and an idempotent
     re-run; the month-partitioned fact read back."""
     store = _store(spark, "txn-load")
-    for entity, src in (("customer", B.customer), ("account", B.account), ("card", B.card),
-                        ("terminal", B.terminal)):
-        jobs.run_dim_load(store, entity, src(spark, sf_dir), ts=LOAD_TS)
+    jobs.run_dim_loads(store, {"customer": B.customer(spark, sf_dir),
+                               "account": B.account(spark, sf_dir),
+                               "card": B.card(spark, sf_dir),
+                               "terminal": B.terminal(spark, sf_dir)}, ts=LOAD_TS)
     txn = B.transaction(spark, sf_dir)
     jobs.run_txn_load(store, txn.filter(F.col("txn_ts") < ntz(PREVIOUS_RUN)), ts=LOAD_TS)
     jobs.run_txn_load(store, txn, ts=LOAD_TS)

@@ -43,6 +43,22 @@ def run_dim_load(store: TableStore, entity: str, source: DataFrame, ts=None) ->
     store.overwrite(f"ods_dim_{entity}", staging.dimension(store.read(raw_name), entity, ts))
 
 
+def run_dim_loads(store: TableStore, sources: dict[str, DataFrame], ts=None,
+                  parallel: bool = True) -> None:
+    """INC6 for several dimensions. They touch disjoint tables, so with
+    ``parallel`` their Spark jobs are submitted concurrently from driver
+    threads (the 4-way fan-out before the fact load) and share the cluster."""
+    if not parallel or len(sources) < 2:
+        for entity, src in sources.items():
+            run_dim_load(store, entity, src, ts)
+        return
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(sources)) as pool:
+        futures = [pool.submit(run_dim_load, store, e, src, ts) for e, src in sources.items()]
+        for f in futures:
+            f.result()          # re-raise the first failure
+
+
 def last_loaded_id(store: TableStore, process: str, table: str) -> int | None:
     """ST2 on the control table; None before the first run, so the first
     extract takes everything (a default of 0 would silently skip id 0)."""
