@@ -111,6 +111,11 @@ def with_next(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str],
     d, gk, gb = _groups(df, keys, bucket)
     g = gk + gb
     w = Window.partitionBy(*g).orderBy(*order)
+    # first row per group, from the input itself: Catalyst turns this into a
+    # per-partition top-1 before a small shuffle (replays are identical rows,
+    # so dropping them below does not change any group's first row)
+    first = (d.withColumn("__rn0", F.row_number().over(w)).filter(F.col("__rn0") == 1)
+              .select(*g, F.struct(*[F.col(c) for c in cols]).alias("__first")))
     if dedupe_by:
         ident = F.struct(*[F.col(c) for c in dedupe_by])
         d = (d.withColumn("__dup", F.coalesce(F.lag(ident).over(w) == ident, F.lit(False)))
@@ -119,8 +124,6 @@ def with_next(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str],
           .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*g))))
     for c in cols:
         d = d.withColumn(prefix + c, F.lead(c).over(w))
-    first = d.filter(F.col("__rn") == 1).select(
-        *g, F.struct(*[F.col(c) for c in cols]).alias("__first"))
     wb = Window.partitionBy(*gk).orderBy(*_bucket_order(gb))
     carry = first.select(*g, F.lead("__first").over(wb).alias("__carry"))
     d = d.join(carry, on=g, how="left")
