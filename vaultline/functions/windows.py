@@ -83,19 +83,19 @@ def with_prev(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str],
     d, gk, gb = _groups(df, keys, bucket)
     g = gk + gb
     w = Window.partitionBy(*g).orderBy(*order)
-    d = (d.withColumn("__rn", F.row_number().over(w))
-          .withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*g))))
+    # last row per group as a partial aggregate of the input (small shuffle)
+    last = d.groupBy(*g).agg(F.max_by(F.struct(*[F.col(c) for c in cols]),
+                                      F.struct(*[F.col(c) for c in order])).alias("__last"))
+    d = d.withColumn("__rn", F.row_number().over(w))
     for c in cols:
         d = d.withColumn(prefix + c, F.lag(c).over(w))
-    last = d.filter(F.col("__rn") == F.col("__cnt")).select(
-        *g, F.struct(*[F.col(c) for c in cols]).alias("__last"))
     wb = Window.partitionBy(*gk).orderBy(*_bucket_order(gb))
     carry = last.select(*g, F.lag("__last").over(wb).alias("__carry"))
     d = d.join(carry, on=g, how="left")
     for c in cols:
         d = d.withColumn(prefix + c, F.when(F.col("__rn") == 1, F.col(f"__carry.{c}"))
                          .otherwise(F.col(prefix + c)))
-    return _drop(d, gk, gb, "__rn", "__cnt", "__carry")
+    return _drop(d, gk, gb, "__rn", "__carry")
 
 
 def with_next(df: DataFrame, keys, order: Sequence[str], cols: Sequence[str],
@@ -149,11 +149,10 @@ def with_running_sum(df: DataFrame, keys, order: Sequence[str], col, bucket: Col
     g = gk + gb
     w = Window.partitionBy(*g).orderBy(*order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumn("__rn", F.row_number().over(w))
+    # group totals as a partial aggregate of the input (small shuffle)
+    tot = d.groupBy(*g).agg(*[F.sum(f"__v{i}").alias(f"__tot{i}") for i in range(len(names))])
     for i, n in enumerate(names):
-        d = (d.withColumn(n, F.sum(f"__v{i}").over(run))
-              .withColumn(f"__tot{i}", F.sum(f"__v{i}").over(Window.partitionBy(*g))))
-    tot = d.filter(F.col("__rn") == 1).select(*g, *[f"__tot{i}" for i in range(len(names))])
+        d = d.withColumn(n, F.sum(f"__v{i}").over(run))
     wb = (Window.partitionBy(*gk).orderBy(*_bucket_order(gb))
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = tot.select(*g, *[F.coalesce(F.sum(f"__tot{i}").over(wb), F.lit(0))
@@ -161,7 +160,7 @@ def with_running_sum(df: DataFrame, keys, order: Sequence[str], col, bucket: Col
     d = d.join(carry, on=g, how="left")
     for i, n in enumerate(names):
         d = d.withColumn(n, F.col(n) + F.coalesce(F.col(f"__carry{i}"), F.lit(0)))
-    extra = ["__rn"] + [f"__{p}{i}" for i in range(len(names)) for p in ("v", "tot", "carry")]
+    extra = [f"__{p}{i}" for i in range(len(names)) for p in ("v", "carry")]
     return _drop(d, gk, gb, *extra)
 
 
@@ -226,15 +225,14 @@ def as_of(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str,
     u = r.unionByName(l_, allowMissingColumns=True)
     d, gk, gb = _groups(u, keys, bucket_fn(F.col("__t")))
     g = gk + gb
+    # one row per (key, bucket): its last right row and whether it has left
+    # rows; a partial aggregate, so only one row per group and map task moves
+    summ = d.groupBy(*g).agg(
+        F.max_by("__r", F.when(F.col("__side") == 0, F.struct("__t", "__ord"))).alias("__rl"),
+        F.max("__side").alias("__has_left"))
     w = Window.partitionBy(*g).orderBy("__t", "__side", "__ord")
-    d = (d.withColumn("__cand", F.last("__r", ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-          .withColumn("__rn", F.row_number().over(w))
-          .withColumn("__rl", F.last("__r", ignorenulls=True).over(
-              w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-          .withColumn("__has_left", F.max("__side").over(Window.partitionBy(*g))))
-    # one row per (key, bucket): its last right row, carried to later buckets
-    summ = d.filter(F.col("__rn") == 1).select(*g, "__rl", "__has_left")
+    d = d.withColumn("__cand", F.last("__r", ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     wb = (Window.partitionBy(*gk).orderBy(*_bucket_order(gb))
           .rowsBetween(Window.unboundedPreceding, -1))
     carry = (summ.withColumn("__carry", F.last("__rl", ignorenulls=True).over(wb))
