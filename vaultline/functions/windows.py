@@ -9,10 +9,12 @@ crosses bucket borders, through a small window over those summaries, so the
 per-task work is bounded by one bucket of one key.
 
 Plan shape: the large side is shuffled once by (key, bucket). The summary
-branch (one row per group; Catalyst turns it into a per-partition top-1
-before its own small shuffle) re-reads the input, and is joined back on
-non-NULL surrogate columns of (key, bucket), so the join needs no second
-shuffle of the large side, only of the small summary.
+branch (one row per group: a partial aggregate, or a first-row filter that
+Catalyst turns into a per-partition top-1, before its own small shuffle)
+re-reads the input, and is joined back on non-NULL surrogate columns of
+(key, bucket), so the join needs no second shuffle of the large side, only
+of the small summary. Gaps-and-islands is the exception: its summary needs
+the lag, so that branch shuffles the pruned key/order columns.
 
 Results equal the unbucketed window functions exactly (NULL keys form one
 group, as in a plain window).
