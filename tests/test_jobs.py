@@ -144,3 +144,32 @@ def test_empty_source_runs(spark, sf_dir, scratch):
     assert n == txn.count()
     assert jobs.run_txn_load(store, txn.filter(F.lit(False)), ts="2025-01-03 00:00:00") == last
     assert store.read(jobs.FACT).count() == n
+
+
+def test_refresh_without_injected_time_in_other_zone(spark, sf_dir, scratch):
+    """With wall-clock load times in a non-UTC session zone, a later change
+    still reaches the fact (the refresh mark uses the same clock as loaded_at)."""
+    old_tz = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        store = TableStore(spark, scratch)
+        cards = B.card(spark, sf_dir)
+        jobs.run_dim_loads(store, {"customer": B.customer(spark, sf_dir),
+                                   "account": B.account(spark, sf_dir),
+                                   "card": cards.withColumn("status", F.lit("active")),
+                                   "terminal": B.terminal(spark, sf_dir)})
+        txn = B.transaction(spark, sf_dir)
+        jobs.run_txn_load(store, txn)
+        assert store.read(jobs.FACT).count() == txn.count()
+        # cards are re-numbered later (card_number is a fact column)
+        jobs.run_dim_load(store, "card", cards
+                          .withColumn("card_number", F.concat(F.lit("X"), F.col("card_number")))
+                          .withColumn("updated_at", ntz("2030-01-01 00:00:00")))
+        jobs.run_txn_load(store, txn)
+        got = store.read(jobs.FACT).drop("loaded_at", "txn_month")
+        jobs.rebuild_fact(store)
+        want = store.read(jobs.FACT).drop("loaded_at", "txn_month")
+        assert got.filter(F.col("card_number").startswith("X")).count() > 0
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old_tz)

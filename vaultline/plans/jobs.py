@@ -127,9 +127,11 @@ def rebuild_fact(store: TableStore, ts=None) -> None:
                     partition_by="txn_month", sort_by="txn_id")
 
 
-def _now(ts=None) -> dt.datetime:
+def _now(spark, ts=None) -> dt.datetime:
+    """The load time as stamped on rows: the injected ``ts``, else Spark's own
+    ``localtimestamp()`` (the clock and zone that ``loaded_at`` uses)."""
     if ts is None:
-        return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        return spark.range(1).select(F.localtimestamp().alias("t")).first()["t"]
     return ts if isinstance(ts, dt.datetime) else dt.datetime.fromisoformat(str(ts))
 
 
@@ -142,10 +144,11 @@ def refresh_fact(store: TableStore, ts=None, incremental: bool = True) -> None:
     customer row -- or of terminals whose row -- was loaded since then. They
     are re-joined and upserted by txn_id into their month partitions, so
     untouched months are not rewritten. The refresh mark is the load time
-    (injected ``ts`` or now, UTC), kept in the control table as epoch
-    microseconds; load times must not go backwards between runs.
+    (injected ``ts``, or Spark's local timestamp -- the clock ``loaded_at``
+    uses), kept in the control table as epoch microseconds; load times must
+    not go backwards between runs.
     """
-    now = _now(ts)
+    now = _now(store.spark, ts)
     mark = last_loaded_id(store, FACT_REFRESH, FACT) if incremental and store.exists(FACT) \
         else None
     if mark is None:
