@@ -142,3 +142,30 @@ def test_stateful_rapid_withdrawals_late_rows(spark, sf_dir, scratch):
     expect = flagged.filter(late_day).select(cols)
     assert expect.count() > 0
     assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
+
+
+def test_stateful_rapid_withdrawals_non_utc_short_lateness(spark, sf_dir, scratch):
+    """Idle-card timeouts are set on the watermark's clock: in a non-UTC
+    session with little lateness the stream still equals the batch rule."""
+    from vaultline.operators import fraud
+    from vaultline.streaming.fraud import rapid_withdrawals_stream, write_in_time_order
+    old_tz = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        txn = B.transaction(spark, sf_dir)
+        src = os.path.join(scratch, "by_day")
+        write_in_time_order(txn, src, unit="day")
+        stream = (spark.readStream.schema(txn.schema).option("maxFilesPerTrigger", 1)
+                  .option("recursiveFileLookup", "true").parquet(src))
+        out = rapid_withdrawals_stream(stream, window_s=6 * 3600, lateness_s=600)
+        q = (out.writeStream.format("memory").queryName("rapid_ny").outputMode("append")
+                .option("checkpointLocation", os.path.join(scratch, "ckpt"))
+                .trigger(availableNow=True).start())
+        q.awaitTermination()
+        cols = ["txn_id", "card_id", "txn_ts", "n_ops", "n_terminals"]
+        got = spark.table("rapid_ny").select(cols)
+        expect = fraud.rapid_withdrawals(txn, 6 * 3600).select(cols)
+        assert expect.count() > 0
+        assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old_tz)

@@ -31,7 +31,7 @@ def rapid_withdrawal_sessions_stream(txn: DataFrame, gap: str = "15 minutes",
 
 
 _RAPID_OUT = ("txn_id long, card_id long, txn_ts timestamp_ntz, n_ops long, n_terminals int")
-_RAPID_STATE = "ts array<long>, tid array<long>, term array<long>"
+_RAPID_STATE = "ts array<long>, tid array<long>, term array<long>, last_ms long"
 
 
 def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
@@ -59,6 +59,8 @@ def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: i
                     F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00")
                                      .cast("timestamp_ntz"), F.col("txn_ts")).alias("t_us"),
                     F.col("txn_ts").cast("timestamp").alias("event_time"))
+            # the watermark's clock: epoch of event_time in the session zone
+            .withColumn("e_ms", F.unix_millis("event_time"))
             .withWatermark("event_time", watermark))
 
     def flag(key, batches, state):
@@ -69,8 +71,10 @@ def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: i
             state.remove()
             return
         new = pd.concat(list(batches), ignore_index=True).sort_values(["t_us", "txn_id"])
+        last_ms = int(new["e_ms"].max())
         if state.exists:
-            ts, tid, term = state.get
+            ts, tid, term, prev_ms = state.get
+            last_ms = max(last_ms, int(prev_ms))
             old = pd.DataFrame({"t_us": np.asarray(ts, dtype="int64"),
                                 "txn_id": np.asarray(tid, dtype="int64"),
                                 "terminal_id": pd.array(term, dtype="Int64")})
@@ -93,8 +97,9 @@ def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: i
         out = out[(out.n_ops >= min_ops) & (out.n_terminals >= min_terminals)]
         keep = hist[hist["t_us"] >= t.max() - keep_us]
         state.update((keep["t_us"].tolist(), keep["txn_id"].tolist(),
-                      [None if pd.isna(v) else int(v) for v in keep["terminal_id"]]))
-        state.setTimeoutTimestamp(int(t.max() // 1000 + window_s * 1000) + 1)
+                      [None if pd.isna(v) else int(v) for v in keep["terminal_id"]], last_ms))
+        # idle cards go once the watermark passes their last withdrawal + W
+        state.setTimeoutTimestamp(last_ms + window_s * 1000 + 1)
         if len(out):
             yield out[["txn_id", "card_id", "txn_ts", "n_ops", "n_terminals"]]
 
