@@ -38,3 +38,24 @@ def test_lag_lead_runsum_equal_plain(spark, rows, hours):
                    | ~F.col("next_v").eqNullSafe(F.col("e_next"))
                    | ~F.col("s").eqNullSafe(F.col("e_s")))
     assert bad.count() == 0
+
+
+@settings(max_examples=6, deadline=None)
+@given(left=st.lists(ROW, min_size=1, max_size=40), right=st.lists(ROW, min_size=0, max_size=40))
+def test_as_of_equals_latest_earlier_right_row(spark, left, right):
+    base = dt.datetime(2024, 1, 1)
+
+    def frame(rows, offset):
+        return [(offset + i, k, None if h is None else base + dt.timedelta(hours=h), v)
+                for i, (k, h, v) in enumerate(rows)]
+    lf = spark.createDataFrame(frame(left, 0), "id long, k long, t timestamp_ntz, v long") \
+        .select("id", "k", "t")
+    rf = spark.createDataFrame(frame(right, 10_000), "rid long, k long, rt timestamp_ntz, v long")
+    got = W.as_of(lf, rf, "k", "t", "rt", ["rt", "rid"], ["rid"], F.to_date)
+    w = Window.partitionBy("id").orderBy(F.col("rt").desc(), F.col("rid").desc())
+    expect = (lf.join(rf, (lf.k == rf.k) & (rf.rt <= lf.t), "left")
+                .withColumn("rn", F.row_number().over(w)).filter("rn = 1")
+                .select("id", F.col("rid").alias("e_rid")))
+    j = got.join(expect, "id")
+    assert j.count() == len(left)
+    assert j.filter(~F.col("rid").eqNullSafe(F.col("e_rid"))).count() == 0

@@ -211,9 +211,9 @@ def as_of(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str,
     Both sides are unioned and ordered by time per (key, bucket); the last
     right row seen is carried forward. Right rows from earlier buckets reach
     a bucket through one summary row per (key, bucket). No pairs are formed,
-    so a hot key costs linear work spread over its buckets. NULL keys match
-    nothing (equi-join semantics). ``bucket_fn`` maps a timestamp column to a
-    non-decreasing bucket.
+    so a hot key costs linear work spread over its buckets. NULL keys and
+    NULL times match nothing (``right_ts <= left_ts`` semantics).
+    ``bucket_fn`` maps a timestamp column to a non-decreasing bucket.
     """
     keys, right_order, right_cols = _as_list(keys), list(right_order), list(right_cols)
     r = right.select(*keys, F.col(right_ts).alias("__t"), F.lit(0).alias("__side"),
@@ -221,6 +221,9 @@ def as_of(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str,
                      F.struct(*[F.col(c) for c in right_cols]).alias("__r"))
     for k in keys:
         r = r.filter(F.col(k).isNotNull())
+    # a right row without a time is never "at or before" anything (and a left
+    # row without a time sorts before every right row of its key)
+    r = r.filter(F.col("__t").isNotNull())
     lcols = [c for c in left.columns if c not in keys]
     l_ = left.select(*keys, F.col(left_ts).alias("__t"), F.lit(1).alias("__side"),
                      F.struct(*[F.col(c) for c in lcols]).alias("__l"))
