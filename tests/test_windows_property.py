@@ -59,3 +59,30 @@ def test_as_of_equals_latest_earlier_right_row(spark, left, right):
     j = got.join(expect, "id")
     assert j.count() == len(left)
     assert j.filter(~F.col("rid").eqNullSafe(F.col("e_rid"))).count() == 0
+
+
+@settings(max_examples=6, deadline=None)
+@given(rows=st.lists(ROW, min_size=1, max_size=60), hours=st.sampled_from([1, 24]))
+def test_islands_equal_plain(spark, rows, hours):
+    base = dt.datetime(2024, 1, 1)
+    data = [(i, k, None if h is None else base + dt.timedelta(hours=h), v)
+            for i, (k, h, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, k long, t timestamp_ntz, v long")
+    order = ["t", "id"]
+    bucket = F.floor(F.timestamp_diff("HOUR", F.lit("2024-01-01").cast("timestamp_ntz"),
+                                      F.col("t")) / hours)
+
+    def breaks(p):
+        return (F.col(p + "t").isNull()
+                | (F.timestamp_diff("HOUR", F.col(p + "t"), F.col("t")) > 3)
+                | (F.col("v") > F.col(p + "v")))
+
+    w = Window.partitionBy("k").orderBy(*order)
+    plain = (df.withColumn("prev_t", F.lag("t").over(w)).withColumn("prev_v", F.lag("v").over(w))
+               .withColumn("b", F.when(breaks("prev_"), 1).otherwise(0))
+               .withColumn("e_isl", F.sum("b").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+               .select("id", "e_isl"))
+    got = W.with_islands(df, "k", order, ["t", "v"], bucket, breaks, "isl")
+    j = got.join(plain, "id")
+    assert j.count() == len(rows)
+    assert j.filter(~F.col("isl").eqNullSafe(F.col("e_isl"))).count() == 0
