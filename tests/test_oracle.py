@@ -3,7 +3,8 @@ order-insensitive values), on the small test data."""
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from vaultline.plans.catalog import QUERIES
 from tests.harness import compare, duck
 from tests.conftest import SF_SMALL
 
@@ -17,13 +18,13 @@ def _duck():
     return _con
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, name):
     assert compare(spark, name, SF_SMALL, _duck(), verbose=False)
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(queries()) - set(oracle_sql()))
+    missing = sorted(set(QUERIES) - set(oracle_sql()))
     assert missing == []
 
 

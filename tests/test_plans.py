@@ -3,8 +3,8 @@ and the fact shuffles the transaction side at most for two joins."""
 
 import pytest
 
-from __spark_entry__ import queries
 from vaultline import bindings as B
+from vaultline.plans.catalog import QUERIES
 from vaultline.sources.extract import extract_incremental
 
 # queries that write and read back (plans of the read only) are still checked
@@ -16,9 +16,9 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udf_or_cartesian(spark, sf_dir, name):
-    plan = _plan(queries()[name](spark, sf_dir))
+    plan = _plan(QUERIES[name](spark, sf_dir))
     for bad in BAD_NODES:
         assert bad not in plan, f"{name}: {bad}"
 
@@ -33,7 +33,7 @@ def test_fact_builds_profile_once(spark, sf_dir):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _plan(queries()["fact_atm_transaction"](spark, sf_dir))
+        plan = _plan(QUERIES["fact_atm_transaction"](spark, sf_dir))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
