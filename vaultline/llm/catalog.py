@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import neardup, substrings
+from vaultline.llm import neardup, quality, substrings, toxicity
 from vaultline.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,15 @@ FROM n JOIN comp USING (doc_id)
 def op10(spark, sf_dir):
     """Near-duplicate components of all documents."""
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op1_quality")
+def op1(spark, sf_dir):
+    """Quality scores of all documents."""
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op2_toxicity")
+def op2(spark, sf_dir):
+    """Toxicity scores of all documents."""
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
