@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import neardup, quality, substrings, toxicity
+from vaultline.llm import decontaminate, mixing, neardup, quality, substrings, toxicity
 from vaultline.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,25 @@ def op1(spark, sf_dir):
 def op2(spark, sf_dir):
     """Toxicity scores of all documents."""
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op3_decontaminate", rf"""
+WITH {SHINGLES_SQL},
+items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws FROM benchmark),
+ish AS (SELECT DISTINCT item_id, md5(array_to_string(ws[i:i + 4], ' ')) AS h
+        FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 4, least(len(ws), 1)) + 1)) AS i FROM items)),
+m AS (SELECT item_id, count(*) AS n_item FROM ish GROUP BY item_id),
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM sh JOIN ish USING (h) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_item::BIGINT AS n_item, n_shared::BIGINT AS n_shared, n_shared / n_item AS containment
+FROM shared JOIN m USING (item_id) WHERE 100 * n_shared >= 75 * n_item
+""")
+def op3(spark, sf_dir):
+    """Documents that hold benchmark items, over all documents and items."""
+    return decontaminate.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op5_mix_sources")
+def op5(spark, sf_dir):
+    """Words that a weighted mixture of all sources takes from each document."""
+    return mixing.document_shares(read(spark, sf_dir, "documents"))
