@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import decontaminate, mixing, neardup, quality, substrings, toxicity
+from vaultline.llm import decontaminate, mixing, neardup, quality, simhash, substrings, toxicity, warc
 from vaultline.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,22 @@ def op3(spark, sf_dir):
 def op5(spark, sf_dir):
     """Words that a weighted mixture of all sources takes from each document."""
     return mixing.document_shares(read(spark, sf_dir, "documents"))
+
+
+@query("op7_simhash")
+def op7(spark, sf_dir):
+    """Fingerprints of all documents and their edited texts."""
+    return simhash.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query("op4_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha256(coalesce(html, '')) AS d FROM pages),
+s AS (SELECT *, octet_length(encode(h))::BIGINT AS n, min(page_id) OVER (PARTITION BY d) AS first FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to, NULL::VARCHAR AS error
+FROM s
+""")
+def op4(spark, sf_dir):
+    """All pages written to WARC archives and read back."""
+    return warc.round_trip(read(spark, sf_dir, "pages"))
