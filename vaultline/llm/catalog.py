@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import decontaminate, mixing, neardup, quality, simhash, substrings, toxicity, warc
-from vaultline.llm.tables import read
+from vaultline.llm import (decontaminate, licenses, mixing, neardup, quality, simhash, substrings, token_counts,
+                           toxicity, warc)
+from vaultline.llm.tables import materialize, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -122,3 +123,16 @@ FROM s
 def op4(spark, sf_dir):
     """All pages written to WARC archives and read back."""
     return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+@query("op8_license_scan")
+def op8(spark, sf_dir):
+    """Licences of all pages, their own or inherited."""
+    return licenses.scan(read(spark, sf_dir, "pages"))
+
+
+@query("op9_token_counts")
+def op9(spark, sf_dir):
+    """Token totals, quantiles and truncated totals of all documents, for every length as a limit."""
+    lengths = token_counts.token_lengths(read(spark, sf_dir, "documents"))
+    return token_counts.limits(materialize(token_counts.histogram(lengths), "lengths"))

@@ -63,7 +63,7 @@ def _unit(*cols) -> Column:
 def permuted(index: Column, n: Column, key: Column) -> Column:
     """Swap-or-not: a pseudorandom permutation of 0 .. n - 1, for any n."""
     def round_(x, r):
-        other = F.pmod(F.xxhash64(F.lit(SEED), key, r) - x, n)
+        other = F.pmod(F.pmod(F.xxhash64(F.lit(SEED), key, r), n) - x, n)
         flip = F.xxhash64(F.lit(SEED + 1), key, r, F.greatest(x, other)) % 2 == 0
         return F.when(flip, other).otherwise(x)
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index.cast("bigint"), round_)

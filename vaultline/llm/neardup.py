@@ -228,3 +228,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .join(named, "fp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose doc_id is not the smallest of its
+    component; same columns. Rows without an id stay; rows that share the kept
+    id are one document and all stay."""
+    lost = materialize(near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("lost_id")).distinct(), "lost")
+    return docs.join(small(lost, lost.count()), column_named(docs, "doc_id") == lost["lost_id"], "left_anti")

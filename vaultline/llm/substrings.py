@@ -141,3 +141,15 @@ def remove_repeated_windows(docs: DataFrame, k: int = 35, text_col: str = "text"
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         _mark(k), f"row struct<{fields}>, n_words bigint, n_removed bigint, kept_text string, "
                   "removed array<struct<first: bigint, last: bigint>>")
+
+
+def without_repeats(docs: DataFrame, k: int = 35) -> DataFrame:
+    """``docs`` with the repeated windows taken out of ``text``; same columns
+    and rows. A text that loses words becomes its kept words joined by one
+    space, and ``n_chars`` its new length; other texts stay as they are."""
+    cut = F.col("n_removed") > 0
+    new = {"text": F.when(cut, F.col("kept_text")).otherwise(F.col("row.text")),
+           "n_chars": F.when(cut, F.char_length("kept_text")).otherwise(F.col("row.n_chars"))}
+    out = remove_repeated_windows(docs, k)
+    return out.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"row.`{c}`").alias(c)
+                        for c in docs.columns])
