@@ -2,6 +2,8 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from vaultline.operators import cdc
 from vaultline.schemas import CDC_RECORD
 
@@ -116,3 +118,33 @@ def test_raw_transaction_cdc_types(spark):
     assert str(r[0]["amount"]) == "12.50"
     assert r[0]["terminal_id"] is None
     assert cdc.raw_transaction_cdc(landed, ops=("r", "c")).count() == 2
+
+
+def test_times_with_offsets_are_utc(spark):
+    from vaultline.functions.columns import parse_ts_best_effort
+    rows = ["2024-01-01T00:00:00+03:00", "2024-01-01 00:00:00-0230", "2024-01-01T05:06:07.5Z",
+            "2024-01-01", "2024-01-01T00:00:00 Europe/Paris", "", "bad", None]
+    d = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, s string")
+    got = [str(r.t) if r.t else None for r in d.select("i", parse_ts_best_effort("s").alias("t")).orderBy("i").collect()]
+    assert got == ["2023-12-31 21:00:00", "2024-01-01 02:30:00", "2024-01-01 05:06:07.500000",
+                   "2024-01-01 00:00:00", None, None, None, None]
+
+
+def test_out_of_order_ids_all_reach_the_model(spark, scratch):
+    from vaultline.plans import jobs
+    from vaultline.sinks.tables import TableStore
+    from vaultline.schemas import STG_CDC_CARD
+    store = TableStore(spark, scratch)
+    cards = spark.createDataFrame([], STG_CDC_CARD)
+
+    def landed(ids, when="2024-01-01T00:00:00Z"):
+        return spark.createDataFrame(
+            [(i % 2, i, "c", i, '{"card_id": 1, "txn_ts": "%s"}' % when) for i in ids],
+            "kafka_partition int, kafka_offset long, op string, txn_id long, payload_after string") \
+            .withColumn("src_ts", F.localtimestamp()).withColumn("ingested_at", F.localtimestamp())
+
+    jobs.run_cdc_models(store, cards, landed([100, 101, 102]))
+    jobs.run_cdc_models(store, cards, landed([50, 51, 52]))
+    jobs.run_cdc_models(store, cards, landed([7], when="bad"))
+    assert sorted(r.txn_id for r in store.read("raw_transaction_cdc").collect()) == [50, 51, 52, 100, 101, 102]
+    assert [r.txn_id for r in store.read("raw_transaction_cdc_rejects").collect()] == [7]

@@ -79,3 +79,37 @@ def test_history_time_travel_and_rollback(spark, scratch):
     fresh = TableStore(spark, scratch)               # another reader sees the rollback too
     assert fresh.current_version("h") == v1
     assert store.history("h").count() == 3
+
+
+def test_partitioned_upsert_moves_empties_and_null_partitions(spark, scratch):
+    store = TableStore(spark, scratch)
+    store.overwrite("p", _rows(spark, [(1, 1, "a"), (2, 2, "b"), (5, None, "n")]), partition_by="m")
+    # key 1 moves and leaves month 1 empty; key 3 joins the NULL month
+    store.upsert("p", _rows(spark, [(1, 2, "A"), (3, None, "c")]), "id", partition_by="m")
+    got = {r.id: (r.m, r.v) for r in store.read("p").collect()}
+    assert got == {1: (2, "A"), 2: (2, "b"), 3: (None, "c"), 5: (None, "n")}
+    assert store.read("p").count() == 4
+    store.append("p", _rows(spark, [(9, 1, "z")]), partition_by="m")
+    assert store.read("p").count() == 5
+
+
+def test_two_writers_keep_both_rows(spark, scratch):
+    a, b = TableStore(spark, scratch), TableStore(spark, scratch)
+    a.overwrite("w", _rows(spark, [(1, 1, "a")]))
+    assert b.read("w").count() == 1                  # b has cached the first commit
+    a.upsert("w", _rows(spark, [(2, 1, "b")]), "id")
+    b.upsert("w", _rows(spark, [(3, 1, "c")]), "id")
+    assert sorted(r.id for r in TableStore(spark, scratch).read("w").collect()) == [1, 2, 3]
+
+
+def test_uncommitted_write_changes_nothing_and_vacuum(spark, scratch):
+    store = TableStore(spark, scratch)
+    store.overwrite("c", _rows(spark, [(1, 1, "a"), (2, 2, "b")]), partition_by="m")
+    store._merge("c", _rows(spark, [(1, 2, "A")]), ["id"], "m", [], False)     # ends before its commit
+    assert {r.id: r.m for r in TableStore(spark, scratch).read("c").collect()} == {1: 1, 2: 2}
+    first = store.location("c")
+    for i in range(20):
+        store.upsert("c", _rows(spark, [(2, 2, f"v{i}")]), "id", partition_by="m")
+    assert {r.id: r.v for r in store.read("c").collect()} == {1: "a", 2: "v19"}
+    assert store.vacuum("c", keep=2) > 0 and not os.path.exists(first)
+    assert {r.id: r.v for r in store.read("c").collect()} == {1: "a", 2: "v19"}

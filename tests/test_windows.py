@@ -107,3 +107,9 @@ def test_hot_key_is_spread_over_tasks(spark):
         assert parts >= 4
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_running_sum_carries_over_null_buckets(spark):
+    d = spark.createDataFrame([(1, 1, 5), (1, 2, None), (1, 3, 2), (2, 1, None)], "k int, t int, v int")
+    got = W.with_running_sum(d, ["k"], ["t"], "v", F.col("t"), "s")
+    assert {(r.k, r.t): r.s for r in got.collect()} == {(1, 1): 5, (1, 2): 5, (1, 3): 7, (2, 1): None}

@@ -34,8 +34,8 @@ def _session():
 
 
 def _sources(spark, source: str) -> dict:
-    return {e: spark.read.parquet(os.path.join(source, e)) for e in ENTITIES
-            if os.path.exists(os.path.join(source, e)) or "://" in source}
+    """Every entity's folder; a missing one is an error, so no job runs on part of a source."""
+    return {e: spark.read.parquet(os.path.join(source, e)) for e in ENTITIES}
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -47,7 +47,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         s.add_argument("--warehouse", required=True)
         s.add_argument("--ts")
     c = sub.add_parser("cdc")
-    c.add_argument("--input", required=True)
+    c.add_argument("--input", help="folder of a file source")
+    c.add_argument("--topics", nargs="+", help="Kafka topics (with --format kafka)")
+    c.add_argument("--bootstrap", help="Kafka bootstrap servers")
+    c.add_argument("--max-per-trigger", type=int)
+    c.add_argument("--trigger", help="run on, with this processing time; default: drain and stop")
     c.add_argument("--warehouse", required=True)
     c.add_argument("--format", default="json")
     c.add_argument("--ts")
@@ -74,10 +78,17 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         jobs.run_models(store, _sources(spark, args.source), ts=args.ts)
     elif args.cmd == "cdc":
         from vaultline.streaming import landing
-        stream = landing.read_cdc_stream(spark, fmt=args.format, path=args.input)
+        if args.format == "kafka" and not (args.topics and args.bootstrap):
+            p.error("--format kafka needs --topics and --bootstrap")
+        if args.format != "kafka" and not args.input:
+            p.error("a file source needs --input")
+        stream = landing.read_cdc_stream(spark, fmt=args.format, path=args.input,
+                                         topics=args.topics, bootstrap=args.bootstrap,
+                                         max_per_trigger=args.max_per_trigger)
         root = os.path.join(args.warehouse, "landing")
         q = landing.start_cdc_models(stream, store, root, os.path.join(root, "_checkpoint"),
-                                     ts=args.ts)
+                                     available_now=args.trigger is None,
+                                     processing_time=args.trigger or "10 minutes", ts=args.ts)
         q.awaitTermination()
     elif args.cmd == "monitor":
         from vaultline.operators import monitoring
@@ -86,7 +97,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                                    spark.read.parquet(args.committed))
         metrics = monitoring.lag_metrics(lag, args.group, ts=args.ts)
         monitoring.write_metrics(store, metrics)
-        monitoring.assert_lag(metrics, args.threshold or LAG_THRESHOLD)
+        monitoring.assert_lag(metrics, LAG_THRESHOLD if args.threshold is None else args.threshold)
     return 0
 
 

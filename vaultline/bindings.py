@@ -33,6 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _pad(key: Column, width: int) -> Column:
+    """The key as text, with leading zeros up to ``width``; longer keys stay whole."""
+    text = key.cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def _currency(col: Column) -> Column:
     m = col % 3
     return F.when(m == 0, "RUB").when(m == 1, "USD").otherwise("EUR")
@@ -48,7 +54,7 @@ def customer(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("full_name"),
         F.date_add(F.lit("1980-01-01").cast("date"), (key % 15000).cast("int")).alias("birth_date"),
         F.concat(F.lit("customer"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        F.when(key % 10 != 0, F.concat(F.lit("+1000000"), F.lpad(key.cast("string"), 4, "0")))
+        F.when(key % 10 != 0, F.concat(F.lit("+1000000"), _pad(key, 4)))
         .alias("phone"),
         F.col("n_name").alias("city"),
         ntz("2020-01-01 00:00:00").alias("created_at"),
@@ -79,11 +85,13 @@ def account(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def card(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 50 != 49)
+    """Cards from part; every 50th has a key that no transaction names."""
+    p = table(spark, sf_dir, "part")
     m = F.col("p_size") % 10
+    key = F.when(F.col("p_partkey") % 50 == 49, -F.col("p_partkey")).otherwise(F.col("p_partkey"))
     opened_at = F.timestamp_add("DAY", F.col("p_size"), ntz("2020-01-01 00:00:00"))
     return p.select(
-        F.col("p_partkey").alias("card_id"),
+        key.alias("card_id"),
         F.lpad(F.col("p_partkey").cast("string"), 16, "4").alias("card_number"),
         (F.col("p_partkey") * 3).alias("account_id"),
         F.when(m == 0, "closed").when(m == 1, "blocked").otherwise("active").alias("status"),
@@ -102,7 +110,7 @@ def terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
     working = F.col("s_acctbal") >= 0
     return s.join(n, s.s_nationkey == n.n_nationkey).select(
         key.alias("terminal_id"),
-        F.concat(F.lit("ATM-"), F.lpad(key.cast("string"), 5, "0")).alias("terminal_code"),
+        F.concat(F.lit("ATM-"), _pad(key, 5)).alias("terminal_code"),
         F.col("n_name").alias("city"),
         F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("country"),
         (F.lit(55.0) + key / 1000.0).alias("latitude"),
@@ -115,8 +123,7 @@ def terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _terminal_from_props() -> Column:
-    k = F.get_json_object(F.col("props"), "$.k").try_cast("bigint")
-    return F.when(k < 95, k)
+    return F.get_json_object(F.col("props"), "$.k").try_cast("bigint")
 
 
 def _txn_columns() -> list[Column]:
@@ -167,12 +174,6 @@ def _card_op(et: Column) -> Column:
             .otherwise("u"))
 
 
-def as_topic_partitions(records: DataFrame) -> DataFrame:
-    """Records arrive partitioned by (topic, partition), as a Kafka source
-    delivers them (one Spark partition per topic partition)."""
-    return records.repartition("topic", "partition")
-
-
 def card_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One change message per event on the card topic.
 
@@ -202,13 +203,13 @@ def card_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     value = F.when(F.col("event_id") % 2 == 0, F.to_json(F.struct(envelope.alias("payload")))) \
         .otherwise(F.to_json(envelope))
-    return as_topic_partitions(e.select(
+    return e.select(
         F.lit(TOPIC_CARD).alias("topic"),
         (F.col("user_id") % 3).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.col("ts").alias("timestamp"),
         value.alias("value"),
-    ))
+    )
 
 
 def txn_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,13 +227,13 @@ def txn_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "purchase", "r").otherwise("c").alias("op"),
         epoch_millis(F.col("txn_ts")).alias("ts_ms"),
     )
-    return as_topic_partitions(j.select(
+    return j.select(
         F.lit(TOPIC_TXN).alias("topic"),
         (F.col("txn_id") % 3).cast("int").alias("partition"),
         F.col("txn_id").alias("offset"),
         F.col("txn_ts").alias("timestamp"),
         F.to_json(envelope).alias("value"),
-    ))
+    )
 
 
 def noise_records(spark: SparkSession, sf_dir: str) -> DataFrame:

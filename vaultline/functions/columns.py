@@ -69,10 +69,20 @@ def flags_to_int(df: DataFrame, cols) -> DataFrame:
 
 
 def parse_ts_best_effort(col) -> Column:
-    """Best-effort text to NTZ timestamp: ISO 8601 with ``T`` or space, an
-    optional trailing ``Z``; anything else (including '') becomes NULL."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.regexp_replace(F.trim(c), "Z$", "").try_cast("timestamp_ntz")
+    """Best-effort text to NTZ timestamp in UTC: ISO 8601 with ``T`` or space
+    and an optional ``Z`` or offset (+hh:mm, +hhmm, +hh), which is taken off;
+    anything else (including '' and zone names) becomes NULL."""
+    c = F.trim(F.col(col) if isinstance(col, str) else col)
+    offset = r"([+-])(\d{2}):?(\d{2})?$"
+    has_time = c.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}.*" + offset)
+    minutes = (F.regexp_extract(c, offset, 2).try_cast("int") * 60
+               + F.coalesce(F.regexp_extract(c, offset, 3).try_cast("int"), F.lit(0)))
+    minutes = F.when(F.regexp_extract(c, offset, 1) == "-", minutes).otherwise(-minutes)
+    plain = F.regexp_replace(c, "Z$", "")
+    local = F.when(has_time, F.regexp_replace(c, offset, "")).otherwise(
+        F.when(plain.rlike(r"^[0-9T :.-]*$"), plain))
+    return F.timestamp_add("MINUTE", F.when(has_time, minutes).otherwise(F.lit(0)),
+                           local.try_cast("timestamp_ntz"))
 
 
 def hash_key(*cols) -> Column:

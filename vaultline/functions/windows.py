@@ -157,11 +157,12 @@ def with_running_sum(df: DataFrame, keys, order: Sequence[str], col, bucket: Col
         d = d.withColumn(n, F.sum(f"__v{i}").over(run))
     wb = (Window.partitionBy(*gk).orderBy(*_bucket_order(gb))
           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = tot.select(*g, *[F.coalesce(F.sum(f"__tot{i}").over(wb), F.lit(0))
-                             .alias(f"__carry{i}") for i in range(len(names))])
+    carry = tot.select(*g, *[F.sum(f"__tot{i}").over(wb).alias(f"__carry{i}")
+                             for i in range(len(names))])
     d = d.join(carry, on=g, how="left")
     for i, n in enumerate(names):
-        d = d.withColumn(n, F.col(n) + F.coalesce(F.col(f"__carry{i}"), F.lit(0)))
+        # like a plain window: NULL only until the first value of the key
+        d = d.withColumn(n, F.coalesce(F.col(n) + F.col(f"__carry{i}"), n, f"__carry{i}"))
     extra = [f"__{p}{i}" for i in range(len(names)) for p in ("v", "carry")]
     return _drop(d, gk, gb, *extra)
 

@@ -109,10 +109,15 @@ def land_transactions(decoded: DataFrame, ts=None) -> DataFrame:
         F.col("partition").cast("int").alias("kafka_partition"),
         F.col("offset").cast("long").alias("kafka_offset"),
         "op", "txn_id",
-        F.coalesce(F.col("after"), F.col("before"), F.lit("{}")).alias("payload_after"),
+        F.coalesce(_filled("after"), _filled("before"), F.lit("{}")).alias("payload_after"),
         "src_ts", load_ts(ts).alias("ingested_at"))
 
 
+def _filled(col: str) -> Column:
+    """The object text, or NULL for an object without fields."""
+    return F.when(~F.col(col).rlike(r"^\s*\{\s*\}\s*$"), F.col(col))
+
+
 def land_cards(decoded: DataFrame, ts=None) -> DataFrame:
     """CDC2-CDC5 for the card topic (full r/c/u/d change set)."""
     d = decoded.filter(F.col("decoded") & (topic_kind() == "card")
@@ -140,6 +145,8 @@ def raw_transaction_cdc(landed: DataFrame, ops=TXN_MODEL_OPS, ts=None) -> DataFr
     default; snapshot reads are landed but not modelled)."""
     d = landed.filter(F.col("op").isin(list(ops)))
     p = F.from_json(F.col("payload_after"), TXN_PAYLOAD)
+    # rows whose time does not parse are rejects, not transactions at no time
+    d = d.filter(parse_ts_best_effort(p["txn_ts"]).isNotNull())
     return d.select(
         "txn_id",
         p["card_id"].alias("card_id"),

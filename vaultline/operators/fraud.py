@@ -16,18 +16,21 @@ US = 1_000_000
 DAY_US = 86_400 * US
 
 
-def _withdrawals(txn: DataFrame) -> DataFrame:
-    return txn.filter(F.col("txn_type") == "atm_withdrawal")
+def _withdrawals(txn: DataFrame, *keys: str) -> DataFrame:
+    """Withdrawals that have all ``keys``: rows without a card are no card's."""
+    d = txn.filter(F.col("txn_type") == "atm_withdrawal")
+    return d.dropna(subset=list(keys))
 
 
 def rapid_withdrawals(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
                       min_terminals: int = 2, key: str = "card_id",
-                      method: str = "frame") -> DataFrame:
+                      method: str = "events") -> DataFrame:
     """FRD1: withdrawals ending a burst on one card: within the trailing
     ``window_s`` seconds (inclusive range frame, ties included) there are at
     least ``min_ops`` withdrawals on at least ``min_terminals`` distinct
     terminals. Output: txn_id, card_id, txn_ts, n_ops, n_terminals.
 
+    Withdrawals without a card are no card's and never flagged.
     ``method='frame'``: range-frame window per (card, day) with a halo copy
     of each day's last window into the next day. One shuffle, but Spark
     re-aggregates a sliding frame per row, so the cost per row is the number
@@ -39,7 +42,7 @@ def rapid_withdrawals(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
     if method == "events":
         return _rapid_by_events(txn, window_s, min_ops, min_terminals, key)
     width = window_s * US
-    w = (_withdrawals(txn).select("txn_id", key, "txn_ts", "terminal_id")
+    w = (_withdrawals(txn, key).select("txn_id", key, "txn_ts", "terminal_id")
          .withColumn("__t", epoch_micros("txn_ts")))
     out = W.range_window(
         w, key, "__t", width, max(width, DAY_US),
@@ -64,7 +67,7 @@ def _rapid_by_events(txn: DataFrame, window_s: int, min_ops: int, min_terminals:
     running sum, so ties count as in a range frame.
     """
     width = window_s * US
-    w = (_withdrawals(txn).select("txn_id", key, "txn_ts", "terminal_id")
+    w = (_withdrawals(txn, key).select("txn_id", key, "txn_ts", "terminal_id")
          .withColumn("__t", epoch_micros("txn_ts")))
     # next occurrence of the same terminal on the same card
     nxt = W.with_next(w.filter(F.col("terminal_id").isNotNull()), [key, "terminal_id"],
@@ -127,7 +130,7 @@ def amount_probe(txn: DataFrame, keys=("card_id", "terminal_id"), max_gap_s: int
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = ["txn_ts", "txn_id"]
-    w = _withdrawals(txn).select("txn_id", *keys, "txn_ts", "amount", "status")
+    w = _withdrawals(txn, *keys).select("txn_id", *keys, "txn_ts", "amount", "status")
 
     def breaks(p: str):
         gap = F.timestamp_diff("MICROSECOND", F.col(p + "txn_ts"), F.col("txn_ts"))
@@ -159,7 +162,7 @@ def rapid_withdrawal_sessions(txn: DataFrame, gap_s: int = 15 * 60, min_ops: int
     report sessions with enough withdrawals on enough terminals.
     session_end = last withdrawal + gap, as a session window reports it."""
     order = ["txn_ts", "txn_id"]
-    w = _withdrawals(txn).select("txn_id", key, "txn_ts", "terminal_id")
+    w = _withdrawals(txn, key).select("txn_id", key, "txn_ts", "terminal_id")
 
     def breaks(p: str):
         gap = F.timestamp_diff("MICROSECOND", F.col(p + "txn_ts"), F.col("txn_ts"))

@@ -58,7 +58,7 @@ def assert_connectors(metrics: DataFrame, metric: str = "cdc_connector_running")
     Only the names of failing connectors reach the driver."""
     down = [r["labels"] for r in metrics.filter((F.col("metric") == metric)
                                                 & (F.col("value") < 1.0)).select("labels")
-            .limit(100).collect()]
+            .collect()]
     if down:
         raise RuntimeError(f"connector not RUNNING: {', '.join(down)}")
 

@@ -292,14 +292,15 @@ def q_cdc_dedupe(spark, sf_dir):
 
 @query("raw_transaction_cdc")
 def q_raw_txn_cdc(spark, sf_dir):
-    """CDC7 + INC1/INC2: typed inserts from the stored landing table; a first
-    run then an incremental run."""
+    """CDC7 + INC2: typed inserts from the stored landing table; a first run,
+    then the rows that were landed after it, whatever their ids."""
     store = _store(spark, "raw-txn-cdc")
     store.overwrite("stg_cdc_transaction", landed_txns(spark, sf_dir))
     landed = store.read("stg_cdc_transaction")
     first = cdc.raw_transaction_cdc(landed.filter(F.col("src_ts") < ntz(PREVIOUS_RUN)),
                                     ts=LOAD_TS)
-    batch = inc.delta(cdc.raw_transaction_cdc(landed, ts=LOAD_TS), first, "txn_id")
+    later = F.coalesce(F.col("src_ts") >= ntz(PREVIOUS_RUN), F.lit(True))
+    batch = cdc.raw_transaction_cdc(landed.filter(later), ts=LOAD_TS)
     return inc.upsert(first, batch, "txn_id")
 
 

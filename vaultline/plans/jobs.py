@@ -37,7 +37,8 @@ def run_dim_load(store: TableStore, entity: str, source: DataFrame, ts=None) ->
     store.overwrite(stg_name, with_load_ts(extract_snapshot(source, entity), "extracted_at", ts))
     stg = staging.stage(store.read(stg_name), entity)
     target = store.read(raw_name) if store.exists(raw_name) else None
-    batch = inc.delta(stg, target, CURSORS[entity])
+    # rows that share the watermark are taken again; the upsert absorbs them
+    batch = inc.delta(stg, target, CURSORS[entity], inclusive=True)
     store.upsert(raw_name, with_load_ts(batch, "loaded_at", ts), PRIMARY_KEYS[entity],
                  order=[CURSORS[entity]])
     store.overwrite(f"ods_dim_{entity}", staging.dimension(store.read(raw_name), entity, ts))
@@ -107,7 +108,8 @@ def run_models(store: TableStore, sources: dict[str, DataFrame], ts=None,
                                                ts))
         stg = staging.stage(store.read(stg_name), entity)
         target = store.read(raw_name) if store.exists(raw_name) else None
-        batch = with_load_ts(inc.delta(stg, target, CURSORS[entity]), "loaded_at", ts)
+        batch = with_load_ts(inc.delta(stg, target, CURSORS[entity],
+                                       inclusive=entity != "transaction"), "loaded_at", ts)
         if entity == "transaction":
             store.upsert(raw_name, batch.withColumn("txn_month", month_of("txn_ts")), "txn_id",
                          partition_by="txn_month", stable_partitions=True)
@@ -195,13 +197,17 @@ def refresh_fact(store: TableStore, ts=None, incremental: bool = True) -> None:
 def run_cdc_models(store: TableStore, card_landing: DataFrame, txn_landing: DataFrame,
                    ts=None, dedupe: bool = True, new_card_rows: DataFrame | None = None) -> None:
     """CDC10 / STR5: recompute the CDC models from the landed log:
-    raw_transaction_cdc (delta + upsert on txn_id) and the card SCD2. With
+    raw_transaction_cdc (upsert on txn_id of all rows of ``txn_landing``: the
+    whole log, or the rows landed since the last run) and the card SCD2. With
     ``new_card_rows`` (the rows landed since the last run) only the cards they
     touch are rebuilt (``scd2_incremental``); otherwise the SCD2 is fully
-    recomputed. Both place late rows correctly."""
-    target = store.read("raw_transaction_cdc") if store.exists("raw_transaction_cdc") else None
-    typed = cdc.raw_transaction_cdc(cdc.dedupe_log(txn_landing) if dedupe else txn_landing, ts=ts)
-    store.upsert("raw_transaction_cdc", inc.delta(typed, target, "txn_id"), "txn_id")
+    recomputed. Both place late rows correctly: ids of another Kafka partition
+    may arrive in any order, so no watermark cuts them."""
+    landed = cdc.dedupe_log(txn_landing) if dedupe else txn_landing
+    typed = cdc.raw_transaction_cdc(landed, ts=ts)
+    store.upsert("raw_transaction_cdc", typed, "txn_id", order=["txn_ts"])
+    store.upsert("raw_transaction_cdc_rejects", cdc.raw_transaction_cdc_rejects(landed),
+                 ["kafka_partition", "kafka_offset"])
     if new_card_rows is not None and store.exists("ods_dim_card_scd2"):
         dim = scd2.scd2_incremental(store.read("ods_dim_card_scd2"), card_landing, new_card_rows,
                                     ts=ts, dedupe=dedupe)

@@ -19,7 +19,7 @@ BINDINGS: dict[str, str] = {
          CAST(DATE '1980-01-01' + CAST(c.c_custkey % 15000 AS INTEGER) AS DATE) AS birth_date,
          'customer' || CAST(c.c_custkey AS VARCHAR) || '@example.com' AS email,
          CASE WHEN c.c_custkey % 10 <> 0
-              THEN '+1000000' || lpad(CAST(c.c_custkey AS VARCHAR), 4, '0') END AS phone,
+              THEN '+1000000' || lpad(CAST(c.c_custkey AS VARCHAR), greatest(4, length(CAST(c.c_custkey AS VARCHAR)))::INTEGER, '0') END AS phone,
          n.n_name AS city,
          TIMESTAMP '2020-01-01 00:00:00' AS created_at,
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(c.c_custkey) AS updated_at,
@@ -41,7 +41,7 @@ BINDINGS: dict[str, str] = {
          o_orderstatus = 'F' AS is_deleted
   FROM orders""",
     "bk_card": """
-  SELECT p_partkey AS card_id,
+  SELECT CASE WHEN p_partkey % 50 = 49 THEN -p_partkey ELSE p_partkey END AS card_id,
          lpad(CAST(p_partkey AS VARCHAR), 16, '4') AS card_number,
          p_partkey * 3 AS account_id,
          CASE WHEN p_size % 10 = 0 THEN 'closed' WHEN p_size % 10 = 1 THEN 'blocked'
@@ -52,10 +52,10 @@ BINDINGS: dict[str, str] = {
          CASE WHEN p_size % 10 IN (0, 1) THEN TIMESTAMP '2024-01-15 00:00:00'
               ELSE TIMESTAMP '2020-01-01 00:00:00' + to_days(p_size) END AS updated_at,
          p_size % 10 = 0 AS is_deleted
-  FROM part WHERE p_partkey % 50 <> 49""",
+  FROM part""",
     "bk_terminal": """
   SELECT s.s_suppkey AS terminal_id,
-         'ATM-' || lpad(CAST(s.s_suppkey AS VARCHAR), 5, '0') AS terminal_code,
+         'ATM-' || lpad(CAST(s.s_suppkey AS VARCHAR), greatest(5, length(CAST(s.s_suppkey AS VARCHAR)))::INTEGER, '0') AS terminal_code,
          n.n_name AS city,
          'R' || CAST(n.n_regionkey AS VARCHAR) AS country,
          CAST(55 AS DOUBLE) + CAST(s.s_suppkey AS DOUBLE) / 1000.0 AS latitude,
@@ -68,8 +68,7 @@ BINDINGS: dict[str, str] = {
     "bk_txn": f"""
   SELECT event_id AS txn_id,
          user_id AS card_id,
-         CASE WHEN TRY_CAST((props->>'$.k') AS BIGINT) < 95
-              THEN TRY_CAST((props->>'$.k') AS BIGINT) END AS terminal_id,
+         TRY_CAST((props->>'$.k') AS BIGINT) AS terminal_id,
          ts AS txn_ts,
          CAST(value AS DECIMAL(18,2)) AS amount,
          {_CUR.format(k='event_id')} AS currency_code,
@@ -312,14 +311,8 @@ SQL["cdc_dedupe"] = with_(_LANDED, "bk_card_log")
 
 SQL["raw_transaction_cdc"] = with_(f"""
 SELECT txn_id, card_id, terminal_id, txn_ts, CAST(amount AS DOUBLE) AS amount, currency_code,
-       txn_type, status, {LOAD_TS} AS loaded_at FROM (
-  SELECT * FROM first_run f WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.txn_id = f.txn_id)
-  UNION ALL SELECT * FROM batch)""", "bk_txn_ev", extra={
-    "c_rows": "SELECT * FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_id IS NOT NULL",
-    "first_run": f"SELECT * FROM c_rows WHERE src_ts < {PREVIOUS_RUN}",
-    "batch": """SELECT * FROM c_rows
-                WHERE txn_id > (SELECT max(txn_id) FROM first_run)
-                   OR (SELECT max(txn_id) FROM first_run) IS NULL"""})
+       txn_type, status, {LOAD_TS} AS loaded_at
+FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_id IS NOT NULL""", "bk_txn_ev")
 
 _SCD2_VERSIONS = """
   SELECT card_id,

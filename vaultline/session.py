@@ -84,6 +84,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="vaultline-ckpt-")
         try:
             spark.conf.set(CHECKPOINT_CONF, path)

@@ -10,9 +10,11 @@ Layout under ``root``::
 A full refresh writes a *new* version folder and then appends its pointer
 row, so readers never see a truncated table and a plan never overwrites the
 files it reads (overwriting a path a running plan reads destroys the input).
-Appends and partition-scoped upserts write into the current version; upserts
-use Spark's dynamic partition overwrite, which stages output and replaces
-only the touched partitions at job commit.
+A partition-scoped upsert writes its touched partitions to a new folder and
+commits the list of folders with, for each, the partition values it replaces
+in the folders before it; so a crash before the commit changes nothing, and a
+partition that the upsert empties is gone with the commit. Appends go into the
+newest folder.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from pyspark.sql import types as T
 from vaultline.operators.incremental import latest_per_key, upsert as _upsert
 
 _CTL = "_ctl/table_versions"
+MAX_LAYERS = 16      # an upsert beyond this many folders rewrites the table as one
+RETRIES = 5
 _SEQ = itertools.count()
 
 
@@ -41,6 +45,12 @@ def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _in(col, values: list):
+    """Whether ``col`` is one of ``values``, of which None stands for NULL; never NULL itself."""
+    found = F.coalesce(col.isin([v for v in values if v is not None]), F.lit(False))
+    return found | col.isNull() if None in values else found
+
+
 class TableStore:
     """Versioned parquet tables under ``root``. Pointers read from the control
     table are cached per store and updated by its own commits; call
@@ -49,7 +59,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._cache: dict[str, tuple[str, str]] = {}
+        self._cache: dict[str, dict] = {}
 
     def refresh(self) -> None:
         self._cache.clear()
@@ -67,20 +77,19 @@ class TableStore:
 
     def _pointer(self, name: str):
         if name in self._cache:
-            version, schema_json = self._cache[name]
-            return {"version": version, "schema_json": schema_json}
+            return self._cache[name]
         ctl = self._ctl(name)
         if ctl is None:
             return None
         # the current version is the one of the latest commit (commit ids are
         # time-ordered), so a rollback is just a newer commit of an old version
-        row = (ctl.agg(F.max_by(F.struct("version", "schema_json"), F.col("commit_id"))
-                       .alias("p"))
+        row = (ctl.agg(F.max_by(F.struct("version", "schema_json", "layers", "commit_id"),
+                                F.col("commit_id")).alias("p"))
                   .first())
         if not row or row["p"] is None:
             return None
-        self._cache[name] = (row["p"]["version"], row["p"]["schema_json"])
-        return {"version": row["p"]["version"], "schema_json": row["p"]["schema_json"]}
+        self._cache[name] = row["p"].asDict()
+        return self._cache[name]
 
     def history(self, name: str) -> DataFrame:
         """Commits of ``name``: (commit_id, version, committed_at), newest first."""
@@ -92,22 +101,50 @@ class TableStore:
     def read_version(self, name: str, version: str) -> DataFrame:
         """Time travel: read an earlier full version of ``name``. (Appends and
         partition upserts change the version they were applied to.)"""
+        return self._read(name, self._version(name, version))
+
+    def _version(self, name: str, version: str) -> dict:
         ctl = self._ctl(name)
-        row = (ctl.filter(F.col("version") == version).select("schema_json").first()
-               if ctl is not None else None)
+        row = (ctl.filter(F.col("version") == version)
+               .select("version", "schema_json", "layers").first() if ctl is not None else None)
         if row is None:
             raise FileNotFoundError(f"table {name!r} has no version {version!r}")
-        schema = T.StructType.fromJson(json.loads(row["schema_json"]))
-        return self.spark.read.schema(schema).parquet(self.location(name, version))
+        return row.asDict()
+
+    def _read(self, name: str, pointer: dict) -> DataFrame:
+        """The rows of one commit: each folder without the partitions that
+        later folders replace (a partition filter, so they are not listed)."""
+        schema = T.StructType.fromJson(json.loads(pointer["schema_json"]))
+        layers = json.loads(pointer["layers"])
+        out = None
+        for i, (version, column, _) in enumerate(layers):
+            df = self.spark.read.schema(schema).parquet(self.location(name, version))
+            gone = [v for _, _, values in layers[i + 1:] for v in values]
+            if gone:
+                column = next(c for _, c, values in layers[i + 1:] if values)
+                df = df.filter(~_in(F.col(column), gone))
+            out = df if out is None else out.unionByName(df)
+        return out
 
     def rollback(self, name: str, version: str) -> None:
         """Make ``version`` current again (one pointer row; no data is copied)."""
-        ctl = self._ctl(name)
-        row = (ctl.filter(F.col("version") == version).select("schema_json").first()
-               if ctl is not None else None)
-        if row is None:
-            raise FileNotFoundError(f"table {name!r} has no version {version!r}")
-        self._commit(name, version, T.StructType.fromJson(json.loads(row["schema_json"])))
+        p = self._version(name, version)
+        self._commit(name, version, T.StructType.fromJson(json.loads(p["schema_json"])),
+                     json.loads(p["layers"]))
+
+    def vacuum(self, name: str, keep: int) -> int:
+        """Delete the folders that none of the newest ``keep`` commits uses;
+        returns their number. Readers of older commits must have ended."""
+        if keep < 1:
+            raise ValueError("at least the current commit is kept")
+        rows = self._ctl(name).orderBy(F.col("commit_id").desc()).select("layers").collect()
+        used = [{v for v, _, _ in json.loads(r["layers"])} for r in rows]
+        old = set().union(*used[keep:]) - set().union(*used[:keep]) if used[keep:] else set()
+        jvm = self.spark._jvm
+        for v in old:
+            path = jvm.org.apache.hadoop.fs.Path(self.location(name, v))
+            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        return len(old)
 
     def current_version(self, name: str) -> str | None:
         p = self._pointer(name)
@@ -117,18 +154,22 @@ class TableStore:
         return self.current_version(name) is not None
 
     def location(self, name: str, version: str | None = None) -> str:
+        """Folder of a version; of a table that upserts have added folders to, the newest."""
         version = version or self.current_version(name)
         if version is None:
             raise FileNotFoundError(f"table {name!r} has no committed version")
         return os.path.join(self.root, name, f"v={version}")
 
-    def _commit(self, name: str, version: str, schema: T.StructType) -> None:
+    def _commit(self, name: str, version: str, schema: T.StructType, layers=None) -> None:
+        layers = json.dumps(layers or [[version, None, []]])
+        commit = self._new_version()
         row = self.spark.range(1).select(
-            F.lit(self._new_version()).alias("commit_id"),
+            F.lit(commit).alias("commit_id"),
             F.lit(version).alias("version"), F.lit(schema.json()).alias("schema_json"),
-            F.localtimestamp().alias("committed_at"))
+            F.lit(layers).alias("layers"), F.localtimestamp().alias("committed_at"))
         row.coalesce(1).write.mode("append").parquet(self._ctl_path(name))
-        self._cache[name] = (version, schema.json())
+        self._cache[name] = {"version": version, "schema_json": schema.json(), "layers": layers,
+                             "commit_id": commit}
 
     @staticmethod
     def _new_version() -> str:
@@ -143,8 +184,7 @@ class TableStore:
         p = self._pointer(name)
         if p is None:
             raise FileNotFoundError(f"table {name!r} has no committed version")
-        schema = T.StructType.fromJson(json.loads(p["schema_json"]))
-        return self.spark.read.schema(schema).parquet(self.location(name, p["version"]))
+        return self._read(name, p)
 
     def read_between(self, name: str, ts_col: str, start=None, end=None,
                      partition_col: str = "txn_month") -> DataFrame:
@@ -198,9 +238,11 @@ class TableStore:
         """INC2 on a stored table.
 
         Unpartitioned: merged result written as a new version. Partitioned:
-        only partitions holding a batch row or a replaced key are rewritten
-        (dynamic partition overwrite); the list of touched partition values is
-        the only thing collected and is bounded by the partition count.
+        only partitions holding a batch row or a replaced key are rewritten,
+        into a new folder; the list of touched partition values (NULL is one)
+        is the only thing collected and is bounded by the partition count.
+        Each attempt starts from the newest commit, and if another writer
+        committed meanwhile the merge is done again on top of that.
         ``stable_partitions`` declares that a key never moves between
         partitions (e.g. a transaction's month), so the touched partitions are
         those of the batch alone and the target's keys need not be scanned.
@@ -209,25 +251,46 @@ class TableStore:
         keys = _as_list(keys)
         if order:
             batch = latest_per_key(batch, keys, order)
+        for _ in range(RETRIES):
+            self._cache.pop(name, None)
+            base = (self._pointer(name) or {}).get("commit_id")
+            done = self._merge(name, batch, keys, partition_by, _as_list(sort_by), stable_partitions)
+            self._cache.pop(name, None)
+            if (self._pointer(name) or {}).get("commit_id") == base:
+                if done is not None:
+                    self._commit(name, *done)
+                return
+        raise RuntimeError(f"table {name!r}: other writers committed during {RETRIES} attempts")
+
+    def _merge(self, name, batch, keys, partition_by, sort_by, stable_partitions):
+        """Write the merge of ``batch`` into the current commit; returns what
+        to commit (version, schema, layers), or None if nothing changes."""
+        version = self._new_version()
+        path = self.location(name, version)
         if not self.exists(name):
-            self.overwrite(name, batch, partition_by, sort_by)
-            return
+            self._write(batch, path, "errorifexists", partition_by, sort_by)
+            return version, batch.schema, None
         target = self.read(name)
         batch = batch.select(*target.columns)
         if partition_by is None:
-            self.overwrite(name, _upsert(target, batch, keys), sort_by=sort_by)
-            return
+            merged = _upsert(target, batch, keys)
+            self._write(merged, path, "errorifexists", None, sort_by)
+            return version, merged.schema, None
         parts = batch.select(partition_by)
         if not stable_partitions:
             parts = parts.union(
                 target.join(batch.select(*keys), keys, "left_semi").select(partition_by))
         touched = [r[0] for r in parts.distinct().collect()]
         if not touched:
-            return
-        scoped = target.filter(F.col(partition_by).isin(touched))
-        merged = self._layout(_upsert(scoped, batch, keys), [partition_by], _as_list(sort_by))
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(partition_by).parquet(self.location(name)))
+            return None
+        layers = json.loads(self._pointer(name)["layers"])
+        if len(layers) >= MAX_LAYERS:
+            merged = _upsert(target, batch, keys)
+            self._write(merged, path, "errorifexists", partition_by, sort_by)
+            return version, target.schema, None
+        merged = _upsert(target.filter(_in(F.col(partition_by), touched)), batch, keys)
+        self._write(merged, path, "errorifexists", partition_by, sort_by)
+        return version, target.schema, [*layers, [version, partition_by, touched]]
 
 
 def materialize(df: DataFrame, name: str, how: str = "view", store: TableStore | None = None,

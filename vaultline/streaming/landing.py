@@ -17,17 +17,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vaultline.operators.cdc import decode_envelope, land_cards, land_transactions, rejects
-from vaultline.schemas import CDC_BATCH_SIZE, CDC_RECORD
+from vaultline.schemas import CDC_BATCH_SIZE, CDC_RECORD, STG_CDC_CARD, STG_CDC_TRANSACTION
 
 
 def read_cdc_stream(spark: SparkSession, fmt: str = "kafka", topics=None, path: str | None = None,
                     bootstrap: str | None = None, starting_offsets: str = "earliest",
-                    max_per_trigger: int | None = CDC_BATCH_SIZE, **options) -> DataFrame:
-    """SRC4/SRC5: multi-topic change stream from the earliest offset, at most
-    ``max_per_trigger`` records (Kafka) or files (file sources) per batch.
+                    max_per_trigger: int | None = None, fail_on_data_loss: bool = True,
+                    **options) -> DataFrame:
+    """SRC4/SRC5: multi-topic change stream from the earliest offset. A batch
+    takes at most ``max_per_trigger`` records of Kafka (CDC_BATCH_SIZE by
+    default) or files of a file source (no limit by default). Expired offsets
+    stop the query unless ``fail_on_data_loss`` is off.
 
     Kafka output is normalised to (topic, partition, offset, timestamp NTZ,
     value text); file sources must already have these columns.
@@ -37,9 +41,8 @@ def read_cdc_stream(spark: SparkSession, fmt: str = "kafka", topics=None, path:
              .option("kafka.bootstrap.servers", bootstrap)
              .option("subscribe", ",".join(topics))
              .option("startingOffsets", starting_offsets)
-             .option("failOnDataLoss", "false"))
-        if max_per_trigger:
-            r = r.option("maxOffsetsPerTrigger", str(max_per_trigger))
+             .option("failOnDataLoss", str(fail_on_data_loss).lower())
+             .option("maxOffsetsPerTrigger", str(max_per_trigger or CDC_BATCH_SIZE)))
         df = r.options(**options).load()
         return df.select("topic", "partition", "offset",
                          F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
@@ -98,9 +101,19 @@ def drain(query: StreamingQuery, timeout_s: int | None = None) -> None:
     query.stop()
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
+def read_landing(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Landing table without the bookkeeping partition column."""
-    return spark.read.parquet(path).drop("batch_id")
+    return _landed(spark, path, schema).drop("batch_id")
+
+
+def _landed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The landed rows with their ``batch_id``; with a ``schema``, a folder
+    without rows yet is an empty table."""
+    if schema is None:
+        return spark.read.parquet(path)
+    schema = T.StructType([*(f for f in schema.fields if f.name != "batch_id"),
+                           T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(schema).parquet(path)
 
 
 def dedupe_stream(stream: DataFrame, delay: str = "1 hour",
@@ -138,9 +151,11 @@ def start_cdc_models(stream: DataFrame, store, root: str, checkpoint: str,
     card_path, txn_path = f"{root}/stg_cdc_card", f"{root}/stg_cdc_transaction"
 
     def models(spark: SparkSession, batch_id: int) -> None:
-        cards = read_landing(spark, card_path)
-        new = spark.read.parquet(card_path).filter(F.col("batch_id") == batch_id).drop("batch_id")
-        run_cdc_models(store, cards, read_landing(spark, txn_path), ts=ts, new_card_rows=new)
+        cards = read_landing(spark, card_path, STG_CDC_CARD)
+        new, txns = (_landed(spark, path, schema).filter(F.col("batch_id") == batch_id).drop("batch_id")
+                     for path, schema in ((card_path, STG_CDC_CARD), (txn_path, STG_CDC_TRANSACTION)))
+        # the batch's own rows, whatever their ids: nothing is cut at a watermark
+        run_cdc_models(store, cards, txns, ts=ts, new_card_rows=new)
 
     return start_landing(stream, card_path, txn_path, checkpoint,
                          reject_path=f"{root}/cdc_rejects", available_now=available_now,
