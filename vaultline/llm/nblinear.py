@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaultline.llm.arrowtext import U
 from vaultline.llm.tables import column_named, materialize, small
@@ -226,4 +227,5 @@ def score(docs: DataFrame, model, extract: Extract, text_col: str = "text", carr
     names = docs.columns if carry is None else carry
     rows = F.struct(*[column_named(docs, c) for c in names]).alias("row")
     packed = docs.select(rows, column_named(docs, text_col).cast("string").alias("text"))
-    return packed.mapInArrow(_score(extract, model), f"row {packed.schema['row'].dataType.simpleString()}, score double")
+    return packed.mapInArrow(_score(extract, model), T.StructType().add("row", packed.schema["row"].dataType)
+                             .add("score", "double"))

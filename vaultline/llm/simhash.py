@@ -126,7 +126,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     heads = d.groupBy("bucket").agg(F.min(F.struct((-F.col("doc_id")).alias("minus"), "tie")).alias("h")).select(
         "bucket", F.col("h.minus").alias("minus"), F.col("h.tie").alias("tie")).orderBy(F.col("bucket").desc()).collect()
     if not heads:
-        return docs.withColumn("next_text", F.lit("")).withColumn("next_tie", F.lit(0).cast("bigint"))
+        return d.withColumns({"next_text": F.lit(""), "next_tie": F.lit(0).cast("bigint"), "place": F.lit(0)})
     before = [heads[-1], *heads[:-1]]
     ends = docs.sparkSession.createDataFrame(
         [(h["minus"], h["tie"], b["bucket"]) for h, b in zip(heads, before)], "minus bigint, h_tie bigint, end_of int")

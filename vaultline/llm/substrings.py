@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaultline.llm.arrowtext import U, Words, buffers, distinct, groups_of
 from vaultline.llm.tables import column_named
@@ -135,12 +136,12 @@ def remove_repeated_windows(docs: DataFrame, k: int = 35, text_col: str = "text"
     dealt = docs.select(F.pmod(F.xxhash64(*[column_named(docs, c) for c in docs.columns
                                             if docs.schema[c].dataType.typeName() not in ("map", "variant")]),
                                F.lit(chunks)).alias("chunk"), text.cast("string").alias("text"), every.alias("row"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema["row"].dataType.fields)
     sent = dealt.groupBy("chunk").applyInArrow(_send(k, buckets), "bucket bigint, chunk bigint, hashes binary")
     answers = sent.groupBy("bucket").applyInArrow(_answer, "chunk bigint, repeated binary")
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _mark(k), f"row struct<{fields}>, n_words bigint, n_removed bigint, kept_text string, "
-                  "removed array<struct<first: bigint, last: bigint>>")
+    span = T.StructType().add("first", "bigint").add("last", "bigint")
+    schema = (T.StructType().add("row", dealt.schema["row"].dataType).add("n_words", "bigint")
+              .add("n_removed", "bigint").add("kept_text", "string").add("removed", T.ArrayType(span)))
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_mark(k), schema)
 
 
 def without_repeats(docs: DataFrame, k: int = 35) -> DataFrame:

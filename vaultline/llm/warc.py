@@ -84,7 +84,7 @@ def _writer(root: str, date: str):
             nonlocal out, packer
             lead, made = dictionary_frame(waiting)
             file = f"{name}-{len(done):04d}.warc.zst"
-            out = system.open_output_stream(f"{folder}/{file}")
+            out = system.open_output_stream(f"{folder}/{file}", compression=None)
             out.write(lead)
             packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=made, write_checksum=True)
             done.append((f"{root.rstrip('/')}/{file}", 0, 0))
@@ -260,7 +260,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             system, name = fs.FileSystem.from_uri(path)
             rows: list[dict] = []
             size = 0
-            with system.open_input_stream(name) as stream:
+            with system.open_input_stream(name, compression=None) as stream:
                 found = frames(stream)
                 while True:
                     try:
