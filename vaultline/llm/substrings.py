@@ -138,9 +138,9 @@ def remove_repeated_windows(docs: DataFrame, k: int = 35, text_col: str = "text"
                                F.lit(chunks)).alias("chunk"), text.cast("string").alias("text"), every.alias("row"))
     sent = dealt.groupBy("chunk").applyInArrow(_send(k, buckets), "bucket bigint, chunk bigint, hashes binary")
     answers = sent.groupBy("bucket").applyInArrow(_answer, "chunk bigint, repeated binary")
-    span = T.StructType().add("first", "bigint").add("last", "bigint")
-    schema = (T.StructType().add("row", dealt.schema["row"].dataType).add("n_words", "bigint")
-              .add("n_removed", "bigint").add("kept_text", "string").add("removed", T.ArrayType(span)))
+    span = T.StructType().add("first", "long").add("last", "long")
+    schema = (T.StructType().add("row", dealt.schema["row"].dataType).add("n_words", "long")
+              .add("n_removed", "long").add("kept_text", "string").add("removed", T.ArrayType(span)))
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_mark(k), schema)
 
 
