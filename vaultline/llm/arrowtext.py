@@ -16,9 +16,8 @@ import pyarrow.compute as pc
 
 SEGMENT = 1 << 20          # bytes whose temporary arrays are held at once
 U = np.uint64
-BYTE_BASE, BYTE_INV = 0x9E3779B97F4A7C13, None
+BYTE_BASE = 0x9E3779B97F4A7C13
 WORD_BASE = 0xD1342543DE82EF93
-MASK64 = (1 << 64) - 1
 
 
 def mix(x: np.ndarray) -> np.ndarray:
