@@ -24,6 +24,7 @@ from vaultline.llm.tables import column_named, materialize
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE_PERCENT, MOST = (5, 2, 1), 150, 2
 BLOCK, SHARD, BUCKETS, CELLS, ROUNDS, SEED = 256, 4096, 512, 1 << 12, 20, 2025
+SLOTS_PER_TASK = 1 << 21
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -127,6 +128,9 @@ def slots(targets: DataFrame) -> DataFrame:
     dealt = (gap_cells.join(over_cells, "cell").filter(a < b)
              .select("shard", "sid", (F.coalesce("got", F.lit(0)) + a - F.col("lo")).alias("from_k"), (b - a).alias("used")))
     runs = placed_.filter("used > 0").select("shard", "sid", "from_k", "used").unionByName(dealt)
+    # a run is one short row but up to SHARD slots, so tasks are dealt by slots and not by the bytes of the runs
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // SLOTS_PER_TASK + 1)
+    runs = runs.repartition(tasks, "shard", "sid", "from_k")
     return runs.select("shard", "sid", F.explode(F.sequence("from_k", F.col("from_k") + F.col("used") - 1)).alias("k"))
 
 
