@@ -65,3 +65,13 @@ def test_read_watermark_ties_and_default(spark):
     assert inc.read_watermark_value(ctl, "p", "transaction") == 7
     assert inc.read_watermark_value(ctl, "p", "card", 0) == 0
     assert inc.read_watermark_value(ctl, "p", "card", None) is None
+
+
+def test_unloaded_finds_late_ids(spark):
+    src = spark.range(1, 11).withColumnRenamed("id", "txn_id")
+    target = src.filter("txn_id in (1, 2, 4, 6, 8)")
+    got = lambda **kw: sorted(r.txn_id for r in inc.unloaded(src, target, "txn_id", **kw).collect())
+    assert got() == [3, 5, 7, 9, 10]
+    assert got(lookback=3) == [7, 9, 10]
+    assert got(lookback=0) == [9, 10]
+    assert inc.unloaded(src, target.limit(0), "txn_id").count() == 10

@@ -173,3 +173,15 @@ def test_refresh_without_injected_time_in_other_zone(spark, sf_dir, scratch):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old_tz)
+
+
+def test_late_ids_reach_raw_and_fact(spark, sf_dir, scratch):
+    """Ids below the watermark that commit after it are loaded by the next run."""
+    store = TableStore(spark, scratch)
+    _dims(spark, sf_dir, store)
+    txn = B.transaction(spark, sf_dir)
+    late = F.col("txn_id") % 10 == 3
+    jobs.run_txn_load(store, txn.filter(~late), ts=TS)
+    jobs.run_txn_load(store, txn, ts="2025-01-02 00:00:00")
+    assert store.read("raw_transaction").count() == txn.count()
+    assert store.read(jobs.FACT).count() == txn.count() > store.read(jobs.TOUCHED).count() > 0

@@ -178,7 +178,7 @@ def test_rapid_withdrawals_events_equal_frame_on_dense_ties(spark):
     txn = spark.createDataFrame(rows, TXN)
     cols = ["txn_id", "card_id", "txn_ts", "n_ops", "n_terminals"]
     for w in (15 * 60, 3600):
-        a = fraud.rapid_withdrawals(txn, w).select(cols)
+        a = fraud.rapid_withdrawals(txn, w, method="frame").select(cols)
         b = fraud.rapid_withdrawals(txn, w, method="events").select(cols)
         assert a.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
@@ -204,3 +204,18 @@ def test_close_customers_restricted_to_keys(spark):
     out = {r.customer_id: r.is_deleted for r in
            lifecycle.close_customers(cust, acc, ts="2024-02-01 00:00:00", keys=keys).collect()}
     assert out == {1: False, 2: True}
+
+
+def test_used_after_block_versions_keeps_the_first_block(spark):
+    """Blocked on the 10th, closed on the 20th, unblocked on the 25th."""
+    end = D(2999, 12, 31)
+    dim = spark.createDataFrame([
+        (1, "active", D(2024, 1, 1), D(2024, 1, 10)), (1, "blocked", D(2024, 1, 10), D(2024, 1, 20)),
+        (1, "closed", D(2024, 1, 20), D(2024, 1, 25)), (1, "active", D(2024, 1, 25), end)],
+        "card_id long, status string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    txn = spark.createDataFrame([(i, c, 5, D(2024, 1, d), Decimal(1), "RUB", "atm_withdrawal", "approved")
+                                 for i, c, d in [(1, 1, 5), (2, 1, 12), (3, 1, 20), (4, 1, 26), (5, 2, 12),
+                                                 (6, None, 12)]], TXN)
+    got = {r.txn_id: (r.card_status, r.blocked_at)
+           for r in fraud.used_after_block_versions(txn, dim).collect()}
+    assert got == {2: ("blocked", D(2024, 1, 10)), 3: ("closed", D(2024, 1, 20))}

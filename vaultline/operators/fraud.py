@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vaultline.functions import windows as W
 from vaultline.functions.columns import epoch_micros
+from vaultline.operators import scd2
 
 US = 1_000_000
 DAY_US = 86_400 * US
@@ -104,7 +105,8 @@ def used_after_block(txn: DataFrame, card: DataFrame,
     """FRD2: transactions on a card after it was blocked or closed.
 
     The block time is the card's ``updated_at`` (a block leaves
-    ``closed_at`` NULL). The card side has one row per key, so the equi join
+    ``closed_at`` NULL), so a later change of the card moves it; with the
+    card's versions at hand use ``used_after_block_versions``. The card side has one row per key, so the equi join
     emits no pairs beyond the transactions themselves; AQE splits a hot card's
     shuffle partition on the transaction side.
     """
@@ -116,6 +118,21 @@ def used_after_block(txn: DataFrame, card: DataFrame,
              .select("txn_id", "card_id", "txn_ts", "status", "card_status", "blocked_at"))
 
 
+def used_after_block_versions(txn: DataFrame, dim: DataFrame,
+                              statuses=("blocked", "closed")) -> DataFrame:
+    """FRD2 from the card's history: transactions made while the card version
+    in effect (SCD2 ``dim``: valid_from <= txn_ts < valid_to) was blocked or
+    closed. Later changes of the card do not hide them, and a card that was
+    unblocked again is not reported. ``blocked_at`` is the start of that
+    version. An as-of lookup, so no pairs; transactions without a card, or
+    before its first version, are not reported.
+    """
+    t = txn.select("txn_id", "card_id", "txn_ts", "status")
+    j = scd2.as_of(t, dim, cols=("status", "valid_from"), prefix="card_")
+    return (j.filter(F.col("card_status").isin(list(statuses)))
+             .withColumnRenamed("card_valid_from", "blocked_at"))
+
+
 def amount_probe(txn: DataFrame, keys=("card_id", "terminal_id"), max_gap_s: int = 120,
                  min_len: int = 3) -> DataFrame:
     """FRD3: runs of withdrawals on the same key with non-increasing amounts

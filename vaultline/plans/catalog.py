@@ -473,6 +473,13 @@ def q_used_after_block(spark, sf_dir):
     return fraud.used_after_block(raw(spark, sf_dir, "transaction"), B.card(spark, sf_dir))
 
 
+@query("used_after_block_versions")
+def q_used_after_block_versions(spark, sf_dir):
+    """FRD2 on the card's versions; S0 is the closed state in the change log."""
+    return fraud.used_after_block_versions(raw(spark, sf_dir, "transaction"),
+                                           scd2_card(spark, sf_dir), statuses=("S0",))
+
+
 @query("amount_probe")
 def q_amount_probe(spark, sf_dir):
     """FRD3 keyed by card (testdata has no same-terminal runs), gaps <= 24 h."""

@@ -22,12 +22,13 @@ from vaultline.functions.columns import month_of, ntz, with_load_ts
 from vaultline.operators import cdc, facts, incremental as inc, scd2, staging
 from vaultline.schemas import CURSORS, PRIMARY_KEYS
 from vaultline.sinks.tables import TableStore
-from vaultline.sources.extract import extract_incremental, extract_snapshot
+from vaultline.sources.extract import extract_snapshot
 
 _EPOCH = dt.datetime(1970, 1, 1)
 CTL_LOAD = "ctl_pg_load"
 FACT = "ods_fact_atm_transaction"
 FACT_REFRESH = "fact_refresh"
+TOUCHED = "stg_fact_touched"
 
 
 def run_dim_load(store: TableStore, entity: str, source: DataFrame, ts=None) -> None:
@@ -73,11 +74,12 @@ def run_txn_load(store: TableStore, source_txn: DataFrame, process: str = "pg_to
     """INC5: read watermark -> incremental extract -> stg -> raw upsert
     (month-partitioned, only touched months rewritten) -> save watermark ->
     rebuild the fact (always, even without new rows). Returns the new
-    watermark. ``lookback`` re-reads ids below the watermark to catch rows
-    committed late (the upsert absorbs the overlap)."""
+    watermark. Ids committed late, below the watermark, are found by an anti
+    join of the ids; ``lookback`` bounds how far below it looks, 0 not at all."""
     last = last_loaded_id(store, process, "transaction")
-    extract = extract_incremental(extract_snapshot(source_txn, "transaction"), "txn_id", last,
-                                  lookback=lookback if last is not None else None)
+    extract = extract_snapshot(source_txn, "transaction")
+    if last is not None:
+        extract = inc.unloaded(extract, store.read("raw_transaction"), "txn_id", last, lookback)
     store.overwrite("stg_transaction", with_load_ts(extract, "extracted_at", ts))
     stg = staging.stage(store.read("stg_transaction"), "transaction")
     batch = with_load_ts(stg, "loaded_at", ts).withColumn("txn_month", month_of("txn_ts"))
@@ -99,17 +101,20 @@ def run_txn_load(store: TableStore, source_txn: DataFrame, process: str = "pg_to
 def run_models(store: TableStore, sources: dict[str, DataFrame], ts=None,
                incremental_fact: bool = True) -> None:
     """The model-driven path: full reload of every staging table, then each
-    raw table takes the rows above its *own* high-watermark (updated_at for
-    dimensions, txn_id for transactions; everything when empty) and upserts
-    them by key, then the ods dimensions and the fact are rebuilt."""
+    raw table takes the rows from its *own* high-watermark on (updated_at for
+    dimensions, txn_id for transactions and the ids below it that raw lacks;
+    everything when empty) and upserts them by key, then the ods dimensions and the fact are rebuilt."""
     for entity, source in sources.items():
         stg_name, raw_name = f"stg_{entity}", f"raw_{entity}"
         store.overwrite(stg_name, with_load_ts(extract_snapshot(source, entity), "extracted_at",
                                                ts))
         stg = staging.stage(store.read(stg_name), entity)
         target = store.read(raw_name) if store.exists(raw_name) else None
-        batch = with_load_ts(inc.delta(stg, target, CURSORS[entity],
-                                       inclusive=entity != "transaction"), "loaded_at", ts)
+        if entity == "transaction" and target is not None:
+            batch = inc.unloaded(stg, target, CURSORS[entity])
+        else:
+            batch = inc.delta(stg, target, CURSORS[entity], inclusive=True)
+        batch = with_load_ts(batch, "loaded_at", ts)
         if entity == "transaction":
             store.upsert(raw_name, batch.withColumn("txn_month", month_of("txn_ts")), "txn_id",
                          partition_by="txn_month", stable_partitions=True)
@@ -174,11 +179,19 @@ def refresh_fact(store: TableStore, ts=None, incremental: bool = True) -> None:
         term_hit = (term.filter(since).select("terminal_id").distinct()
                     .withColumn("__term_hit", F.lit(True)))
         # one pass over the transactions; the hit sets are broadcast when AQE
-        # measures them small (the usual case between two refreshes)
-        touched = (txn.join(card_hit, "card_id", "left").join(term_hit, "terminal_id", "left")
-                      .filter(since | F.col("__card_hit").isNotNull()
-                              | F.col("__term_hit").isNotNull())
-                      .select(*txn.columns))
+        # measures them small (the usual case between two refreshes). Without a
+        # changed dimension row only the load time decides, a pushed-down filter.
+        if card_hit.isEmpty() and term_hit.isEmpty():
+            touched = txn.filter(since)
+        else:
+            touched = (txn.join(card_hit, "card_id", "left").join(term_hit, "terminal_id", "left")
+                          .filter(since | F.col("__card_hit").isNotNull()
+                                  | F.col("__term_hit").isNotNull())
+                          .select(*txn.columns))
+        # used for the key sets, the partition list and the join: written once
+        store.overwrite(TOUCHED, touched)
+        store.vacuum(TOUCHED, keep=2)
+        touched = store.read(TOUCHED)
         # narrow each dimension to the keys the touched rows can reach (small
         # key sets, broadcast by AQE), so the snowflake is joined for the
         # change set only; left-join results are unchanged

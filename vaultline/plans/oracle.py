@@ -503,6 +503,13 @@ FROM raw_txn t JOIN bk_card c ON c.card_id = t.card_id
 WHERE c.status IN ('blocked', 'closed') AND t.txn_ts > c.updated_at""", "raw_txn", "bk_card")
 
 
+SQL["used_after_block_versions"] = with_("""
+SELECT t.txn_id, t.card_id, t.txn_ts, t.status, s.status AS card_status, s.valid_from AS blocked_at
+FROM raw_txn t
+JOIN scd s ON s.card_id = t.card_id AND s.valid_from <= t.txn_ts AND t.txn_ts < s.valid_to
+WHERE s.status = 'S0'""", "raw_txn", "bk_card_log", extra=_SCD2_CTES)
+
+
 def _probe(keys, gap_us):
     part = ", ".join(keys)
     return with_(f"""
@@ -643,16 +650,13 @@ SQL["partitioned_upsert"] = SQL["upsert_by_key"].replace(
 SQL["materialize_incremental"] = with_(f"""
 SELECT {cols_sql('card')} FROM raw_card""", "raw_card")
 SQL["dim_load_run"] = SQL["dim_card"]
-# first run loads transactions before the cut; the second run extracts ids
-# above the first run's watermark (a lower id committed after the cut is
-# missed, as with any id watermark without look-back)
+# first run loads transactions before the cut; the second run takes all others,
+# whether their ids are above or below the first run's watermark
 SQL["incremental_fact_run"] = with_(
     f"SELECT *, CAST(year(txn_ts) * 100 + month(txn_ts) AS INTEGER) AS txn_month FROM ("
     + FACT_SELECT.format(txn="loaded") + ")",
     "raw_txn", "raw_card", "raw_account", "raw_customer", "raw_terminal", extra={
-        "loaded": f"""SELECT * FROM raw_txn WHERE txn_ts < {PREVIOUS_RUN}
-                      OR txn_id > (SELECT coalesce(max(txn_id), 0) FROM raw_txn
-                                   WHERE txn_ts < {PREVIOUS_RUN})"""})
+        "loaded": "SELECT * FROM raw_txn"})
 SQL["cdc_stream_landing"] = SQL["cdc_landing_card"]
 SQL["cdc_models_run"] = with_(f"""
 SELECT txn_id, card_id, terminal_id, txn_ts, CAST(amount AS DOUBLE) AS amount, currency_code,
@@ -681,8 +685,6 @@ LEFT JOIN raw_account ac ON ac.account_id = cd.account_id
 LEFT JOIN raw_customer cu ON cu.customer_id = ac.customer_id
 LEFT JOIN raw_terminal te ON te.terminal_id = t.terminal_id""",
     "raw_txn", "raw_card", "raw_account", "raw_customer", "raw_terminal", extra={
-        "loaded": f"""SELECT * FROM raw_txn WHERE txn_ts < {PREVIOUS_RUN}
-                      OR txn_id > (SELECT coalesce(max(txn_id), 0) FROM raw_txn
-                                   WHERE txn_ts < {PREVIOUS_RUN})"""})
+        "loaded": "SELECT * FROM raw_txn"})
 SQL["rapid_withdrawals_stream"] = SQL["rapid_withdrawals"]
 SQL["rapid_withdrawals_events"] = SQL["rapid_withdrawals"]
