@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,14 @@ from vaultline.llm.tables import column_named
 CHUNK_BYTES, BUCKET_BYTES, LEAST_BUCKETS = 1 << 20, 16 << 20, 64
 
 
+def _texts(table: pa.Table, field: int) -> pa.Array:
+    """The texts inside ``row``, which is shuffled as the only copy of them."""
+    rows = table["row"].combine_chunks()
+    if isinstance(rows, pa.ChunkedArray):
+        rows = pa.concat_arrays(rows.chunks)
+    return pc.struct_field(rows, [field])
+
+
 def window_hashes(column, k: int) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(first text, words, bytes, offsets, window starts, window hashes) for
     groups of about a megabyte of the column."""
@@ -48,11 +57,11 @@ def covered(n_words: int, starts: np.ndarray, k: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def _send(k: int, buckets: int):
+def _send(k: int, buckets: int, field: int):
     shift = U(64 - buckets.bit_length() + 1)
 
     def send(key, table):
-        parts = [h for *_, h in window_hashes(table["text"], k)]
+        parts = [h for *_, h in window_hashes(_texts(table, field), k)]
         h = distinct(np.concatenate(parts)) if parts else np.zeros(0, U)
         b = (h >> shift).astype(np.int64)
         names = np.unique(b)
@@ -80,9 +89,9 @@ def _answer(table: pa.Table) -> pa.Table:
     return pa.table({"chunk": pa.array(chunks, pa.int64()), "repeated": pa.array(out, pa.binary())})
 
 
-def _mark(k: int):
+def _mark(k: int, field: int):
     def mark(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        groups = list(window_hashes(texts["text"], k))
+        groups = list(window_hashes(_texts(texts, field), k))
         every = np.concatenate([h for *_, h in groups]) if groups else np.zeros(0, U)
         every.sort()
         again = [every[1:][every[1:] == every[:-1]]]
@@ -135,13 +144,14 @@ def remove_repeated_windows(docs: DataFrame, k: int = 35, text_col: str = "text"
     every = F.struct(*[column_named(docs, c) for c in docs.columns])
     dealt = docs.select(F.pmod(F.xxhash64(*[column_named(docs, c) for c in docs.columns
                                             if docs.schema[c].dataType.typeName() not in ("map", "variant")]),
-                               F.lit(chunks)).alias("chunk"), text.cast("string").alias("text"), every.alias("row"))
-    sent = dealt.groupBy("chunk").applyInArrow(_send(k, buckets), "bucket bigint, chunk bigint, hashes binary")
+                               F.lit(chunks)).alias("chunk"), every.alias("row"))
+    field = docs.columns.index(text_col)
+    sent = dealt.groupBy("chunk").applyInArrow(_send(k, buckets, field), "bucket bigint, chunk bigint, hashes binary")
     answers = sent.groupBy("bucket").applyInArrow(_answer, "chunk bigint, repeated binary")
     span = T.StructType().add("first", "long").add("last", "long")
     schema = (T.StructType().add("row", dealt.schema["row"].dataType).add("n_words", "long")
               .add("n_removed", "long").add("kept_text", "string").add("removed", T.ArrayType(span)))
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_mark(k), schema)
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_mark(k, field), schema)
 
 
 def without_repeats(docs: DataFrame, k: int = 35) -> DataFrame:
