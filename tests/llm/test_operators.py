@@ -95,6 +95,14 @@ def test_bucket_rest_finds_links_that_the_centre_misses():
         neardup.cross_links(np.array([1, 2, 3]), np.array([1, 2, 3]), sets) == [(2, 3)]
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_packed_hashes_come_back(n):
+    import pyarrow as pa
+    values = np.sort(np.random.default_rng(n).integers(0, 1 << 64, n, np.uint64))
+    values[-1:] = (1 << 64) - 1
+    assert (substrings.unpack(pa.scalar(substrings.pack(values), pa.binary())) == values).all()
+
+
 def test_substrings_equal_brute_force(docs):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     words = [WORD.findall(t or "") for _, t in rows]

@@ -38,6 +38,17 @@ def _texts(table: pa.Table, field: int) -> pa.Array:
     return pc.struct_field(rows, [field])
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Sorted hashes as byte planes of their differences: the upper planes of
+    dense lists are zeros, which the shuffle's compression removes."""
+    return np.diff(values, prepend=U(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack(packed: pa.Scalar) -> np.ndarray:
+    planes = np.frombuffer(packed.as_buffer(), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(U).ravel(), dtype=U)
+
+
 def window_hashes(column, k: int) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(first text, words, bytes, offsets, window starts, window hashes) for
     groups of about a megabyte of the column."""
@@ -69,14 +80,14 @@ def _send(k: int, buckets: int, field: int):
         return pa.table({
             "bucket": pa.array(names, pa.int64()),
             "chunk": pa.array([key[0].as_py()] * len(names), pa.int64()),
-            "hashes": pa.array([h[x:y].tobytes() for x, y in zip(at[:-1], at[1:])], pa.binary()),
+            "hashes": pa.array([pack(h[x:y]) for x, y in zip(at[:-1], at[1:])], pa.binary()),
         })
     return send
 
 
 def _answer(table: pa.Table) -> pa.Table:
     """The hashes of one bucket that several chunks sent, back to each of these."""
-    lists = [np.frombuffer(x.as_buffer(), U) for x in table["hashes"]]
+    lists = [unpack(x) for x in table["hashes"]]
     every = np.concatenate(lists)
     every.sort()
     again = distinct(every[1:][every[1:] == every[:-1]])
@@ -85,7 +96,7 @@ def _answer(table: pa.Table) -> pa.Table:
         hit = np.intersect1d(h, again, assume_unique=True) if len(again) else again
         if len(hit):
             chunks.append(c)
-            out.append(hit.tobytes())
+            out.append(pack(hit))
     return pa.table({"chunk": pa.array(chunks, pa.int64()), "repeated": pa.array(out, pa.binary())})
 
 
@@ -95,7 +106,7 @@ def _mark(k: int, field: int):
         every = np.concatenate([h for *_, h in groups]) if groups else np.zeros(0, U)
         every.sort()
         again = [every[1:][every[1:] == every[:-1]]]
-        again += [np.frombuffer(x.as_buffer(), U) for x in answers["repeated"]]
+        again += [unpack(x) for x in answers["repeated"]]
         again = distinct(np.concatenate(again))
         n_words, n_removed, kept, spans = [], [], [], []
         for _, words, part, offs, at, h in groups:
