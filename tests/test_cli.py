@@ -31,6 +31,8 @@ def test_load_models_cdc_monitor(spark, sf_dir, scratch):
     B.cdc_records(spark, sf_dir).write.json(cdc_in)
     assert main(["cdc", "--input", cdc_in, "--warehouse", wh], spark=spark) == 0
     assert TableStore(spark, wh).read("ods_dim_card_scd2").count() > 0
+    marks = TableStore(spark, wh).read(jobs.CTL_LOAD).filter(F.col("src_table") == jobs.FACT)
+    assert marks.count() == 2                        # one by load, one by cdc
 
     end, committed = B.offsets(spark, sf_dir)
     end.write.parquet(os.path.join(scratch, "end"))
@@ -46,3 +48,37 @@ def test_load_models_cdc_monitor(spark, sf_dir, scratch):
     else:
         assert main(args, spark=spark) == 0
     assert TableStore(spark, wh).read("ctl_monitoring").count() > 0
+
+
+def test_load_from_jdbc(spark, sf_dir, scratch, monkeypatch):
+    from vaultline.sources import extract
+    frames = {"customer": B.customer, "account": B.account, "card": B.card,
+              "terminal": B.terminal, "transaction": B.transaction}
+    calls = []
+
+    def read(spark, url, table, **options):
+        calls.append((url, table, options))
+        if table.startswith("("):                    # the bounds of a table's key
+            key, name = table.split("min(")[1].split(")")[0], table.split("bank.")[1].split(")")[0]
+            return frames[name](spark, sf_dir).agg(F.min(key).alias("low"), F.max(key).alias("high"))
+        return frames[table.split(".")[1]](spark, sf_dir)
+
+    monkeypatch.setattr(extract, "read_jdbc", read)
+    os.makedirs(scratch, exist_ok=True)
+    secret = os.path.join(scratch, "secret")
+    with open(secret, "w") as fh:
+        fh.write("word\n")
+    wh = os.path.join(scratch, "wh")
+    assert main(["load", "--jdbc", "jdbc:x://db", "--jdbc-user", "u", "--jdbc-password-file", secret,
+                 "--jdbc-partitions", "3", "--warehouse", wh], spark=spark) == 0
+    assert TableStore(spark, wh).read(jobs.FACT).count() == B.transaction(spark, sf_dir).count()
+    url, _, options = next(c for c in calls if c[1] == "bank.transaction")
+    assert url == "jdbc:x://db" and options["user"] == "u" and options["password"] == "word"
+    assert options["partition_column"] == "txn_id" and options["num_partitions"] == 3
+    assert options["lower_bound"] <= options["upper_bound"]
+
+
+def test_source_and_jdbc_exclude_each_other(spark):
+    for args in ([], ["--source", "a", "--jdbc", "b"]):
+        with pytest.raises(SystemExit):
+            main(["load", "--warehouse", "w", *args], spark=spark)

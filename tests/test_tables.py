@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from vaultline.sinks.tables import TableStore, materialize
@@ -113,3 +114,21 @@ def test_uncommitted_write_changes_nothing_and_vacuum(spark, scratch):
     assert {r.id: r.v for r in store.read("c").collect()} == {1: "a", 2: "v19"}
     assert store.vacuum("c", keep=2) > 0 and not os.path.exists(first)
     assert {r.id: r.v for r in store.read("c").collect()} == {1: "a", 2: "v19"}
+
+
+@pytest.mark.parametrize("sort_by", [None, "id"])
+def test_partitioned_write_runs_once_and_bounds_files(spark, scratch, sort_by):
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+
+    df = spark.range(12_000, numPartitions=16).select("id", (F.col("id") % 12).alias("m"))
+    store = TableStore(spark, scratch)
+    store.overwrite("b", df.mapInArrow(count, df.schema), partition_by="m", sort_by=sort_by)
+    assert rows.value == 12_000                      # no second run to sample ranges
+    files = [f for _, _, names in os.walk(store.location("b")) for f in names if f.endswith(".parquet")]
+    assert len(files) == 12
+    assert store.read("b").count() == 12_000

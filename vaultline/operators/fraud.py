@@ -14,7 +14,10 @@ from vaultline.functions.columns import epoch_micros
 from vaultline.operators import scd2
 
 US = 1_000_000
-DAY_US = 86_400 * US
+
+
+def _bucket(bucket):
+    return bucket if bucket is not None else F.to_date("txn_ts")
 
 
 def _withdrawals(txn: DataFrame, *keys: str) -> DataFrame:
@@ -25,7 +28,7 @@ def _withdrawals(txn: DataFrame, *keys: str) -> DataFrame:
 
 def rapid_withdrawals(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
                       min_terminals: int = 2, key: str = "card_id",
-                      method: str = "events") -> DataFrame:
+                      method: str = "events", bucket_s: int = 86_400) -> DataFrame:
     """FRD1: withdrawals ending a burst on one card: within the trailing
     ``window_s`` seconds (inclusive range frame, ties included) there are at
     least ``min_ops`` withdrawals on at least ``min_terminals`` distinct
@@ -38,15 +41,16 @@ def rapid_withdrawals(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
     of the card's withdrawals inside its window.
     ``method='events'``: the same counts as running sums of interval
     start/end events (see ``_rapid_by_events``): linear whatever the density
-    of a card's withdrawals, at the price of more shuffled rows.
+    of a card's withdrawals, at the price of more shuffled rows. One task
+    handles ``bucket_s`` seconds of one card.
     """
     if method == "events":
-        return _rapid_by_events(txn, window_s, min_ops, min_terminals, key)
+        return _rapid_by_events(txn, window_s, min_ops, min_terminals, key, bucket_s)
     width = window_s * US
     w = (_withdrawals(txn, key).select("txn_id", key, "txn_ts", "terminal_id")
          .withColumn("__t", epoch_micros("txn_ts")))
     out = W.range_window(
-        w, key, "__t", width, max(width, DAY_US),
+        w, key, "__t", width, max(width, bucket_s * US),
         {"n_ops": lambda spec: F.count(F.lit(1)).over(spec),
          "n_terminals": lambda spec: F.size(F.collect_set("terminal_id").over(spec))})
     return (out.filter((F.col("n_ops") >= min_ops) & (F.col("n_terminals") >= min_terminals))
@@ -54,7 +58,7 @@ def rapid_withdrawals(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
 
 
 def _rapid_by_events(txn: DataFrame, window_s: int, min_ops: int, min_terminals: int,
-                     key: str) -> DataFrame:
+                     key: str, bucket_s: int) -> DataFrame:
     """FRD1 counts in linear time.
 
     A withdrawal at t lies in the trailing window of every later point up to
@@ -72,7 +76,8 @@ def _rapid_by_events(txn: DataFrame, window_s: int, min_ops: int, min_terminals:
          .withColumn("__t", epoch_micros("txn_ts")))
     # next occurrence of the same terminal on the same card
     nxt = W.with_next(w.filter(F.col("terminal_id").isNotNull()), [key, "terminal_id"],
-                      ["__t", "txn_id"], ["__t"], F.to_date("txn_ts"), prefix="__n")
+                      ["__t", "txn_id"], ["__t"], F.floor(F.col("__t") / F.lit(bucket_s * US)),
+                      prefix="__n")
     end_ops = F.col("__t") + F.lit(width + 1)
     ev_ops = w.select(key, F.explode(F.array(
         F.struct(F.col("__t").alias("t"), F.lit(1).alias("d_ops"), F.lit(0).alias("d_term")),
@@ -89,8 +94,8 @@ def _rapid_by_events(txn: DataFrame, window_s: int, min_ops: int, min_terminals:
     queries = w.select(key, F.col("__t").alias("t"), F.lit(0).alias("d_ops"),
                        F.lit(0).alias("d_term"), F.lit(1).alias("__kind"), "txn_id", "txn_ts")
     allev = events.unionByName(queries)
-    # a bucket per day of event time (integer days since the epoch)
-    bucket = F.floor(F.col("t") / F.lit(DAY_US)).cast("long")
+    # integer periods of event time since the epoch
+    bucket = F.floor(F.col("t") / F.lit(bucket_s * US)).cast("long")
     order = ["t", "__kind", "d_ops", "d_term", "txn_id"]
     allev = W.with_running_sum(allev, key, order, ["d_ops", "d_term"], bucket,
                                ["n_ops", "n_terminals"])
@@ -134,7 +139,7 @@ def used_after_block_versions(txn: DataFrame, dim: DataFrame,
 
 
 def amount_probe(txn: DataFrame, keys=("card_id", "terminal_id"), max_gap_s: int = 120,
-                 min_len: int = 3) -> DataFrame:
+                 min_len: int = 3, bucket=None) -> DataFrame:
     """FRD3: runs of withdrawals on the same key with non-increasing amounts
     (repeats allowed: the amount may stay at its floor) and gaps of at most
     ``max_gap_s`` seconds.
@@ -143,7 +148,8 @@ def amount_probe(txn: DataFrame, keys=("card_id", "terminal_id"), max_gap_s: int
     breaks = run id -> one aggregate per run. Output per run of at least
     ``min_len``: keys, run_start, run_end, n_attempts, n_declined,
     first_amount, last_amount, last_status, probing (every attempt but the
-    last declined).
+    last declined). ``bucket`` (default: day of txn_ts) is the unit one task
+    handles for one key.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = ["txn_ts", "txn_id"]
@@ -154,7 +160,7 @@ def amount_probe(txn: DataFrame, keys=("card_id", "terminal_id"), max_gap_s: int
         return (F.col(p + "txn_ts").isNull() | (gap > F.lit(max_gap_s * US))
                 | (F.col("amount") > F.col(p + "amount")))
 
-    w = W.with_islands(w, keys, order, ["txn_ts", "amount"], F.to_date("txn_ts"), breaks, "__run")
+    w = W.with_islands(w, keys, order, ["txn_ts", "amount"], _bucket(bucket), breaks, "__run")
     ordv = F.struct("txn_ts", "txn_id")
     runs = w.groupBy(*keys, "__run").agg(
         F.min("txn_ts").alias("run_start"),
@@ -173,11 +179,13 @@ def amount_probe(txn: DataFrame, keys=("card_id", "terminal_id"), max_gap_s: int
 
 
 def rapid_withdrawal_sessions(txn: DataFrame, gap_s: int = 15 * 60, min_ops: int = 3,
-                              min_terminals: int = 2, key: str = "card_id") -> DataFrame:
+                              min_terminals: int = 2, key: str = "card_id",
+                              bucket=None) -> DataFrame:
     """FRD1, session form (the batch twin of the streaming detector): a
     session closes after ``gap_s`` seconds without a withdrawal on the card;
     report sessions with enough withdrawals on enough terminals.
-    session_end = last withdrawal + gap, as a session window reports it."""
+    session_end = last withdrawal + gap, as a session window reports it.
+    ``bucket`` as in ``amount_probe``."""
     order = ["txn_ts", "txn_id"]
     w = _withdrawals(txn, key).select("txn_id", key, "txn_ts", "terminal_id")
 
@@ -185,7 +193,7 @@ def rapid_withdrawal_sessions(txn: DataFrame, gap_s: int = 15 * 60, min_ops: int
         gap = F.timestamp_diff("MICROSECOND", F.col(p + "txn_ts"), F.col("txn_ts"))
         return F.col(p + "txn_ts").isNull() | (gap >= F.lit(gap_s * US))
 
-    w = W.with_islands(w, key, order, ["txn_ts"], F.to_date("txn_ts"), breaks, "__s")
+    w = W.with_islands(w, key, order, ["txn_ts"], _bucket(bucket), breaks, "__s")
     s = w.groupBy(key, "__s").agg(
         F.min("txn_ts").alias("session_start"),
         F.timestamp_add("SECOND", F.lit(gap_s), F.max("txn_ts")).alias("session_end"),

@@ -37,7 +37,7 @@ def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str,
             child_key: str | None = None, relation: str | None = None) -> DataFrame:
     """Q2: child rows whose non-NULL foreign key has no parent (left anti
     join; AQE broadcasts the parent keys only when they are measured small)."""
-    parent_keys = parent.select(F.col(pk).alias("__pk")).distinct()
+    parent_keys = parent.select(F.col(pk).alias("__pk"))
     c = child.filter(F.col(fk).isNotNull())
     out = c.join(parent_keys, c[fk] == parent_keys["__pk"], "left_anti")
     cols = [F.lit(relation or f"{fk}->{pk}").alias("relation")]

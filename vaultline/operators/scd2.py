@@ -19,10 +19,15 @@ from vaultline.schemas import OPEN_END
 VERSION_ORDER = ["src_ts", "kafka_partition", "kafka_offset"]
 
 
+def _bucket(bucket, col: str):
+    return bucket if bucket is not None else W.day_bucket(col)
+
+
 def version_number(log: DataFrame, key: str = "card_id", order=VERSION_ORDER,
-                   name: str = "rn") -> DataFrame:
-    """WN1: ``row_number() OVER (PARTITION BY key ORDER BY order)``."""
-    return W.with_row_number(log, key, order, W.day_bucket(order[0]), name)
+                   name: str = "rn", bucket=None) -> DataFrame:
+    """WN1: ``row_number() OVER (PARTITION BY key ORDER BY order)``. ``bucket``
+    as in ``scd2``."""
+    return W.with_row_number(log, key, order, _bucket(bucket, order[0]), name)
 
 
 def scd2(versions: DataFrame, key: str = "card_id", order=VERSION_ORDER,
@@ -41,7 +46,7 @@ def scd2(versions: DataFrame, key: str = "card_id", order=VERSION_ORDER,
     drops replayed rows inside the same shuffle.
     """
     attrs = list(attrs)
-    bucket = bucket if bucket is not None else W.day_bucket(order[0])
+    bucket = _bucket(bucket, order[0])
     v = versions
     if carry_forward:
         v = W.with_prev(v, key, order, attrs, bucket, prefix="__pv_")
@@ -80,25 +85,27 @@ def scd2_current(dim: DataFrame) -> DataFrame:
 
 
 def as_of(fact: DataFrame, dim: DataFrame, key: str = "card_id", ts_col: str = "txn_ts",
-          cols=("card_sk", "status", "is_deleted"), prefix: str = "") -> DataFrame:
+          cols=("card_sk", "status", "is_deleted"), prefix: str = "",
+          bucket_fn=F.to_date) -> DataFrame:
     """S4: point-in-time lookup, the version with valid_from <= ts < valid_to.
 
     Versions of a key tile time without gaps, so this is the latest version
     with valid_from <= ts: an as-of join (no range-join pairs). Among versions
     starting at the same instant the zero-length ones end there, so ordering
     by (valid_from, valid_to) picks the one that is valid. Facts before the
-    first version get NULLs.
+    first version get NULLs. ``bucket_fn`` maps a time column to the unit one
+    task handles for one key (a finer one for keys that burst within a day).
     """
     return W.as_of(fact, dim, key, ts_col, "valid_from", ["valid_from", "valid_to"], list(cols),
-                   lambda c: F.to_date(c), prefix=prefix)
+                   bucket_fn, prefix=prefix)
 
 
-def check_invariants(dim: DataFrame, key: str = "card_id") -> DataFrame:
+def check_invariants(dim: DataFrame, key: str = "card_id", bucket=None) -> DataFrame:
     """Per-key SCD2 invariant violations: overlaps/gaps between consecutive
     versions, not exactly one current version, or a current version that does
     not end at the open end. Empty frame = healthy."""
     nxt = W.with_next(dim, key, ["valid_from", "card_sk"], ["valid_from"],
-                      W.day_bucket("valid_from"), prefix="__n_")
+                      _bucket(bucket, "valid_from"), prefix="__n_")
     bad_link = nxt.filter(F.col("__n_valid_from").isNotNull()
                           & (F.col("valid_to") != F.col("__n_valid_from")))
     per_key = dim.groupBy(key).agg(

@@ -489,8 +489,8 @@ def q_amount_probe(spark, sf_dir):
 
 @query("amount_probe_card_terminal")
 def q_amount_probe_ct(spark, sf_dir):
-    """FRD3 with the reference's key (card, terminal) and 120 s gaps."""
-    return fraud.amount_probe(raw(spark, sf_dir, "transaction"))
+    """FRD3 with the reference's key (card, terminal); on this data with gaps of 30 days."""
+    return fraud.amount_probe(raw(spark, sf_dir, "transaction"), max_gap_s=30 * 86_400)
 
 
 # ---------------------------------------------------------------------------
@@ -682,15 +682,19 @@ def q_dim_load(spark, sf_dir):
     return store.read("ods_dim_card")
 
 
+def _load_dims(store, spark, sf_dir):
+    jobs.run_dim_loads(store, {"customer": B.customer(spark, sf_dir),
+                               "account": B.account(spark, sf_dir),
+                               "card": B.card(spark, sf_dir),
+                               "terminal": B.terminal(spark, sf_dir)}, ts=LOAD_TS)
+
+
 @query("incremental_fact_run")
 def q_txn_load(spark, sf_dir):
     """INC4/INC5: dims, then two incremental transaction loads and an idempotent
     re-run; the month-partitioned fact read back."""
     store = _store(spark, "txn-load")
-    jobs.run_dim_loads(store, {"customer": B.customer(spark, sf_dir),
-                               "account": B.account(spark, sf_dir),
-                               "card": B.card(spark, sf_dir),
-                               "terminal": B.terminal(spark, sf_dir)}, ts=LOAD_TS)
+    _load_dims(store, spark, sf_dir)
     txn = B.transaction(spark, sf_dir)
     jobs.run_txn_load(store, txn.filter(F.col("txn_ts") < ntz(PREVIOUS_RUN)), ts=LOAD_TS)
     jobs.run_txn_load(store, txn, ts=LOAD_TS)
@@ -724,11 +728,23 @@ def q_stream_landing(spark, sf_dir):
 
 @query("cdc_models_run")
 def q_cdc_models(spark, sf_dir):
-    """CDC10/STR5: stream-landed log -> raw_transaction_cdc + card SCD2."""
+    """CDC10/STR5: stream-landed log -> raw_transaction_cdc, card SCD2 and the
+    fact over the loaded raw layer; one row per row of each model."""
     root, cards, txns = _land_stream(spark, sf_dir)
     store = TableStore(spark, f"{root}/warehouse")
+    _load_dims(store, spark, sf_dir)
+    jobs.run_txn_load(store, B.transaction(spark, sf_dir), ts=LOAD_TS)
     jobs.run_cdc_models(store, cards, txns, ts=LOAD_TS)
-    return store.read("raw_transaction_cdc")
+    cols = ["txn_id", "card_id", "terminal_id", "txn_ts", "amount", "currency_code", "txn_type",
+            "status", "loaded_at"]
+    out = None
+    for name in ("raw_transaction_cdc", jobs.FACT, "ods_dim_card_scd2"):
+        df = store.read(name)
+        df = df.select("card_id", F.col("valid_from").alias("txn_ts"), "status", "loaded_at",
+                       "is_current") if name == "ods_dim_card_scd2" else df.select(cols)
+        df = df.withColumn("model", F.lit(name))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 @query("metrics_sink_roundtrip")
@@ -744,14 +760,23 @@ def q_metrics_sink(spark, sf_dir):
 
 @query("scd2_invariants")
 def q_scd2_invariants(spark, sf_dir):
-    """S2 invariants: no gaps/overlaps, one current version per card (empty)."""
-    return scd2.check_invariants(scd2_card(spark, sf_dir))
+    """S2 invariants over a dimension with planted faults: closed versions of
+    every fifth card end a second late, every seventh card lost its current one."""
+    late = (F.col("card_id") % 5 == 0) & (F.col("is_current") == 0)
+    dim = scd2_card(spark, sf_dir)
+    dim = dim.withColumn("valid_to", F.when(late, F.timestamp_add("SECOND", F.lit(1), "valid_to"))
+                         .otherwise(F.col("valid_to"))) \
+        .withColumn("is_current", F.when(F.col("card_id") % 7 == 0, 0).otherwise(F.col("is_current")))
+    return scd2.check_invariants(dim)
 
 
 @query("raw_transaction_cdc_rejects")
 def q_txn_rejects(spark, sf_dir):
-    """T15: landed inserts whose txn_ts does not parse (none in the test data)."""
-    return cdc.raw_transaction_cdc_rejects(landed_txns(spark, sf_dir))
+    """T15: landed inserts whose txn_ts does not parse (planted in one of 97)."""
+    bad = F.concat(F.lit('{"txn_ts":"'), F.col("txn_id").cast("string"), F.lit(' is no time"}'))
+    landed = landed_txns(spark, sf_dir)
+    return cdc.raw_transaction_cdc_rejects(landed.withColumn(
+        "payload_after", F.when(F.col("txn_id") % 97 == 0, bad).otherwise(F.col("payload_after"))))
 
 
 @query("scd2_incremental")

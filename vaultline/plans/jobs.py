@@ -207,18 +207,28 @@ def refresh_fact(store: TableStore, ts=None, incremental: bool = True) -> None:
     store.append(CTL_LOAD, inc.watermark_row(store.spark, FACT_REFRESH, FACT, micros, ts))
 
 
+def refresh_loaded_fact(store: TableStore, ts=None) -> None:
+    """``refresh_fact`` where every raw table has been loaded."""
+    if all(store.exists(f"raw_{e}") for e in PRIMARY_KEYS):
+        refresh_fact(store, ts)
+
+
 def run_cdc_models(store: TableStore, card_landing: DataFrame, txn_landing: DataFrame,
-                   ts=None, dedupe: bool = True, new_card_rows: DataFrame | None = None) -> None:
+                   ts=None, dedupe: bool = True, new_card_rows: DataFrame | None = None,
+                   fact: bool = True) -> None:
     """CDC10 / STR5: recompute the CDC models from the landed log:
     raw_transaction_cdc (upsert on txn_id of all rows of ``txn_landing``: the
     whole log, or the rows landed since the last run) and the card SCD2. With
     ``new_card_rows`` (the rows landed since the last run) only the cards they
     touch are rebuilt (``scd2_incremental``); otherwise the SCD2 is fully
     recomputed. Both place late rows correctly: ids of another Kafka partition
-    may arrive in any order, so no watermark cuts them."""
+    may arrive in any order, so no watermark cuts them. The transactions are
+    partitioned by month, and a run rewrites the months it touches. The third
+    model, the fact over the raw layer, is refreshed last, unless ``fact`` is
+    off or the raw tables have not been loaded yet."""
     landed = cdc.dedupe_log(txn_landing) if dedupe else txn_landing
-    typed = cdc.raw_transaction_cdc(landed, ts=ts)
-    store.upsert("raw_transaction_cdc", typed, "txn_id", order=["txn_ts"])
+    typed = cdc.raw_transaction_cdc(landed, ts=ts).withColumn("txn_month", month_of("txn_ts"))
+    store.upsert("raw_transaction_cdc", typed, "txn_id", order=["txn_ts"], partition_by="txn_month")
     store.upsert("raw_transaction_cdc_rejects", cdc.raw_transaction_cdc_rejects(landed),
                  ["kafka_partition", "kafka_offset"])
     if new_card_rows is not None and store.exists("ods_dim_card_scd2"):
@@ -227,6 +237,8 @@ def run_cdc_models(store: TableStore, card_landing: DataFrame, txn_landing: Data
     else:
         dim = scd2.scd2_from_landing(card_landing, dedupe=dedupe, ts=ts)
     store.overwrite("ods_dim_card_scd2", dim, sort_by=["card_id", "valid_from"])
+    if fact:
+        refresh_loaded_fact(store, ts)
 
 
 def read_fact(store: TableStore, start=None, end=None) -> DataFrame:

@@ -538,7 +538,7 @@ FROM g WHERE n_attempts >= 3""", "raw_txn", extra={
 
 
 SQL["amount_probe"] = _probe(["card_id"], 24 * 3600 * 1_000_000)
-SQL["amount_probe_card_terminal"] = _probe(["card_id", "terminal_id"], 120 * 1_000_000)
+SQL["amount_probe_card_terminal"] = _probe(["card_id", "terminal_id"], 30 * 86_400 * 1_000_000)
 
 # ---------------------------------------------------------------------------
 # lifecycle
@@ -659,18 +659,41 @@ SQL["incremental_fact_run"] = with_(
         "loaded": "SELECT * FROM raw_txn"})
 SQL["cdc_stream_landing"] = SQL["cdc_landing_card"]
 SQL["cdc_models_run"] = with_(f"""
-SELECT txn_id, card_id, terminal_id, txn_ts, CAST(amount AS DOUBLE) AS amount, currency_code,
-       txn_type, status, {LOAD_TS} AS loaded_at
-FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_id IS NOT NULL""", "bk_txn_ev")
+SELECT 'raw_transaction_cdc' AS model, txn_id, card_id, terminal_id, txn_ts,
+       CAST(amount AS DOUBLE) AS amount, currency_code, txn_type, status, {LOAD_TS} AS loaded_at,
+       CAST(NULL AS INTEGER) AS is_current
+FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_id IS NOT NULL
+UNION ALL
+SELECT 'ods_fact_atm_transaction', txn_id, card_id, terminal_id, txn_ts, amount, currency_code,
+       txn_type, status, loaded_at, NULL FROM fact
+UNION ALL
+SELECT 'ods_dim_card_scd2', NULL, card_id, NULL, valid_from, NULL, NULL, NULL, status, loaded_at,
+       is_current FROM scd""",
+    "bk_txn_ev", "bk_card_log", "raw_txn", "raw_card", "raw_account", "raw_customer",
+    "raw_terminal", extra={**_SCD2_CTES, "fact": FACT_SELECT.format(txn="raw_txn")})
 SQL["metrics_sink_roundtrip"] = with_(
     _METRICS + "\nUNION ALL\n" + _METRICS.replace(LOAD_TS, "TIMESTAMP '2024-02-01 00:00:00'"),
     extra=_LAG_CTES)
-SQL["scd2_invariants"] = ("SELECT CAST(NULL AS BIGINT) AS card_id, CAST(NULL AS VARCHAR) AS violation "
-                          "FROM region WHERE FALSE")
+SQL["scd2_invariants"] = with_("""
+SELECT card_id, 'gap_or_overlap' AS violation FROM linked WHERE valid_to <> next_from
+UNION ALL
+SELECT card_id, 'current_count' FROM faulty GROUP BY card_id
+HAVING sum(is_current) <> 1
+    OR sum(CASE WHEN is_current = 1 AND valid_to <> TIMESTAMP '2999-12-31 00:00:00'
+                THEN 1 ELSE 0 END) > 0""", "bk_card_log", extra={
+    **_SCD2_CTES,
+    "faulty": """SELECT card_id, card_sk, valid_from,
+                        CASE WHEN card_id % 5 = 0 AND is_current = 0
+                             THEN valid_to + INTERVAL 1 SECOND ELSE valid_to END AS valid_to,
+                        CASE WHEN card_id % 7 = 0 THEN 0 ELSE is_current END AS is_current
+                 FROM scd""",
+    "linked": """SELECT *, lead(valid_from) OVER (PARTITION BY card_id
+                                                 ORDER BY valid_from, card_sk) AS next_from
+                 FROM faulty"""})
 SQL["raw_transaction_cdc_rejects"] = with_("""
 SELECT CAST(txn_id % 3 AS INTEGER) AS kafka_partition, txn_id AS kafka_offset, txn_id,
-       CAST(NULL AS VARCHAR) AS payload_after
-FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_ts IS NULL""", "bk_txn_ev")
+       '{"txn_ts":"' || CAST(txn_id AS VARCHAR) || ' is no time"}' AS payload_after
+FROM bk_txn_ev WHERE event_type <> 'purchase' AND txn_id % 97 = 0""", "bk_txn_ev")
 SQL["scd2_incremental"] = SQL["scd2_card"]
 SQL["model_run"] = SQL["incremental_fact_run"]
 SQL["fact_incremental_refresh"] = with_("""

@@ -203,13 +203,14 @@ class TableStore:
     # ---------------------------------------------------------------- writes
     @staticmethod
     def _layout(df: DataFrame, partition_by: list[str], sort_by: list[str]) -> DataFrame:
-        """SNK4: physically key-ordered files. Range partitioning on
-        (partition columns, sort keys) splits a hot partition value over
-        several tasks instead of sending it to one."""
-        if not sort_by:
-            return df
+        """SNK3/SNK4: rows of a partition value meet in one task, so it gets one
+        file, and AQE splits a value beyond the advisory size over several
+        tasks (``rebalance``); each file is ordered by the sort keys. Nothing
+        is sampled, so the plan runs once."""
         keys = partition_by + sort_by
-        return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        if keys:
+            df = df.hint("rebalance", *[F.col(c) for c in partition_by or sort_by[:1]])
+        return df.sortWithinPartitions(*keys) if sort_by else df
 
     def _write(self, df: DataFrame, path: str, mode: str, partition_by, sort_by) -> None:
         partition_by, sort_by = _as_list(partition_by), _as_list(sort_by)

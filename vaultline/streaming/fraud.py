@@ -91,8 +91,20 @@ def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: i
         has_term = hist["terminal_id"].notna().to_numpy()
         terms = hist["terminal_id"].fillna(0).to_numpy(dtype="int64")
         n_ops = hi - lo
-        n_terms = np.fromiter((np.unique(terms[a:b][has_term[a:b]]).size
-                               for a, b in zip(lo, hi)), dtype="int32", count=len(lo))
+        # row j is the last one of its terminal in the windows with lo <= j < hi <= nxt;
+        # lo and hi never fall from one new row to the next, so these are a range
+        j = np.flatnonzero(has_term)
+        by = np.lexsort((j, terms[j]))
+        again = terms[j][by][1:] == terms[j][by][:-1]
+        nxt = np.full(len(j), len(hist))
+        nxt[by[:-1][again]] = j[by[1:][again]]
+        first = np.searchsorted(hi, j, side="right")
+        last = np.minimum(np.searchsorted(hi, nxt, side="right"),
+                          np.searchsorted(lo, j, side="right"))
+        first, last = first[last > first], last[last > first]
+        steps = (np.bincount(first, minlength=len(lo) + 1)
+                 - np.bincount(last, minlength=len(lo) + 1))
+        n_terms = np.cumsum(steps)[:len(lo)].astype("int32")
         out = new.assign(n_ops=n_ops.astype("int64"), n_terminals=n_terms)
         out = out[(out.n_ops >= min_ops) & (out.n_terminals >= min_terminals)]
         keep = hist[hist["t_us"] >= t.max() - keep_us]

@@ -155,7 +155,8 @@ def start_cdc_models(stream: DataFrame, store, root: str, checkpoint: str,
         new, txns = (_landed(spark, path, schema).filter(F.col("batch_id") == batch_id).drop("batch_id")
                      for path, schema in ((card_path, STG_CDC_CARD), (txn_path, STG_CDC_TRANSACTION)))
         # the batch's own rows, whatever their ids: nothing is cut at a watermark
-        run_cdc_models(store, cards, txns, ts=ts, new_card_rows=new)
+        # the fact reads the raw layer only: callers refresh it at their own cadence
+        run_cdc_models(store, cards, txns, ts=ts, new_card_rows=new, fact=False)
 
     return start_landing(stream, card_path, txn_path, checkpoint,
                          reject_path=f"{root}/cdc_rejects", available_now=available_now,
