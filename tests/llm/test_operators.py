@@ -136,6 +136,25 @@ def test_contained_items_equal_brute_force(spark, docs):
     assert decontaminate.drop_contaminated(docs, bench).columns == docs.columns
 
 
+def test_short_and_scattered_items_are_found(spark):
+    rnd = random.Random(21)
+    docs, items = [], []
+    for i in range(600):
+        n = 5 + i % 5
+        item, text = [f"i{i}x{j}" for j in range(n)], [f"t{rnd.randrange(10 ** 6)}" for _ in range(120)]
+        at = (0, 60, 120)[i // 5 % 3]
+        lost = n >= 8 and i % 2                # 3 of 4, 4 of 5 shingles are left
+        docs.append((i, " ".join(text[:at] + item[:n - lost] + text[at:])))
+        items.append((i, " ".join(item)))
+    long_ = [f"s{j}" for j in range(100)]      # 12 runs of 7 shingles are left of 96, far from each other
+    docs.append((600, " ".join(w for k in range(12) for w in long_[k * 8:k * 8 + 11] + [f"f{k}x{j}" for j in range(150)])))
+    items.append((600, " ".join(long_)))
+    want = sorted((i, i) for i, _ in items)
+    got = decontaminate.contained_items(spark.createDataFrame(docs, "doc_id long, text string"),
+                                        spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == want
+
+
 def test_mixing_meets_targets(docs):
     rows = {(r.doc_id, r.source, r.text) for r in docs.select("doc_id", "source", "text").collect()}
     got = mixing.document_shares(docs).collect()

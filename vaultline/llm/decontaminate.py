@@ -1,17 +1,14 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search.
-
-A short item inside a long document has a small Jaccard similarity, so sizes
-are partitioned (LSH Ensemble, Zhu et al. 2016): items go into classes by
-their number of shingles, class u holding u/2 < n <= u, and for each class the
-documents are searched in windows of 2u shingles that start every u shingles.
-Any run of u shingles lies in one window, so an item and the window around it
-differ in size by a bounded factor, whatever the length of the document.
-
-Items and windows keep the least hash of each of up to 4u bins (one
-permutation); one equal bin makes a candidate. Candidates are verified on the
-exact shingle set of the whole document. The item's bins also fill a bitmap of
-fixed size, which goes to the tasks that scan the documents: it drops bins that
-no item has, and never a bin that one has, so its size affects speed only.
+"""Benchmark decontamination by exact containment search (prefix filter).
+
+A document that holds at least 75 in 100 of an item's n distinct shingles lacks
+at most n/4 of them, so of any n/4 + 1 shingles of the item it holds one. Each
+item is searched by that many of its shingles, the ones in fewest documents;
+no pair is missed, wherever the shingles lie in the document.
+
+The shingles of all items fill a bitmap of fixed size, which goes to the tasks
+that scan the documents. A document keeps the shingles that the bitmap has: all
+that it shares with any item, and few others. So the bitmap's size affects
+speed only, and the kept shingles are enough to count what is shared.
 """
 
 from __future__ import annotations
@@ -23,107 +20,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.arrowtext import U, Words, buffers, digest, distinct, groups_of, mix, seeded, shingle_sets
+from vaultline.llm.arrowtext import U, Words, buffers, digest, distinct, groups_of, shingle_sets
 from vaultline.llm.tables import column_named, materialize, small
 
 SHINGLE, PERCENT = 5, 75
-MAX_BINS = 256
 FILTER_BITS = 26                                  # the bitmap has 2**26 bits, 8 MB
-SALT = seeded(53, 64)
-NONE = U((1 << 64) - 1)
-
-
-def size_class(n: int) -> int:
-    """log2 of the class of a set of ``n`` shingles."""
-    return max(n - 1, 0).bit_length()
-
-
-def bins_of(level: int) -> int:
-    return min(4 << level, MAX_BINS)
-
-
-def item_keys(values: np.ndarray, level: int) -> np.ndarray:
-    h = mix(values ^ SALT[level])
-    least = np.full(bins_of(level), NONE, U)
-    np.minimum.at(least, (h & U(bins_of(level) - 1)).astype(np.int64), h)
-    return least[least != NONE]
 
 
-def window_keys(doc: np.ndarray, values: np.ndarray, n_docs: int, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """(document, key) of every bin of every window, from least hashes of
-    blocks of u shingles; a window is a block and the one after it."""
-    u, bins = 1 << level, bins_of(level)
-    first = np.searchsorted(doc, np.arange(n_docs + 1))
-    blocks = -(-np.diff(first) // u)
-    at = np.concatenate([[0], np.cumsum(blocks)])
-    block = at[doc] + (np.arange(len(doc)) - first[doc]) // u
-    h = mix(values ^ SALT[level])
-    least = np.full(int(at[-1]) * bins, NONE, U)
-    np.minimum.at(least, block * bins + (h & U(bins - 1)).astype(np.int64), h)
-    least = least.reshape(-1, bins)
-    owner = np.repeat(np.arange(n_docs), blocks)
-    window = least.copy()
-    same = owner[1:] == owner[:-1]
-    np.minimum(window[:-1], least[1:], out=window[:-1], where=same[:, None])
-    row, col = np.nonzero(window != NONE)
-    return owner[row], window[row, col]
+def _lists(sets: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, sets)])
+    flat = np.concatenate([*sets, np.zeros(0, U)]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
 
 
-def _positions(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    m = U((1 << FILTER_BITS) - 1)
-    return (keys & m).astype(np.int64), ((keys >> U(32)) & m).astype(np.int64)
+def _arrays(column: pa.ListArray) -> list[np.ndarray]:
+    at, flat = column.offsets.to_numpy(), column.values.to_numpy()
+    return [flat[a:b] for a, b in zip(at, at[1:])]
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, sets in shingle_sets(batch["text"], SHINGLE):
-            levels = [size_class(len(s)) for s in sets]
-            keys = [item_keys(s, v) if len(s) else s for s, v in zip(sets, levels)]
             yield pa.RecordBatch.from_pydict({
                 "item_id": batch["item_id"].slice(a, len(sets)),
-                "n_item": pa.array([len(s) for s in sets], pa.int64()), "level": pa.array(levels, pa.int32()),
-                "item_set": pa.array([s.tobytes() for s in sets], pa.binary()),
-                "keys": pa.array([k.view(np.int64).tolist() for k in keys], pa.list_(pa.int64())),
-                "slots": pa.array([np.concatenate(_positions(k)).tolist() for k in keys], pa.list_(pa.int64()))})
+                "item": pa.array([digest(s) for s in sets], pa.binary()),
+                "n_item": pa.array([len(s) for s in sets], pa.int64()), "item_set": _lists(sets)})
 
 
-def _hits(levels: list[int], bitmap):
+def _hits(bitmap):
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = bitmap.value
+        bits, m = bitmap.value, U((1 << FILTER_BITS) - 1)
         for batch in batches:
             data, offsets = buffers(batch["text"])
             for a, b in groups_of(offsets):
                 w = Words(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], lower=True)
                 doc, h = w.shingles(SHINGLE)
-                owners, found = [], []
-                for level in levels:
-                    owner, keys = window_keys(doc, h, b - a, level)
-                    one, two = _positions(keys)
-                    hit = (bits[one >> 3] >> (one & 7).astype(np.uint8)) & 1 == 1
-                    hit &= (bits[two >> 3] >> (two & 7).astype(np.uint8)) & 1 == 1
-                    owners.append(owner[hit])
-                    found.append(keys[hit])
-                owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-                keys = np.concatenate(found) if found else np.zeros(0, U)
-                docs = np.unique(owner)
+                for shift in (0, 32):
+                    at = ((h >> U(shift)) & m).astype(np.int64)
+                    hit = (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                    doc, h = doc[hit], h[hit]
+                docs, first = np.unique(doc, return_index=True)
                 if not len(docs):
                     continue
-                at = np.searchsorted(doc, np.stack([docs, docs + 1]))
-                sets = [distinct(h[x:y]) for x, y in at.T]
+                sets = [distinct(x) for x in np.split(h, first[1:])]
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch["doc_id"].slice(a, b - a).take(pa.array(docs)),
-                    "fp": pa.array([digest(s) for s in sets], pa.binary()),
-                    "set": pa.array([s.tobytes() for s in sets], pa.binary()),
-                    "keys": pa.array([distinct(keys[owner == d]).view(np.int64).tolist() for d in docs],
-                                     pa.list_(pa.int64()))})
+                    "fp": pa.array([digest(s) for s in sets], pa.binary()), "set": _lists(sets)})
     return hits
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shared = []
-        for x, y in zip(batch["set"], batch["item_set"]):
-            both = np.concatenate([np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)])
+        for x, y in zip(_arrays(batch["set"]), _arrays(batch["item_set"])):
+            both = np.concatenate([x, y])
             both.sort()
             shared.append(int((both[1:] == both[:-1]).sum()))
         yield pa.RecordBatch.from_pydict({**{k: batch[k] for k in ("fp", "item_id", "n_item")},
@@ -131,9 +81,10 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bitmap(items: DataFrame) -> np.ndarray:
-    """The items' slots as 2**FILTER_BITS bits (aggregated as bitmaps of 4 KB, at most 8 MB together)."""
-    slot = F.explode("slots").alias("s")
-    parts = (items.select(slot).groupBy(F.expr("bitmap_bucket_number(s + 1)").alias("b"))
+    """Two slots per shingle of the items in 2**FILTER_BITS bits (aggregated as bitmaps of 4 KB, at most 8 MB together)."""
+    m = (1 << FILTER_BITS) - 1
+    slots = F.array(F.col("key").bitwiseAND(m), F.shiftrightunsigned("key", 32).bitwiseAND(m))
+    parts = (items.select(F.explode("item_set").alias("key")).select(F.explode(slots).alias("s")).groupBy(F.expr("bitmap_bucket_number(s + 1)").alias("b"))
              .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(s + 1))").alias("bits")).collect())
     out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for p in parts:
@@ -156,21 +107,23 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     source = items.select(column_named(items, item_col).cast("bigint").alias("item_id"),
                           column_named(items, text_col).alias("text"))
     prepared = materialize(source.mapInArrow(
-        _items, "item_id bigint, n_item bigint, level int, item_set binary, keys array<bigint>, slots array<bigint>")
-        .filter("n_item > 0").withColumn("item", F.xxhash64("item_id", "item_set")), "items")
-    levels = sorted(r[0] for r in prepared.select("level").distinct().collect())     # at most 64
+        _items, "item_id bigint, item binary, n_item bigint, item_set array<bigint>").filter("n_item > 0"), "items")
     bitmap = spark.sparkContext.broadcast(_bitmap(prepared))
     texts = docs.select(column_named(docs, id_col).cast("bigint").alias("doc_id"),
                         column_named(docs, text_col).alias("text"))
-    hits = materialize(texts.mapInArrow(
-        _hits(levels, bitmap), "doc_id bigint, fp binary, set binary, keys array<bigint>"), "hits")
-    # documents of equal shingle sets are verified once
+    hits = materialize(texts.mapInArrow(_hits(bitmap), "doc_id bigint, fp binary, set array<bigint>"), "hits")
+    # documents of equal hits are searched and verified once, items of equal shingles are searched once
     sets = hits.select("fp", "set").dropDuplicates(["fp"])
-    keys = hits.select("fp", F.explode("keys").alias("key")).distinct()
-    named = prepared.select("item", F.explode("keys").alias("key"))
-    pairs = keys.join(named, "key").select("fp", "item").distinct()
-    rows = prepared.select("item", "item_id", "n_item", "item_set")
-    verified = (pairs.join(sets, "fp").join(rows, "item").select("fp", "item_id", "n_item", "set", "item_set")
+    keys = sets.select("fp", F.explode("set").alias("key"))
+    found = keys.groupBy("key").agg(F.count("*").alias("n"))
+    named = prepared.dropDuplicates(["item"]).select("item", "n_item", F.explode("item_set").alias("key"))
+    by_rarity = F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key")))
+    enough = F.expr(f"n_item - (n_item * {PERCENT} + 99) div 100 + 1").cast("int")
+    rare = materialize(named.join(found, "key", "left").groupBy("item", "n_item").agg(by_rarity.alias("keys"))
+                       .select("item", F.explode(F.slice("keys", F.lit(1), enough)).alias("k"))
+                       .filter("k.n > 0").select("item", "k.key"), "rare")
+    pairs = keys.join(small(rare, rare.count()), "key").select("fp", "item").distinct()
+    verified = (pairs.join(sets, "fp").join(prepared, "item").select("fp", "item_id", "n_item", "set", "item_set")
                 .mapInArrow(_verify, "fp binary, item_id bigint, n_item bigint, n_shared bigint")
                 .filter(F.col("n_shared") * 100 >= F.col("n_item") * PERCENT))
     return hits.select("doc_id", "fp").join(verified, "fp").select(
