@@ -322,6 +322,39 @@ def test_licences_and_inheritance(spark):
     assert licenses.scan(pages.limit(0)).count() == 0
 
 
+def _own(spark, texts):
+    rows = [(i, f"h.org/{i}", t) for i, t in enumerate([*texts, *["<p>plain words of the page"] * 200])]
+    got = licenses.scan(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.own for r in sorted(got, key=lambda r: r.page_id)][:len(texts)]
+
+
+def test_licences_are_told_apart(spark):
+    want = {
+        "Licensed under the <b>Foo</b> License": None, "Licensed under the <b>MIT</b> <a href=x>License</a>.": "MIT",
+        "Rel<b>eased</b> under the M<i>IT</i> License.": "MIT", "Released under the ISC License.": "ISC",
+        "Released under the BSD License.": None, "Released under the BSD 2-Clause License.": "BSD-2-Clause",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "This work is licensed under the GNU General Public License.": None, "Licensed under the GPLv2.": "GPL-2.0",
+        "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0", "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+        "Licensed under CC BY-NC-ND 3.0.": "CC-BY-NC-ND-3.0", "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported License.": "CC-BY-NC-ND-3.0",
+        "Licensed under the Apache License, Version 1.1.": None, "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "MPL-2.0",
+        f"{licenses.BSD_2} {licenses.BSD_WARRANTY}": "BSD-2-Clause", licenses.BSD_2: None,
+        f"{licenses.BSD_2} {licenses.BSD_3} {licenses.BSD_WARRANTY}": "BSD-3-Clause",
+        f"{licenses.MIT_GRANT}. {licenses.WARRANTY}": "MIT-0",
+    }
+    assert dict(zip(want, _own(spark, want))) == want
+
+
+def test_every_template_tells_its_licence():
+    for name, text in licenses.TEMPLATES:
+        assert licenses.told(licenses.terms(text)) == {name}, text
+
+
 def test_pipeline_stages(spark, sf_dir):
     import corpus_pipeline as P
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
