@@ -322,6 +322,19 @@ def test_licences_and_inheritance(spark):
     assert licenses.scan(pages.limit(0)).count() == 0
 
 
+def test_licence_far_above_is_inherited(spark):
+    mit, deep = "<p>Released under the MIT License.</p>", "/".join(f"d{i % 7}" for i in range(300))
+    pages = spark.createDataFrame([
+        (1, "h.org/a/LICENSE", mit), (2, f"h.org/a/{deep}/x.html", "plain"), (3, f"h.org/b/{deep}/x.html", "plain"),
+        (4, f"h.org/b/{deep}/y/", "<p>Licensed under CC BY 4.0."), (5, f"h.org/b/{deep}/y/{deep}/z", "plain"),
+    ], "page_id long, url string, html string")
+    got = {r.page_id: (r.license, r.inherited_from) for r in licenses.scan(pages).collect()}
+    assert got == {1: ("MIT", None), 2: ("MIT", "h.org/a"), 3: (None, None), 4: ("CC-BY-4.0", None),
+                   5: ("CC-BY-4.0", f"h.org/b/{deep}/y")}
+    plain = pages.withColumn("html", F.lit("plain"))
+    assert licenses.scan(plain).filter("license is null").count() == 5
+
+
 def _own(spark, texts):
     rows = [(i, f"h.org/{i}", t) for i, t in enumerate([*texts, *["<p>plain words of the page"] * 200])]
     got = licenses.scan(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
