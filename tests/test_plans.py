@@ -23,6 +23,11 @@ def test_no_python_udf_or_cartesian(spark, sf_dir, name):
         assert bad not in plan, f"{name}: {bad}"
 
 
+def test_missing_watermark_reads_the_table(spark, sf_dir):
+    plan = QUERIES["read_watermark_missing"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" in plan and "LocalRelation" not in plan
+
+
 def test_incremental_extract_pushes_filter(spark, sf_dir):
     df = extract_incremental(B.transaction(spark, sf_dir), "txn_id", 100)
     plan = _plan(df)
