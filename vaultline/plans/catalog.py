@@ -225,12 +225,13 @@ def q_latest(spark, sf_dir):
 def _ctl_rows(spark, sf_dir):
     """Control rows a daily loader would have written: one per day of
     transactions with that day's max id, stamped at the end of the day. The
-    names are carried by the loaded rows, so a filter on them reads the rows."""
-    t = (raw(spark, sf_dir, "transaction").withColumn("process_name", F.lit("pg_to_dwh"))
-         .withColumn("src_table", F.lit("transaction")))
+    names are carried by the days' rows, so a filter on them reads the rows."""
+    t = raw(spark, sf_dir, "transaction")
     day = F.to_date("txn_ts")
-    return (t.groupBy(day.alias("d")).agg(F.max("txn_id").alias("last_id"),
-                                        F.max("process_name").alias("process_name"), F.max("src_table").alias("src_table"))
+    return (t.groupBy(day.alias("d")).agg(F.max("txn_id").alias("last_id"))
+             # strings are sorted to be aggregated: of the few days only
+             .groupBy("d").agg(F.max("last_id").alias("last_id"), F.max(F.lit("pg_to_dwh")).alias("process_name"),
+                               F.max(F.lit("transaction")).alias("src_table"))
              .select("process_name", "src_table", "last_id",
                      F.timestamp_add("DAY", F.lit(1), F.col("d").cast("timestamp_ntz"))
                      .alias("updated_at")))
