@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import (decontaminate, licenses, mixing, neardup, quality, simhash, substrings, token_counts,
-                           toxicity, warc)
+from vaultline.llm import (alignment, bpe, decontaminate, licenses, mixing, neardup, periods, quality, simhash, substrings,
+                           token_counts, toxicity, warc)
 from vaultline.llm.tables import materialize, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,48 @@ def op9(spark, sf_dir):
     """Token totals, quantiles and truncated totals of all documents, for every length as a limit."""
     lengths = token_counts.token_lengths(read(spark, sf_dir, "documents"))
     return token_counts.limits(materialize(token_counts.histogram(lengths), "lengths"))
+
+
+@query("op11_align_tokenizers")
+def op11(spark, sf_dir):
+    """Byte-level and piece tokens of all documents, aligned and counted over the corpus."""
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return alignment.align(read(spark, sf_dir, "documents"), keep=digest)
+
+
+@query("op12_bpe")
+def op12(spark, sf_dir):
+    """All documents encoded by byte-level BPE and decoded again."""
+    encoded = bpe.encode(read(spark, sf_dir, "documents"))
+    return bpe.decode(encoded).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): ``documents``, a tenth of them repeating a stretch of
+    their words to the end, as the contract of the query sets out."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    planted = h % 10 == 0
+    found = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    d = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(planted, found).alias("ws"))
+    d = d.withColumn("n", F.size("ws").cast("bigint"))
+    d = d.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    d = d.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    words = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1), lambda i: F.get("ws", place(i).cast("int")))
+    return d.select("doc_id", F.when(F.col("n") > 0, F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13(spark, sf_dir):
+    """Periodic runs of words of all documents, a tenth of them made periodic."""
+    found = periods.periodic_runs(with_periods(read(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = periods.longest("runs")
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"),
+                        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256")
