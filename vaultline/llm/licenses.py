@@ -154,7 +154,8 @@ ANCHORS = (" licen", "gpl", " mpl ", " cc", " creative ", " furnished ", " restr
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice|copyright)([._-].*)?$"
 
 TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
-HIDDEN = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->")
+HIDDEN = re.compile(r"(?i)<(script|style)\b|<!--")
+HIDDEN_ENDS = {None: re.compile("-->"), "script": re.compile(r"(?i)</script\s*>"), "style": re.compile(r"(?i)</style\s*>")}
 # tags inside a line: those of letters leave a word whole, the others may stand between two words
 LETTERS = re.compile(r"(?i)</?(?:b|big|em|font|i|mark|s|small|strong|tt|u|wbr)(?:[\s/][^>]*)?>")
 INLINE = re.compile(r"(?i)</?(?:a|abbr|acronym|bdi|bdo|cite|code|data|del|dfn|img|ins|kbd|label|q|samp|span|strike|sub|sup|time|var)(?:[\s/][^>]*)?>")
@@ -165,9 +166,28 @@ def terms(text: str) -> list[str]:
     return TERM.findall(text.lower())
 
 
+def shown(html: str) -> str:
+    """The page without scripts, styles and comments, in one scan forward; an
+    opening mark that is never closed hides nothing."""
+    out, at, ends = [], 0, dict(HIDDEN_ENDS)
+    opening = HIDDEN.search(html)
+    while opening and ends:
+        kind = opening[1] and opening[1].lower()
+        end = ends[kind].search(html, opening.end()) if kind in ends else None
+        if end:
+            out.append(html[at:opening.start()])
+            at = end.end()
+        else:
+            ends.pop(kind, None)                      # none further on either
+        opening = HIDDEN.search(html, end.end() if end else opening.end())
+    return "".join([*out, html[at:]])
+
+
 def lines(html: str) -> list[str]:
     """Visible lines of a page: tags end a line, but for those inside a line."""
-    text = markup.unescape(TAG.sub("\n", INLINE.sub(" ", LETTERS.sub("", HIDDEN.sub("", html)))))
+    html = shown(html)
+    cut = html.rfind(">") + 1                         # no tag ends behind it
+    text = markup.unescape(TAG.sub("\n", INLINE.sub(" ", LETTERS.sub("", html[:cut]))) + html[cut:])
     return [x for x in (y.strip() for y in text.splitlines()) if x]
 
 
