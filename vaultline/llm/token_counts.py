@@ -11,6 +11,7 @@ so no task holds all lengths.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +24,8 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # fixed value: the pattern that this public vocabulary was made with
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LENGTHS_PER_BUCKET = 1024
+# white space as the pattern's \\s takes it; the library's matcher fails on runs of some 100 000 of it
+LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{5000,}")
 
 _encodings: dict[str, object] = {}
 
@@ -37,12 +40,27 @@ def encoding(path: str):
     return _encodings[path]
 
 
+def n_tokens(text: str, path: str = RANKS) -> int:
+    """Number of tokens of a text.
+
+    Long runs of white space are cut off first, where the pattern cuts too:
+    what precedes a run is not changed by it, a run before other characters is
+    one piece without its last character, which starts what follows, and a run
+    at the end is one piece.
+    """
+    own, n, at = encoding(path), 0, 0
+    for run in LONG_RUN.finditer(text):
+        last = run.end() - (run.end() < len(text))
+        n += len(own.encode_ordinary(text[at:run.start()])) + len(own._encode_single_piece(text[run.start():last].encode()))
+        at = last
+    return n + len(own.encode_ordinary(text[at:]))
+
+
 def _lengths(path: str):
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(path).encode_ordinary
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "n_tokens": pa.array(
-                [len(encode(t)) if t else 0 for t in batch["text"].to_pylist()], pa.int64())})
+                [n_tokens(t, path) if t else 0 for t in batch["text"].to_pylist()], pa.int64())})
     return lengths
 
 
