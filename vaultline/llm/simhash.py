@@ -3,8 +3,11 @@
 Terms of a text are its pairs of neighbouring words (the last word stands
 alone); a term weighs its length in characters, 30 at most. Each of 128 bits of
 a term's hash votes with that weight for or against the same bit of the
-fingerprint. Votes are sums per row, combined before any shuffle: bits i and
-i + 32 of a hash share one 64-bit sum, so 64 sums count all 128 bits.
+fingerprint. Votes are sums per text of a row, combined before any shuffle: bits
+i and i + 32 of a hash share one 64-bit sum, so 64 sums count all 128 bits. A
+sum is over one text only, however many copies it has, and stays below 2^31
+for any text that a row can hold (a term weighs 31 at most, and no more than
+three per byte of a text below 0.7 GB).
 
 Search: a fingerprint is cut into 8 blocks of 16 bits. Two fingerprints that
 differ in at most 6 bits agree in two blocks or more, so with one table for
@@ -57,12 +60,14 @@ def fingerprint(h: str) -> Column:
     return out
 
 
-def fingerprints(rows: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    """``keys``, fp1, fp2 for each distinct ``keys`` of ``rows``. Texts of one
-    key must be equal."""
-    exploded = rows.select(*keys, F.inline(terms(F.col(text))))
-    return exploded.groupBy(*keys).agg(*votes()).select(
-        *keys, fingerprint("h1").alias("fp1"), fingerprint("h2").alias("fp2"))
+def fingerprints(rows: DataFrame, texts: dict[str, str], keys: list[str]) -> DataFrame:
+    """``keys``, ``which``, fp1, fp2 of every text of every row; ``texts`` maps
+    the values of ``which`` to columns, and ``keys`` name a row."""
+    marked = lambda which: lambda t: F.struct(                                                # noqa: E731
+        F.lit(which).alias("which"), t["h1"].alias("h1"), t["h2"].alias("h2"), t["w"].alias("w"))
+    told = F.concat(*[F.transform(terms(F.col(c)), marked(which)) for which, c in texts.items()])
+    return rows.select(*keys, F.inline(told)).groupBy(*keys, "which").agg(*votes()).select(
+        *keys, "which", fingerprint("h1").alias("fp1"), fingerprint("h2").alias("fp2"))
 
 
 def likeness(a1: str, a2: str, b1: str, b2: str) -> Column:
@@ -126,10 +131,10 @@ def with_next(docs: DataFrame) -> DataFrame:
     heads = d.groupBy("bucket").agg(F.min(F.struct((-F.col("doc_id")).alias("minus"), "tie")).alias("h")).select(
         "bucket", F.col("h.minus").alias("minus"), F.col("h.tie").alias("tie")).orderBy(F.col("bucket").desc()).collect()
     if not heads:
-        return d.withColumns({"next_text": F.lit(""), "next_tie": F.lit(0).cast("bigint"), "place": F.lit(0)})
+        return d.withColumns({"next_text": F.lit(""), "next_tie": F.col("tie"), "place": F.lit(0)})
     before = [heads[-1], *heads[:-1]]
     ends = docs.sparkSession.createDataFrame(
-        [(h["minus"], h["tie"], b["bucket"]) for h, b in zip(heads, before)], "minus bigint, h_tie bigint, end_of int")
+        [(h["minus"], h["tie"], b["bucket"]) for h, b in zip(heads, before)], "minus bigint, h_tie struct<a:bigint,b:bigint>, end_of int")
     same = (F.col("doc_id").eqNullSafe(-F.col("minus"))) & (F.col("tie") == F.col("h_tie"))
     ghosts = docs.join(F.broadcast(ends), same).select(      # at most MOST_BUCKETS + 1 heads
         "doc_id", "text", "tie", F.col("end_of").alias("bucket")).dropDuplicates(["bucket"])
@@ -153,19 +158,20 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     text = F.coalesce(column_named(docs, text_col).cast("string"), F.lit(""))
     rows = docs.select(column_named(docs, id_col).cast("bigint").alias("doc_id"), text.alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    own = materialize(fingerprints(rows, "text", ["tie"]), "fingerprints")
+    # two hashes name a text: 128 bits
+    rows = rows.withColumn("tie", F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(17), "text").alias("b")))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     e = with_next(rows)
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    e = e.select("bucket", "place", "doc_id", "tie", "next_tie", n.cast("bigint").alias("n_chars"), edited.alias("edited"))
+    e = e.select("bucket", "place", "doc_id", "tie", "next_tie", n.cast("bigint").alias("n_chars"), "text", edited.alias("edited"))
     e = e.withColumn("edited_sha256", F.sha2("edited", 256))
     keys = ["bucket", "place", "doc_id", "tie", "next_tie", "n_chars", "edited_sha256"]
-    e = materialize(fingerprints(e, "edited", keys).withColumnsRenamed({"fp1": "e1", "fp2": "e2"}), "edited")
-    mine = own.select("tie", "fp1", "fp2")
-    after = own.select(F.col("tie").alias("next_tie"), F.col("fp1").alias("n1"), F.col("fp2").alias("n2"))
-    out = materialize(e.join(mine, "tie").join(after, "next_tie"), "joined")
+    both = materialize(fingerprints(e, {"own": "text", "edited": "edited"}, keys), "fingerprints")
+    own = both.filter("which = 'own'").drop("which")
+    edited = both.filter("which = 'edited'").select("bucket", "place", F.col("fp1").alias("e1"), F.col("fp2").alias("e2"))
+    after = own.groupBy(F.col("tie").alias("next_tie")).agg(F.min("fp1").alias("n1"), F.min("fp2").alias("n2"))
+    out = materialize(own.join(edited, ["bucket", "place"]).join(after, "next_tie"), "joined")
     asked = out.filter("doc_id % 100 = 0")
     near = near_counts(out.select("fp1", "fp2", F.lit(1).alias("n")), asked)
     is_asked = F.coalesce(F.col("doc_id") % 100 == 0, F.lit(False))
