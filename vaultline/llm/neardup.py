@@ -14,6 +14,9 @@ Where a bucket still holds more than one component, all its classes of
 different components are compared (``rest``), in blocks of bounded size, so a
 link never depends on which class was the centre.
 
+Shingles have two independent hashes: one finds candidates, the other makes
+up the full sets on which links are confirmed; classes must agree in both.
+
 At a similarity of 0.75 a pair shares no band with probability
 (1 - 0.75**4)**32 = 5e-6; higher similarities are missed more rarely.
 """
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.arrowtext import U, digest, distinct, mix, seeded, shingle_sets
+from vaultline.llm.arrowtext import U, digest, mix, seeded, sets_of, shingle_sets, word_groups
 from vaultline.llm.components import connected_components
 from vaultline.llm.tables import column_named, materialize, small
 
@@ -71,20 +74,21 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, sets in shingle_sets(batch["text"], SHINGLE):
+        for a, words in word_groups(batch["text"], lower=True):
+            sets, again = sets_of(words, SHINGLE), sets_of(words.in_lane(1), SHINGLE)
             full = [s for s in sets if len(s)]
             keys = iter(band_keys(sketch(full)).tolist() if full else [])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["doc_id"].slice(a, len(sets)),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
-                "fp": pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
+                "fp": pa.array([digest(s, t) if len(s) else None for s, t in zip(sets, again)], pa.binary()),
                 "bands": pa.array([next(keys) if len(s) else [] for s in sets], pa.list_(pa.int64())),
             })
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, sets in shingle_sets(batch["text"], SHINGLE):
+        for a, sets in shingle_sets(batch["text"], SHINGLE, lane=1):
             yield pa.RecordBatch.from_pydict({
                 "rep": batch["doc_id"].slice(a, len(sets)),
                 "set": pa.array([s.tobytes() for s in sets], pa.binary()),

@@ -1,16 +1,17 @@
 """Removal of word windows that repeat anywhere in the corpus.
 
-Every window of ``k`` consecutive words is named by a Rabin-Karp hash (64
-bits, from one prefix sum per text). Counting takes one shuffle of the
-hashes: texts are dealt into chunks of bounded size, each chunk sends its
-distinct window hashes, packed as 64-bit values and cut by their leading bits
-into buckets; a bucket finds the hashes that more than one chunk sent and
+Every window of ``k`` consecutive words is named by a Rabin-Karp hash modulo
+2^61 - 1. Counting takes one shuffle of the hashes: texts are dealt into chunks
+of bounded size, each chunk sends its distinct window hashes, packed as 64-bit
+values and dealt by a second, independent Rabin-Karp hash into buckets; a bucket finds the hashes that more than one chunk sent and
 answers each of those chunks. Back at its texts, a chunk marks every window
 that repeats inside the chunk or in the answers, and overlapping windows merge
 into maximal intervals.
 
 A passage that a third of all texts share is one value per chunk, so no key is
-hot. Windows of different words collide with probability 2**-64 per pair.
+hot. Two windows are taken for equal only if they agree in the first hash and
+in the bucket of the second: 67 bits or more, 61 + log2(input / 16 MB) for large
+inputs, so the names grow with the corpus.
 """
 
 from __future__ import annotations
@@ -49,15 +50,39 @@ def unpack(packed: pa.Scalar) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(U).ravel(), dtype=U)
 
 
-def window_hashes(column, k: int) -> Iterator[tuple[int, Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first text, words, bytes, offsets, window starts, window hashes) for
-    groups of about a megabyte of the column."""
-    data, offsets = buffers(column)
-    for a, b in groups_of(offsets):
-        part, offs = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
-        words = Words(part, offs)
-        at, h = words.windows(k)
-        yield a, words, part, offs, at, h
+class Chunk:
+    """The texts of a chunk in groups of about a megabyte, and all their
+    windows in the order of (bucket, hash)."""
+
+    def __init__(self, column, k: int, buckets: int):
+        shift, self.groups, hashes, names = U(64 - buckets.bit_length() + 1), [], [np.zeros(0, U)], [np.zeros(0, U)]
+        data, offsets = buffers(column)
+        for a, b in groups_of(offsets):
+            part, offs = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+            words = Words(part, offs)
+            at, h = words.windows(k)
+            self.groups.append((words, part, offs, at))
+            hashes.append(h)
+            names.append(words.in_lane(1).windows(k)[1] >> shift)
+        hashes, names = np.concatenate(hashes), np.concatenate(names).astype(np.int32)
+        self.order = np.lexsort((hashes, names))
+        self.hashes, self.names = hashes[self.order], names[self.order]
+        self.new = np.ones(len(self.order), bool)
+        self.new[1:] = (self.hashes[1:] != self.hashes[:-1]) | (self.names[1:] != self.names[:-1])
+
+    def repeated(self, answers: pa.Table) -> list[np.ndarray]:
+        """For every group: the starts of its windows that occur again, in the
+        chunk or in the answers."""
+        again = ~self.new
+        again[:-1] |= ~self.new[1:]
+        for bucket, packed in zip(answers["bucket"].to_pylist(), answers["repeated"]):
+            a, b = np.searchsorted(self.names, [bucket, bucket + 1])
+            told, mine = unpack(packed), self.hashes[a:b]
+            again[a:b] |= told[np.minimum(np.searchsorted(told, mine), len(told) - 1)] == mine
+        flags = np.empty(len(again), bool)
+        flags[self.order] = again
+        ends = np.cumsum([0, *(len(at) for *_, at in self.groups)])
+        return [at[flags[x:y]] for (*_, at), x, y in zip(self.groups, ends[:-1], ends[1:])]
 
 
 def covered(n_words: int, starts: np.ndarray, k: int) -> np.ndarray:
@@ -69,23 +94,19 @@ def covered(n_words: int, starts: np.ndarray, k: int) -> np.ndarray:
 
 
 def _send(k: int, buckets: int, field: int):
-    shift = U(64 - buckets.bit_length() + 1)
-
     def send(key, table):
-        parts = [h for *_, h in window_hashes(_texts(table, field), k)]
-        h = distinct(np.concatenate(parts)) if parts else np.zeros(0, U)
-        b = (h >> shift).astype(np.int64)
-        names = np.unique(b)
-        at = np.append(np.searchsorted(b, names), len(b))
+        c = Chunk(_texts(table, field), k, buckets)
+        h, names, at = c.hashes[c.new], *np.unique(c.names[c.new], return_index=True)
+        ends = [*at[1:].tolist(), len(h)]
         return pa.table({
             "bucket": pa.array(names, pa.int64()),
             "chunk": pa.array([key[0].as_py()] * len(names), pa.int64()),
-            "hashes": pa.array([pack(h[x:y]) for x, y in zip(at[:-1], at[1:])], pa.binary()),
+            "hashes": pa.array([pack(h[x:y]) for x, y in zip(at.tolist(), ends)], pa.binary()),
         })
     return send
 
 
-def _answer(table: pa.Table) -> pa.Table:
+def _answer(key, table):
     """The hashes of one bucket that several chunks sent, back to each of these."""
     lists = [unpack(x) for x in table["hashes"]]
     every = np.concatenate(lists)
@@ -97,24 +118,15 @@ def _answer(table: pa.Table) -> pa.Table:
         if len(hit):
             chunks.append(c)
             out.append(pack(hit))
-    return pa.table({"chunk": pa.array(chunks, pa.int64()), "repeated": pa.array(out, pa.binary())})
+    return pa.table({"chunk": pa.array(chunks, pa.int64()), "bucket": pa.array([key[0].as_py()] * len(out), pa.int64()),
+                     "repeated": pa.array(out, pa.binary())})
 
 
-def _mark(k: int, field: int):
-    def mark(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        groups = list(window_hashes(_texts(texts, field), k))
-        every = np.concatenate([h for *_, h in groups]) if groups else np.zeros(0, U)
-        every.sort()
-        again = [every[1:][every[1:] == every[:-1]]]
-        again += [unpack(x) for x in answers["repeated"]]
-        again = distinct(np.concatenate(again))
+def _mark(k: int, buckets: int, field: int):
+    def mark(texts, answers):
+        chunk = Chunk(_texts(texts, field), k, buckets)
         n_words, n_removed, kept, spans = [], [], [], []
-        for _, words, part, offs, at, h in groups:
-            if len(again):
-                place = np.minimum(np.searchsorted(again, h), len(again) - 1)
-                at = at[again[place] == h]
-            else:
-                at = at[:0]
+        for (words, part, offs, _), at in zip(chunk.groups, chunk.repeated(answers)):
             gone = covered(len(words.starts), at, k)
             for d in range(len(offs) - 1):
                 a, b = words.bounds[d], words.bounds[d + 1]
@@ -158,11 +170,11 @@ def remove_repeated_windows(docs: DataFrame, k: int = 35, text_col: str = "text"
                                F.lit(chunks)).alias("chunk"), every.alias("row"))
     field = docs.columns.index(text_col)
     sent = dealt.groupBy("chunk").applyInArrow(_send(k, buckets, field), "bucket bigint, chunk bigint, hashes binary")
-    answers = sent.groupBy("bucket").applyInArrow(_answer, "chunk bigint, repeated binary")
+    answers = sent.groupBy("bucket").applyInArrow(_answer, "chunk bigint, bucket bigint, repeated binary")
     span = T.StructType().add("first", "long").add("last", "long")
     schema = (T.StructType().add("row", dealt.schema["row"].dataType).add("n_words", "long")
               .add("n_removed", "long").add("kept_text", "string").add("removed", T.ArrayType(span)))
-    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_mark(k, field), schema)
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_mark(k, buckets, field), schema)
 
 
 def without_repeats(docs: DataFrame, k: int = 35) -> DataFrame:
