@@ -25,12 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.bpe import Bpe, loaded, slices, texts_of
+from vaultline.llm.bpe import PATTERN, Bpe, loaded, slices, texts_of
 from vaultline.llm.tables import column_named, materialize
+from vaultline.llm.token_counts import encoded
 
 VOCABULARY_A, MODEL_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 2 << 20                     # bytes of text whose links are held at once
-PARTIAL_ROWS = 1 << 21              # pairs that a task counts before it sends them on
+SLICE = 1 << 19                     # bytes of text whose links are held at once
+PARTIAL_ROWS = 1 << 20              # pairs that a task counts before it sends them on
 HOT_PAIRS = 1 << 19                 # most pairs that are broadcast (24 bytes each)
 
 
@@ -57,15 +58,25 @@ class Pair:
 
     def __init__(self, vocabulary: str, model: str):
         import sentencepiece
+        import tiktoken
         self.bpe: Bpe = loaded(vocabulary, special=False)
+        # the faster library takes the vocabulary as ranks, where ids rise in the order of the merges
+        made = [i for _, i in self.bpe.merges.values()]
+        self.fast = tiktoken.Encoding("a", pat_str=PATTERN, special_tokens={}, mergeable_ranks={
+            self.bpe.strings[i]: i for i in [*self.bpe.first, *made]}) if made == sorted(made) else None
         self.model = sentencepiece.SentencePieceProcessor(model_file=model)
         self.a = Side([self.bpe.strings.get(i, b"") for i in range(max(self.bpe.strings) + 1)])
         self.b = Side(piece_bytes(self.model))
 
+    def ids_a(self, text: str) -> np.ndarray:
+        if self.fast is not None and self.bpe.knows(text):
+            return np.array(encoded(text, self.fast), np.int32)
+        return np.frombuffer(self.bpe.encode(text), "<u4").astype(np.int32)
+
     def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
         """Id lists of A and B; both empty where the text is, or where the
         joined bytes of one side are not the space and the text."""
-        a = [np.frombuffer(self.bpe.encode(" " + t), "<u4").astype(np.int32) if t else np.zeros(0, np.int32) for t in texts]
+        a = [self.ids_a(" " + t) if t else np.zeros(0, np.int32) for t in texts]
         b = [np.array(x, np.int32) for x in self.model.encode(texts, num_threads=1)]
         want = [b" " + t.encode() for t in texts]
         for side, lists in ((self.a, a), (self.b, b)):

@@ -102,15 +102,20 @@ class Bpe:
                     heappush(queue, (found[0], h, symbols[h], new, found[1]))
         return [s for s in symbols if s >= 0]
 
+    def knows(self, text: str) -> bool:
+        """Whether the running Unicode tables have all characters of a text.
+        The pattern libraries may hold different tables than the vocabulary's
+        own library; they differ only in code points that these leave unassigned."""
+        if text.isascii():
+            return True
+        new = set(text) - self.known
+        self.known.update(c for c in new if unicodedata.category(c) != "Cn")
+        return new <= self.known
+
     def _cut(self, text: str) -> list[str]:
-        """Pieces of a text. The pattern library and the vocabulary's own
-        library may hold different Unicode tables; they differ only in code
-        points that the running tables leave unassigned, and a text with one of
-        these (rare) is cut by the vocabulary's own library."""
-        if not text.isascii():
-            new = set(text) - self.known
-            self.known.update(c for c in new if unicodedata.category(c) != "Cn")
-        if text.isascii() or new <= self.known:
+        """Pieces of a text; one with unassigned characters (rare) is cut by the
+        vocabulary's own library."""
+        if self.knows(text):
             return self.pieces(text)
         if self.library is None:
             from tokenizers.pre_tokenizers import ByteLevel

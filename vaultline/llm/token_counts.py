@@ -40,20 +40,25 @@ def encoding(path: str):
     return _encodings[path]
 
 
-def n_tokens(text: str, path: str = RANKS) -> int:
-    """Number of tokens of a text.
+def encoded(text: str, own) -> list[int]:
+    """Token ids of a text under the encoding ``own``.
 
     Long runs of white space are cut off first, where the pattern cuts too:
     what precedes a run is not changed by it, a run before other characters is
     one piece without its last character, which starts what follows, and a run
     at the end is one piece.
     """
-    own, n, at = encoding(path), 0, 0
+    out, at = [], 0
     for run in LONG_RUN.finditer(text):
         last = run.end() - (run.end() < len(text))
-        n += len(own.encode_ordinary(text[at:run.start()])) + len(own._encode_single_piece(text[run.start():last].encode()))
+        out += own.encode_ordinary(text[at:run.start()])
+        out += own._encode_single_piece(text[run.start():last].encode())
         at = last
-    return n + len(own.encode_ordinary(text[at:]))
+    return out + own.encode_ordinary(text[at:]) if at else own.encode_ordinary(text)
+
+
+def n_tokens(text: str, path: str = RANKS) -> int:
+    return len(encoded(text, encoding(path)))
 
 
 def _lengths(path: str):
