@@ -8,7 +8,7 @@ same frames from the same parquet files.
 Mapping (deterministic):
   customer    <- customer JOIN nation
   account     <- orders
-  card        <- part (p_partkey % 50 <> 49, leaving unmatched cards on purpose)
+  card        <- part (every 50th under a key that no transaction names)
   terminal    <- supplier JOIN nation
   transaction <- events (unique txn_id) or lineitem (volume, no unique key)
   change log  <- events, wrapped into change envelopes as Kafka-shaped records
@@ -174,6 +174,12 @@ def _card_op(et: Column) -> Column:
             .otherwise("u"))
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over the cores, by no key: a topic is read in many
+    splits, while a small test table is one row group."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def card_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One change message per event on the card topic.
 
@@ -181,7 +187,7 @@ def card_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``before`` (default replica identity) and no ``after``. Even offsets are
     wrapped as ``{"payload": envelope}``, odd ones are bare envelopes.
     """
-    e = table(spark, sf_dir, "events")
+    e = _spread(table(spark, sf_dir, "events"))
     op = _card_op(F.col("event_type"))
     seven = F.col("event_id") % 7
     after = F.struct(
@@ -214,7 +220,7 @@ def card_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def txn_change_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One insert (or snapshot read for purchases) per event on the transaction topic."""
-    j = table(spark, sf_dir, "events").select(*_txn_columns(), "event_type", "value")
+    j = _spread(table(spark, sf_dir, "events").select(*_txn_columns(), "event_type", "value"))
     after = F.struct(
         F.col("txn_id"), F.col("card_id"), F.col("terminal_id"),
         F.date_format(F.col("txn_ts"), ISO_MICROS_Z).alias("txn_ts"),

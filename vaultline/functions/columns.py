@@ -69,20 +69,27 @@ def flags_to_int(df: DataFrame, cols) -> DataFrame:
 
 
 def parse_ts_best_effort(col) -> Column:
-    """Best-effort text to NTZ timestamp in UTC: ISO 8601 with ``T`` or space
-    and an optional ``Z`` or offset (+hh:mm, +hhmm, +hh), which is taken off;
-    anything else (including '' and zone names) becomes NULL."""
-    c = F.trim(F.col(col) if isinstance(col, str) else col)
-    offset = r"([+-])(\d{2}):?(\d{2})?$"
-    has_time = c.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}.*" + offset)
-    minutes = (F.regexp_extract(c, offset, 2).try_cast("int") * 60
-               + F.coalesce(F.regexp_extract(c, offset, 3).try_cast("int"), F.lit(0)))
-    minutes = F.when(F.regexp_extract(c, offset, 1) == "-", minutes).otherwise(-minutes)
-    plain = F.regexp_replace(c, "Z$", "")
-    local = F.when(has_time, F.regexp_replace(c, offset, "")).otherwise(
-        F.when(plain.rlike(r"^[0-9T :.-]*$"), plain))
-    return F.timestamp_add("MINUTE", F.when(has_time, minutes).otherwise(F.lit(0)),
-                           local.try_cast("timestamp_ntz"))
+    """Best-effort text to NTZ timestamp in UTC. Taken: ISO 8601 with ``T`` or
+    space and an optional ``Z`` (or ``z``) or offset (+hh:mm, +hhmm, +hh), which
+    is taken off; ``yyyymmdd`` and ``yyyymmddhhmmss``; seconds (9 or 10 digits)
+    and milliseconds (13 digits) since the epoch. Anything else (including ''
+    and zone names) becomes NULL. Without patterns: one cast per value, to an
+    instant where the text names an offset, else to local time."""
+    c = F.upper(F.trim(F.col(col) if isinstance(col, str) else col))
+    size = F.length(c)
+    digits = F.translate(c, "0123456789", "") == ""
+    allowed = F.translate(c, "0123456789T :.-+Z", "") == ""
+    zoned = (F.substring(c, 5, 1) == "-") & (c.endswith("Z") | (F.locate("+", c, 11) > 0) | (F.locate("-", c, 11) > 0))
+    part = lambda a, n: F.substring(c, a, n)                                     # noqa: E731
+    day = F.concat_ws("-", part(1, 4), part(5, 2), part(7, 2))
+    second = F.concat(day, F.lit(" "), F.concat_ws(":", part(9, 2), part(11, 2), part(13, 2)))
+    number = c.try_cast("long")
+    plain = F.when(~digits | (size == 4), c).when(size == 8, day).when(size == 14, second)
+    return (F.when(~allowed, F.lit(None).cast("timestamp_ntz"))
+            .when(zoned, F.timestamp_add("MICROSECOND", F.unix_micros(c.try_cast("timestamp")), F.expr(EPOCH)))
+            .when(digits & size.isin(9, 10), from_epoch_millis(number * 1000))
+            .when(digits & (size == 13), from_epoch_millis(number))
+            .otherwise(plain.try_cast("timestamp_ntz")))
 
 
 def hash_key(*cols) -> Column:

@@ -143,31 +143,33 @@ def dedupe_log(landed: DataFrame, keys=("kafka_partition", "kafka_offset")) -> D
 def raw_transaction_cdc(landed: DataFrame, ops=TXN_MODEL_OPS, ts=None) -> DataFrame:
     """CDC7: typed transaction rows from the landing table (inserts only by
     default; snapshot reads are landed but not modelled)."""
-    d = landed.filter(F.col("op").isin(list(ops)))
-    p = F.from_json(F.col("payload_after"), TXN_PAYLOAD)
+    d = _typed_transactions(landed, ops)
     # rows whose time does not parse are rejects, not transactions at no time
-    d = d.filter(parse_ts_best_effort(p["txn_ts"]).isNotNull())
-    return d.select(
+    return d.filter(F.col("__ts").isNotNull()).select(
         "txn_id",
-        p["card_id"].alias("card_id"),
-        p["terminal_id"].alias("terminal_id"),
-        parse_ts_best_effort(p["txn_ts"]).alias("txn_ts"),
-        p["amount"].alias("amount"),
-        p["currency_code"].alias("currency_code"),
-        p["txn_type"].alias("txn_type"),
-        p["status"].alias("status"),
+        F.col("__p.card_id").alias("card_id"),
+        F.col("__p.terminal_id").alias("terminal_id"),
+        F.col("__ts").alias("txn_ts"),
+        F.col("__p.amount").alias("amount"),
+        F.col("__p.currency_code").alias("currency_code"),
+        F.col("__p.txn_type").alias("txn_type"),
+        F.col("__p.status").alias("status"),
         load_ts(ts).alias("loaded_at"))
 
 
+def _typed_transactions(landed: DataFrame, ops) -> DataFrame:
+    """The rows of ``ops`` with their payload (``__p``) and time (``__ts``), each parsed once."""
+    d = landed.filter(F.col("op").isin(list(ops)))
+    d = parse_once(d, F.from_json(F.col("payload_after"), TXN_PAYLOAD), "__p")
+    return parse_once(d, parse_ts_best_effort(F.col("__p.txn_ts")), "__ts")
+
+
 def raw_transaction_cdc_rejects(landed: DataFrame, ops=TXN_MODEL_OPS) -> DataFrame:
     """T15: modelled transaction rows whose payload or ``txn_ts`` does not
     parse; they are kept aside (with the raw payload) instead of failing the
     load or silently carrying a NULL time."""
-    d = landed.filter(F.col("op").isin(list(ops)))
-    p = F.from_json(F.col("payload_after"), TXN_PAYLOAD)
-    return (d.withColumn("__ts", parse_ts_best_effort(p["txn_ts"]))
-             .filter(F.col("__ts").isNull())
-             .select("kafka_partition", "kafka_offset", "txn_id", "payload_after"))
+    return (_typed_transactions(landed, ops).filter(F.col("__ts").isNull())
+            .select("kafka_partition", "kafka_offset", "txn_id", "payload_after"))
 
 
 def card_versions(landed: DataFrame, ops=CDC_OPS, defaults: bool = False) -> DataFrame:
@@ -181,7 +183,8 @@ def card_versions(landed: DataFrame, ops=CDC_OPS, defaults: bool = False) -> Dat
     d = landed.filter(F.col("op").isin(list(ops)))
     deleted_by_op = (F.col("op") == "d").cast("int")
     payload = F.when(F.col("op") == "d", F.col("payload_before")).otherwise(F.col("payload_after"))
-    p = F.from_json(payload, CARD_PAYLOAD)
+    d = parse_once(d, F.from_json(payload, CARD_PAYLOAD), "__p")
+    p = F.col("__p")
     card_number, account_id, status = p["card_number"], p["account_id"], p["status"]
     flag = p["is_deleted"].cast("int")
     if defaults:
