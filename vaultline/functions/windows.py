@@ -174,19 +174,13 @@ def with_row_number(df: DataFrame, keys, order: Sequence[str], bucket: Column,
     return out.withColumn(name, F.col(name).cast("int"))
 
 
-def range_window(df: DataFrame, keys, t_col: str, width: int, bucket_width: int,
-                 aggs: dict[str, callable]) -> DataFrame:
-    """Range-frame aggregates over ``[t - width, t]`` per key, where ``t_col``
-    is an integer time (e.g. epoch microseconds).
-
-    Rows are grouped into buckets of ``bucket_width >= width``; a row is also
-    copied into the next bucket when it lies within ``width`` of that
-    bucket's start, so every frame is complete inside one (key, bucket)
-    partition. ``aggs`` maps output names to functions of a window spec.
-    """
+def with_halo(df: DataFrame, t_col: str, width: int, bucket_width: int) -> DataFrame:
+    """Rows dealt into time buckets (``__b``) of ``bucket_width >= width``; a
+    row is also copied into the next bucket (``__native`` false) when it lies
+    within ``width`` of that bucket's start, so every frame ``[t - width, t]``
+    is complete inside one bucket. ``t_col`` is an integer time."""
     if bucket_width < width:
         raise ValueError("bucket_width must be >= width")
-    keys = _as_list(keys)
     t = F.col(t_col)
     b = F.floor(t / F.lit(bucket_width)).cast("long")
     near_next = t >= (b + 1) * F.lit(bucket_width) - F.lit(width)
@@ -194,10 +188,20 @@ def range_window(df: DataFrame, keys, t_col: str, width: int, bucket_width: int,
         F.struct(b.alias("b"), F.lit(True).alias("native")),
         F.when(near_next, F.struct((b + 1).alias("b"), F.lit(False).alias("native"))),
     )
-    d = (df.withColumn("__copy", F.explode(copies)).filter(F.col("__copy").isNotNull())
-           .withColumn("__b", F.col("__copy.b")).withColumn("__native", F.col("__copy.native"))
-           .drop("__copy"))
-    w = Window.partitionBy(*keys, "__b").orderBy(t).rangeBetween(-width, 0)
+    return (df.withColumn("__copy", F.explode(copies)).filter(F.col("__copy").isNotNull())
+              .withColumn("__b", F.col("__copy.b")).withColumn("__native", F.col("__copy.native"))
+              .drop("__copy"))
+
+
+def range_window(df: DataFrame, keys, t_col: str, width: int, bucket_width: int,
+                 aggs: dict[str, callable]) -> DataFrame:
+    """Range-frame aggregates over ``[t - width, t]`` per key, where ``t_col``
+    is an integer time (e.g. epoch microseconds), inside the buckets of
+    ``with_halo``. ``aggs`` maps output names to functions of a window spec.
+    """
+    keys = _as_list(keys)
+    d = with_halo(df, t_col, width, bucket_width)
+    w = Window.partitionBy(*keys, "__b").orderBy(t_col).rangeBetween(-width, 0)
     for name, fn in aggs.items():
         d = d.withColumn(name, fn(w))
     return d.filter(F.col("__native")).drop("__native", "__b")

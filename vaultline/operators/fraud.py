@@ -6,7 +6,7 @@ card with a huge history is split by time bucket, never sorted in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultline.functions import windows as W
@@ -34,75 +34,79 @@ def rapid_withdrawals(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
     least ``min_ops`` withdrawals on at least ``min_terminals`` distinct
     terminals. Output: txn_id, card_id, txn_ts, n_ops, n_terminals.
 
-    Withdrawals without a card are no card's and never flagged.
-    ``method='frame'``: range-frame window per (card, day) with a halo copy
-    of each day's last window into the next day. One shuffle, but Spark
-    re-aggregates a sliding frame per row, so the cost per row is the number
-    of the card's withdrawals inside its window.
-    ``method='events'``: the same counts as running sums of interval
-    start/end events (see ``_rapid_by_events``): linear whatever the density
-    of a card's withdrawals, at the price of more shuffled rows. One task
-    handles ``bucket_s`` seconds of one card.
+    Withdrawals without a card are no card's and never flagged. One shuffle,
+    by (card, bucket of ``bucket_s`` seconds); the last window of each bucket
+    is copied into the next one, so every count is complete inside a task.
+
+    ``method='events'`` first keeps what can matter: a time is a candidate only
+    if the withdrawal ``min_ops - 1`` places before it lies in its window (one
+    lag), and only rows within a window before a candidate are counted, as
+    running sums of interval start and end events: linear work whatever the
+    density of a card's withdrawals. ``method='frame'`` aggregates a sliding
+    range frame per row, whose cost is the number of the card's withdrawals
+    inside the window.
     """
+    bucket_s = max(bucket_s, window_s)
     if method == "events":
         return _rapid_by_events(txn, window_s, min_ops, min_terminals, key, bucket_s)
+    if method != "frame":
+        raise ValueError(f"unknown method {method!r}")
+    w = _withdrawals(txn, key).withColumn("__t", epoch_micros("txn_ts"))
     width = window_s * US
-    w = (_withdrawals(txn, key).select("txn_id", key, "txn_ts", "terminal_id")
-         .withColumn("__t", epoch_micros("txn_ts")))
     out = W.range_window(
-        w, key, "__t", width, max(width, bucket_s * US),
-        {"n_ops": lambda spec: F.count(F.lit(1)).over(spec),
-         "n_terminals": lambda spec: F.size(F.collect_set("terminal_id").over(spec))})
+        w, key, "__t", width, bucket_s * US, {
+            "n_ops": lambda s: F.count(F.lit(1)).over(s),
+            "n_terminals": lambda s: F.size(F.collect_set("terminal_id").over(s)),
+        })
     return (out.filter((F.col("n_ops") >= min_ops) & (F.col("n_terminals") >= min_terminals))
                .select("txn_id", key, "txn_ts", "n_ops", "n_terminals"))
 
 
 def _rapid_by_events(txn: DataFrame, window_s: int, min_ops: int, min_terminals: int,
                      key: str, bucket_s: int) -> DataFrame:
-    """FRD1 counts in linear time.
+    """FRD1 counts in linear time, on the candidates' neighbourhood.
 
     A withdrawal at t lies in the trailing window of every later point up to
     t + W, so it covers [t, t + W]; the window count at t_j is the number of
-    covering intervals: (#starts <= t_j) - (#ends <= t_j) with half-open ends
-    at t + W + 1us. For distinct terminals, an occurrence of a terminal covers
-    only until that terminal's next occurrence (which takes over), so the
-    intervals of one terminal are disjoint and the same running sum counts
-    terminals. Start/end events and one query event per withdrawal are ordered
-    per card by (time, events before queries) and summed with the skew-safe
-    running sum, so ties count as in a range frame.
+    covering intervals. For distinct terminals, an occurrence of a terminal
+    covers only until that terminal's next occurrence (which takes over), so
+    the intervals of one terminal are disjoint and the same running sum counts
+    terminals. Events of one time are ordered starts, queries, ends.
     """
     width = window_s * US
-    w = (_withdrawals(txn, key).select("txn_id", key, "txn_ts", "terminal_id")
-         .withColumn("__t", epoch_micros("txn_ts")))
-    # next occurrence of the same terminal on the same card
-    nxt = W.with_next(w.filter(F.col("terminal_id").isNotNull()), [key, "terminal_id"],
-                      ["__t", "txn_id"], ["__t"], F.floor(F.col("__t") / F.lit(bucket_s * US)),
-                      prefix="__n")
-    end_ops = F.col("__t") + F.lit(width + 1)
-    ev_ops = w.select(key, F.explode(F.array(
-        F.struct(F.col("__t").alias("t"), F.lit(1).alias("d_ops"), F.lit(0).alias("d_term")),
-        F.struct(end_ops.alias("t"), F.lit(-1).alias("d_ops"), F.lit(0).alias("d_term")),
-    )).alias("e")).select(key, "e.*")
-    end_term = F.least(end_ops, F.coalesce(F.col("__n__t"), end_ops))
-    ev_term = nxt.select(key, F.explode(F.array(
-        F.struct(F.col("__t").alias("t"), F.lit(0).alias("d_ops"), F.lit(1).alias("d_term")),
-        F.struct(end_term.alias("t"), F.lit(0).alias("d_ops"), F.lit(-1).alias("d_term")),
-    )).alias("e")).select(key, "e.*")
-    events = (ev_ops.unionByName(ev_term)
-              .withColumn("__kind", F.lit(0)).withColumn("txn_id", F.lit(None).cast("long"))
-              .withColumn("txn_ts", F.lit(None).cast("timestamp_ntz")))
-    queries = w.select(key, F.col("__t").alias("t"), F.lit(0).alias("d_ops"),
-                       F.lit(0).alias("d_term"), F.lit(1).alias("__kind"), "txn_id", "txn_ts")
-    allev = events.unionByName(queries)
-    # integer periods of event time since the epoch
-    bucket = F.floor(F.col("t") / F.lit(bucket_s * US)).cast("long")
-    order = ["t", "__kind", "d_ops", "d_term", "txn_id"]
-    allev = W.with_running_sum(allev, key, order, ["d_ops", "d_term"], bucket,
-                               ["n_ops", "n_terminals"])
-    return (allev.filter((F.col("__kind") == 1) & (F.col("n_ops") >= min_ops)
-                         & (F.col("n_terminals") >= min_terminals))
-                 .select("txn_id", key, "txn_ts", F.col("n_ops").cast("long").alias("n_ops"),
-                         F.col("n_terminals").cast("int").alias("n_terminals")))
+    rows = (_withdrawals(txn, key).select("txn_id", key, "txn_ts", "terminal_id")
+            .withColumn("__t", epoch_micros("txn_ts")).filter(F.col("__t").isNotNull()))
+    d = W.with_halo(rows, "__t", width, bucket_s * US)
+    near = Window.partitionBy(key, "__b").orderBy("__t")
+    t = F.col("__t")
+    # the last row of a time sees all rows up to it
+    last = F.coalesce(F.lead("__t").over(near) != t, F.lit(True))
+    kth = F.lag("__t", min_ops - 1).over(near) if min_ops > 1 else t
+    d = d.withColumn("__c", F.when(last & (t - kth <= width), t))
+    back = Window.partitionBy(key, "__b").orderBy(t.desc()).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    # the nearest candidate time from the row on; a row of a candidate time has its own
+    d = d.withColumn("__next", F.min("__c").over(back)).filter(F.col("__next") - t <= width)
+    same = Window.partitionBy(key, "__b", "terminal_id").orderBy("__t", "txn_id")
+    d = d.withColumn("__again", F.lead("__t").over(same))
+    has, taken = F.col("terminal_id").isNotNull().cast("int"), F.col("__again") <= t + width
+    no_row = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in ("txn_id", "txn_ts")]
+    ev = lambda at, kind, ops, term: F.struct(                                    # noqa: E731
+        at.alias("t"), F.lit(kind).alias("kind"), F.lit(ops).alias("ops"), term.alias("term"), *no_row)
+    query = F.struct(t.alias("t"), F.lit(1).alias("kind"), F.lit(0).alias("ops"), F.lit(0).alias("term"),
+                     "txn_id", "txn_ts")
+    asked = F.col("__native") & (F.col("__next") == t)
+    events = F.array(
+        ev(t, 0, 1, has), ev(t + width, 2, -1, F.lit(0)),
+        F.when(has == 1, F.when(taken, ev(F.col("__again"), 0, 0, F.lit(-1)))
+               .otherwise(ev(t + width, 2, 0, F.lit(-1)))),
+        F.when(asked, query))
+    e = d.select(key, "__b", F.explode(events).alias("e")).filter(F.col("e").isNotNull()).select(key, "__b", "e.*")
+    run = Window.partitionBy(key, "__b").orderBy("t", "kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    e = e.withColumn("n_ops", F.sum("ops").over(run)).withColumn("n_terminals", F.sum("term").over(run))
+    return (e.filter((F.col("kind") == 1) & (F.col("n_ops") >= min_ops) & (F.col("n_terminals") >= min_terminals))
+             .select("txn_id", key, "txn_ts", "n_ops", F.col("n_terminals").cast("int").alias("n_terminals")))
 
 
 def used_after_block(txn: DataFrame, card: DataFrame,
