@@ -1,4 +1,4 @@
-"""Versioned table store: full refresh, append, partition-scoped upsert."""
+"""Table store: full refresh, append, partition-scoped upsert, writers at the same time."""
 
 import datetime as dt
 import os
@@ -69,17 +69,77 @@ def test_read_between_prunes_partitions(spark, scratch):
     assert "PartitionFilters" in plan and "txn_month" in plan
 
 
-def test_history_time_travel_and_rollback(spark, scratch):
+def test_only_the_previous_version_is_kept(spark, scratch):
     store = TableStore(spark, scratch)
-    v1 = store.overwrite("h", _rows(spark, [(1, 1, "a")]))
-    v2 = store.overwrite("h", _rows(spark, [(1, 1, "b"), (2, 1, "c")]))
-    assert [r.version for r in store.history("h").collect()] == [v2, v1]
-    assert [r.v for r in store.read_version("h", v1).collect()] == ["a"]
-    store.rollback("h", v1)
-    assert [r.v for r in store.read("h").collect()] == ["a"]
-    fresh = TableStore(spark, scratch)               # another reader sees the rollback too
-    assert fresh.current_version("h") == v1
-    assert store.history("h").count() == 3
+    for i in range(4):
+        store.overwrite("h", _rows(spark, [(i, 1, "a")]))
+    assert [r.id for r in store.read("h").collect()] == [3]
+    assert len([f for f in os.listdir(os.path.join(scratch, "h")) if f.startswith("v=")]) == 2
+    assert store.state("h") == 3 and store.state("none") is None
+
+
+def test_append_of_a_second_store_is_kept(spark, scratch):
+    a, b = TableStore(spark, scratch), TableStore(spark, scratch)
+    a.overwrite("t", _rows(spark, [(1, 1, "a")]))
+    assert a.read("t").count() == 1
+    b.upsert("t", _rows(spark, [(2, 1, "b")]), "id")
+    a.append("t", _rows(spark, [(3, 1, "c")]))
+    assert sorted(r.id for r in b.read("t").collect()) == [1, 2, 3]
+
+
+def test_upsert_sees_an_append_made_meanwhile(spark, scratch, monkeypatch):
+    a, b = TableStore(spark, scratch), TableStore(spark, scratch)
+    a.overwrite("t", _rows(spark, [(1, 1, "a")]))
+    write, once = TableStore._write, []
+
+    def slow(self, df, *args):
+        write(self, df, *args)
+        if self is a and not once:
+            once.append(1)
+            b.append("t", _rows(spark, [(3, 1, "c")]))
+    monkeypatch.setattr(TableStore, "_write", slow)
+    a.upsert("t", _rows(spark, [(2, 1, "b")]), "id")
+    assert sorted(r.id for r in b.read("t").collect()) == [1, 2, 3]
+
+
+def test_append_into_a_replaced_table_fails(spark, scratch, monkeypatch):
+    a, b = TableStore(spark, scratch), TableStore(spark, scratch)
+    a.overwrite("t", _rows(spark, [(1, 1, "a")]))
+    write, once = TableStore._write, []
+
+    def slow(self, df, *args):
+        write(self, df, *args)
+        if self is a and not once:
+            once.append(1)
+            b.overwrite("t", _rows(spark, [(9, 1, "z")]))
+    monkeypatch.setattr(TableStore, "_write", slow)
+    with pytest.raises(RuntimeError, match="replaced"):
+        a.append("t", _rows(spark, [(3, 1, "c")]))
+
+
+def test_unfinished_replacement_is_read_and_finished(spark, scratch, monkeypatch):
+    store = TableStore(spark, scratch)
+    store.overwrite("c", _rows(spark, [(1, 1, "a"), (2, 2, "b"), (3, 3, "c")]), partition_by="m")
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, "_settled", TableStore._pointer)     # ends before the months are put in place
+        store.upsert("c", _rows(spark, [(1, 2, "A")]), "id", partition_by="m")
+    want = {1: 2, 2: 2, 3: 3}
+    other = TableStore(spark, scratch)
+    assert {r.id: r.m for r in other.read("c").collect()} == want
+    other.append("c", _rows(spark, [(4, 1, "d")]), partition_by="m")
+    assert {r.id: r.m for r in store.read("c").collect()} == {**want, 4: 1} and store.read("c").count() == 4
+
+
+def test_many_upserts_rewrite_their_month_only(spark, scratch):
+    store = TableStore(spark, scratch)
+    store.overwrite("c", _rows(spark, [(1, 1, "a"), (2, 2, "b")]), partition_by="m")
+    month = os.path.join(store.location("c"), "m=1")
+    before = sorted(os.listdir(month))
+    for i in range(20):
+        store.upsert("c", _rows(spark, [(2, 2, f"v{i}")]), "id", partition_by="m")
+    assert {r.id: r.v for r in store.read("c").collect()} == {1: "a", 2: "v19"}
+    assert sorted(os.listdir(month)) == before
+    assert len(os.listdir(os.path.join(scratch, "c"))) == 2        # the table and the last replacement
 
 
 def test_partitioned_upsert_moves_empties_and_null_partitions(spark, scratch):
@@ -97,25 +157,12 @@ def test_partitioned_upsert_moves_empties_and_null_partitions(spark, scratch):
 def test_two_writers_keep_both_rows(spark, scratch):
     a, b = TableStore(spark, scratch), TableStore(spark, scratch)
     a.overwrite("w", _rows(spark, [(1, 1, "a")]))
-    assert b.read("w").count() == 1                  # b has cached the first commit
+    assert b.read("w").count() == 1
     a.upsert("w", _rows(spark, [(2, 1, "b")]), "id")
     b.upsert("w", _rows(spark, [(3, 1, "c")]), "id")
     assert sorted(r.id for r in TableStore(spark, scratch).read("w").collect()) == [1, 2, 3]
 
 
-def test_uncommitted_write_changes_nothing_and_vacuum(spark, scratch):
-    store = TableStore(spark, scratch)
-    store.overwrite("c", _rows(spark, [(1, 1, "a"), (2, 2, "b")]), partition_by="m")
-    store._merge("c", _rows(spark, [(1, 2, "A")]), ["id"], "m", [], False)     # ends before its commit
-    assert {r.id: r.m for r in TableStore(spark, scratch).read("c").collect()} == {1: 1, 2: 2}
-    first = store.location("c")
-    for i in range(20):
-        store.upsert("c", _rows(spark, [(2, 2, f"v{i}")]), "id", partition_by="m")
-    assert {r.id: r.v for r in store.read("c").collect()} == {1: "a", 2: "v19"}
-    assert store.vacuum("c", keep=2) > 0 and not os.path.exists(first)
-    assert {r.id: r.v for r in store.read("c").collect()} == {1: "a", 2: "v19"}
-
-
 @pytest.mark.parametrize("sort_by", [None, "id"])
 def test_partitioned_write_runs_once_and_bounds_files(spark, scratch, sort_by):
     rows = spark.sparkContext.accumulator(0)

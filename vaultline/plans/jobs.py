@@ -190,7 +190,6 @@ def refresh_fact(store: TableStore, ts=None, incremental: bool = True) -> None:
                           .select(*txn.columns))
         # used for the key sets, the partition list and the join: written once
         store.overwrite(TOUCHED, touched)
-        store.vacuum(TOUCHED, keep=2)
         touched = store.read(TOUCHED)
         # narrow each dimension to the keys the touched rows can reach (small
         # key sets, broadcast by AQE), so the snowflake is joined for the

@@ -2,41 +2,40 @@
 
 Layout under ``root``::
 
-    <root>/<name>/v=<version>/...   parquet data of one table version
-    <root>/_ctl/table_versions/table_name=<name>/
-                                    append-only (commit_id, version, schema_json,
-                                    committed_at) per table
-
-A full refresh writes a *new* version folder and then appends its pointer
-row, so readers never see a truncated table and a plan never overwrites the
-files it reads (overwriting a path a running plan reads destroys the input).
-A partition-scoped upsert writes its touched partitions to a new folder and
-commits the list of folders with, for each, the partition values it replaces
-in the folders before it; so a crash before the commit changes nothing, and a
-partition that the upsert empties is gone with the commit. Appends go into the
-newest folder.
+    <root>/<name>/v=<version>/    parquet data of one table version
+    <root>/_ctl/<name>/<number>   pointers; the highest number names the current version
+
+A full refresh writes a *new* version folder and then its pointer, so readers
+never see a truncated table and a plan never overwrites the files it reads. A
+pointer file is created exclusively, so of two writers that started from the
+same pointer one finds the number taken: an upsert then merges again on top of
+the newer state, an append into a version that has been replaced fails, and
+nothing is lost without an error.
+
+Months of a partitioned table are replaced by Spark's dynamic partition
+overwrite: the merged months are written beside the table, a pointer names them
+(readers take those months from there), they overwrite the months in place,
+and the next pointer ends it. A writer that finds an unfinished replacement
+finishes it first.
 """
 
 from __future__ import annotations
 
-import itertools
 import json
-import os
 import time
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaultline.operators.incremental import latest_per_key, upsert as _upsert
 
-_CTL = "_ctl/table_versions"
-MAX_LAYERS = 16      # an upsert beyond this many folders rewrites the table as one
-RETRIES = 5
-_SEQ = itertools.count()
+ATTEMPTS = 5
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _as_list(x) -> list[str]:
@@ -52,139 +51,97 @@ def _in(col, values: list):
 
 
 class TableStore:
-    """Versioned parquet tables under ``root``. Pointers read from the control
-    table are cached per store and updated by its own commits; call
-    ``refresh()`` to see commits made by other writers."""
+    """Parquet tables under ``root``, each a version folder behind a pointer.
+    The current and the previous version are kept."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._cache: dict[str, dict] = {}
-
-    def refresh(self) -> None:
-        self._cache.clear()
 
     # ---------------------------------------------------------------- pointers
-    def _ctl_path(self, name: str) -> str:
-        # one folder per table: resolving a table lists only its own commits
-        return os.path.join(self.root, _CTL, f"table_name={name}")
-
-    def _ctl(self, name: str):
+    def _path(self, *parts: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
+
+    def _files(self):
+        return self._path().getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+    def _names(self, *parts: str) -> list[str]:
+        path = self._path(*parts)
+        fs = self._files()
+        return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
+    def _pointer(self, name: str) -> dict | None:
+        """The current pointer: number, version, schema, and the replacement
+        under way (``months``), if any. Always read anew."""
+        for number in reversed([n for n in self._names("_ctl", name) if n.isdigit()]):
+            stream = self._files().open(self._path("_ctl", name, number))
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            if text.endswith("\n"):                      # else its writer has not finished it
+                return {"number": int(number), **json.loads(text)}
+        return None
+
+    def _point(self, name: str, after: dict | None, version: str, schema: T.StructType, months: dict | None = None) -> bool:
+        """Make ``version`` current if ``after`` still is the newest pointer."""
+        number = after["number"] + 1 if after else 0
         try:
-            return self.spark.read.parquet(self._ctl_path(name))
-        except AnalysisException:
-            return None
-
-    def _pointer(self, name: str):
-        if name in self._cache:
-            return self._cache[name]
-        ctl = self._ctl(name)
-        if ctl is None:
-            return None
-        # the current version is the one of the latest commit (commit ids are
-        # time-ordered), so a rollback is just a newer commit of an old version
-        row = (ctl.agg(F.max_by(F.struct("version", "schema_json", "layers", "commit_id"),
-                                F.col("commit_id")).alias("p"))
-                  .first())
-        if not row or row["p"] is None:
-            return None
-        self._cache[name] = row["p"].asDict()
-        return self._cache[name]
-
-    def history(self, name: str) -> DataFrame:
-        """Commits of ``name``: (commit_id, version, committed_at), newest first."""
-        ctl = self._ctl(name)
-        if ctl is None:
-            raise FileNotFoundError(f"table {name!r} has no committed version")
-        return ctl.select("commit_id", "version", "committed_at").orderBy(F.col("commit_id").desc())
-
-    def read_version(self, name: str, version: str) -> DataFrame:
-        """Time travel: read an earlier full version of ``name``. (Appends and
-        partition upserts change the version they were applied to.)"""
-        return self._read(name, self._version(name, version))
-
-    def _version(self, name: str, version: str) -> dict:
-        ctl = self._ctl(name)
-        row = (ctl.filter(F.col("version") == version)
-               .select("version", "schema_json", "layers").first() if ctl is not None else None)
-        if row is None:
-            raise FileNotFoundError(f"table {name!r} has no version {version!r}")
-        return row.asDict()
-
-    def _read(self, name: str, pointer: dict) -> DataFrame:
-        """The rows of one commit: each folder without the partitions that
-        later folders replace (a partition filter, so they are not listed)."""
-        schema = T.StructType.fromJson(json.loads(pointer["schema_json"]))
-        layers = json.loads(pointer["layers"])
-        out = None
-        for i, (version, column, _) in enumerate(layers):
-            df = self.spark.read.schema(schema).parquet(self.location(name, version))
-            gone = [v for _, _, values in layers[i + 1:] for v in values]
-            if gone:
-                column = next(c for _, c, values in layers[i + 1:] if values)
-                df = df.filter(~_in(F.col(column), gone))
-            out = df if out is None else out.unionByName(df)
-        return out
-
-    def rollback(self, name: str, version: str) -> None:
-        """Make ``version`` current again (one pointer row; no data is copied)."""
-        p = self._version(name, version)
-        self._commit(name, version, T.StructType.fromJson(json.loads(p["schema_json"])),
-                     json.loads(p["layers"]))
-
-    def vacuum(self, name: str, keep: int) -> int:
-        """Delete the folders that none of the newest ``keep`` commits uses;
-        returns their number. Readers of older commits must have ended."""
-        if keep < 1:
-            raise ValueError("at least the current commit is kept")
-        rows = self._ctl(name).orderBy(F.col("commit_id").desc()).select("layers").collect()
-        used = [{v for v, _, _ in json.loads(r["layers"])} for r in rows]
-        old = set().union(*used[keep:]) - set().union(*used[:keep]) if used[keep:] else set()
-        jvm = self.spark._jvm
-        for v in old:
-            path = jvm.org.apache.hadoop.fs.Path(self.location(name, v))
-            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-        return len(old)
+            out = self._files().create(self._path("_ctl", name, f"{number:012d}"), False)
+        except Py4JJavaError as e:
+            if "AlreadyExists" in str(e.java_exception) or "already exists" in str(e.java_exception):
+                return False
+            raise
+        out.write(bytearray(json.dumps({"version": version, "schema": schema.json(), "months": months}) + "\n", "utf-8"))
+        out.close()
+        if after and after["version"] != version:
+            self._clean(name, {after["version"], version})
+        return True
+
+    def _clean(self, name: str, kept: set[str]) -> None:
+        for folder in self._names(name):
+            if folder.startswith("v=") and folder[2:] not in kept and folder[2:] < min(kept):
+                self._files().delete(self._path(name, folder), True)
+        for number in [n for n in self._names("_ctl", name) if n.isdigit()][:-2]:
+            self._files().delete(self._path("_ctl", name, number), False)
+
+    def state(self, name: str) -> int | None:
+        """A number that grows with every change of the table; None where there is none."""
+        p = self._pointer(name)
+        return p["number"] if p else None
 
     def current_version(self, name: str) -> str | None:
         p = self._pointer(name)
         return p["version"] if p else None
 
     def exists(self, name: str) -> bool:
-        return self.current_version(name) is not None
+        return self._pointer(name) is not None
 
-    def location(self, name: str, version: str | None = None) -> str:
-        """Folder of a version; of a table that upserts have added folders to, the newest."""
-        version = version or self.current_version(name)
-        if version is None:
+    def _current(self, name: str) -> dict:
+        p = self._pointer(name)
+        if p is None:
             raise FileNotFoundError(f"table {name!r} has no committed version")
-        return os.path.join(self.root, name, f"v={version}")
-
-    def _commit(self, name: str, version: str, schema: T.StructType, layers=None) -> None:
-        layers = json.dumps(layers or [[version, None, []]])
-        commit = self._new_version()
-        row = self.spark.range(1).select(
-            F.lit(commit).alias("commit_id"),
-            F.lit(version).alias("version"), F.lit(schema.json()).alias("schema_json"),
-            F.lit(layers).alias("layers"), F.localtimestamp().alias("committed_at"))
-        row.coalesce(1).write.mode("append").parquet(self._ctl_path(name))
-        self._cache[name] = {"version": version, "schema_json": schema.json(), "layers": layers,
-                             "commit_id": commit}
+        return p
+
+    def location(self, name: str, version: str | None = None) -> str:
+        return f"{self.root}/{name}/v={version or self._current(name)['version']}"
 
     @staticmethod
     def _new_version() -> str:
-        """Time-ordered id: epoch ms, a per-process sequence (orders ids made
-        within one millisecond), then a random suffix (unique across writers)."""
-        return f"{int(time.time() * 1000):013d}-{next(_SEQ):08d}-{uuid.uuid4().hex[:8]}"
+        """Time-ordered and unique across writers."""
+        return f"{time.time_ns() // 1000:017d}-{uuid.uuid4().hex[:8]}"
 
     # ---------------------------------------------------------------- reads
     def read(self, name: str) -> DataFrame:
-        """Current version; the committed schema is applied, so an empty
+        """Current rows; the committed schema is applied, so an empty
         (file-less) partitioned version still reads as an empty table."""
-        p = self._pointer(name)
-        if p is None:
-            raise FileNotFoundError(f"table {name!r} has no committed version")
-        return self._read(name, p)
+        return self._rows(name, self._current(name))
+
+    def _rows(self, name: str, p: dict) -> DataFrame:
+        schema, months = T.StructType.fromJson(json.loads(p["schema"])), p["months"]
+        df = self.spark.read.schema(schema).parquet(self.location(name, p["version"]))
+        if months:
+            beside = self.spark.read.schema(schema).parquet(f"{self.root}/{name}/{months['folder']}")
+            df = df.filter(~_in(F.col(months["column"]), months["values"])).unionByName(beside)
+        return df
 
     def read_between(self, name: str, ts_col: str, start=None, end=None,
                      partition_col: str = "txn_month") -> DataFrame:
@@ -214,24 +171,35 @@ class TableStore:
 
     def _write(self, df: DataFrame, path: str, mode: str, partition_by, sort_by) -> None:
         partition_by, sort_by = _as_list(partition_by), _as_list(sort_by)
-        w = self._layout(df, partition_by, sort_by).write.mode(mode)
+        w = self._layout(df, partition_by, sort_by).write.mode(mode).option("partitionOverwriteMode", "dynamic")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
 
     def overwrite(self, name: str, df: DataFrame, partition_by=None, sort_by=None) -> str:
-        """SNK1: full refresh into a new version, then switch the pointer."""
+        """SNK1: full refresh into a new version, then switch the pointer; of
+        two at once the later switch is current."""
         version = self._new_version()
         self._write(df, self.location(name, version), "errorifexists", partition_by, sort_by)
-        self._commit(name, version, df.schema)
+        while not self._point(name, self._pointer(name), version, df.schema):
+            pass
         return version
 
     def append(self, name: str, df: DataFrame, partition_by=None, sort_by=None) -> None:
-        """SNK2/SNK3: append (month partitions with ``partition_by``)."""
-        if not self.exists(name):
+        """SNK2/SNK3: append (month partitions with ``partition_by``). The new
+        pointer makes a concurrent upsert merge again; if the table was
+        replaced meanwhile, the call fails."""
+        p = self._settled(name)
+        if p is None:
             self.overwrite(name, df, partition_by, sort_by)
             return
-        self._write(df, self.location(name), "append", partition_by, sort_by)
+        schema = T.StructType.fromJson(json.loads(p["schema"]))
+        self._write(df, self.location(name, p["version"]), "append", partition_by, sort_by)
+        now = p
+        while not self._point(name, now, p["version"], schema):
+            now = self._settled(name)
+            if now["version"] != p["version"]:
+                raise RuntimeError(f"table {name!r} was replaced during an append; its rows may be missing")
 
     def upsert(self, name: str, batch: DataFrame, keys, order: Sequence[str] | None = None,
                partition_by: str | None = None, sort_by=None,
@@ -239,59 +207,74 @@ class TableStore:
         """INC2 on a stored table.
 
         Unpartitioned: merged result written as a new version. Partitioned:
-        only partitions holding a batch row or a replaced key are rewritten,
-        into a new folder; the list of touched partition values (NULL is one)
-        is the only thing collected and is bounded by the partition count.
-        Each attempt starts from the newest commit, and if another writer
-        committed meanwhile the merge is done again on top of that.
+        only partitions holding a batch row or a replaced key are rewritten;
+        the list of touched partition values (NULL is one) is the only thing
+        collected and is bounded by the partition count. If another writer
+        changed the table meanwhile, the merge is done again on top of that.
         ``stable_partitions`` declares that a key never moves between
         partitions (e.g. a transaction's month), so the touched partitions are
         those of the batch alone and the target's keys need not be scanned.
         Rewritten partitions keep the ``sort_by`` layout.
         """
-        keys = _as_list(keys)
+        keys, sort_by = _as_list(keys), _as_list(sort_by)
         if order:
             batch = latest_per_key(batch, keys, order)
-        for _ in range(RETRIES):
-            self._cache.pop(name, None)
-            base = (self._pointer(name) or {}).get("commit_id")
-            done = self._merge(name, batch, keys, partition_by, _as_list(sort_by), stable_partitions)
-            self._cache.pop(name, None)
-            if (self._pointer(name) or {}).get("commit_id") == base:
-                if done is not None:
-                    self._commit(name, *done)
+        for _ in range(ATTEMPTS):
+            p = self._settled(name)
+            if p is None:
+                self.overwrite(name, batch, partition_by, sort_by)
                 return
-        raise RuntimeError(f"table {name!r}: other writers committed during {RETRIES} attempts")
-
-    def _merge(self, name, batch, keys, partition_by, sort_by, stable_partitions):
-        """Write the merge of ``batch`` into the current commit; returns what
-        to commit (version, schema, layers), or None if nothing changes."""
-        version = self._new_version()
-        path = self.location(name, version)
-        if not self.exists(name):
-            self._write(batch, path, "errorifexists", partition_by, sort_by)
-            return version, batch.schema, None
-        target = self.read(name)
-        batch = batch.select(*target.columns)
-        if partition_by is None:
-            merged = _upsert(target, batch, keys)
-            self._write(merged, path, "errorifexists", None, sort_by)
-            return version, merged.schema, None
-        parts = batch.select(partition_by)
-        if not stable_partitions:
-            parts = parts.union(
-                target.join(batch.select(*keys), keys, "left_semi").select(partition_by))
-        touched = [r[0] for r in parts.distinct().collect()]
-        if not touched:
-            return None
-        layers = json.loads(self._pointer(name)["layers"])
-        if len(layers) >= MAX_LAYERS:
-            merged = _upsert(target, batch, keys)
-            self._write(merged, path, "errorifexists", partition_by, sort_by)
-            return version, target.schema, None
-        merged = _upsert(target.filter(_in(F.col(partition_by), touched)), batch, keys)
-        self._write(merged, path, "errorifexists", partition_by, sort_by)
-        return version, target.schema, [*layers, [version, partition_by, touched]]
+            target = self._rows(name, p)
+            rows = batch.select(*target.columns)
+            if partition_by is None:
+                version = self._new_version()
+                self._write(_upsert(target, rows, keys), self.location(name, version), "errorifexists", None, sort_by)
+                if self._point(name, p, version, target.schema):
+                    return
+                continue
+            parts = rows.select(partition_by)
+            if not stable_partitions:
+                parts = parts.union(target.join(rows.select(*keys), keys, "left_semi").select(partition_by))
+            touched = [r[0] for r in parts.distinct().collect()]
+            if not touched:
+                return
+            merged = _upsert(target.filter(_in(F.col(partition_by), touched)), rows, keys)
+            if self._replace(name, p, merged, partition_by, touched, sort_by):
+                return
+        raise RuntimeError(f"table {name!r}: other writers changed it during {ATTEMPTS} attempts")
+
+    def _replace(self, name: str, p: dict, rows: DataFrame, column: str, values: list, sort_by) -> bool:
+        """Put ``rows`` in the place of the partitions ``values`` of ``column``;
+        false if the table has changed since the pointer ``p``."""
+        months = {"folder": f"months={self._new_version()}", "column": column, "values": values, "sort_by": sort_by}
+        self._write(rows, f"{self.root}/{name}/{months['folder']}", "errorifexists", column, sort_by)
+        schema = T.StructType.fromJson(json.loads(p["schema"]))
+        if not self._point(name, p, p["version"], schema, months):
+            self._files().delete(self._path(name, months["folder"]), True)
+            return False
+        self._settled(name)
+        return True
+
+    def _settled(self, name: str) -> dict | None:
+        """The current pointer, after a replacement under way has been finished."""
+        p = self._pointer(name)
+        if p is None or not p["months"]:
+            return p
+        months, schema = p["months"], T.StructType.fromJson(json.loads(p["schema"]))
+        beside = self.spark.read.schema(schema).parquet(f"{self.root}/{name}/{months['folder']}")
+        self._write(beside, self.location(name, p["version"]), "overwrite", months["column"], months["sort_by"])
+        # partitions that the replacement has left empty
+        label = lambda v: NULL_PARTITION if v is None else str(v)                # noqa: E731
+        gone = {label(v) for v in months["values"]} - {
+            unquote(f.partition("=")[2]) for f in self._names(name, months["folder"])}
+        for folder in self._names(name, f"v={p['version']}"):
+            if folder.startswith(f"{months['column']}=") and unquote(folder.partition("=")[2]) in gone:
+                self._files().delete(self._path(name, f"v={p['version']}", folder), True)
+        if self._point(name, p, p["version"], schema):
+            # readers of the pointer before may still be at it; what is older goes
+            for folder in [f for f in self._names(name) if f.startswith("months=")][:-1]:
+                self._files().delete(self._path(name, folder), True)
+        return self._pointer(name)
 
 
 def materialize(df: DataFrame, name: str, how: str = "view", store: TableStore | None = None,
@@ -315,4 +298,3 @@ def with_month(df: DataFrame, ts_col: str = "txn_ts", name: str = "txn_month") -
     """SNK3 helper: yyyyMM partition column."""
     from vaultline.functions.columns import month_of
     return df.withColumn(name, month_of(ts_col))
-
