@@ -1,10 +1,11 @@
 """Watermarks, delta, upsert and latest-wins (traps T1-T4)."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
-from vaultline.operators import incremental as inc
+from vaultline.operators import incremental as inc, intervals
 from vaultline.sources.extract import extract_incremental
 
 
@@ -67,11 +68,46 @@ def test_read_watermark_ties_and_default(spark):
     assert inc.read_watermark_value(ctl, "p", "card", None) is None
 
 
+def _runs(df):
+    return sorted((r.lo, r.hi) for r in df.collect())
+
+
+def test_runs_of_ids(spark):
+    rnd = random.Random(4)
+    big = intervals.BUCKET
+    for ids in ([], [5], [1, 2, 3, 7, 8, 2, 2], [big - 1, big, big + 1, 3 * big], [rnd.randrange(300) for _ in range(150)], [None, -3, -2, 0]):
+        df = spark.createDataFrame([(i,) for i in ids], "txn_id long")
+        want, known = [], sorted({i for i in ids if i is not None})
+        for i in known:
+            if want and want[-1][1] == i - 1:
+                want[-1] = (want[-1][0], i)
+            else:
+                want.append((i, i))
+        runs = intervals.merge(df, "txn_id")
+        assert _runs(runs) == want
+        more = spark.createDataFrame([(4,), (6,), (2,)], "txn_id long")
+        again = intervals.merge(more, "txn_id", runs)
+        assert _runs(again) == _runs(intervals.merge(df.union(more), "txn_id"))
+
+
 def test_unloaded_finds_late_ids(spark):
     src = spark.range(1, 11).withColumnRenamed("id", "txn_id")
     target = src.filter("txn_id in (1, 2, 4, 6, 8)")
-    got = lambda **kw: sorted(r.txn_id for r in inc.unloaded(src, target, "txn_id", **kw).collect())
-    assert got() == [3, 5, 7, 9, 10]
+    runs = intervals.merge(target, "txn_id")
+    got = lambda **kw: sorted(r.txn_id for r in intervals.unloaded(src, runs, "txn_id", target, **kw).collect())
+    assert got() == got(widest=1) == got(widest=2) == [3, 5, 7, 9, 10]
     assert got(lookback=3) == [7, 9, 10]
     assert got(lookback=0) == [9, 10]
-    assert inc.unloaded(src, target.limit(0), "txn_id").count() == 10
+    assert intervals.unloaded(src, runs.limit(0), "txn_id", target.limit(0)).count() == 10
+
+
+def test_unloaded_ids_are_asked_by_pushed_ranges(spark, scratch):
+    spark.range(1, 1001).withColumnRenamed("id", "txn_id").withColumn("v", F.lit("x")).write.parquet(f"{scratch}/src")
+    src = spark.read.parquet(f"{scratch}/src")
+    target = src.filter("txn_id <= 900 and txn_id != 77")
+    out = intervals.unloaded(src, intervals.merge(target, "txn_id"), "txn_id", target)
+    assert sorted(r.txn_id for r in out.collect()) == [77, *range(901, 1001)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "LessThan(txn_id,78)" in pushed and "GreaterThan(txn_id,900)" in pushed
+    assert "Join" not in plan and "Exchange" not in plan and plan.count("FileScan") == 1

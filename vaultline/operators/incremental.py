@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.functions.columns import load_ts
-from vaultline.sources.extract import bound_literal, extract_incremental
+from vaultline.sources.extract import bound_literal
 
 
 def _as_list(x) -> list[str]:
@@ -75,31 +75,6 @@ def delta(src: DataFrame, target: DataFrame | None, cursor: str, inclusive: bool
     return src.filter(cond)
 
 
-def unloaded(src: DataFrame, target: DataFrame, key: str, last=None, lookback=None) -> DataFrame:
-    """INC5 without a cut: source rows with a ``key`` above the watermark
-    ``last`` (default: the target's own), and those at or below it that the
-    target does not have, such as ids committed late.
-
-    The rows above come from a pushed-down filter; the check below the mark is
-    an anti join on the key column alone. ``lookback`` bounds that check to so
-    many ids below the mark; 0 is the plain watermark, which loses late ids.
-    An empty target selects everything. A row without a key cannot be
-    upserted and is only selected then.
-    """
-    if last is None:
-        last = read_high_watermark(target, key)
-    if last is None:
-        return src
-    new = extract_incremental(src, key, last)
-    if lookback == 0:
-        return new
-    late, known = src.filter(F.col(key) <= F.lit(last)), target.select(key)
-    if lookback is not None:
-        late = late.filter(F.col(key) > F.lit(last - lookback))
-        known = known.filter(F.col(key) > F.lit(last - lookback))
-    return new.unionByName(late.join(known, key, "left_anti"))
-
-
 def upsert(target: DataFrame, batch: DataFrame, keys, order: Sequence[str] | None = None
            ) -> DataFrame:
     """INC2: replace target rows whose key appears in ``batch``, keep the rest,
@@ -133,6 +108,19 @@ def read_watermark_value(ctl: DataFrame, process: str, table: str, default: int
 
 def watermark_row(spark, process: str, table: str, last_id: int, ts=None) -> DataFrame:
     """INC4: the control row to append after a load."""
-    return spark.range(1).select(
-        F.lit(process).alias("process_name"), F.lit(table).alias("src_table"),
-        F.lit(last_id).cast("long").alias("last_id"), load_ts(ts).alias("updated_at"))
+    return watermark_rows(spark, process, {table: last_id}, ts)
+
+
+def watermark_rows(spark, process: str, last_ids: dict[str, int], ts=None) -> DataFrame:
+    """INC4 for several tables of one process: a row each."""
+    rows = F.array(*[F.struct(F.lit(t).alias("src_table"), F.lit(i).cast("long").alias("last_id"))
+                     for t, i in last_ids.items()])
+    return spark.range(1).select(F.lit(process).alias("process_name"), F.inline(rows),
+                                 load_ts(ts).alias("updated_at"))
+
+
+def read_watermarks(ctl: DataFrame, process: str) -> dict[str, int]:
+    """ST2 for every table of a process (one row per table is collected)."""
+    rows = ctl.filter(F.col("process_name") == process).groupBy("src_table").agg(
+        F.max_by("last_id", F.struct("updated_at", "last_id")).alias("last_id")).collect()
+    return {r["src_table"]: r["last_id"] for r in rows}

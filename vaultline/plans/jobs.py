@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultline.functions.columns import month_of, ntz, with_load_ts
-from vaultline.operators import cdc, facts, incremental as inc, scd2, staging
+from vaultline.operators import cdc, facts, incremental as inc, intervals, scd2, staging
 from vaultline.schemas import CURSORS, PRIMARY_KEYS
 from vaultline.sinks.tables import TableStore
 from vaultline.sources.extract import extract_snapshot
@@ -27,7 +27,8 @@ from vaultline.sources.extract import extract_snapshot
 _EPOCH = dt.datetime(1970, 1, 1)
 CTL_LOAD = "ctl_pg_load"
 FACT = "ods_fact_atm_transaction"
-FACT_REFRESH = "fact_refresh"
+CTL_RUNS = "ctl_loaded_runs"
+FACT_REFRESH, FACT_STATE = "fact_refresh", "fact_refresh_state"
 TOUCHED = "stg_fact_touched"
 
 
@@ -69,28 +70,41 @@ def last_loaded_id(store: TableStore, process: str, table: str) -> int | None:
     return inc.read_watermark_value(store.read(CTL_LOAD), process, table, None)
 
 
+def loaded_runs(store: TableStore, process: str, table: str, key: str) -> DataFrame | None:
+    """The ids of ``table`` that a process has loaded, as runs (lo, hi); of a
+    raw table older than its control table, from its ids. None before the
+    first run, so the first extract takes everything."""
+    if store.exists(f"{CTL_RUNS}_{process}_{table}"):
+        return store.read(f"{CTL_RUNS}_{process}_{table}")
+    if store.exists(f"raw_{table}"):
+        return intervals.merge(store.read(f"raw_{table}"), key)
+    return None
+
+
+def save_runs(store: TableStore, process: str, table: str, key: str, batch: DataFrame, runs: DataFrame | None) -> None:
+    store.overwrite(f"{CTL_RUNS}_{process}_{table}", intervals.merge(batch, key, runs))
+
+
 def run_txn_load(store: TableStore, source_txn: DataFrame, process: str = "pg_to_dwh",
                  ts=None, lookback: int | None = None, incremental_fact: bool = True) -> int:
-    """INC5: read watermark -> incremental extract -> stg -> raw upsert
-    (month-partitioned, only touched months rewritten) -> save watermark ->
-    rebuild the fact (always, even without new rows). Returns the new
-    watermark. Ids committed late, below the watermark, are found by an anti
-    join of the ids; ``lookback`` bounds how far below it looks, 0 not at all."""
-    last = last_loaded_id(store, process, "transaction")
+    """INC5: loaded id runs -> extract of the ids outside them -> stg -> raw
+    upsert (month-partitioned, only touched months rewritten) -> save runs and
+    watermark -> refresh the fact (always, even without new rows). Returns the
+    new watermark. The source is asked by pushed id ranges, so ids committed
+    late, below the watermark, come with the next load; ``lookback`` bounds how
+    far below it looks, 0 not at all."""
+    runs = loaded_runs(store, process, "transaction", "txn_id")
     extract = extract_snapshot(source_txn, "transaction")
-    if last is not None:
-        extract = inc.unloaded(extract, store.read("raw_transaction"), "txn_id", last, lookback)
+    if runs is not None:
+        extract = intervals.unloaded(extract, runs, "txn_id", store.read("raw_transaction"), lookback=lookback)
     store.overwrite("stg_transaction", with_load_ts(extract, "extracted_at", ts))
     stg = staging.stage(store.read("stg_transaction"), "transaction")
     batch = with_load_ts(stg, "loaded_at", ts).withColumn("txn_month", month_of("txn_ts"))
     # transactions are insert-only: a txn_id never changes month
     store.upsert("raw_transaction", batch, "txn_id", partition_by="txn_month",
                  stable_partitions=True)
-    # raw = previous raw (max id = last) plus this batch, so the new watermark
-    # comes from the small batch, not from a scan of the whole raw table
-    batch_max = inc.read_high_watermark(stg, "txn_id")
-    new_last = max(x for x in (last, batch_max) if x is not None) \
-        if (last is not None or batch_max is not None) else None
+    save_runs(store, process, "transaction", "txn_id", stg, runs)
+    new_last = inc.read_high_watermark(store.read(f"{CTL_RUNS}_{process}_transaction"), "hi")
     if new_last is not None:
         store.append(CTL_LOAD, inc.watermark_row(store.spark, process, "transaction", new_last,
                                                  ts))
@@ -110,14 +124,16 @@ def run_models(store: TableStore, sources: dict[str, DataFrame], ts=None,
                                                ts))
         stg = staging.stage(store.read(stg_name), entity)
         target = store.read(raw_name) if store.exists(raw_name) else None
-        if entity == "transaction" and target is not None:
-            batch = inc.unloaded(stg, target, CURSORS[entity])
+        runs = loaded_runs(store, "models", entity, "txn_id") if entity == "transaction" else None
+        if runs is not None:
+            batch = intervals.unloaded(stg, runs, "txn_id", target)
         else:
             batch = inc.delta(stg, target, CURSORS[entity], inclusive=True)
         batch = with_load_ts(batch, "loaded_at", ts)
         if entity == "transaction":
             store.upsert(raw_name, batch.withColumn("txn_month", month_of("txn_ts")), "txn_id",
                          partition_by="txn_month", stable_partitions=True)
+            save_runs(store, "models", entity, "txn_id", batch, runs)
         else:
             store.upsert(raw_name, batch, PRIMARY_KEYS[entity], order=[CURSORS[entity]])
             store.overwrite(f"ods_dim_{entity}",
@@ -134,58 +150,75 @@ def rebuild_fact(store: TableStore, ts=None) -> None:
                     partition_by="txn_month", sort_by="txn_id")
 
 
-def _now(spark, ts=None) -> dt.datetime:
-    """The load time as stamped on rows: the injected ``ts``, else Spark's own
-    ``localtimestamp()`` (the clock and zone that ``loaded_at`` uses)."""
-    if ts is None:
-        return spark.range(1).select(F.localtimestamp().alias("t")).first()["t"]
-    return ts if isinstance(ts, dt.datetime) else dt.datetime.fromisoformat(str(ts))
+def _changes(store: TableStore, marks: dict[str, int], states: dict[str, int]) -> tuple[dict, dict, dict]:
+    """What each raw table has that the last refresh did not read: the rows'
+    predicate (None if the table has not changed), and the new marks and states.
+
+    A mark is the latest load time among the rows *read*, not a clock: rows
+    stamped before a refresh but written after it are above the mark. A table
+    written again under the load time of its mark is taken from that time on.
+    """
+    since, tops, now = {}, {}, {}
+    for e in PRIMARY_KEYS:
+        table = f"raw_{e}"
+        now[table] = store.state(table)
+        tops[table] = marks.get(table)
+        if states.get(table) == now[table]:
+            since[e] = None
+            continue
+        df, mark = store.read(table), None
+        if tops[table] is not None:
+            mark = ntz(_EPOCH + dt.timedelta(microseconds=tops[table]))
+        newer = df if mark is None else df.filter(F.col("loaded_at") > mark)
+        top = inc.read_high_watermark(newer, "loaded_at")
+        if top is not None:
+            tops[table] = (top - _EPOCH) // dt.timedelta(microseconds=1)
+        since[e] = F.lit(True) if mark is None else \
+            F.col("loaded_at") > mark if top is not None else F.col("loaded_at") >= mark
+    return since, tops, now
 
 
 def refresh_fact(store: TableStore, ts=None, incremental: bool = True) -> None:
     """Keep the fact equal to JN1 over the raw layer.
 
     The first refresh (or ``incremental=False``) rebuilds it. Afterwards only
-    fact rows that can have changed are recomputed: transactions loaded since
+    fact rows that can have changed are recomputed: transactions written since
     the last refresh, and transactions of cards whose card, account or
-    customer row -- or of terminals whose row -- was loaded since then. They
+    customer row -- or of terminals whose row -- was written since then (see
+    ``_changes``; a raw table without a change is not read for it). They
     are re-joined and upserted by txn_id into their month partitions, so
-    untouched months are not rewritten. The refresh mark is the load time
-    (injected ``ts``, or Spark's local timestamp -- the clock ``loaded_at``
-    uses), kept in the control table as epoch microseconds; load times must
-    not go backwards between runs.
+    untouched months are not rewritten. The marks are kept in the control
+    table; load times of one raw table must not go backwards between runs.
     """
-    now = _now(store.spark, ts)
-    mark = last_loaded_id(store, FACT_REFRESH, FACT) if incremental and store.exists(FACT) \
-        else None
-    if mark is None:
+    ctl = store.read(CTL_LOAD) if store.exists(CTL_LOAD) else None
+    known = incremental and store.exists(FACT) and ctl is not None
+    marks, states = ((inc.read_watermarks(ctl, p) for p in (FACT_REFRESH, FACT_STATE)) if known else ({}, {}))
+    since, tops, now = _changes(store, marks, states)
+    if not marks:
         rebuild_fact(store, ts)
-    else:
-        last = _EPOCH + dt.timedelta(microseconds=mark)
-        # rows of the last refresh's own run carry loaded_at == last and are
-        # already in the fact; only a caller re-using the same load time
-        # (now == last) needs them again
-        since = (F.col("loaded_at") > ntz(last)) if now > last else \
-            (F.col("loaded_at") >= ntz(last))
+    elif any(s is not None for s in since.values()):
+        none = F.lit(False)
         card, acc = store.read("raw_card"), store.read("raw_account")
         cust, term = store.read("raw_customer"), store.read("raw_terminal")
         txn = store.read("raw_transaction")
-        acc_hit = (acc.filter(since).select("account_id")
-                   .unionByName(acc.join(cust.filter(since).select("customer_id"),
+        own = none if since["transaction"] is None else since["transaction"]
+        since = {e: none if s is None else s for e, s in since.items()}
+        acc_hit = (acc.filter(since["account"]).select("account_id")
+                   .unionByName(acc.join(cust.filter(since["customer"]).select("customer_id"),
                                          "customer_id", "left_semi").select("account_id")))
-        card_hit = (card.filter(since).select("card_id")
+        card_hit = (card.filter(since["card"]).select("card_id")
                     .unionByName(card.join(acc_hit, "account_id", "left_semi").select("card_id"))
                     .distinct().withColumn("__card_hit", F.lit(True)))
-        term_hit = (term.filter(since).select("terminal_id").distinct()
+        term_hit = (term.filter(since["terminal"]).select("terminal_id").distinct()
                     .withColumn("__term_hit", F.lit(True)))
         # one pass over the transactions; the hit sets are broadcast when AQE
         # measures them small (the usual case between two refreshes). Without a
         # changed dimension row only the load time decides, a pushed-down filter.
         if card_hit.isEmpty() and term_hit.isEmpty():
-            touched = txn.filter(since)
+            touched = txn.filter(own)
         else:
             touched = (txn.join(card_hit, "card_id", "left").join(term_hit, "terminal_id", "left")
-                          .filter(since | F.col("__card_hit").isNotNull()
+                          .filter(own | F.col("__card_hit").isNotNull()
                                   | F.col("__term_hit").isNotNull())
                           .select(*txn.columns))
         # used for the key sets, the partition list and the join: written once
@@ -202,8 +235,9 @@ def refresh_fact(store: TableStore, ts=None, incremental: bool = True) -> None:
             .withColumn("txn_month", month_of("txn_ts"))
         store.upsert(FACT, rows, "txn_id", partition_by="txn_month", sort_by="txn_id",
                      stable_partitions=True)
-    micros = (now - _EPOCH) // dt.timedelta(microseconds=1)
-    store.append(CTL_LOAD, inc.watermark_row(store.spark, FACT_REFRESH, FACT, micros, ts))
+    for process, values in ((FACT_REFRESH, tops), (FACT_STATE, now)):
+        store.append(CTL_LOAD, inc.watermark_rows(
+            store.spark, process, {t: v for t, v in values.items() if v is not None}, ts))
 
 
 def refresh_loaded_fact(store: TableStore, ts=None) -> None:
