@@ -30,8 +30,9 @@ def test_load_models_cdc_monitor(spark, sf_dir, scratch):
     cdc_in = os.path.join(scratch, "cdc")
     B.cdc_records(spark, sf_dir).write.json(cdc_in)
     assert main(["cdc", "--input", cdc_in, "--warehouse", wh], spark=spark) == 0
-    assert TableStore(spark, wh).read("ods_dim_card_scd2").count() > 0
-    marks = TableStore(spark, wh).read(jobs.CTL_LOAD).filter(F.col("src_table") == jobs.FACT)
+    assert jobs.read_card_scd2(TableStore(spark, wh)).count() > 0
+    marks = TableStore(spark, wh).read(jobs.CTL_LOAD).filter(
+        (F.col("process_name") == jobs.FACT_STATE) & (F.col("src_table") == "raw_transaction"))
     assert marks.count() == 2                        # one by load, one by cdc
 
     end, committed = B.offsets(spark, sf_dir)

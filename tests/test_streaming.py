@@ -100,6 +100,7 @@ def test_stateful_rapid_withdrawals_equal_batch(spark, sf_dir, scratch):
 
 def test_stream_maintains_cdc_models(spark, sf_dir, scratch):
     from vaultline.operators import scd2
+    from vaultline.plans import jobs
     from vaultline.sinks.tables import TableStore
     src = os.path.join(scratch, "source")
     B.cdc_records(spark, sf_dir).repartition(4).write.json(src)
@@ -110,7 +111,7 @@ def test_stream_maintains_cdc_models(spark, sf_dir, scratch):
     q.awaitTermination()
     landed = landing.read_landing(spark, os.path.join(scratch, "landing", "stg_cdc_card"))
     full = scd2.scd2_from_landing(landed, ts="2025-01-01 00:00:00")
-    got = store.read("ods_dim_card_scd2")
+    got = jobs.read_card_scd2(store)
     cols = [c for c in full.columns if c != "loaded_at"]
     assert got.select(cols).exceptAll(full.select(cols)).count() == 0
     assert full.select(cols).exceptAll(got.select(cols)).count() == 0

@@ -84,6 +84,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     c.add_argument("--bootstrap", help="Kafka bootstrap servers")
     c.add_argument("--max-per-trigger", type=int)
     c.add_argument("--trigger", help="run on, with this processing time; default: drain and stop")
+    c.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                   help="option of the stream source, such as kafka.security.protocol=SSL; may be repeated")
     c.add_argument("--warehouse", required=True)
     c.add_argument("--format", default="json")
     c.add_argument("--ts")
@@ -117,11 +119,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             p.error("a file source needs --input")
         stream = landing.read_cdc_stream(spark, fmt=args.format, path=args.input,
                                          topics=args.topics, bootstrap=args.bootstrap,
-                                         max_per_trigger=args.max_per_trigger)
+                                         max_per_trigger=args.max_per_trigger,
+                                         **dict(o.split("=", 1) for o in args.option))
         root = os.path.join(args.warehouse, "landing")
         q = landing.start_cdc_models(stream, store, root, os.path.join(root, "_checkpoint"),
                                      available_now=args.trigger is None,
-                                     processing_time=args.trigger or "10 minutes", ts=args.ts)
+                                     processing_time=args.trigger or "10 minutes", ts=args.ts,
+                                     fact=args.trigger is not None)
         q.awaitTermination()
         jobs.refresh_loaded_fact(store, args.ts)
     elif args.cmd == "monitor":

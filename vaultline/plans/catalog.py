@@ -22,6 +22,7 @@ from vaultline.operators import (cdc, facts, fraud, lifecycle, monitoring, quali
 from vaultline.operators import incremental as inc
 from vaultline.plans import jobs
 from vaultline.session import scratch_path
+from vaultline.sinks import scd2_table
 from vaultline.sinks.tables import TableStore, materialize, with_month
 from vaultline.streaming import landing
 from vaultline.schemas import (ACCOUNT_NUMBER_MAX_LEN, ACCOUNT_STATUSES, AMOUNT_PRECISION,
@@ -713,7 +714,7 @@ def _land_stream(spark, sf_dir):
     root = scratch_path(spark, "cdc-stream")
     src = f"{root}/source"
     B.cdc_records(spark, sf_dir).write.json(src)
-    stream = landing.read_cdc_stream(spark, fmt="json", path=src, max_per_trigger=2)
+    stream = landing.read_cdc_stream(spark, fmt="json", path=src, max_per_trigger=8)
     q = landing.start_landing(stream, f"{root}/stg_cdc_card", f"{root}/stg_cdc_transaction",
                               f"{root}/_checkpoint", reject_path=f"{root}/cdc_rejects",
                               ts=LOAD_TS)
@@ -742,7 +743,7 @@ def q_cdc_models(spark, sf_dir):
             "status", "loaded_at"]
     out = None
     for name in ("raw_transaction_cdc", jobs.FACT, "ods_dim_card_scd2"):
-        df = store.read(name)
+        df = jobs.read_card_scd2(store) if name == "ods_dim_card_scd2" else store.read(name)
         df = df.select("card_id", F.col("valid_from").alias("txn_ts"), "status", "loaded_at",
                        "is_current") if name == "ods_dim_card_scd2" else df.select(cols)
         df = df.withColumn("model", F.lit(name))
@@ -784,16 +785,13 @@ def q_txn_rejects(spark, sf_dir):
 
 @query("scd2_incremental")
 def q_scd2_incremental(spark, sf_dir):
-    """S2 maintained incrementally: a dimension built from the log before the
-    cut, then only the cards touched by later rows rebuilt; equals the full build."""
-    landed = landed_cards(spark, sf_dir)
-    cut = ntz(PREVIOUS_RUN)
+    """S2 kept batch by batch in a stored dimension: the log before the cut,
+    then the later rows; equals the full build."""
+    versions = cdc.card_versions(landed_cards(spark, sf_dir))
     store = _store(spark, "scd2-incremental")
-    store.overwrite("ods_dim_card_scd2",
-                    scd2.scd2_from_landing(landed.filter(F.col("src_ts") < cut), ts=LOAD_TS))
-    dim = scd2.scd2_incremental(store.read("ods_dim_card_scd2"), landed,
-                                landed.filter(F.col("src_ts") >= cut), ts=LOAD_TS)
-    return render_valid_to(dim)
+    for batch, late in enumerate((F.col("src_ts") < ntz(PREVIOUS_RUN), F.col("src_ts") >= ntz(PREVIOUS_RUN))):
+        scd2_table.apply_batch(store, "ods_dim_card_scd2", versions.filter(late), batch, ts=LOAD_TS)
+    return render_valid_to(scd2_table.read_dimension(store, "ods_dim_card_scd2"))
 
 
 @query("model_run")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from vaultline.functions.columns import month_of, ntz, with_load_ts
 from vaultline.operators import cdc, facts, incremental as inc, intervals, scd2, staging
 from vaultline.schemas import CURSORS, PRIMARY_KEYS
+from vaultline.sinks import scd2_table
 from vaultline.sinks.tables import TableStore
 from vaultline.sources.extract import extract_snapshot
 
@@ -28,6 +29,7 @@ _EPOCH = dt.datetime(1970, 1, 1)
 CTL_LOAD = "ctl_pg_load"
 FACT = "ods_fact_atm_transaction"
 CTL_RUNS = "ctl_loaded_runs"
+CARD_SCD2 = "ods_dim_card_scd2"
 FACT_REFRESH, FACT_STATE = "fact_refresh", "fact_refresh_state"
 TOUCHED = "stg_fact_touched"
 
@@ -247,33 +249,37 @@ def refresh_loaded_fact(store: TableStore, ts=None) -> None:
 
 
 def run_cdc_models(store: TableStore, card_landing: DataFrame, txn_landing: DataFrame,
-                   ts=None, dedupe: bool = True, new_card_rows: DataFrame | None = None,
+                   ts=None, dedupe: bool = True, batch_id: int | None = None,
                    fact: bool = True) -> None:
-    """CDC10 / STR5: recompute the CDC models from the landed log:
-    raw_transaction_cdc (upsert on txn_id of all rows of ``txn_landing``: the
-    whole log, or the rows landed since the last run) and the card SCD2. With
-    ``new_card_rows`` (the rows landed since the last run) only the cards they
-    touch are rebuilt (``scd2_incremental``); otherwise the SCD2 is fully
-    recomputed. Both place late rows correctly: ids of another Kafka partition
-    may arrive in any order, so no watermark cuts them. The transactions are
-    partitioned by month, and a run rewrites the months it touches. The third
-    model, the fact over the raw layer, is refreshed last, unless ``fact`` is
-    off or the raw tables have not been loaded yet."""
+    """CDC10 / STR5: bring the CDC models up to date with landed rows:
+    raw_transaction_cdc (upsert on txn_id) and the card SCD2.
+
+    Without a ``batch_id`` the frames are the whole log, and the SCD2 is built
+    anew; with one they are the rows landed by that batch, and the SCD2 takes
+    only these (``sinks.scd2_table``). Both place late rows correctly: ids of
+    another Kafka partition may arrive in any order, so no watermark cuts them.
+    The transactions are partitioned by month, and a run rewrites the months it
+    touches. The third model, the fact over the raw layer, is refreshed last,
+    unless ``fact`` is off or the raw tables have not been loaded yet."""
     landed = cdc.dedupe_log(txn_landing) if dedupe else txn_landing
     typed = cdc.raw_transaction_cdc(landed, ts=ts).withColumn("txn_month", month_of("txn_ts"))
     store.upsert("raw_transaction_cdc", typed, "txn_id", order=["txn_ts"], partition_by="txn_month")
     store.upsert("raw_transaction_cdc_rejects", cdc.raw_transaction_cdc_rejects(landed),
                  ["kafka_partition", "kafka_offset"])
-    if new_card_rows is not None and store.exists("ods_dim_card_scd2"):
-        dim = scd2.scd2_incremental(store.read("ods_dim_card_scd2"), card_landing, new_card_rows,
-                                    ts=ts, dedupe=dedupe)
+    if batch_id is None:
+        store.overwrite(CARD_SCD2, scd2.scd2_from_landing(card_landing, dedupe=dedupe, ts=ts),
+                        sort_by=["card_id", "valid_from"])
     else:
-        dim = scd2.scd2_from_landing(card_landing, dedupe=dedupe, ts=ts)
-    store.overwrite("ods_dim_card_scd2", dim, sort_by=["card_id", "valid_from"])
+        scd2_table.apply_batch(store, CARD_SCD2, cdc.card_versions(card_landing), batch_id, ts=ts)
     if fact:
         refresh_loaded_fact(store, ts)
 
 
+def read_card_scd2(store: TableStore) -> DataFrame:
+    """The card SCD2, kept batch by batch or built as a whole."""
+    return scd2_table.read_dimension(store, CARD_SCD2) if scd2_table.exists(store, CARD_SCD2) else store.read(CARD_SCD2)
+
+
 def read_fact(store: TableStore, start=None, end=None) -> DataFrame:
     """Fact rows in [start, end): month partitions pruned, timestamps pushed."""
     return store.read_between(FACT, "txn_ts", start, end, "txn_month")

@@ -243,6 +243,12 @@ class TableStore:
                 return
         raise RuntimeError(f"table {name!r}: other writers changed it during {ATTEMPTS} attempts")
 
+    def replace(self, name: str, rows: DataFrame, column: str, values: list, sort_by=None) -> None:
+        """Put ``rows`` in the place of the partitions ``values`` of ``column``,
+        all at once. ``rows`` may be computed from the table."""
+        if not self._replace(name, self._settled(name), rows.select(*self.read(name).columns), column, values, _as_list(sort_by)):
+            raise RuntimeError(f"table {name!r}: another writer changed it during a replacement")
+
     def _replace(self, name: str, p: dict, rows: DataFrame, column: str, values: list, sort_by) -> bool:
         """Put ``rows`` in the place of the partitions ``values`` of ``column``;
         false if the table has changed since the pointer ``p``."""

@@ -17,7 +17,7 @@ def rapid_withdrawal_sessions_stream(txn: DataFrame, gap: str = "15 minutes",
                                      watermark: str = "1 hour", min_ops: int = 3,
                                      min_terminals: int = 2) -> DataFrame:
     # watermarks need TIMESTAMP (not NTZ); the session zone is UTC
-    t = (txn.filter(F.col("txn_type") == "atm_withdrawal")
+    t = (txn.filter((F.col("txn_type") == "atm_withdrawal") & F.col("card_id").isNotNull())
             .withColumn("event_time", F.col("txn_ts").cast("timestamp"))
             .withWatermark("event_time", watermark))
     s = (t.groupBy("card_id", F.session_window("event_time", gap).alias("session"))
@@ -47,14 +47,15 @@ def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: i
     append mode); later rows are dropped by the watermark. Idle cards are
     dropped once the watermark passes their last withdrawal plus the window.
     For rows arriving in event-time order the output equals
-    ``operators.fraud.rapid_withdrawals``.
+    ``operators.fraud.rapid_withdrawals``. Withdrawals without a card are no
+    card's, as there.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
     width_us = window_s * 1_000_000
     keep_us = (window_s + lateness_s) * 1_000_000
     watermark = f"{lateness_s} seconds"
-    w = (txn.filter(F.col("txn_type") == "atm_withdrawal")
+    w = (txn.filter((F.col("txn_type") == "atm_withdrawal") & F.col("card_id").isNotNull())
             .select("txn_id", "card_id", "txn_ts", "terminal_id",
                     F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00")
                                      .cast("timestamp_ntz"), F.col("txn_ts")).alias("t_us"),

@@ -141,22 +141,19 @@ def compact_landing(spark: SparkSession, path: str, upto_batch: int,
 
 def start_cdc_models(stream: DataFrame, store, root: str, checkpoint: str,
                      available_now: bool = True, processing_time: str = "10 minutes",
-                     ts=None) -> StreamingQuery:
+                     ts=None, fact: bool = False) -> StreamingQuery:
     """STR1 + STR5 wired together: land each micro-batch under ``root`` and
-    then bring the CDC models in ``store`` up to date. The SCD2 is
-    maintained incrementally from the cards touched by the batch just landed
-    (its ``batch_id`` partition); raw_transaction_cdc takes the new inserts."""
+    then bring the CDC models in ``store`` up to date with the rows of that
+    batch (its ``batch_id`` partition), whatever their ids; the landed log is
+    not read again. With ``fact`` the fact is refreshed after each batch."""
     from vaultline.plans.jobs import run_cdc_models
 
     card_path, txn_path = f"{root}/stg_cdc_card", f"{root}/stg_cdc_transaction"
 
     def models(spark: SparkSession, batch_id: int) -> None:
-        cards = read_landing(spark, card_path, STG_CDC_CARD)
-        new, txns = (_landed(spark, path, schema).filter(F.col("batch_id") == batch_id).drop("batch_id")
-                     for path, schema in ((card_path, STG_CDC_CARD), (txn_path, STG_CDC_TRANSACTION)))
-        # the batch's own rows, whatever their ids: nothing is cut at a watermark
-        # the fact reads the raw layer only: callers refresh it at their own cadence
-        run_cdc_models(store, cards, txns, ts=ts, new_card_rows=new, fact=False)
+        cards, txns = (_landed(spark, path, schema).filter(F.col("batch_id") == batch_id).drop("batch_id")
+                       for path, schema in ((card_path, STG_CDC_CARD), (txn_path, STG_CDC_TRANSACTION)))
+        run_cdc_models(store, cards, txns, ts=ts, batch_id=batch_id, fact=fact)
 
     return start_landing(stream, card_path, txn_path, checkpoint,
                          reject_path=f"{root}/cdc_rejects", available_now=available_now,
