@@ -2,6 +2,9 @@
 
 import datetime as dt
 import json
+import random
+
+from pyspark.sql import functions as F
 
 from vaultline import bindings as B
 from vaultline.operators import cdc, scd2
@@ -94,3 +97,31 @@ def test_invariant_check_reports_gaps_and_double_current(spark):
     got = {(r.card_id, r.violation) for r in scd2.check_invariants(bad).collect()}
     assert (1, "gap_or_overlap") in got
     assert (2, "current_count") in got
+
+
+def test_as_of_equals_range_join(spark):
+    """Versions over many months and many versions of one key in one month,
+    facts at, between, before and after them, beyond the horizon, NULLs."""
+    rnd = random.Random(5)
+    rows, offset = [], 0
+    for card, span, n in ((1, 900, 40), (2, 20, 300), (3, 1, 5), (4, 400, 2)):
+        for _ in range(n):
+            offset += 1
+            rows.append((offset % 3, offset, "u", card, "{}", _after(f"s{offset}"),
+                         D(2023, 1, 1) + dt.timedelta(hours=rnd.randrange(span * 24))))
+    rows.append((0, 9000, "u", 4, "{}", _after("first of a month"), D(2023, 6, 1)))
+    dim = scd2.scd2_from_landing(_log(spark, rows)).cache()
+    starts = [r.valid_from for r in dim.collect()]
+    facts = [(i, rnd.randrange(1, 6), rnd.choice(starts) + dt.timedelta(seconds=rnd.choice([0, 0, -1, 1, 86400 * 40]))) for i in range(800)]
+    facts += [(900, 1, D(2022, 1, 1)), (901, 4, D(2023, 6, 1)), (902, 1, D(2060, 1, 1)), (903, None, D(2024, 1, 1)), (904, 1, None)]
+    f = spark.createDataFrame(facts, "txn_id long, card_id long, txn_ts timestamp_ntz")
+    d = dim.select(F.col("card_id").alias("k"), "valid_from", "valid_to", "card_sk")
+    want = {r.txn_id: r.card_sk for r in f.join(d, (f.card_id == d.k) & (d.valid_from <= f.txn_ts) & (f.txn_ts < d.valid_to), "left").collect()}
+    for kw in ({}, {"horizon": "2023-03-01 00:00:00"}, {"unit": "day"}):
+        out = scd2.as_of(f, dim, cols=("card_sk",), **kw)
+        got = {r.txn_id: r.card_sk for r in out.collect()}
+        assert got == want and out.count() == len(facts)
+    bare = spark.createDataFrame(dim.limit(9).collect(), dim.schema)
+    plan = scd2.as_of(f, bare, cols=("card_sk",))._jdf.queryExecution().executedPlan().toString()
+    plan = plan[:plan.find("Initial Plan")]
+    assert plan.count("Exchange") == 1 and "Join" not in plan and plan.count("Scan") <= 2

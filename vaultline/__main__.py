@@ -4,7 +4,7 @@
     python -m vaultline models  --source DIR --warehouse DIR [--ts TS]
     python -m vaultline load    --jdbc URL [--jdbc-user U --jdbc-password-file F] --warehouse DIR
     python -m vaultline cdc     --input DIR  --warehouse DIR [--format json] [--ts TS]
-    python -m vaultline monitor --end PATH --committed PATH --warehouse DIR [--group G]
+    python -m vaultline monitor --end PATH [--committed PATH] --warehouse DIR [--group G]
 
 ``--source`` holds one parquet folder per source table (customer, account,
 card, terminal, transaction) in the source schema; ``--jdbc`` reads the same
@@ -91,7 +91,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     c.add_argument("--ts")
     m = sub.add_parser("monitor")
     m.add_argument("--end", required=True)
-    m.add_argument("--committed", required=True)
+    m.add_argument("--committed", help="committed offsets; default: those of the landed batches")
     m.add_argument("--warehouse", required=True)
     m.add_argument("--group", default="dwh_cdc_v1")
     m.add_argument("--threshold", type=int, default=None)
@@ -131,9 +131,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.cmd == "monitor":
         from vaultline.operators import monitoring
         from vaultline.schemas import LAG_THRESHOLD
-        lag = monitoring.kafka_lag(spark.read.parquet(args.end),
-                                   spark.read.parquet(args.committed))
-        metrics = monitoring.lag_metrics(lag, args.group, ts=args.ts)
+        ranges = None
+        if args.committed is None:
+            from vaultline.streaming.landing import CTL_OFFSETS
+            ranges = spark.read.parquet(os.path.join(args.warehouse, "landing", CTL_OFFSETS))
+        committed = spark.read.parquet(args.committed) if ranges is None else monitoring.committed_offsets(ranges)
+        metrics = monitoring.lag_metrics(monitoring.kafka_lag(spark.read.parquet(args.end), committed), args.group, ts=args.ts)
+        if ranges is not None:
+            metrics = metrics.unionByName(monitoring.break_metrics(monitoring.offset_breaks(ranges), args.ts))
         monitoring.write_metrics(store, metrics)
         monitoring.assert_lag(metrics, LAG_THRESHOLD if args.threshold is None else args.threshold)
     return 0

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.functions.columns import load_ts
@@ -37,6 +37,20 @@ def read_high_watermark(df: DataFrame, col: str, default=None):
     return high_watermark(df, col, default, alias="wm").first()["wm"]
 
 
+def footer_watermark(spark: SparkSession, path: str, col: str, default=None, alias: str | None = None,
+                     where: Column | None = None) -> DataFrame:
+    """AG1 over a parquet folder from the statistics in its file footers: no
+    column data is read. The aggregate is pushed into Spark's parquet source
+    (whole numbers, dates, booleans and floats, without a filter or with one on
+    partition columns); where it cannot be pushed, Spark aggregates the rows,
+    with the same result. The settings hold in a session of their own."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    df = own.read.parquet(path)
+    return high_watermark(df if where is None else df.filter(where), col, default, alias)
+
+
 def latest_per_key(df: DataFrame, keys, order: Sequence[str]) -> DataFrame:
     """AG3: keep the latest row per key; ``order`` lists the version columns
     by precedence (e.g. ``["updated_at", "last_id"]``), the last one breaking

@@ -20,28 +20,62 @@ WIDEST = 64              # runs that a load names in its predicate
 BUCKET = 1 << 20         # ids whose ends one task orders
 
 
-def merge(ids: DataFrame, key: str, runs: DataFrame | None = None) -> DataFrame:
-    """(lo, hi) of the maximal runs of consecutive ids of ``ids`` and ``runs``.
+def _ends(spans: DataFrame, by: list[str]) -> DataFrame:
+    """Where the number of ``spans`` (lo, hi, times) over a position changes:
+    (by, at, step, covered from there on).
 
-    Every id or run is +1 at its start and -1 behind its end. Summed per
+    A span is +times at its start and -times behind its end. Summed per
     position (map-side first) the steps between consecutive ids cancel, so only
-    the ends of runs are shuffled; a running sum in buckets tells where
-    coverage begins and ends. Repeated and overlapping ids are harmless, NULL
-    ids are left out.
+    the ends of runs are shuffled; a running sum in buckets tells the cover.
     """
+    steps = spans.filter("lo is not null").select(*by, F.explode(F.array(
+        F.struct(F.col("lo").alias("at"), F.col("times").alias("step")),
+        F.struct((F.col("hi") + 1).alias("at"), (-F.col("times")).alias("step")))).alias("s")).select(*by, "s.*")
+    ends = steps.groupBy(*by, "at").agg(F.sum("step").alias("step")).filter("step != 0").withColumn("__one", F.lit(0))
+    return W.with_running_sum(ends, [*by, "__one"], ["at"], "step", F.floor(F.col("at") / BUCKET), "covered")
+
+
+def _to_next(ends: DataFrame, by: list[str]) -> DataFrame:
+    return W.with_next(ends, [*by, "__one"], ["at"], ["at"], F.floor(F.col("at") / BUCKET), prefix="next_")
+
+
+def _spans(ids: DataFrame, key: str, by: list[str]) -> DataFrame:
     i = F.col(key).cast("long")
-    spans = ids.select(i.alias("lo"), i.alias("hi"))
+    return ids.select(*by, i.alias("lo"), i.alias("hi"), F.lit(1).cast("long").alias("times"))
+
+
+def coverage(spans: DataFrame, by=()) -> DataFrame:
+    """(by, lo, hi, times): maximal segments that the same number of ``spans``
+    (lo, hi, times) covers; positions that none covers are left out."""
+    by = list(by)
+    return _to_next(_ends(spans, by), by).filter("covered > 0").select(
+        *by, F.col("at").alias("lo"), (F.col("next_at") - 1).alias("hi"), F.col("covered").alias("times"))
+
+
+def id_coverage(ids: DataFrame, key: str, by=()) -> DataFrame:
+    """``coverage`` of single ids; NULL ids are left out."""
+    return coverage(_spans(ids, key, list(by)), by)
+
+
+def merge(ids: DataFrame | None, key: str, runs: DataFrame | None = None, by=()) -> DataFrame:
+    """(by, lo, hi) of the maximal runs of consecutive ids of ``ids`` and
+    ``runs``. Repeated and overlapping ids are harmless, NULL ids are left out."""
+    by = list(by)
+    spans = None if ids is None else _spans(ids, key, by)
     if runs is not None:
-        spans = spans.unionByName(runs.select("lo", "hi"))
-    steps = spans.filter("lo is not null").select(F.explode(F.array(
-        F.struct(F.col("lo").alias("at"), F.lit(1).alias("step")),
-        F.struct((F.col("hi") + 1).alias("at"), F.lit(-1).alias("step")))).alias("s")).select("s.*")
-    ends = steps.groupBy("at").agg(F.sum("step").alias("step")).filter("step != 0").withColumn("__one", F.lit(0))
-    bucket = F.floor(F.col("at") / BUCKET)
-    ends = W.with_running_sum(ends, "__one", ["at"], "step", bucket, "covered")
-    ends = ends.filter("covered = 0 or covered = step")              # begins and ends alternate
-    ends = W.with_next(ends, "__one", ["at"], ["at"], bucket, prefix="next_")
-    return ends.filter("covered > 0").select(F.col("at").alias("lo"), (F.col("next_at") - 1).alias("hi"))
+        more = runs.select(*by, "lo", "hi", F.lit(1).cast("long").alias("times"))
+        spans = more if spans is None else spans.unionByName(more)
+    ends = _ends(spans, by).filter("covered = 0 or covered = step")      # begins and ends alternate
+    return _to_next(ends, by).filter("covered > 0").select(
+        *by, F.col("at").alias("lo"), (F.col("next_at") - 1).alias("hi"))
+
+
+def holes(runs: DataFrame, by=()) -> DataFrame:
+    """(by, lo, hi) of the intervals between the maximal runs (lo, hi)."""
+    by = list(by)
+    d = runs.withColumnRenamed("lo", "at").withColumn("__one", F.lit(0))
+    return _to_next(d, by).filter("next_at is not null").select(
+        *by, (F.col("hi") + 1).alias("lo"), (F.col("next_at") - 1).alias("hi"))
 
 
 def outside(runs: DataFrame, key: str, widest: int = WIDEST) -> tuple[Column, bool]:

@@ -7,10 +7,13 @@ on Spark. Only the single total is ever brought to the driver (for the alert).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.functions.columns import load_ts
+from vaultline.operators import intervals
 from vaultline.schemas import LAG_THRESHOLD
 
 
@@ -29,6 +32,53 @@ def kafka_lag(end_offsets: DataFrame, committed: DataFrame,
                     lag.alias("lag"))
 
 
+def last_offsets(ranges: DataFrame) -> DataFrame:
+    """``ctl_cdc_offsets``: (topic, partition, last_offset, updated_at) of the
+    offset ranges that the landing stream keeps per batch."""
+    return ranges.groupBy("topic", "partition").agg(
+        F.max("to_offset").alias("last_offset"), F.max("updated_at").alias("updated_at"))
+
+
+def committed_offsets(ranges: DataFrame) -> DataFrame:
+    """(topic, partition, committed_offset) of the same: one past the last."""
+    return last_offsets(ranges).select("topic", "partition", (F.col("last_offset") + 1).alias("committed_offset"))
+
+
+def end_offsets(spark: SparkSession, progress: dict) -> DataFrame:
+    """(topic, partition, end_offset) from a stream's progress report: the
+    latest offsets of its Kafka sources (a few numbers per topic partition)."""
+    rows = [(t, int(p), int(o)) for s in progress["sources"]
+            for t, parts in _json(s.get("latestOffset") or s.get("endOffset")).items() for p, o in parts.items()]
+    return spark.createDataFrame(rows, "topic string, partition int, end_offset long")
+
+
+def _json(x) -> dict:
+    x = json.loads(x) if isinstance(x, str) else x or {}
+    return {t: p for t, p in x.items() if isinstance(p, dict)}
+
+
+def offset_breaks(ranges: DataFrame) -> DataFrame:
+    """(topic, partition, kind, from_offset, to_offset, records) over the
+    offset ranges of all batches, whatever their order: a ``gap`` is an
+    interval between landed offsets that no batch holds, a ``replay`` one that
+    was landed more than once (``records``: the surplus ones)."""
+    by = ["topic", "partition"]
+    spans = ranges.select(*by, F.col("from_offset").alias("lo"), F.col("to_offset").alias("hi"), "times")
+    size = F.col("hi") - F.col("lo") + 1
+    gaps = intervals.holes(intervals.merge(None, "", spans, by), by).select(
+        *by, F.lit("gap").alias("kind"), "lo", "hi", size.alias("records"))
+    again = intervals.coverage(spans, by).filter("times > 1").select(
+        *by, F.lit("replay").alias("kind"), "lo", "hi", (size * (F.col("times") - 1)).alias("records"))
+    return gaps.unionByName(again).withColumnsRenamed({"lo": "from_offset", "hi": "to_offset"})
+
+
+def break_metrics(breaks: DataFrame, ts=None) -> DataFrame:
+    """M1: metric rows ``cdc_offset_gap`` and ``cdc_offset_replay`` per topic partition."""
+    return breaks.groupBy("topic", "partition", "kind").agg(F.sum("records").cast("double").alias("value")).select(
+        load_ts(ts).alias("ts"), F.concat(F.lit("cdc_offset_"), "kind").alias("metric"), "value",
+        F.to_json(F.struct("topic", "partition")).alias("labels"))
+
+
 def lag_metrics(lag: DataFrame, group_id: str, ts=None) -> DataFrame:
     """M1: metric rows (ts, metric, value, labels JSON): one
     ``kafka_partition_lag`` per partition and one ``kafka_total_lag``."""

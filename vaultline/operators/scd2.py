@@ -8,7 +8,7 @@ spread over many tasks instead of one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultline.functions import windows as W
@@ -86,18 +86,46 @@ def scd2_current(dim: DataFrame) -> DataFrame:
 
 def as_of(fact: DataFrame, dim: DataFrame, key: str = "card_id", ts_col: str = "txn_ts",
           cols=("card_sk", "status", "is_deleted"), prefix: str = "",
-          bucket_fn=F.to_date) -> DataFrame:
+          unit: str = "month", horizon=None) -> DataFrame:
     """S4: point-in-time lookup, the version with valid_from <= ts < valid_to.
 
-    Versions of a key tile time without gaps, so this is the latest version
-    with valid_from <= ts: an as-of join (no range-join pairs). Among versions
-    starting at the same instant the zero-length ones end there, so ordering
-    by (valid_from, valid_to) picks the one that is valid. Facts before the
-    first version get NULLs. ``bucket_fn`` maps a time column to the unit one
-    task handles for one key (a finer one for keys that burst within a day).
+    An interval index: a version stands in the month it starts in and, as it
+    was, at the beginning of every later month that it covers. Facts meet the
+    versions of their key and month in one shuffle of both, each read once, and
+    take the last one at or before their time; no pairs are made, so a month of
+    many versions and many facts of one key is linear work. Among versions that
+    start at the same instant the zero-length ones end there, so the order
+    (valid_from, valid_to) picks the one that is valid.
+
+    ``unit`` is what one task handles of one key ('day' for keys that burst
+    within a month). Months from ``horizon`` on (default: now) are one bucket,
+    so an open version is not repeated without end; facts after it are right
+    too. Facts before the first version, and facts without a key or a time,
+    get NULLs.
     """
-    return W.as_of(fact, dim, key, ts_col, "valid_from", ["valid_from", "valid_to"], list(cols),
-                   bucket_fn, prefix=prefix)
+    last = F.date_trunc(unit, F.coalesce(F.lit(horizon).cast("timestamp_ntz"), F.localtimestamp())).cast("timestamp_ntz")
+    of = lambda c: F.least(F.date_trunc(unit, c).cast("timestamp_ntz"), last)        # noqa: E731
+    step = F.expr(f"interval 1 {unit}")
+    v = dim.filter(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(
+        key, "valid_from", "valid_to", F.struct(*cols).alias("__v"))
+    first, until = of(F.col("valid_from")), of(F.col("valid_to") - F.expr("interval 1 microsecond"))
+    later = F.when(first + step <= until, F.sequence(first + step, until, step))
+    v = v.select(key, "__v", F.lit(0).alias("__side"), "valid_to", F.inline(F.concat(
+        F.array(F.struct(first.alias("__m"), F.col("valid_from").alias("__t"))),
+        F.coalesce(F.transform(later, lambda m: F.struct(m.alias("__m"), m.alias("__t"))),
+                   F.array().cast("array<struct<__m:timestamp_ntz,__t:timestamp_ntz>>")))))
+    rest = [c for c in fact.columns if c != key]
+    f = fact.select(key, F.lit(1).alias("__side"), of(F.col(ts_col)).alias("__m"), F.col(ts_col).alias("__t"),
+                    F.struct(*rest).alias("__f"))
+    both = v.unionByName(f, allowMissingColumns=True)
+    # facts without a key have no versions to meet: they are spread by their time
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64("__t"), F.lit(1024))).otherwise(F.lit(0))
+    # a version carried into a month precedes one that starts with the month
+    w = Window.partitionBy(key, "__m", spread).orderBy("__t", "__side", "valid_to").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    out = both.withColumn("__hit", F.last("__v", ignorenulls=True).over(w)).filter("__side = 1")
+    found = F.when(F.col("__t").isNotNull(), F.col("__hit"))
+    return out.select(key, *[F.col(f"__f.`{c}`").alias(c) for c in rest], *[found[c].alias(prefix + c) for c in cols])
 
 
 def check_invariants(dim: DataFrame, key: str = "card_id", bucket=None) -> DataFrame:

@@ -19,7 +19,7 @@ from vaultline import bindings as B
 from vaultline.functions.columns import ntz
 from vaultline.operators import (cdc, facts, fraud, lifecycle, monitoring, quality, relational,
                                  scd2, staging)
-from vaultline.operators import incremental as inc
+from vaultline.operators import incremental as inc, intervals
 from vaultline.plans import jobs
 from vaultline.session import scratch_path
 from vaultline.sinks import scd2_table
@@ -852,3 +852,43 @@ def q_rapid_events(spark, sf_dir):
     same rule and result as the range-frame form."""
     return fraud.rapid_withdrawals(raw(spark, sf_dir, "transaction"), RAPID_WINDOW_S,
                                    method="events")
+
+
+# ---------------------------------------------------------------------------
+# Offsets from the landing stream, footers, large k
+# ---------------------------------------------------------------------------
+
+@query("cdc_offset_breaks")
+def q_offset_breaks(spark, sf_dir):
+    """AG4/M1: gaps and replays of the drained card topic by its batches' offset
+    ranges; the source lacks offsets of some stretches and repeats others."""
+    root = scratch_path(spark, "offsets")
+    e = B.card_change_records(spark, sf_dir)
+    e = e.filter(F.col("offset") % 500 >= 20)
+    e.unionByName(e.filter(F.col("offset") % 700 < 9)).write.json(f"{root}/source")
+    stream = landing.read_cdc_stream(spark, fmt="json", path=f"{root}/source", max_per_trigger=8)
+    landing.start_landing(stream, f"{root}/stg_cdc_card", f"{root}/stg_cdc_transaction", f"{root}/_checkpoint",
+                          offsets_path=f"{root}/{landing.CTL_OFFSETS}", ts=LOAD_TS).awaitTermination()
+    return monitoring.offset_breaks(spark.read.parquet(f"{root}/{landing.CTL_OFFSETS}")).select(
+        "topic", "partition", "kind", "from_offset", "to_offset", "records")
+
+
+@query("loaded_id_runs")
+def q_loaded_runs(spark, sf_dir):
+    """INC5: runs of consecutive ids of the transactions loaded before the cut."""
+    t = raw(spark, sf_dir, "transaction").filter(F.col("txn_ts") < ntz(PREVIOUS_RUN))
+    return intervals.merge(t.select("txn_id"), "txn_id")
+
+
+@query("footer_watermark")
+def q_footer_watermark(spark, sf_dir):
+    """AG1 from parquet footers: the highest event id."""
+    return inc.footer_watermark(spark, f"{sf_dir}/events.parquet", "event_id", 0, "last_id")
+
+
+@query("sample_many")
+def q_sample_many(spark, sf_dir):
+    """ST3 for a large k: two of five transactions, by radix selection."""
+    t = raw(spark, sf_dir, "transaction").select("txn_id", "card_id")
+    k = t.count() * 2 // 5
+    return relational.sample_k(t, k, 42, "txn_id")

@@ -711,3 +711,33 @@ LEFT JOIN raw_terminal te ON te.terminal_id = t.terminal_id""",
         "loaded": "SELECT * FROM raw_txn"})
 SQL["rapid_withdrawals_stream"] = SQL["rapid_withdrawals"]
 SQL["rapid_withdrawals_events"] = SQL["rapid_withdrawals"]
+
+# ---------------------------------------------------------------------------
+# offsets, id runs, footers, large k
+# ---------------------------------------------------------------------------
+SQL["cdc_offset_breaks"] = """
+WITH src AS (SELECT 'bankcdc.bank.card' AS topic, CAST(user_id % 3 AS INTEGER) AS partition, event_id AS o FROM events
+             WHERE event_id % 500 >= 20),
+taken AS (SELECT * FROM src UNION ALL SELECT * FROM src WHERE o % 700 < 9),
+per AS (SELECT topic, partition, o, count(*) AS times FROM taken GROUP BY ALL),
+nb AS (SELECT *, lead(o) OVER (PARTITION BY topic, partition ORDER BY o) AS nxt,
+              lag(o) OVER (PARTITION BY topic, partition ORDER BY o) AS prv,
+              lag(times) OVER (PARTITION BY topic, partition ORDER BY o) AS ptimes FROM per),
+isl AS (SELECT *, sum(CASE WHEN prv = o - 1 AND ptimes = times THEN 0 ELSE 1 END)
+                  OVER (PARTITION BY topic, partition ORDER BY o) AS g FROM nb)
+SELECT topic, partition, 'gap' AS kind, o + 1 AS from_offset, nxt - 1 AS to_offset, nxt - o - 1 AS records
+FROM nb WHERE nxt > o + 1
+UNION ALL
+SELECT topic, partition, 'replay', min(o), max(o), CAST(sum(times - 1) AS BIGINT)
+FROM isl WHERE times > 1 GROUP BY topic, partition, g"""
+
+SQL["loaded_id_runs"] = with_(f"""
+SELECT min(txn_id) AS lo, max(txn_id) AS hi
+FROM (SELECT txn_id, txn_id - row_number() OVER (ORDER BY txn_id) AS g FROM raw_txn
+      WHERE txn_ts < {PREVIOUS_RUN}) t GROUP BY g""", "raw_txn")
+
+SQL["footer_watermark"] = "SELECT max(event_id) AS last_id FROM events"
+
+SQL["sample_many"] = with_("""
+SELECT txn_id, card_id FROM (SELECT *, row_number() OVER (ORDER BY md5(CAST(txn_id AS VARCHAR) || '|' || '42')) AS rn,
+       count(*) OVER () AS n FROM raw_txn) t WHERE rn <= n * 2 // 5""", "raw_txn")

@@ -20,10 +20,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from vaultline.functions.columns import load_ts
+from vaultline.operators import intervals
 from vaultline.operators.cdc import decode_envelope, land_cards, land_transactions, rejects
 from vaultline.schemas import CDC_BATCH_SIZE, CDC_RECORD, STG_CDC_CARD, STG_CDC_TRANSACTION
 
 
+CTL_OFFSETS = "ctl_cdc_offsets"
+
+
 def read_cdc_stream(spark: SparkSession, fmt: str = "kafka", topics=None, path: str | None = None,
                     bootstrap: str | None = None, starting_offsets: str = "earliest",
                     max_per_trigger: int | None = None, fail_on_data_loss: bool = True,
@@ -54,14 +59,17 @@ def read_cdc_stream(spark: SparkSession, fmt: str = "kafka", topics=None, path:
 
 
 def write_batch(batch: DataFrame, batch_id: int, card_path: str, txn_path: str,
-                reject_path: str | None = None, ts=None) -> None:
-    """STR3: decode once, fan out to the landing tables (and rejects)."""
+                reject_path: str | None = None, ts=None, offsets_path: str | None = None) -> None:
+    """STR3: decode once, fan out to the landing tables (and rejects, and the
+    offset ranges of the batch)."""
     decoded = decode_envelope(batch).persist()
     try:
         outputs = [(land_cards(decoded, ts), card_path), (land_transactions(decoded, ts), txn_path)]
         if reject_path:
             outputs.append((rejects(decoded).select("topic", "partition", "offset", "value"),
                             reject_path))
+        if offsets_path:
+            outputs.append((offset_ranges(decoded, ts), offsets_path))
         for df, path in outputs:
             (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -70,17 +78,28 @@ def write_batch(batch: DataFrame, batch_id: int, card_path: str, txn_path: str,
         decoded.unpersist()
 
 
+def offset_ranges(records: DataFrame, ts=None) -> DataFrame:
+    """What a batch took of each topic partition, as intervals of offsets that
+    came the same number of ``times``: one row where they are consecutive, as a
+    broker gives them."""
+    p = records.select("topic", F.col("partition").cast("int").alias("partition"), "offset")
+    return intervals.id_coverage(p, "offset", ["topic", "partition"]).withColumnsRenamed(
+        {"lo": "from_offset", "hi": "to_offset"}).withColumn("updated_at", load_ts(ts))
+
+
 def start_landing(stream: DataFrame, card_path: str, txn_path: str, checkpoint: str,
                   reject_path: str | None = None, available_now: bool = True,
                   processing_time: str | None = None, ts=None,
-                  after_batch=None) -> StreamingQuery:
+                  after_batch=None, offsets_path: str | None = None) -> StreamingQuery:
     """STR1: the micro-batch loop poll -> decode -> route -> write -> commit.
     ``available_now`` drains what is there and stops (STR4); otherwise a
     ``processing_time`` trigger keeps the query running. ``after_batch(spark,
     batch_id)`` runs after each landed batch, e.g. the periodic recompute of
-    the CDC models (STR5) with a ``processing_time`` of "10 minutes"."""
+    the CDC models (STR5) with a ``processing_time`` of "10 minutes".
+    ``offsets_path`` keeps the offset ranges of each batch (``ctl_cdc_offsets``);
+    a batch that is run again replaces its own."""
     def run(df: DataFrame, bid: int) -> None:
-        write_batch(df, bid, card_path, txn_path, reject_path, ts)
+        write_batch(df, bid, card_path, txn_path, reject_path, ts, offsets_path)
         if after_batch is not None:
             after_batch(df.sparkSession, bid)
 
@@ -156,6 +175,7 @@ def start_cdc_models(stream: DataFrame, store, root: str, checkpoint: str,
         run_cdc_models(store, cards, txns, ts=ts, batch_id=batch_id, fact=fact)
 
     return start_landing(stream, card_path, txn_path, checkpoint,
-                         reject_path=f"{root}/cdc_rejects", available_now=available_now,
+                         reject_path=f"{root}/cdc_rejects", offsets_path=f"{root}/{CTL_OFFSETS}",
+                         available_now=available_now,
                          processing_time=None if available_now else processing_time, ts=ts,
                          after_batch=models)
