@@ -179,3 +179,41 @@ def test_partitioned_write_runs_once_and_bounds_files(spark, scratch, sort_by):
     files = [f for _, _, names in os.walk(store.location("b")) for f in names if f.endswith(".parquet")]
     assert len(files) == 12
     assert store.read("b").count() == 12_000
+
+
+@pytest.mark.parametrize("partition_by", [None, "txn_month"])
+def test_clustered_files_are_skipped_by_either_key(spark, scratch, partition_by):
+    """Of 64 files, a read of one card, or of one day, opens few."""
+    import pyarrow.parquet as pq
+    d = spark.range(64_000, numPartitions=7).select(
+        "id", (F.col("id") * 7919 % 1000).cast("long").alias("card_id"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, (id * 104729) % 86400)").alias("txn_ts"),
+        F.lit(202401).alias("txn_month"))
+    d = d.withColumn("card_id", F.when(F.col("id") % 1000 != 0, F.col("card_id")))
+    store = TableStore(spark, scratch)
+    store.overwrite("c", d, partition_by=partition_by, cluster_by=["card_id", "txn_ts"], rows_per_file=1000)
+    assert store.read("c").count() == 64_000 and store.read("c").distinct().count() == 64_000
+    files = [os.path.join(p, f) for p, _, names in os.walk(store.location("c")) for f in names if f.endswith(".parquet")]
+    assert 32 <= len(files) <= 80
+
+    def opened(column, value):
+        n = 0
+        for f in files:
+            meta = pq.ParquetFile(f).metadata
+            i = next(i for i in range(meta.num_columns) if meta.schema.column(i).name == column)
+            stats = [meta.row_group(g).column(i).statistics for g in range(meta.num_row_groups)]
+            n += any(s.min <= value <= s.max for s in stats if s is not None and s.has_min_max)
+        return n
+    for card in (5, 500, 998):
+        assert opened("card_id", card) <= len(files) / 4
+    assert opened("txn_ts", dt.datetime(2024, 1, 1, 12, 34)) <= len(files) / 4
+    assert not [f for f in os.listdir(os.path.join(scratch, "c")) if f.startswith("stage=")]
+
+
+def test_clustering_of_empty_and_null_keys(spark, scratch):
+    store = TableStore(spark, scratch)
+    rows = _rows(spark, [(1, None, "a"), (2, None, "b")])
+    store.overwrite("n", rows, cluster_by=["m"])
+    assert store.read("n").count() == 2
+    store.overwrite("n", rows.limit(0), cluster_by=["m", "id"])
+    assert store.read("n").count() == 0

@@ -892,3 +892,14 @@ def q_sample_many(spark, sf_dir):
     t = raw(spark, sf_dir, "transaction").select("txn_id", "card_id")
     k = t.count() * 2 // 5
     return relational.sample_k(t, k, 42, "txn_id")
+
+
+@query("clustered_point_read")
+def q_clustered(spark, sf_dir):
+    """SNK4: the high-volume transactions of the cards of one key range, read
+    from files clustered by card and time."""
+    store = _store(spark, "clustered")
+    t = B.transaction_volume(spark, sf_dir)
+    store.overwrite("raw_transaction", t, cluster_by=["card_id", "txn_ts"], rows_per_file=max(1000, t.count() // 32))
+    return store.read("raw_transaction").filter("card_id between 100 and 110").groupBy("card_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("amount_total"))

@@ -143,13 +143,15 @@ def run_models(store: TableStore, sources: dict[str, DataFrame], ts=None,
     refresh_fact(store, ts, incremental=incremental_fact)
 
 
-def rebuild_fact(store: TableStore, ts=None) -> None:
-    """JN1 over the raw layer, written month-partitioned and key-ordered."""
+def rebuild_fact(store: TableStore, ts=None, cluster_by=None) -> None:
+    """JN1 over the raw layer, written month-partitioned and key-ordered; with
+    ``cluster_by`` (such as card and time) each month's files are ranges of
+    these keys, for reads by card."""
     fact = facts.fact_atm_transaction(
         store.read("raw_transaction"), store.read("raw_card"), store.read("raw_account"),
         store.read("raw_customer"), store.read("raw_terminal"), ts=ts)
     store.overwrite(FACT, fact.withColumn("txn_month", month_of("txn_ts")),
-                    partition_by="txn_month", sort_by="txn_id")
+                    partition_by="txn_month", sort_by="txn_id", cluster_by=cluster_by)
 
 
 def _changes(store: TableStore, marks: dict[str, int], states: dict[str, int]) -> tuple[dict, dict, dict]:

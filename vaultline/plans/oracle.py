@@ -741,3 +741,7 @@ SQL["footer_watermark"] = "SELECT max(event_id) AS last_id FROM events"
 SQL["sample_many"] = with_("""
 SELECT txn_id, card_id FROM (SELECT *, row_number() OVER (ORDER BY md5(CAST(txn_id AS VARCHAR) || '|' || '42')) AS rn,
        count(*) OVER () AS n FROM raw_txn) t WHERE rn <= n * 2 // 5""", "raw_txn")
+
+SQL["clustered_point_read"] = with_("""
+SELECT card_id, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount_total
+FROM bk_txn_volume WHERE card_id BETWEEN 100 AND 110 GROUP BY card_id""", "bk_txn_volume")

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vaultline.operators.incremental import latest_per_key, upsert as _upsert
+from vaultline.sinks.clustering import ROWS_PER_FILE, clustered
 
 ATTEMPTS = 5
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -176,11 +177,22 @@ class TableStore:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
 
-    def overwrite(self, name: str, df: DataFrame, partition_by=None, sort_by=None) -> str:
+    def overwrite(self, name: str, df: DataFrame, partition_by=None, sort_by=None, cluster_by=None,
+                  rows_per_file: int = ROWS_PER_FILE) -> str:
         """SNK1: full refresh into a new version, then switch the pointer; of
-        two at once the later switch is current."""
+        two at once the later switch is current. ``cluster_by`` writes the rows
+        beside the table first and deals them to files by ranges of these keys
+        (SNK4, ``sinks.clustering``), instead of ``sort_by``."""
         version = self._new_version()
-        self._write(df, self.location(name, version), "errorifexists", partition_by, sort_by)
+        if cluster_by:
+            stage = f"stage={version}"
+            df.write.parquet(f"{self.root}/{name}/{stage}")
+            staged = self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}/{stage}")
+            w = clustered(staged, _as_list(cluster_by), _as_list(partition_by), rows_per_file).write
+            (w.partitionBy(*_as_list(partition_by)) if partition_by else w).parquet(self.location(name, version))
+            self._files().delete(self._path(name, stage), True)
+        else:
+            self._write(df, self.location(name, version), "errorifexists", partition_by, sort_by)
         while not self._point(name, self._pointer(name), version, df.schema):
             pass
         return version
