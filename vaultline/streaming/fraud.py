@@ -9,9 +9,11 @@ state is dropped afterwards. The batch twin is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from vaultline.functions.columns import EPOCH, epoch_micros
+
 
 def rapid_withdrawal_sessions_stream(txn: DataFrame, gap: str = "15 minutes",
                                      watermark: str = "1 hour", min_ops: int = 3,
@@ -120,6 +122,98 @@ def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: i
         flag, _RAPID_OUT, _RAPID_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROBE_ROW = "t_us long, txn_id long, amount decimal(18,2), status string"
+_PROBE_RUN = ("start_us long, last_us long, n long, declined long, first_amount decimal(18,2), "
+              "last_amount decimal(18,2), last_status string")
+_PROBE_OUT = ("card_id long, terminal_id long, start_us long, end_us long, n_attempts long, n_declined long, "
+              "first_amount decimal(18,2), last_amount decimal(18,2), last_status string")
+
+
+def amount_probe_stream(txn: DataFrame, max_gap_s: int = 120, min_len: int = 3, lateness_s: int = 3600) -> DataFrame:
+    """FRD3 on a stream, by (card, terminal), with the rule of
+    ``operators.fraud.amount_probe``: one output row per run of at least
+    ``min_len`` withdrawals with amounts that do not rise and gaps of at most
+    ``max_gap_s`` seconds, emitted when the run breaks or times out.
+
+    A state machine with event-time timers. A row waits until the watermark
+    (``lateness_s`` behind the latest time) has passed it, so rows in any order
+    within the lateness are judged in the order of (time, id); later ones are
+    dropped by the watermark. The state of a key is the summary of its open
+    run, whatever its length, and its waiting rows. Rows without a card or a
+    terminal are no key's. Needs the RocksDB state store (``ROCKSDB``).
+    """
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+    width_us = max_gap_s * 1_000_000
+
+    class Probe(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.run = handle.getValueState("run", _PROBE_RUN)
+            self.waiting = handle.getListState("waiting", _PROBE_ROW)
+
+        def handleInputRows(self, key, rows, timerValues):
+            self.waiting.appendList([(r.t_us, r.txn_id, r.amount, r.status) for r in rows])
+            yield from self._advance(key, timerValues)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            yield from self._advance(key, timerValues)
+
+        def _advance(self, key, timers):
+            """Judge the rows that the watermark has passed, then wait for the next ones."""
+            mark_us = timers.getCurrentWatermarkInMs() * 1000
+            rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[:2])
+            run = tuple(self.run.get()) if self.run.exists() else None
+            done = 0
+            while done < len(rows) and rows[done][0] < mark_us:
+                t, _, amount, status = rows[done]
+                declined = int(status == "declined")
+                if run and t - run[1] <= width_us and amount <= run[5]:
+                    run = (run[0], t, run[2] + 1, run[3] + declined, run[4], amount, status)
+                else:
+                    yield from self._told(key, run)
+                    run = (t, t, 1, declined, amount, amount, status)
+                done += 1
+            if run and run[1] + width_us < mark_us and not (done < len(rows) and rows[done][0] <= run[1] + width_us):
+                yield from self._told(key, run)
+                run = None
+            if run:
+                self.run.update(run)
+            else:
+                self.run.clear()
+            if done:
+                self.waiting.clear()
+                if rows[done:]:
+                    self.waiting.put(rows[done:])
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            ends = [r[0] for r in rows[done:done + 1]] + ([run[1] + width_us] if run else [])
+            if ends:
+                self.handle.registerTimer(max(min(ends) // 1000, mark_us // 1000) + 1)
+
+        @staticmethod
+        def _told(key, run):
+            if run and run[2] >= min_len:
+                yield Row(card_id=key[0], terminal_id=key[1], start_us=run[0], end_us=run[1], n_attempts=run[2],
+                          n_declined=run[3], first_amount=run[4], last_amount=run[5], last_status=run[6])
+
+        def close(self):
+            pass
+
+    w = (txn.filter((F.col("txn_type") == "atm_withdrawal") & F.col("card_id").isNotNull() & F.col("terminal_id").isNotNull())
+            .select("txn_id", "card_id", "terminal_id", epoch_micros("txn_ts").alias("t_us"),
+                    F.col("amount").cast("decimal(18,2)").alias("amount"), "status",
+                    F.timestamp_micros(epoch_micros("txn_ts")).alias("event_time"))
+            .withWatermark("event_time", f"{lateness_s} seconds"))
+    out = w.groupBy("card_id", "terminal_id").transformWithState(Probe(), _PROBE_OUT, "Append", "EventTime")
+    at = lambda c: F.timestamp_add("MICROSECOND", F.col(c), F.expr(EPOCH))           # noqa: E731
+    last_declined = F.when(F.col("last_status") == "declined", 1).otherwise(0)
+    return out.select("card_id", "terminal_id", at("start_us").alias("run_start"), at("end_us").alias("run_end"), "n_attempts",
+                      "n_declined", "first_amount", "last_amount", "last_status",
+                      ((F.col("n_declined") - last_declined) == (F.col("n_attempts") - 1)).alias("probing"))
+
+
 def write_in_time_order(df: DataFrame, path: str, ts_col: str = "txn_ts",
                         unit: str = "week") -> None:
     """Write ``df`` as one file folder per ``unit`` of event time, oldest
