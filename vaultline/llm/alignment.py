@@ -30,7 +30,7 @@ from vaultline.llm.tables import column_named, materialize
 from vaultline.llm.token_counts import encoded
 
 VOCABULARY_A, MODEL_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 1 << 19                     # bytes of text whose links are held at once
+SLICE = 1 << 18                     # bytes of text whose links are held at once
 PARTIAL_ROWS = 1 << 20              # pairs that a task counts before it sends them on
 HOT_PAIRS = 1 << 19                 # most pairs that are broadcast (24 bytes each)
 
@@ -47,6 +47,7 @@ class Side:
     def __init__(self, strings: list[bytes]):
         self.strings = pa.array(strings, pa.binary())
         self.lengths = pa.array([len(s) for s in strings], pa.int64())
+        self.dtype = np.dtype("<u2" if len(strings) <= 1 << 16 else "<u4")
         self.written = pa.array([f"{i}{c}".encode() for c in (",", "|", ";", "") for i in range(len(strings))], pa.binary())
 
     def __len__(self) -> int:
@@ -178,15 +179,29 @@ class Counts:
         return out
 
 
-ENCODED = "row bigint, doc_id bigint, a_ids array<int>, b_ids array<int>, key bigint, n bigint"
+ENCODED = "row bigint, doc_id bigint, a_ids binary, b_ids binary, key bigint, n bigint"
 
 
 def _rows_of_pairs(counts: pa.Table) -> Iterator[pa.RecordBatch]:
     for b in counts.combine_chunks().to_batches(max_chunksize=1 << 17):
         none = pa.nulls(len(b))
         yield pa.RecordBatch.from_pydict({
-            "row": none.cast(pa.int64()), "doc_id": none.cast(pa.int64()), "a_ids": none.cast(pa.list_(pa.int32())),
-            "b_ids": none.cast(pa.list_(pa.int32())), "key": b["key"], "n": b["n"].cast(pa.int64())})
+            "row": none.cast(pa.int64()), "doc_id": none.cast(pa.int64()), "a_ids": none.cast(pa.binary()),
+            "b_ids": none.cast(pa.binary()), "key": b["key"], "n": b["n"].cast(pa.int64())})
+
+
+def packed(lists: pa.ListArray, side: Side) -> pa.Array:
+    """Id lists as bytes, two to an id where the vocabulary allows."""
+    width = side.dtype.itemsize
+    ids = pc.list_flatten(lists).to_numpy().astype(side.dtype)
+    offsets = (lists.offsets.to_numpy().astype(np.int64) * width).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
+def unpacked(column, side: Side) -> pa.ListArray:
+    sizes = pc.binary_length(column).to_numpy() // side.dtype.itemsize
+    ids = np.frombuffer(b"".join(column.to_pylist()), side.dtype).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids))
 
 
 def _encode(vocabulary: str, model: str):
@@ -202,8 +217,9 @@ def _encode(vocabulary: str, model: str):
                 none = pa.nulls(len(part), pa.int64())
                 yield pa.RecordBatch.from_pydict({
                     "row": pa.array(np.arange(row, row + len(part))), "doc_id": part["doc_id"],
-                    "a_ids": a, "b_ids": b, "key": none, "n": none})
+                    "a_ids": packed(a, pair.a), "b_ids": packed(b, pair.b), "key": none, "n": none})
                 row += len(part)
+                pa.default_memory_pool().release_unused()
                 if counts.full():
                     yield from _rows_of_pairs(counts.take())
         if counts.parts:
@@ -217,9 +233,8 @@ def _score(vocabulary: str, model: str, hot):
         known, counts, best = hot.value
         names = pa.array(known)
         for batch in batches:
-            for part in _some(batch):
-                a, b = (pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(pc.list_value_length(x).to_numpy())]), pa.int32()),
-                                                 pc.list_flatten(x)) for x in (part["a_ids"], part["b_ids"]))
+            for part in slices(batch, "a_ids", SLICE):
+                a, b = unpacked(part["a_ids"], pair.a), unpacked(part["b_ids"], pair.b)
                 n, found = len(part), links(a, b, pair)
                 doc, key = found["doc"].to_numpy(), keys(found)
                 at = pc.fill_null(pc.index_in(key, names), -1).to_numpy()
@@ -240,6 +255,7 @@ def _score(vocabulary: str, model: str, hot):
                     "known_best": pa.array(np.bincount(doc[told], best[at], n).astype(np.int64)), "known_sum": pa.array(sums),
                     "groups": written_groups(a, b, found, pair),
                     "rest": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)})
+                pa.default_memory_pool().release_unused()
     return score
 
 
@@ -247,16 +263,6 @@ def _one(column) -> pa.Array:
     return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
 
-def _some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Slices of about SLICE / 2 tokens."""
-    n = np.cumsum(pc.list_value_length(batch["a_ids"]).to_numpy().astype(np.int64))
-    a = 0
-    while a < len(n):
-        b = max(a + 1, int(np.searchsorted(n, (n[a - 1] if a else 0) + SLICE // 2, "right")))
-        yield batch.slice(a, b - a)
-        a = b
-
-
 def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys, counts and whether best, of the pairs that come at least 2^k
     times, with the least k that leaves at most HOT_PAIRS of them."""
