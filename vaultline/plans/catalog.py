@@ -308,8 +308,15 @@ def q_raw_txn_cdc(spark, sf_dir):
     return inc.upsert(first, batch, "txn_id")
 
 
+def stored_cards(spark, sf_dir):
+    """The landing table as a landing job leaves it: decoded once, then stored."""
+    store = _store(spark, "landing")
+    store.overwrite("stg_cdc_card", landed_cards(spark, sf_dir))
+    return store.read("stg_cdc_card")
+
+
 def scd2_card(spark, sf_dir):
-    return scd2.scd2_from_landing(landed_cards(spark, sf_dir), ts=LOAD_TS)
+    return scd2.scd2_from_landing(stored_cards(spark, sf_dir), ts=LOAD_TS)
 
 
 def render_valid_to(df: DataFrame) -> DataFrame:
@@ -342,7 +349,7 @@ def q_scd2_as_of(spark, sf_dir):
 @query("scd2_version_number")
 def q_scd2_rn(spark, sf_dir):
     """WN1: version number per card."""
-    v = cdc.card_versions(landed_cards(spark, sf_dir))
+    v = cdc.card_versions(stored_cards(spark, sf_dir))
     return scd2.version_number(v).select("card_id", "kafka_offset", "rn")
 
 
@@ -787,7 +794,7 @@ def q_txn_rejects(spark, sf_dir):
 def q_scd2_incremental(spark, sf_dir):
     """S2 kept batch by batch in a stored dimension: the log before the cut,
     then the later rows; equals the full build."""
-    versions = cdc.card_versions(landed_cards(spark, sf_dir))
+    versions = cdc.card_versions(stored_cards(spark, sf_dir))
     store = _store(spark, "scd2-incremental")
     for batch, late in enumerate((F.col("src_ts") < ntz(PREVIOUS_RUN), F.col("src_ts") >= ntz(PREVIOUS_RUN))):
         scd2_table.apply_batch(store, "ods_dim_card_scd2", versions.filter(late), batch, ts=LOAD_TS)
