@@ -46,3 +46,20 @@ def test_fact_builds_profile_once(spark, sf_dir):
     # account_id or customer_id: the snowflake is resolved on the card side
     txn_side = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(t_" in ln]
     assert len(txn_side) == 2
+
+
+@pytest.mark.parametrize("name", ["rapid_withdrawals", "rapid_withdrawals_events"])
+def test_rapid_withdrawals_shuffle_once(spark, sf_dir, name):
+    plan = _plan(QUERIES[name](spark, sf_dir))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_as_of_reads_the_facts_once(spark, sf_dir):
+    from vaultline.operators import scd2
+    from vaultline.plans.catalog import stored_cards
+    dim = scd2.scd2_from_landing(stored_cards(spark, sf_dir))
+    own = _plan(dim).count("Exchange hashpartitioning")
+    fact = B.transaction(spark, sf_dir).select("txn_id", "card_id", "txn_ts")
+    plan = _plan(scd2.as_of(fact, dim))
+    assert plan.count("events.parquet") == _plan(fact).count("events.parquet") == 1
+    assert plan.count("Exchange hashpartitioning") == own + 1
