@@ -170,3 +170,35 @@ def test_stateful_rapid_withdrawals_non_utc_short_lateness(spark, sf_dir, scratc
         assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old_tz)
+
+
+def test_replay_in_slices_and_groups_of_cards(spark, scratch):
+    """A long period is replayed in files of bounded size, each later than the
+    one before; peers of a time share a file, rows without a time are left
+    out; cards that share a state do not mix."""
+    import glob
+    from vaultline.operators import fraud
+    from vaultline.streaming.fraud import rapid_withdrawals_stream, write_in_time_order
+    i = F.col("id")
+    txn = spark.range(3000).select(
+        i.alias("txn_id"), (i % 37).alias("card_id"), F.when(i % 11 != 0, i % 5).alias("terminal_id"),
+        F.when(i != 7, F.timestamp_add("MINUTE", F.floor(i / 2) * 3, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")))
+        .alias("txn_ts"), F.lit("atm_withdrawal").alias("txn_type"))
+    src = os.path.join(scratch, "slices")
+    write_in_time_order(txn, src, unit="week", rows_per_file=400)
+    files = sorted(glob.glob(f"{src}/part=*/part-*.parquet"), key=os.path.getmtime)
+    spans = [spark.read.parquet(f).agg(F.min("txn_ts"), F.max("txn_ts"), F.count("*")).first() for f in files]
+    assert len(files) >= 7 and max(n for *_, n in spans) < 800 and sum(n for *_, n in spans) == 2999
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    stream = (spark.readStream.schema(txn.schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(src))
+    out = rapid_withdrawals_stream(stream, window_s=6 * 3600, lateness_s=600, groups=3)
+    q = (out.writeStream.format("memory").queryName("rapid_slices").outputMode("append")
+            .option("checkpointLocation", os.path.join(scratch, "ckpt_slices"))
+            .trigger(availableNow=True).start())
+    q.awaitTermination()
+    cols = ["txn_id", "card_id", "txn_ts", "n_ops", "n_terminals"]
+    got = spark.table("rapid_slices").select(cols)
+    expect = fraud.rapid_withdrawals(txn.filter("txn_ts is not null"), 6 * 3600).select(cols)
+    assert expect.count() > 1000
+    assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0

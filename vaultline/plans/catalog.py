@@ -838,17 +838,18 @@ def q_fact_incremental(spark, sf_dir):
 @query("rapid_withdrawals_stream")
 def q_rapid_stream(spark, sf_dir):
     """FRD1 as a stateful stream (applyInPandasWithState): transactions
-    replayed week by week in event-time order; equals the batch detector."""
-    from vaultline.streaming.fraud import rapid_withdrawals_stream, write_in_time_order
+    replayed week by week (long weeks in slices) in event-time order; equals the batch detector."""
+    from vaultline.streaming.fraud import rapid_withdrawals_stream, state_tasks, write_in_time_order
     root = scratch_path(spark, "rapid-stream")
     txn = raw(spark, sf_dir, "transaction")
     write_in_time_order(txn, f"{root}/source", unit="week")
     stream = (spark.readStream.schema(txn.schema).option("maxFilesPerTrigger", 1)
               .option("recursiveFileLookup", "true").parquet(f"{root}/source"))
     out = rapid_withdrawals_stream(stream, window_s=RAPID_WINDOW_S, lateness_s=86400)
-    q = (out.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", f"{root}/_checkpoint")
-            .trigger(availableNow=True).start(f"{root}/flags"))
+    with state_tasks(spark):
+        q = (out.writeStream.format("parquet").outputMode("append")
+                .option("checkpointLocation", f"{root}/_checkpoint")
+                .trigger(availableNow=True).start(f"{root}/flags"))
     q.awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{root}/flags")
 

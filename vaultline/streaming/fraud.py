@@ -9,7 +9,9 @@ state is dropped afterwards. The batch twin is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.functions.columns import EPOCH, epoch_micros
@@ -33,32 +35,64 @@ def rapid_withdrawal_sessions_stream(txn: DataFrame, gap: str = "15 minutes",
 
 
 _RAPID_OUT = ("txn_id long, card_id long, txn_ts timestamp_ntz, n_ops long, n_terminals int")
-_RAPID_STATE = "ts array<long>, tid array<long>, term array<long>, last_ms long"
+_RAPID_STATE = "card array<long>, ts array<long>, term array<long>, has_term array<boolean>, last_ms array<long>"
+CARD_GROUPS = 1024           # groups of cards that share a state and a call
+ROWS_PER_BATCH = 2_000_000   # rows of a replayed file
+
+
+@contextmanager
+def state_tasks(spark: SparkSession):
+    """A stream started inside keeps its state in two tasks a core at most: each
+    batch pays for every task (a Python worker, a state commit), and a batch of
+    a bounded file needs no more of them as the input grows."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _rows_before(card, t, of_card, at, equal: bool):
+    """How many of the rows (card, t) lie before each (of_card, at); rows at
+    that very place count if ``equal``."""
+    import numpy as np
+
+    kind = np.concatenate([np.ones(len(t), "int8"), np.full(len(at), 2 if equal else 0, "int8")])
+    order = np.lexsort((kind, np.concatenate([t, at]), np.concatenate([card, of_card])))
+    out = np.empty(len(order), dtype="int64")
+    out[order] = np.cumsum(kind[order] == 1)
+    return out[len(t):]
 
 
 def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: int = 3,
-                             min_terminals: int = 2, lateness_s: int = 3600) -> DataFrame:
+                             min_terminals: int = 2, lateness_s: int = 3600,
+                             groups: int = CARD_GROUPS) -> DataFrame:
     """FRD1 on a stream with the batch detector's range-frame rule.
 
     A custom stateful operator (``applyInPandasWithState``, Arrow batches per
-    card): the state of a card is its withdrawals of the last ``window_s`` +
-    ``lateness_s`` seconds, so it stays bounded; each arriving withdrawal is
-    flagged when its trailing window holds ``min_ops`` withdrawals on
-    ``min_terminals`` terminals. A row up to ``lateness_s`` late is still
-    evaluated against its full window (rows already emitted are not revised:
-    append mode); later rows are dropped by the watermark. Idle cards are
-    dropped once the watermark passes their last withdrawal plus the window.
-    For rows arriving in event-time order the output equals
-    ``operators.fraud.rapid_withdrawals``. Withdrawals without a card are no
-    card's, as there.
+    group of cards, so a call judges the rows of many cards at once; ``groups``
+    is their number and must not change for a checkpoint): the state of a card
+    is its withdrawals of the last ``window_s`` + ``lateness_s`` seconds, so it
+    stays bounded; each arriving withdrawal is flagged when its trailing window
+    holds ``min_ops`` withdrawals on ``min_terminals`` terminals. A row up to
+    ``lateness_s`` late is still evaluated against its full window (rows
+    already emitted are not revised: append mode); later rows are dropped by
+    the watermark. Idle cards are dropped once the watermark passes their last
+    withdrawal plus the window. For rows arriving in event-time order the
+    output equals ``operators.fraud.rapid_withdrawals``. Withdrawals without a
+    card are no card's, as there; those without a time are left out.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
-    width_us = window_s * 1_000_000
+    width_us, width_ms = window_s * 1_000_000, window_s * 1000
     keep_us = (window_s + lateness_s) * 1_000_000
     watermark = f"{lateness_s} seconds"
-    w = (txn.filter((F.col("txn_type") == "atm_withdrawal") & F.col("card_id").isNotNull())
-            .select("txn_id", "card_id", "txn_ts", "terminal_id",
+    w = (txn.filter((F.col("txn_type") == "atm_withdrawal") & F.col("card_id").isNotNull() & F.col("txn_ts").isNotNull())
+            .select(F.pmod(F.xxhash64("card_id"), F.lit(groups)).alias("card_group"), "txn_id", "card_id", "txn_ts",
+                    F.coalesce("terminal_id", F.lit(0)).cast("long").alias("term"),
+                    F.col("terminal_id").isNotNull().alias("has_term"),
                     F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00")
                                      .cast("timestamp_ntz"), F.col("txn_ts")).alias("t_us"),
                     F.col("txn_ts").cast("timestamp").alias("event_time"))
@@ -70,55 +104,55 @@ def rapid_withdrawals_stream(txn: DataFrame, window_s: int = 15 * 60, min_ops: i
         import numpy as np
         import pandas as pd
 
+        kinds = ("int64", "int64", "int64", "bool", "int64")
+        old = [np.asarray(a, dtype=k) for a, k in zip(state.get if state.exists else [[]] * 5, kinds)]
+        mark_ms = state.getCurrentWatermarkMs()
         if state.hasTimedOut:
-            state.remove()
-            return
-        new = pd.concat(list(batches), ignore_index=True).sort_values(["t_us", "txn_id"])
-        last_ms = int(new["e_ms"].max())
-        if state.exists:
-            ts, tid, term, prev_ms = state.get
-            last_ms = max(last_ms, int(prev_ms))
-            old = pd.DataFrame({"t_us": np.asarray(ts, dtype="int64"),
-                                "txn_id": np.asarray(tid, dtype="int64"),
-                                "terminal_id": pd.array(term, dtype="Int64")})
+            new, hist = None, old
         else:
-            old = pd.DataFrame({"t_us": np.array([], dtype="int64"),
-                                "txn_id": np.array([], dtype="int64"),
-                                "terminal_id": pd.array([], dtype="Int64")})
-        hist = pd.concat([old, new[["t_us", "txn_id", "terminal_id"]]
-                          .astype({"terminal_id": "Int64"})], ignore_index=True) \
-            .sort_values(["t_us", "txn_id"], kind="mergesort").reset_index(drop=True)
-        t = hist["t_us"].to_numpy()
-        lo = np.searchsorted(t, new["t_us"].to_numpy() - width_us, side="left")
-        hi = np.searchsorted(t, new["t_us"].to_numpy(), side="right")   # peers included
-        has_term = hist["terminal_id"].notna().to_numpy()
-        terms = hist["terminal_id"].fillna(0).to_numpy(dtype="int64")
-        n_ops = hi - lo
-        # row j is the last one of its terminal in the windows with lo <= j < hi <= nxt;
-        # lo and hi never fall from one new row to the next, so these are a range
-        j = np.flatnonzero(has_term)
-        by = np.lexsort((j, terms[j]))
-        again = terms[j][by][1:] == terms[j][by][:-1]
-        nxt = np.full(len(j), len(hist))
-        nxt[by[:-1][again]] = j[by[1:][again]]
-        first = np.searchsorted(hi, j, side="right")
-        last = np.minimum(np.searchsorted(hi, nxt, side="right"),
-                          np.searchsorted(lo, j, side="right"))
-        first, last = first[last > first], last[last > first]
-        steps = (np.bincount(first, minlength=len(lo) + 1)
-                 - np.bincount(last, minlength=len(lo) + 1))
-        n_terms = np.cumsum(steps)[:len(lo)].astype("int32")
-        out = new.assign(n_ops=n_ops.astype("int64"), n_terminals=n_terms)
-        out = out[(out.n_ops >= min_ops) & (out.n_terminals >= min_terminals)]
-        keep = hist[hist["t_us"] >= t.max() - keep_us]
-        state.update((keep["t_us"].tolist(), keep["txn_id"].tolist(),
-                      [None if pd.isna(v) else int(v) for v in keep["terminal_id"]], last_ms))
+            new = pd.concat(list(batches), ignore_index=True)
+            new = new.iloc[np.lexsort((new["t_us"], new["card_id"]))]
+            arrived = [new[c].to_numpy(dtype=k) for c, k in zip(("card_id", "t_us", "term", "has_term", "e_ms"), kinds)]
+            hist = [np.concatenate(x) for x in zip(old, arrived)]
+        order = np.lexsort((hist[1], hist[0]))
+        card, t, term, has_term, last_ms = (a[order] for a in hist)
+        # where the rows of each card begin, how many they are, and its last clock time
+        begins = np.flatnonzero(np.concatenate([[True], card[1:] != card[:-1]]))
+        sizes = np.diff(np.append(begins, len(card)))
+        last_ms = np.repeat(np.maximum.reduceat(last_ms, begins), sizes)
+        kept = t >= np.repeat(t[begins + sizes - 1], sizes) - keep_us
         # idle cards go once the watermark passes their last withdrawal + W
-        state.setTimeoutTimestamp(last_ms + window_s * 1000 + 1)
-        if len(out):
-            yield out[["txn_id", "card_id", "txn_ts", "n_ops", "n_terminals"]]
+        idle = last_ms + width_ms + 1 < mark_ms
+        if new is not None:
+            idle &= ~np.isin(card, arrived[0])
+            lo = _rows_before(card, t, arrived[0], arrived[1] - width_us, False)
+            hi = _rows_before(card, t, arrived[0], arrived[1], True)          # peers included
+            # row j is the last one of its card and terminal in the windows with lo <= j < hi <= nxt;
+            # lo and hi never fall from one new row to the next, so these are a range
+            j = np.flatnonzero(has_term)
+            by = j[np.lexsort((j, term[j], card[j]))]
+            again = (term[by][1:] == term[by][:-1]) & (card[by][1:] == card[by][:-1])
+            nxt = np.full(len(card), len(card))
+            nxt[by[:-1][again]] = by[1:][again]
+            first = np.searchsorted(hi, j, side="right")
+            last = np.minimum(np.searchsorted(hi, nxt[j], side="right"),
+                              np.searchsorted(lo, j, side="right"))
+            first, last = first[last > first], last[last > first]
+            steps = (np.bincount(first, minlength=len(lo) + 1)
+                     - np.bincount(last, minlength=len(lo) + 1))
+            out = new[["txn_id", "card_id", "txn_ts"]].assign(
+                n_ops=hi - lo, n_terminals=np.cumsum(steps)[:len(lo)].astype("int32"))
+            out = out[(out.n_ops >= min_ops) & (out.n_terminals >= min_terminals)]
+            if len(out):
+                yield out
+        kept &= ~idle
+        if kept.any():
+            state.update(tuple(a[kept].tolist() for a in (card, t, term, has_term, last_ms)))
+            state.setTimeoutTimestamp(max(int(last_ms[kept].min()) + width_ms, mark_ms) + 1)
+        else:
+            state.remove()
 
-    return w.groupBy("card_id").applyInPandasWithState(
+    return w.groupBy("card_group").applyInPandasWithState(
         flag, _RAPID_OUT, _RAPID_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
@@ -214,13 +248,40 @@ def amount_probe_stream(txn: DataFrame, max_gap_s: int = 120, min_len: int = 3,
                       ((F.col("n_declined") - last_declined) == (F.col("n_attempts") - 1)).alias("probing"))
 
 
-def write_in_time_order(df: DataFrame, path: str, ts_col: str = "txn_ts",
-                        unit: str = "week") -> None:
-    """Write ``df`` as one file folder per ``unit`` of event time, oldest
-    first, so a file stream (which orders files by modification time) replays
-    it in event-time order. Only the list of periods reaches the driver."""
-    period = F.date_trunc(unit, F.col(ts_col))
-    starts = [r[0] for r in df.select(period.alias("p")).distinct().orderBy("p").collect()]
-    for i, start in enumerate(starts):
-        (df.filter(period == F.lit(start)).sortWithinPartitions(ts_col).coalesce(1)
-           .write.mode("append").parquet(f"{path}/part={i:05d}"))
+def write_in_time_order(df: DataFrame, path: str, ts_col: str = "txn_ts", unit: str = "week",
+                        rows_per_file: int = ROWS_PER_BATCH) -> None:
+    """Write ``df`` as one folder per ``unit`` of event time, so that a file
+    stream (which orders files by modification time) replays it in event-time
+    order, a file at a time. Rows without a time are left out.
+
+    All files are written by one job, each a range of times of about
+    ``rows_per_file`` rows inside a unit; rows of the same time share a file.
+    Then the files get modification times in the order of their rows. Only the
+    list of files reaches the driver."""
+    spark = df.sparkSession
+    at = F.col(ts_col)
+    timed = df.filter(at.isNotNull())
+    tasks = max(1, -(-timed.count() // rows_per_file))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def files() -> list:
+        """(folder, name, status) of the data files, in the order of their rows."""
+        parts = [p for p in fs.listStatus(folder) if p.isDirectory()] if fs.exists(folder) else []
+        found = [(p.getPath().getName(), f.getPath().getName(), f) for p in parts for f in fs.listStatus(p.getPath())]
+        return sorted((x for x in found if x[1].startswith("part-")), key=lambda x: x[:2])
+
+    before = {x[:2] for x in files()}
+    part = F.date_format(F.date_trunc(unit, at), "yyyyMMddHHmmss")
+    (timed.withColumn("part", part).repartitionByRange(tasks, ts_col).sortWithinPartitions("part", ts_col)
+          .write.mode("append").partitionBy("part").parquet(path))
+    new = [x for x in files() if x[:2] not in before]
+    start = max((f.getModificationTime() for *_, f in new), default=0)
+    for i, (_, _, f) in enumerate(new):
+        fs.setTimes(f.getPath(), start + i, -1)
+    if any(f.getModificationTime() != start + i for i, (*_, f) in enumerate(x for x in files() if x[:2] not in before)):
+        # a store that does not keep such times: the files are written anew, one after the other
+        for name, _, f in new:
+            again = spark.read.schema(df.schema).parquet(f.getPath().toString()).coalesce(1)
+            again.write.mode("append").parquet(f"{path}/part={name.partition('=')[2]}")
+            fs.delete(f.getPath(), False)
