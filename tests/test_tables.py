@@ -217,3 +217,32 @@ def test_clustering_of_empty_and_null_keys(spark, scratch):
     assert store.read("n").count() == 2
     store.overwrite("n", rows.limit(0), cluster_by=["m", "id"])
     assert store.read("n").count() == 0
+
+
+def test_upsert_deals_its_keys_and_computes_its_batch_once(spark, scratch, monkeypatch):
+    """The keys of a large batch are dealt to tasks by their number, those of a
+    small one are broadcast; both give the same rows, and the batch runs once."""
+    from vaultline.operators import incremental as inc
+    from vaultline.sinks import tables
+    rows = spark.range(300).selectExpr("if(id % 50 = 0, null, id) as k", "id as v", "cast(id % 3 as string) as m")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for p in parts:
+            seen.add(len(p))
+            yield p
+    changes = spark.range(250, 400).selectExpr("if(id % 50 = 0, null, id) as k", "-id as v", "cast(id % 4 as string) as m")
+    expect = sorted(map(str, inc.upsert(rows, changes, "k").collect()))
+    for few in (0, 1000):
+        monkeypatch.setattr(tables, "FEW_KEYS", few)
+        monkeypatch.setattr(tables, "ROWS_PER_TASK", 40)
+        for by in (None, "m"):
+            store = TableStore(spark, os.path.join(scratch, f"dealt{few}{by}"))
+            store.overwrite("t", rows, partition_by=by)
+            seen.value = 0
+            store.upsert("t", changes.mapInPandas(counted, changes.schema), "k", partition_by=by)
+            assert seen.value == 150
+            assert sorted(map(str, store.read("t").select("k", "v", "m").collect())) == expect
+            assert not [f for f in os.listdir(os.path.join(scratch, f"dealt{few}{by}", "t")) if f.startswith("stage=")]
+    plan = inc.with_keys(rows, changes, "k", "left_anti", 12)._jdf.queryExecution().toString()
+    assert plan.count("REPARTITION_BY_NUM") >= 2

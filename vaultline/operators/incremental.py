@@ -89,20 +89,36 @@ def delta(src: DataFrame, target: DataFrame | None, cursor: str, inclusive: bool
     return src.filter(cond)
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys, order: Sequence[str] | None = None
-           ) -> DataFrame:
+def with_keys(rows: DataFrame, held: DataFrame, keys, how: str, tasks: int | None = None) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join of ``rows`` with the key rows ``held``.
+
+    Without ``tasks`` the plan is Spark's. With it the keys are dealt to so
+    many tasks: keys are narrow and pack well, so tasks made up by shuffled
+    bytes hold millions of them. 0: ``held`` is few and broadcast.
+    """
+    keys = _as_list(keys)
+    held = held.select(*keys)
+    if tasks:
+        rows, held = rows.repartition(tasks, *keys), held.repartition(tasks, *keys)
+    elif tasks == 0:
+        held = F.broadcast(held)
+    return rows.join(held, keys, how)
+
+
+def upsert(target: DataFrame, batch: DataFrame, keys, order: Sequence[str] | None = None,
+           tasks: int | None = None) -> DataFrame:
     """INC2: replace target rows whose key appears in ``batch``, keep the rest,
     add the new keys. With ``order`` the batch is first collapsed to its latest
     row per key (AG3), so replays and duplicates in one batch are harmless.
 
     Plan: one anti join (AQE splits skewed keys) plus a union; no MERGE needed.
+    ``tasks``: see ``with_keys``.
     """
     keys = _as_list(keys)
     if order:
         batch = latest_per_key(batch, keys, order)
     batch = batch.select(*target.columns)
-    kept = target.join(batch.select(*keys), on=keys, how="left_anti")
-    return kept.unionByName(batch)
+    return with_keys(target, batch, keys, "left_anti", tasks).unionByName(batch)
 
 
 def read_watermark(ctl: DataFrame, process: str, table: str, default: int | None = 0

@@ -32,10 +32,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultline.operators.incremental import latest_per_key, upsert as _upsert
+from vaultline.operators.incremental import latest_per_key, upsert as _upsert, with_keys
 from vaultline.sinks.clustering import ROWS_PER_FILE, clustered
 
 ATTEMPTS = 5
+ROWS_PER_TASK = 500_000      # rows and batch keys that a task of a merge compares
+FEW_KEYS = 200_000           # batch keys that are broadcast
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -231,30 +233,49 @@ class TableStore:
         keys, sort_by = _as_list(keys), _as_list(sort_by)
         if order:
             batch = latest_per_key(batch, keys, order)
+        if self._settled(name) is None:
+            self.overwrite(name, batch, partition_by, sort_by)
+            return
+        # read for its keys, its partitions and its rows: written once
+        stage = f"stage={self._new_version()}"
+        batch.write.parquet(f"{self.root}/{name}/{stage}")
+        try:
+            self._merge(name, self.spark.read.schema(batch.schema).parquet(f"{self.root}/{name}/{stage}"),
+                        keys, partition_by, sort_by, stable_partitions)
+        finally:
+            self._files().delete(self._path(name, stage), True)
+
+    def _merge(self, name: str, batch: DataFrame, keys, partition_by, sort_by, stable_partitions: bool) -> None:
+        n = batch.count()
         for _ in range(ATTEMPTS):
             p = self._settled(name)
-            if p is None:
-                self.overwrite(name, batch, partition_by, sort_by)
-                return
             target = self._rows(name, p)
             rows = batch.select(*target.columns)
             if partition_by is None:
                 version = self._new_version()
-                self._write(_upsert(target, rows, keys), self.location(name, version), "errorifexists", None, sort_by)
+                merged = _upsert(target, rows, keys, tasks=self._tasks(target, n))
+                self._write(merged, self.location(name, version), "errorifexists", None, sort_by)
                 if self._point(name, p, version, target.schema):
                     return
                 continue
             parts = rows.select(partition_by)
             if not stable_partitions:
-                parts = parts.union(target.join(rows.select(*keys), keys, "left_semi").select(partition_by))
+                parts = parts.union(with_keys(target.select(*dict.fromkeys([*keys, partition_by])), rows, keys, "left_semi",
+                                              self._tasks(target, n)).select(partition_by))
             touched = [r[0] for r in parts.distinct().collect()]
             if not touched:
                 return
-            merged = _upsert(target.filter(_in(F.col(partition_by), touched)), rows, keys)
+            old = target.filter(_in(F.col(partition_by), touched))
+            merged = _upsert(old, rows, keys, tasks=self._tasks(old, n))
             if self._replace(name, p, merged, partition_by, touched, sort_by):
                 return
         raise RuntimeError(f"table {name!r}: other writers changed it during {ATTEMPTS} attempts")
 
+    @staticmethod
+    def _tasks(target: DataFrame, n: int) -> int:
+        """Tasks that compare the keys of ``target`` with ``n`` keys of a batch; 0: these are few."""
+        return -(-(target.count() + n) // ROWS_PER_TASK) if n > FEW_KEYS else 0
+
     def replace(self, name: str, rows: DataFrame, column: str, values: list, sort_by=None) -> None:
         """Put ``rows`` in the place of the partitions ``values`` of ``column``,
         all at once. ``rows`` may be computed from the table."""
