@@ -111,3 +111,22 @@ def test_unloaded_ids_are_asked_by_pushed_ranges(spark, scratch):
     pushed = plan[plan.index("PushedFilters"):]
     assert "LessThan(txn_id,78)" in pushed and "GreaterThan(txn_id,900)" in pushed
     assert "Join" not in plan and "Exchange" not in plan and plan.count("FileScan") == 1
+
+
+def test_unloaded_looks_up_many_runs_without_a_shuffle(spark, scratch, monkeypatch):
+    """More runs than a predicate names: the others are looked up where the rows
+    are; with too many blocks of runs the loaded ids decide. Same rows."""
+    path = f"{scratch}/many"
+    spark.range(300_000).selectExpr("if(id % 1000 = 7, null, id) as txn_id", "id as v").write.parquet(path)
+    src = spark.read.parquet(path)
+    target = src.filter("txn_id % 3000 < 2900 and txn_id < 290000 or txn_id in (299000, 299002)")
+    runs = spark.createDataFrame([tuple(r) for r in intervals.merge(target, "txn_id").collect()], "lo long, hi long")
+    expect = sorted(r.txn_id for r in src.filter("txn_id is not null").join(target, "txn_id", "left_anti").collect())
+    for widest in (1, intervals.WIDEST):
+        out = intervals.unloaded(src, runs, "txn_id", target, widest=widest)
+        assert sorted(r.txn_id for r in out.collect()) == expect
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    monkeypatch.setattr(intervals, "MOST_BLOCKS", 0)
+    out = intervals.unloaded(src, runs, "txn_id", target)
+    assert sorted(r.txn_id for r in out.collect()) == expect

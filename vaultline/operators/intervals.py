@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from vaultline.functions import windows as W
 
-WIDEST = 64              # runs that a load names in its predicate
+WIDEST = 16              # runs that a load names in its predicate; Java leaves the code of much longer ones uncompiled
+BLOCK_BITS = 16          # ids are looked up among the runs of their block of 2 ** 16
+MOST_BLOCKS = 200_000    # blocks of runs that are broadcast
 BUCKET = 1 << 20         # ids whose ends one task orders
 
 
@@ -98,14 +100,24 @@ def unloaded(src: DataFrame, runs: DataFrame, key: str, loaded: DataFrame, wides
     """INC5: rows of ``src`` whose id is in no run, whatever their order.
 
     The ranges outside the ``widest`` longest runs are pushed to the source.
-    Only if there are more runs than that, the ids inside the shorter ones are
-    taken off by an anti join with ``loaded``, read by the same ranges. A row
-    without an id is never selected. ``lookback`` asks for ids above the last
-    run less so many only; 0 is the plain watermark, which loses late ids.
+    If there are more runs than that, ids inside the shorter ones are taken
+    off by looking them up among the broadcast runs of their block of ids;
+    only if these blocks are too many, by an anti join with ``loaded``, read by
+    the same ranges. A row without an id is never selected. ``lookback`` asks
+    for ids above the last run less so many only; 0 is the plain watermark,
+    which loses late ids.
     """
     where, exact = outside(runs, key, widest)
     if lookback is not None:
         last = runs.agg(F.max("hi")).first()[0]
         where = where & (F.col(key) > F.lit(last - lookback)) if last is not None else where
     new = src.filter(where)
-    return new if exact else new.join(loaded.filter(where).select(key), key, "left_anti")
+    if exact:
+        return new
+    block = lambda c: F.shiftright(F.col(c).cast("long"), BLOCK_BITS)                # noqa: E731
+    if runs.agg(F.sum(block("hi") - block("lo") + 1)).first()[0] > MOST_BLOCKS:
+        return new.join(loaded.filter(where).select(key), key, "left_anti")
+    spans = runs.select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"),
+                        F.explode(F.sequence(block("lo"), block("hi"))).alias("__block"))
+    return new.join(F.broadcast(spans), (block(key) == F.col("__block"))
+                    & F.col(key).between(F.col("__lo"), F.col("__hi")), "left_anti")
